@@ -76,6 +76,11 @@ def explode_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def review_keys(reviews: DataFrame) -> DataFrame:
+    """The source_id_r of `explode_reviews`, once per record, reading nothing else."""
+    return reviews.select(F.col("id").try_cast("bigint").alias("source_id_r"))
+
+
 def raw_property_view(details: DataFrame) -> DataFrame:
     """The details feed as a table, values as they came."""
     return details.select(

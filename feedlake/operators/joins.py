@@ -23,17 +23,21 @@ def rental_unmatched(details: DataFrame, search: DataFrame) -> DataFrame:
     return details.join(ids, details["source_id"] == ids["search_id"], "left_anti")
 
 
-def properties_left_reviews(properties: DataFrame, reviews: DataFrame) -> DataFrame:
+def properties_left_reviews(
+    properties: DataFrame, reviews: DataFrame, review_keys: DataFrame | None = None
+) -> DataFrame:
     """Every property with its reviews, or with nulls if it has none.
 
     A left join sends all reviews of one property to one task, and adaptive execution may
     not split the right side of it. So it is put together from an inner join, which may be
     split (and lets a small properties side be broadcast), and from the properties that
     are in no review. Properties with a null key match nothing and skip the join.
+    `review_keys` may give the source_id_r of the reviews from a cheaper source.
     """
     key, key_r = F.col("source_id"), F.col("source_id_r")
     keyed = properties.where(key.isNotNull())
-    reviewed = reviews.select("source_id_r").where(key_r.isNotNull()).distinct()
+    keys = reviews if review_keys is None else review_keys
+    reviewed = keys.select("source_id_r").where(key_r.isNotNull()).distinct()
     matched = keyed.join(reviews, key == key_r, "inner")
     lonely = keyed.join(reviewed, key == key_r, "left_anti")
     keyless = properties.where(key.isNull())

@@ -46,7 +46,9 @@ def rental_frames(
 def reviews_frame(details: DataFrame, reviews: DataFrame) -> DataFrame:
     """property_reviews rows."""
     joined = joins.properties_left_reviews(
-        extract.flatten_properties(details), extract.explode_reviews(reviews)
+        extract.flatten_properties(details),
+        extract.explode_reviews(reviews),
+        extract.review_keys(reviews),
     )
     return standardize.property_reviews(standardize.enrich_reviews(joined))
 

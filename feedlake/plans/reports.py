@@ -1,10 +1,10 @@
 """The 13 reports.
 
 Each answers a question about the combined view (every rental_property row paired with
-every property_reviews row of the same id) but takes the two tables. Reviews are summed up
-per property before the join, where the sum is made in part before any shuffle; the join
-then meets one row per property, however many reviews the property has. Several rental
-rows for one id count as often as they do in the view.
+every property_reviews row of the same id) but takes the two tables. Reviews are summed up per
+property and equal rental rows are counted before the join, both in part before any
+shuffle. So the join meets about one row per property and side, however many reviews or
+offers the property has, and the counts make each row weigh what it does in the view.
 
 Ties in a top-k report are broken by id.
 """
@@ -34,13 +34,18 @@ def _summed_reviews(reviews: DataFrame, *split_by: str) -> DataFrame:
     )
 
 
-def _join_on_id(rental: DataFrame, per_property: DataFrame) -> DataFrame:
-    return rental.join(per_property, F.col("id") == F.col("gen_id"), "inner")
+def _times_listed(rental: DataFrame, *columns: str) -> DataFrame:
+    """Per id (and `columns`), the number of rental rows: how often the view repeats each
+    of the property's reviews."""
+    return rental.groupBy("id", *columns).agg(F.count(F.lit(1)).alias("times"))
 
 
-def _times_listed(rental: DataFrame) -> DataFrame:
-    """Per id, the number of its rental rows: how often the view repeats each review."""
-    return rental.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+def _weighted(listed: DataFrame, summed: DataFrame) -> DataFrame:
+    """The two joined on id, with the sums weighing what they do in the view."""
+    sums = ("rows", "reviews", "score_sum", "score_count")
+    return listed.join(summed, F.col("id") == F.col("gen_id"), "inner").withColumns(
+        {name: F.col(name) * F.col("times") for name in sums}
+    )
 
 
 def _mean_score() -> Column:
@@ -58,22 +63,20 @@ def sample_rows(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> Data
 
     They belong to the first `count` ids, so only those ids' rows are joined.
     """
-    first_ids = (
-        property_base(rental, reviews, ["id"]).orderBy("id").limit(count)
-    )
-    few = F.broadcast(first_ids)  # `count` rows at most
+    first_ids = property_base(rental, reviews, ["id"]).orderBy("id").limit(count)
+    few = F.broadcast(first_ids.withColumnRenamed("id", "_first"))  # `count` rows at most
     view = combined_view(
-        rental.join(few, "id", "left_semi"),
-        reviews.join(
-            few.select(F.col("id").alias("_first")), F.col("gen_id") == F.col("_first"), "left_semi"
-        ),
+        rental.join(few, F.col("id") == F.col("_first"), "left_semi"),
+        reviews.join(few, F.col("gen_id") == F.col("_first"), "left_semi"),
     )
     order = [F.col(c).asc_nulls_first() for c in ("id", "review_id", *view.columns)]
     return view.orderBy(*order).limit(count).select(*V.SAMPLE_COLUMNS)
 
 
 def reviews_per_country(rental: DataFrame, reviews: DataFrame) -> DataFrame:
-    joined = _join_on_id(rental, _summed_reviews(reviews))
+    joined = _weighted(
+        _times_listed(rental, "country_code", "star_rating"), _summed_reviews(reviews)
+    )
     return (
         joined.groupBy("country_code")
         .agg(
@@ -88,7 +91,9 @@ def reviews_per_country(rental: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def reviews_by_year(rental: DataFrame, reviews: DataFrame) -> DataFrame:
     dated = reviews.where(F.col("review_year").isNotNull())
-    joined = _join_on_id(rental, _summed_reviews(dated, "review_year"))
+    joined = _weighted(
+        _times_listed(rental, "country_code"), _summed_reviews(dated, "review_year")
+    )
     return (
         joined.groupBy("review_year")
         .agg(
@@ -110,14 +115,14 @@ def top_properties(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> D
         F.count(F.lit(1)).alias("times"),
     )
     return (
-        _join_on_id(listed, per_property)
+        _weighted(listed, per_property)
         .select(
             "id",
             "name",
             "country",
             "stars",
             _rounded_mean(F.col("score_sum"), F.col("score_count")).alias("avg_score"),
-            (F.col("reviews") * F.col("times")).alias("num_reviews"),
+            F.col("reviews").alias("num_reviews"),
         )
         .where(F.col("num_reviews") >= 2)
         .orderBy(F.desc("avg_score"), "id")
@@ -126,7 +131,7 @@ def top_properties(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> D
 
 
 def quality_distribution(rental: DataFrame, reviews: DataFrame) -> DataFrame:
-    joined = _join_on_id(rental, _summed_reviews(reviews))
+    joined = _weighted(_times_listed(rental, "data_quality_flag"), _summed_reviews(reviews))
     return joined.groupBy("data_quality_flag").agg(
         F.count_distinct("id").alias("properties"), F.sum("rows").alias("rows")
     )
@@ -184,38 +189,32 @@ def most_expensive(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> D
 
 def by_purpose(rental: DataFrame, reviews: DataFrame) -> DataFrame:
     stated = reviews.where(F.col("reviewer_travel_purpose").isNotNull())
-    joined = _join_on_id(
+    joined = _weighted(
         _times_listed(rental), _summed_reviews(stated, "reviewer_travel_purpose")
     )
-    times = F.col("times")
     return (
         joined.groupBy("reviewer_travel_purpose")
-        .agg(
-            F.sum(F.col("rows") * times).alias("reviews"),
-            _rounded_mean(
-                F.sum(F.col("score_sum") * times), F.sum(F.col("score_count") * times)
-            ).alias("avg_score"),
-        )
+        .agg(F.sum("rows").alias("reviews"), _mean_score().alias("avg_score"))
         .orderBy(F.desc("reviews"), "reviewer_travel_purpose")
     )
 
 
 def join_coverage(rental: DataFrame, reviews: DataFrame) -> DataFrame:
     """Ids are counted after reduction to one row each, so no distinct count is needed."""
-    joined = _join_on_id(_times_listed(rental), _summed_reviews(reviews))
+    joined = _weighted(_times_listed(rental), _summed_reviews(reviews))
     count = F.col("reviews")
     return joined.agg(
         F.count("id").alias("properties_total"),
         F.count_if(count > 0).alias("properties_with_reviews"),
         F.count_if(F.col("rows") > count).alias("properties_without_reviews"),
-        F.coalesce(F.sum(count * F.col("times")), F.lit(0)).alias("total_reviews"),
+        F.coalesce(F.sum(count), F.lit(0)).alias("total_reviews"),
     )
 
 
 def review_density(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> DataFrame:
-    joined = _join_on_id(_times_listed(rental), _summed_reviews(reviews))
+    joined = _weighted(_times_listed(rental), _summed_reviews(reviews))
     return (
-        joined.select("id", (F.col("reviews") * F.col("times")).alias("reviews_per_property"))
+        joined.select("id", F.col("reviews").alias("reviews_per_property"))
         .orderBy(F.desc("reviews_per_property"), "id")
         .limit(count)
     )
@@ -225,10 +224,9 @@ def filtered_reviews(
     rental: DataFrame, reviews: DataFrame, country: str = "GB", year: int = 2024
 ) -> DataFrame:
     """Reviews of one country and year, best first. Both filters prune partitions."""
-    chosen = _join_on_id(
-        rental.where(F.col("country_code") == country).select("id", "property_name"),
-        reviews.where(F.col("review_year") == year).select("gen_id", *V.REVIEW_FIELDS),
-    )
+    listed = rental.where(F.col("country_code") == country).select("id", "property_name")
+    dated = reviews.where(F.col("review_year") == year).select("gen_id", *V.REVIEW_FIELDS)
+    chosen = listed.join(dated, F.col("id") == F.col("gen_id"), "inner")
     columns = (
         "property_name",
         "reviewer_name",
@@ -242,7 +240,9 @@ def filtered_reviews(
 
 def by_type(rental: DataFrame, reviews: DataFrame) -> DataFrame:
     stated = reviews.where(F.col("reviewer_type").isNotNull())
-    joined = _join_on_id(rental, _summed_reviews(stated, "reviewer_type"))
+    joined = _weighted(
+        _times_listed(rental, "star_rating"), _summed_reviews(stated, "reviewer_type")
+    )
     return (
         joined.groupBy("reviewer_type")
         .agg(

@@ -1,0 +1,38 @@
+"""Small feeds and comparisons."""
+
+from collections import Counter
+
+from feedlake import schemas
+
+
+def details_row(id, name=None, country=None, city=None, currency=None, stars=None, score=None):
+    return (
+        id, name, (country, city), currency, (stars, score), None, None, None, None, None,
+    )
+
+
+def details_feed(spark, rows):
+    return spark.createDataFrame([details_row(**row) for row in rows], schemas.DETAILS_FEED)
+
+
+def search_row(id, book=None, percentage=None, meals=None, products="one"):
+    offered = [(((meals,),),)] if products == "one" else products
+    return (id, "USD", (book,), (percentage,), offered, None, None)
+
+
+def search_feed(spark, rows):
+    return spark.createDataFrame([search_row(**row) for row in rows], schemas.SEARCH_FEED)
+
+
+def review(id, date=None, score=None, name=None, purpose=None, kind=None, summary=None):
+    return (id, date, score, None, summary, None, None, (name, None, purpose, kind))
+
+
+def reviews_feed(spark, rows):
+    return spark.createDataFrame(rows, schemas.REVIEWS_FEED)
+
+
+def multiset(df, *columns):
+    """Rows by count, whatever their order; columns by name."""
+    names = columns or sorted(df.columns)
+    return Counter(tuple(row) for row in df.select(*names).collect())
