@@ -26,15 +26,6 @@ NEEDS_REVIEW = "NEEDS_REVIEW"
 # Date format of a review.
 REVIEW_DATE_FORMAT = "yyyy-MM-dd"
 
-# Slug patterns: (pattern, replacement), applied in this order.
-ASCII_SLUG_RULES = ((r"[^a-zA-Z0-9]+", "-"),)
-WORD_SLUG_RULES = (
-    (r"[^\w\s-]", ""),
-    (r"[\s_]+", "-"),
-    (r"-{2,}", "-"),
-    (r"^-|-$", ""),
-)
-
 # Characters of a document key that cannot stand in a file name.
 UNSAFE_KEY_PATTERN = r"[/\\]"
 

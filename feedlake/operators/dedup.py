@@ -1,14 +1,14 @@
 """One row per key, always the same one.
 
 The survivor is the smallest row, comparing the `order` columns first and then all the
-others from left to right, nulls first. It is found with a plain aggregate, so each map
-task sends at most one row per key through the shuffle: a key that holds a third of all
-rows, or a third of all rows being copies of one, costs no more than any other.
+others from left to right, nulls first. Spark keeps the first row per key within each map
+task before it shuffles (a group limit below the exchange), so a key that holds a third of
+all rows, or a third of all rows being copies of one, costs no more than any other.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,10 +18,6 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Data
     rest = [name for name in df.columns if name not in keys and name not in first]
     if not first and not rest:
         return df.distinct()
-    smallest = df.groupBy(*keys).agg(F.min(F.struct(*first, *rest)).alias("_survivor"))
-    return smallest.select(
-        *[
-            F.col(name) if name in keys else F.col(f"_survivor.`{name}`").alias(name)
-            for name in df.columns
-        ]
-    )
+    smallest_first = Window.partitionBy(*keys).orderBy(*first, *rest)
+    ranked = df.withColumn("_rank", F.row_number().over(smallest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")

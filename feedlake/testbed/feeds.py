@@ -2,12 +2,14 @@
 
 Customers are the listed properties, orders the search offers, events the review records.
 The tables hold no nulls, so conditions on their values make the gaps, bad ids, blank texts,
-copies and malformed dates that feeds come with. Each feed is a projection of whole tables.
+copies and malformed dates that feeds come with. Each feed is a projection of whole tables,
+staged as files on first use in a session, since feeds are files; queries read those.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake import schemas
 from feedlake.plans import builds
 from feedlake.workspace import work_folder
 
@@ -16,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dressed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their nation. Accounts of 9000 and more are listed a second time."""
     balance, segment, key = F.col("c_acctbal"), F.col("c_mktsegment"), F.col("c_custkey")
     region = F.col("n_regionkey")
@@ -78,7 +80,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.unionAll(again).drop("_balance")
 
 
-def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dressed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders: offers for the ordering customer, for unknown ids and for none."""
     priority, price = F.col("o_orderpriority"), F.col("o_totalprice")
 
@@ -112,7 +114,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dressed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events: records with no, one or two reviews; two share one review id."""
     kind, k, value = F.col("event_type"), F.col("k"), F.col("value")
 
@@ -161,7 +163,34 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_roots: dict[tuple[str, str], str] = {}
+_folders: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
+    """Folder that `make` has filled, once per session and set of test tables."""
+    made_by = (spark.sparkContext.applicationId, sf_dir, name)
+    if made_by not in _folders:
+        path = work_folder(spark, name)
+        make(path)
+        _folders[made_by] = path
+    return _folders[made_by]
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, dressed, schema: str) -> DataFrame:
+    path = _once(spark, sf_dir, name, lambda path: dressed(spark, sf_dir).write.parquet(path))
+    return spark.read.schema(schema).parquet(path)
+
+
+def details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "details", _dressed_details, schemas.DETAILS_FEED)
+
+
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "search", _dressed_search, schemas.SEARCH_FEED)
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _staged(spark, sf_dir, "reviews", _dressed_reviews, schemas.REVIEWS_FEED)
 
 
 def built_tables(spark: SparkSession, sf_dir: str) -> str:
@@ -169,11 +198,10 @@ def built_tables(spark: SparkSession, sf_dir: str) -> str:
 
     Built on first use in a session, then read by every query on tables, as reports are.
     """
-    made_by = (spark.sparkContext.applicationId, sf_dir)
-    if made_by not in _roots:
-        root = work_folder(spark, "tables")
+
+    def build(root: str) -> None:
         listing = details(spark, sf_dir)
         builds.build_rental(listing, search(spark, sf_dir), root)
         builds.build_reviews(listing, reviews(spark, sf_dir), root)
-        _roots[made_by] = root
-    return _roots[made_by]
+
+    return _once(spark, sf_dir, "tables", build)

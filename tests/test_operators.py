@@ -286,7 +286,21 @@ def test_audit_counts(spark):
     }
 
 
-texts = st.text(alphabet="aB9 -_é!\t分", max_size=20)
+texts = st.text(alphabet="aB9 -_é!\t\n分\u2028\u212a😀", max_size=20)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(texts, min_size=50, max_size=100))
+def test_slugs_equal_their_plain_rules(spark, values):
+    """The rules as one would say them, character class by character class."""
+    text = F.col("v")
+    plain = F.lower(F.regexp_replace(F.trim(text), "[^a-zA-Z0-9]+", "-"))
+    df = one_column(spark, values)
+    assert df.where(names.slug_ascii(text) != plain).count() == 0
+    plain = F.trim(F.lower(text))
+    for pattern, by in ((r"[^\w\s-]", ""), (r"[\s_]+", "-"), ("-{2,}", "-"), ("^-|-$", "")):
+        plain = F.regexp_replace(plain, pattern, by)
+    assert df.where(names.slug_word(text) != plain).count() == 0
 
 
 @settings(max_examples=5, deadline=None)
