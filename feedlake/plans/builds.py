@@ -56,13 +56,20 @@ def reviews_frame(details: DataFrame, reviews: DataFrame) -> DataFrame:
 def _unique_reviews(
     reviews: DataFrame, columns: list[str], order: list[str], limit: int
 ) -> tuple[DataFrame, list[str]]:
-    """One row per (gen_id, review_id), and the columns that make up a nested row."""
+    """One row per (gen_id, review_id), and the columns that make up a nested row.
+
+    With no property above `limit` rows, rows are shuffled once, by property, which serves
+    the dedup, the nesting and a join on the property alike. Otherwise copies are dropped in
+    a shuffle of their own, by review: there even a review with countless copies is reduced
+    to one row per task before it moves.
+    """
     sizes = reviews.groupBy("gen_id").agg(F.count(F.lit(1)).alias("n"))
     rows, parted = nest.split_hot_groups(
         reviews.select(*columns), "gen_id", "review_id", sizes=sizes, limit=limit
     )
-    group = ["gen_id", "part"] if parted else ["gen_id"]
-    return dedup(rows, [*group, "review_id"], order=order), group
+    if not parted:
+        return dedup(rows.repartition("gen_id"), ["gen_id", "review_id"], order=order), ["gen_id"]
+    return dedup(rows, ["gen_id", "part", "review_id"], order=order), ["gen_id", "part"]
 
 
 def final_frame(

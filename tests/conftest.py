@@ -30,7 +30,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    path = f"{TESTDATA}/sf0.01"
+    path = f"{TESTDATA}/{os.environ.get('TESTDATA_SF', 'sf0.01')}"
     if not os.path.isdir(path):
         pytest.skip("test tables are not there")
     return path

@@ -119,12 +119,28 @@ def test_dedup_reduces_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text.split("Exchange")[1]
 
 
-def test_final_table_takes_one_shuffle_less_when_nothing_is_hot(spark, sf_dir):
-    """The nested rows are already where the join needs them."""
+def test_reviews_are_shuffled_once_when_nothing_is_hot(spark, sf_dir):
+    """One shuffle of the reviews serves dedup, nesting and join; one more is the rentals'."""
     root = feeds.built_tables(spark, sf_dir)
     with conf(spark, **SMALL):
         df = builds.final_frame(builds.read_rental(spark, root), builds.read_reviews(spark, root))
-        assert plan(df).count("Exchange hashpartitioning") == 3
+        text = plan(df)
+    assert text.count("Exchange ") == 2
+    assert text.count("SortMergeJoin") == 1
+
+
+def test_copies_of_a_review_are_dropped_before_they_move_when_hot(spark, sf_dir):
+    root = feeds.built_tables(spark, sf_dir)
+    with conf(spark, **SMALL):
+        df = builds.final_frame(
+            builds.read_rental(spark, root), builds.read_reviews(spark, root), limit=20
+        )
+        text = plan(df)
+    shuffles = text.split("Exchange hashpartitioning(gen_id")[1:]
+    by_review = [i for i, t in enumerate(shuffles) if "review_id" in t.split("\n")[0]]
+    assert len(by_review) == 1
+    assert "WindowGroupLimit" in shuffles[by_review[0]]
+    assert "REPARTITION" not in text
 
 
 def test_report_on_one_country_and_year_prunes_partitions(spark, sf_dir):
