@@ -1,15 +1,16 @@
 """The joins. All are equi-joins on one key; Spark picks the physical strategy.
 
-None carries a broadcast hint, as every side grows with the data. Inner joins may meet a
-hot key on either side: adaptive execution splits such a partition. The shapes it cannot
-split (the right side of an outer join, null keys) are written so that they do not occur.
+None carries a broadcast hint, as every side grows with the data. A join may meet a hot key
+on either side: adaptive execution splits such a partition. The shapes it cannot split (the
+right side of an outer join, a side that is not shuffled for the join, null keys) are
+written so that they do not occur.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
-from feedlake.operators.dedup import dedup
+from feedlake.operators.dedup import dedup, distinct_keys
 
 
 def rental_matched(details: DataFrame, search: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def rental_matched(details: DataFrame, search: DataFrame) -> DataFrame:
 
 def rental_unmatched(details: DataFrame, search: DataFrame) -> DataFrame:
     """Details that no search row names. Only the distinct ids of search are shuffled."""
-    ids = search.select("search_id").distinct()
+    ids = distinct_keys(search, "search_id")
     return details.join(ids, details["source_id"] == ids["search_id"], "left_anti")
 
 
@@ -37,7 +38,7 @@ def properties_left_reviews(
     key, key_r = F.col("source_id"), F.col("source_id_r")
     keyed = properties.where(key.isNotNull())
     keys = reviews if review_keys is None else review_keys
-    reviewed = keys.select("source_id_r").where(key_r.isNotNull()).distinct()
+    reviewed = distinct_keys(keys.where(key_r.isNotNull()), "source_id_r")
     matched = keyed.join(reviews, key == key_r, "inner")
     lonely = keyed.join(reviewed, key == key_r, "left_anti")
     keyless = properties.where(key.isNull())
@@ -64,7 +65,7 @@ def join_tables_deduplicated(rental: DataFrame, reviews: DataFrame) -> DataFrame
     both before the join gives the same rows and never builds the pairs.
     """
     return join_tables(
-        dedup(rental, ["id"]),
+        dedup(rental, ["id"], for_join=True),
         dedup(reviews, ["gen_id", "review_id"], order=V.REVIEW_FIELDS),
     )
 
@@ -84,9 +85,6 @@ def property_base(rental: DataFrame, reviews: DataFrame, columns) -> DataFrame:
 
     Equals a distinct over the combined view, without joining the reviews themselves.
     """
-    present = reviews.select("gen_id").distinct()
-    return (
-        rental.select(*columns)
-        .distinct()
-        .join(present, F.col("id") == F.col("gen_id"), "left_semi")
-    )
+    present = distinct_keys(reviews, "gen_id")
+    unique = rental.select(*columns).distinct()
+    return unique.join(present, F.col("id") == F.col("gen_id"), "left_semi")

@@ -35,7 +35,8 @@ def rental_frames(
 
     Several search rows for one id give several rental rows; `dedup_search` keeps one.
     """
-    listed = dedup(extract.clean_missing_key(extract.extract_details(details)), ["source_id"])
+    keyed = extract.clean_missing_key(extract.extract_details(details))
+    listed = dedup(keyed, ["source_id"], for_join=True)
     offers = extract.extract_search(search)
     if dedup_search:
         offers = dedup(offers, ["search_id"])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
+from feedlake.operators.dedup import distinct_keys
 
 
 def cutoff_time(older_than: datetime | str | None = None) -> datetime:
@@ -93,7 +94,7 @@ def table_health(tables: DataFrame, snapshots: DataFrame, files: DataFrame) -> D
     known = snapshots.groupBy("table_name", "snapshot_id").agg(
         F.min("manifest_list").alias("manifest_list")
     )
-    present = files.select(F.col("path").alias("_path")).distinct()
+    present = distinct_keys(files, "path").withColumnRenamed("path", "_path")
     current = tables.join(
         known.withColumnsRenamed({"table_name": "_table", "snapshot_id": "_snapshot"}),
         (F.col("table_name") == F.col("_table"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
+from feedlake.operators.dedup import first_rows
 from feedlake.operators.joins import combined_view, property_base
 
 TOP = 10
@@ -59,17 +60,22 @@ def _mean_stars() -> Column:
 
 
 def sample_rows(rental: DataFrame, reviews: DataFrame, count: int = TOP) -> DataFrame:
-    """The first rows of the view by id and review.
+    """The first rows of the view by id, review and then all columns.
 
-    They belong to the first `count` ids, so only those ids' rows are joined.
+    They belong to the first `count` ids, and within an id to its first `count` rows on
+    either side, so no more than those are paired.
     """
     first_ids = property_base(rental, reviews, ["id"]).orderBy("id").limit(count)
     few = F.broadcast(first_ids.withColumnRenamed("id", "_first"))  # `count` rows at most
+    listed = rental.join(few, F.col("id") == F.col("_first"), "left_semi")
+    written = reviews.select("gen_id", "property_id", *V.REVIEW_FIELDS).join(
+        few, F.col("gen_id") == F.col("_first"), "left_semi"
+    )
     view = combined_view(
-        rental.join(few, F.col("id") == F.col("_first"), "left_semi"),
-        reviews.join(few, F.col("gen_id") == F.col("_first"), "left_semi"),
+        first_rows(listed, ["id"], count, order=V.RENTAL_COLUMNS),
+        first_rows(written, ["gen_id"], count, order=["review_id"]),
     )
-    order = [F.col(c).asc_nulls_first() for c in ("id", "review_id", *view.columns)]
+    order = ("id", "review_id", *V.RENTAL_COLUMNS[1:], "property_id", *V.REVIEW_FIELDS[1:])
     return view.orderBy(*order).limit(count).select(*V.SAMPLE_COLUMNS)
 
 

@@ -346,7 +346,7 @@ def clean_missing_key(spark, sf_dir):
 
 @query
 def dedup_key(spark, sf_dir):
-    return dedup.dedup(clean_missing_key(spark, sf_dir), ["source_id"])
+    return dedup.dedup(clean_missing_key(spark, sf_dir), ["source_id"], for_join=True)
 
 
 @query

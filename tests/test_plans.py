@@ -73,27 +73,94 @@ def hot_properties(spark, n=30_000):
     return properties, reviews
 
 
+def joins_split(df):
+    """For each join of the plan as run: whether adaptive execution split a hot key."""
+    lines = [line for line in final_plan(df).split("== Initial Plan ==")[0].split("\n")]
+    return ["skew=true" in line for line in lines if "SortMergeJoin" in line]
+
+
 def test_hot_property_is_split_in_the_left_join(spark):
     properties, reviews = hot_properties(spark)
     key = F.col("source_id") == F.col("source_id_r")
     with conf(spark, **SMALL):
         plain = properties.join(reviews, key, "left")
-        assert "skew=true" not in final_plan(plain)
+        assert joins_split(plain) == [False]
         made = joins.properties_left_reviews(properties, reviews)
-        assert "skew=true" in final_plan(made)
+        assert joins_split(made) == [True, False]
         assert multiset(made) == multiset(plain)
 
 
-def test_hot_offer_is_split_in_the_inner_join(spark):
+@pytest.mark.parametrize("hot", [7, 999, None])
+def test_hot_copies_of_a_property_are_split_in_the_left_join(spark, hot):
+    """A third of the listings has one id: with reviews, without, or no id at all."""
+    _, reviews = hot_properties(spark)
+    properties = spark.range(0, 30_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot).cast("bigint"))
+        .otherwise(F.col("id"))
+        .alias("source_id"),
+        F.sha2((F.col("id") % 999).cast("string"), 256).alias("name"),
+    )
+    few = reviews.where("review_id % 600 < 3")
+    key = F.col("source_id") == F.col("source_id_r")
+    with conf(spark, **SMALL):
+        made = joins.properties_left_reviews(properties, few)
+        # A null id matches nothing and is not shuffled at all.
+        assert any(joins_split(made)) == (hot is not None)
+        assert multiset(made) == multiset(properties.join(few, key, "left"))
+
+
+def hot_offers(spark):
+    """Details, each listed twice, and offers of which a third are for listing 7."""
     properties, reviews = hot_properties(spark)
-    search = reviews.withColumnRenamed("source_id_r", "search_id")
+    details = properties.where("source_id IS NOT NULL").select(
+        F.col("source_id").cast("string"),
+        F.col("name").alias("property_name"),
+    )
+    offers = reviews.select(
+        F.col("source_id_r").cast("string").alias("search_id"),
+        F.col("review_id").cast("double").alias("usd_price"),
+        "text",
+    )
+    return details.unionAll(details), offers
+
+
+def test_hot_offer_is_split_in_the_inner_join(spark):
+    details, offers = hot_offers(spark)
     with conf(spark, **SMALL):
-        made = joins.rental_matched(properties, search)
-        assert "skew=true" in final_plan(made)
+        listed = dedup.dedup(details, ["source_id"], for_join=True)
+        made = joins.rental_matched(listed, offers)
+        assert joins_split(made) == [True]
         assert made.count() == 30_000
-        lonely = joins.rental_unmatched(properties, search)
+        unmatched = joins.rental_unmatched(listed, offers)
         offered = {7 if i % 3 == 0 else i % 300 for i in range(30_000)}
-        assert lonely.where("source_id IS NOT NULL").count() == 345 - len(offered)
+        assert unmatched.count() == 345 - len(offered)
+
+
+def test_hot_property_is_split_when_tables_are_joined_without_copies(spark):
+    details, offers = hot_offers(spark)
+    rental = details.select(
+        F.col("source_id").alias("id"),
+        *[F.lit(None).cast("string").alias(c) for c in V.RENTAL_COLUMNS[1:]],
+    )
+    reviews = offers.select(
+        F.col("search_id").alias("gen_id"),
+        F.col("usd_price").cast("bigint").alias("review_id"),
+        *[F.col("text").alias(c) for c in V.REVIEW_FIELDS[1:]],
+    )
+    with conf(spark, **SMALL):
+        made = joins.join_tables_deduplicated(rental, reviews)
+        assert joins_split(made) == [True]
+        assert made.count() == 30_000
+
+
+def test_hot_id_is_split_in_the_property_base(spark):
+    _, offers = hot_offers(spark)
+    rental = offers.select(F.col("search_id").alias("id"), "usd_price", "text")
+    reviews = rental.select(F.col("id").alias("gen_id")).where("id = '7'")
+    with conf(spark, **SMALL):
+        made = joins.property_base(rental, reviews, ["id", "usd_price", "text"])
+        assert joins_split(made) == [True]
+        assert made.count() == 10_000 + 100
 
 
 def test_partial_sums_come_before_every_shuffle_of_reviews(spark, sf_dir):
