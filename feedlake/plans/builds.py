@@ -197,12 +197,17 @@ def build_final(
 
 
 def build_all(
-    details: DataFrame, search: DataFrame, reviews: DataFrame, root: str, mode: str = "dynamic"
+    details: DataFrame,
+    search: DataFrame,
+    reviews: DataFrame,
+    root: str,
+    mode: str = "dynamic",
+    dedup_search: bool = False,
 ) -> dict:
     """All tables and documents; returns the counts of each build."""
     spark = details.sparkSession
     counts = {
-        RENTAL: build_rental(details, search, root, mode, backup=True),
+        RENTAL: build_rental(details, search, root, mode, dedup_search, backup=True),
         REVIEWS: build_reviews(details, reviews, root, mode),
     }
     build_review_documents(spark, root)

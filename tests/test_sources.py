@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 from feedlake import schemas
+from feedlake.__main__ import main
 from feedlake.operators import audit
 from feedlake.plans import builds
 from feedlake.sources import documents, feeds, tables
@@ -176,6 +177,28 @@ def test_build_all(spark, tmp_path):
     assert len(spark.table("property_combined").columns) == 26
 
 
+@pytest.mark.parametrize("layout", ["lines", "arrays"])
+def test_build_from_files(spark, tmp_path, capsys, layout):
+    """The command line on JSON files: the same documents as from frames."""
+    details, search, reviews = feeds_for_build(spark)
+    given = ["--root", str(tmp_path / "lake")]
+    for name, df in (("details", details), ("search", search), ("reviews", reviews)):
+        records = [json.loads(line) for line in df.toJSON().collect()]
+        (tmp_path / name).mkdir()
+        lines = "\n".join(json.dumps(r) for r in records)
+        text = lines if layout == "lines" else json.dumps(records)
+        (tmp_path / name / "feed.json").write_text(text, "utf-8")
+        given += [f"--{name}", str(tmp_path / name)]
+    main(given + (["--arrays"] if layout == "arrays" else []))
+    assert json.loads(capsys.readouterr().out)["rentals_reviews"] == {"rows": 2, "reviews": 2}
+    builds.build_all(details, search, reviews, str(tmp_path / "frames"))
+    for folder in ("final_data", "property_data"):
+        made = read_lines(spark, str(tmp_path / "lake" / folder))
+        expected = read_lines(spark, str(tmp_path / "frames" / folder))
+        key = ["id", "gen_id"][folder == "property_data"]
+        assert sorted(made, key=lambda d: d[key]) == sorted(expected, key=lambda d: d[key])
+
+
 def test_second_build_replaces_its_countries_only(spark, tmp_path):
     root = str(tmp_path / "lake")
     details, search, reviews = feeds_for_build(spark)
