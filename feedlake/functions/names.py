@@ -14,7 +14,7 @@ def preferred_name(names: Column, preference=V.NAME_PREFERENCE, others: bool = T
     """
     candidates = [names[language] for language in preference]
     if others:
-        in_key_order = F.transform(F.array_sort(F.map_keys(names)), lambda key: names[key])
+        in_key_order = F.transform(F.sort_array(F.map_keys(names)), lambda key: names[key])
         candidates.append(F.get(F.filter(in_key_order, lambda name: name.isNotNull()), F.lit(0)))
     return F.coalesce(*candidates)
 

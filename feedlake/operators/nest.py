@@ -1,9 +1,9 @@
 """Reviews back into one array per property.
 
-One row per property is the wanted shape, but a row cannot hold a third of a large
-table. `split_hot_groups` therefore numbers the parts of the few groups above `limit`
-rows; `nest` then makes one row per group and part. Groups at or below the limit have a
-single part 0 and look as if there were no parts at all. No review is left out.
+One row per property is the wanted shape, but a row cannot hold a third of a large table.
+So the few groups above a limit of rows are found first (`hot_groups`), their rows are dealt
+to numbered parts (`deal`), and `nest` makes one row per group and part. All other groups
+have the single part 0. No review is left out. `repeat` gives each part its property row.
 """
 
 from collections.abc import Sequence
@@ -14,37 +14,52 @@ from pyspark.sql import functions as F
 from feedlake import fixed_values as V
 
 ROW_LIMIT = 20_000
-# Largest list of hot keys that is broadcast: a key and a number each, a few MB in all.
+# Longest list of hot keys that is broadcast: a key and a number each, a few MB in all.
 BROADCAST_KEYS = 50_000
 
 
-def split_hot_groups(
-    df: DataFrame,
-    key: str,
-    member: str,
-    sizes: DataFrame | None = None,
-    limit: int = ROW_LIMIT,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> tuple[DataFrame, bool]:
-    """Add `part` if any group of `key` has more than `limit` rows; say whether it was added.
-
-    `sizes` (key, n) may be an upper bound from a cheaper source than `df`. Rows of a hot
-    group are dealt to its parts by a hash of `member`, so equal members share a part and a
-    re-run task deals them the same way. The list of hot keys is counted first: it is
-    broadcast only if short, else joined by shuffle.
+def has_more(df: DataFrame, group: Sequence[str], limit: int) -> bool:
+    """Whether any group has more than `limit` rows. Counts, in part before the shuffle."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return bool(counts.where(F.col("n") > limit).take(1))
+
+
+def hot_groups(
+    df: DataFrame, key: str, limit: int = ROW_LIMIT, broadcast_keys: int = BROADCAST_KEYS
+) -> DataFrame | None:
+    """(key, parts) of the groups of `key` with more than `limit` rows; None if there are none.
+
+    `df` may be a cheaper frame with at least as many rows per key. The list is counted: it
+    carries a broadcast hint only if short, else it is joined by shuffle.
     """
-    if sizes is None:
-        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    spread = F.pmod(F.xxhash64(key), F.lit(2)).alias("_made")  # see operators.dedup
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key, spread).agg(F.count("*").alias("n"))
     hot = sizes.where(F.col("n") > limit).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("n") / F.lit(limit)).alias("_parts")
+        F.col(key).alias("_hot"), F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_parts")
     )
     found = hot.limit(broadcast_keys + 1).count()
     if found == 0:
-        return df, False
-    side = F.broadcast(hot) if found <= broadcast_keys else hot
-    part = F.coalesce(F.pmod(F.xxhash64(member), F.col("_parts")), F.lit(0)).cast("int")
-    dealt = df.join(side, F.col(key) == F.col("_hot"), "left").withColumn("part", part)
-    return dealt.drop("_hot", "_parts"), True
+        return None
+    return F.broadcast(hot) if found <= broadcast_keys else hot
+
+
+def deal(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
+    """Add `part`. Rows of a hot group are dealt by a hash of `member`.
+
+    So equal members share a part, and a task that runs again deals them the same way.
+    """
+    part = F.pmod(F.xxhash64(member), F.col("_parts")).cast("int")
+    dealt = df.join(hot, F.col(key) == F.col("_hot"), "left")
+    return dealt.withColumn("part", F.coalesce(part, F.lit(0))).drop("_hot", "_parts")
+
+
+def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Each row once for every part of its group, numbered in `part`."""
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    repeated = df.join(hot, F.col(key) == F.col("_hot"), "left")
+    return repeated.withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop(
+        "_hot", "_parts"
+    )
 
 
 def nest(
@@ -57,7 +72,7 @@ def nest(
     """One row per group with `reviews`, sorted by the first field, from non-null `present`."""
     review = F.when(F.col(present).isNotNull(), F.struct(*fields))
     grouped = df.groupBy(*group_columns).agg(*extra, F.collect_list(review).alias("reviews"))
-    return grouped.withColumn("reviews", F.array_sort("reviews"))
+    return grouped.withColumn("reviews", F.sort_array("reviews"))
 
 
 def total_reviews(reviews: str = "reviews") -> Column:

@@ -56,21 +56,24 @@ def reviews_frame(details: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def _unique_reviews(
     reviews: DataFrame, columns: list[str], order: list[str], limit: int
-) -> tuple[DataFrame, list[str]]:
-    """One row per (gen_id, review_id), and the columns that make up a nested row.
-
-    With no property above `limit` rows, rows are shuffled once, by property, which serves
-    the dedup, the nesting and a join on the property alike. Otherwise copies are dropped in
-    a shuffle of their own, by review: there even a review with countless copies is reduced
-    to one row per task before it moves.
+) -> tuple[DataFrame, list[str], DataFrame | None]:
+    """One row per (gen_id, review_id), the columns that make up a nested row, and the
+    properties that have more than one such row.
+
+    The rows are shuffled once, by property and part, which serves the dedup, the nesting
+    and a join on the same columns. Only if a part is crowded nevertheless, with copies of
+    one review, are copies dropped in a shuffle of their own, by review: there they are
+    reduced to one row per task before they move.
     """
-    sizes = reviews.groupBy("gen_id").agg(F.count(F.lit(1)).alias("n"))
-    rows, parted = nest.split_hot_groups(
-        reviews.select(*columns), "gen_id", "review_id", sizes=sizes, limit=limit
-    )
-    if not parted:
-        return dedup(rows.repartition("gen_id"), ["gen_id", "review_id"], order=order), ["gen_id"]
-    return dedup(rows, ["gen_id", "part", "review_id"], order=order), ["gen_id", "part"]
+    rows, group = reviews.select(*columns), ["gen_id"]
+    hot = nest.hot_groups(reviews, "gen_id", limit)
+    crowded = False
+    if hot is not None:
+        rows, group = nest.deal(rows, "gen_id", "review_id", hot), ["gen_id", "part"]
+        crowded = nest.has_more(rows, group, 4 * limit)
+    if not crowded:
+        rows = rows.repartition(*group)
+    return dedup(rows, [*group, "review_id"], order=order), group, hot
 
 
 def final_frame(
@@ -82,26 +85,28 @@ def final_frame(
     all property columns, but the reviews are nested by their key alone before the join:
     property columns are never copied onto reviews, and the join is one row to one row.
     """
-    unique, group = _unique_reviews(
-        reviews, ["gen_id", *V.REVIEW_FIELDS], list(V.REVIEW_FIELDS), limit
+    unique, group, hot = _unique_reviews(
+        reviews.where(F.col("gen_id").isNotNull()),
+        ["gen_id", *V.REVIEW_FIELDS],
+        list(V.REVIEW_FIELDS),
+        limit,
     )
     nested = nest.nest(unique, group)
     property_rows = dedup(rental, ["id"])
-    part = F.col("part") if "part" in group else F.lit(0)
-    return property_rows.join(nested, F.col("id") == F.col("gen_id"), "inner").select(
-        *V.RENTAL_COLUMNS, "reviews", part.alias("part")
-    )
+    if hot is None:
+        joined = property_rows.join(nested, F.col("id") == F.col("gen_id"), "inner")
+        joined = joined.withColumn("part", F.lit(0))
+    else:
+        property_rows = nest.repeat(property_rows, "id", hot).withColumnRenamed("id", "gen_id")
+        joined = property_rows.join(nested, group, "inner").withColumnRenamed("gen_id", "id")
+    return joined.select(*V.RENTAL_COLUMNS, "reviews", "part")
 
 
 def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> DataFrame:
     """One row per property of property_reviews, its reviews nested, and `part`."""
     property_columns = list(V.REVIEWED_PROPERTY_COLUMNS)
-    unique, group = _unique_reviews(
-        reviews,
-        [*property_columns, *V.REVIEW_FIELDS],
-        [*property_columns, *V.REVIEW_FIELDS],
-        limit,
-    )
+    columns = [*property_columns, *V.REVIEW_FIELDS]
+    unique, group, _ = _unique_reviews(reviews, columns, columns, limit)
     described = [c for c in property_columns if c not in group]
     nested = nest.nest(unique, group, extra=[F.min(F.struct(*described)).alias("_property")])
     part = F.col("part") if "part" in group else F.lit(0)
@@ -191,8 +196,11 @@ def build_final(
     )
     written = read_final(spark, root).where(F.col("created_time") == stamp)
     made = docs.documents(written, V.RENTAL_COLUMNS, "id")
-    write = docs.write_document_files if per_key else docs.write_documents
-    write(made, f"{root}/{FINAL_DOCUMENTS}", mode)
+    if per_key:
+        docs.write_document_files(made, f"{root}/{FINAL_DOCUMENTS}", mode)
+    else:
+        # The table lies by country already: no task meets more than a few of them.
+        docs.write_documents(made, f"{root}/{FINAL_DOCUMENTS}", mode, spread=False)
     return counts
 
 

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake import fixed_values as V
 from feedlake.functions.names import document_key
@@ -11,16 +12,16 @@ from feedlake.operators.nest import total_reviews
 from feedlake.sources.tables import encode_partitions, overwrite_option, spread_for_write
 
 
-def _document_reviews() -> Column:
-    def rename(review: Column) -> Column:
-        return F.struct(
-            *[
-                review[name].alias(V.DOCUMENT_REVIEW_NAMES.get(name, name))
-                for name in V.REVIEW_FIELDS
-            ]
-        )
-
-    return F.coalesce(F.transform("reviews", rename), F.array())
+def _document_reviews(nested: DataFrame) -> Column:
+    """The reviews with their document names. A cast renames fields by position."""
+    review = nested.schema["reviews"].dataType.elementType
+    renamed = T.StructType(
+        [
+            T.StructField(V.DOCUMENT_REVIEW_NAMES.get(field.name, field.name), field.dataType)
+            for field in review
+        ]
+    )
+    return F.coalesce(F.col("reviews").cast(T.ArrayType(renamed)), F.array())
 
 
 def documents(nested: DataFrame, scalars: Sequence[str], key: str) -> DataFrame:
@@ -36,7 +37,7 @@ def documents(nested: DataFrame, scalars: Sequence[str], key: str) -> DataFrame:
     body = F.struct(
         *scalars,
         total_reviews().alias("total_reviews"),
-        _document_reviews().alias("reviews"),
+        _document_reviews(nested).alias("reviews"),
     )
     return nested.select(
         doc_key.alias("doc_key"),
@@ -55,13 +56,17 @@ def _write_text(docs: DataFrame, path: str, folder: str, mode: str) -> None:
     )
 
 
-def write_documents(docs: DataFrame, path: str, mode: str = "full") -> None:
+def write_documents(
+    docs: DataFrame, path: str, mode: str = "full", spread: bool = True
+) -> None:
     """JSON Lines, one document per line, in one folder per country. The default.
 
     mode "dynamic" replaces the countries that occur in `docs` and leaves all others.
     """
     rows = encode_partitions(docs.select("document", "country_code"), ["country_code"])
-    _write_text(spread_for_write(rows, ["country_code"]), path, "country_code", mode)
+    if spread:
+        rows = spread_for_write(rows, ["country_code"])
+    _write_text(rows, path, "country_code", mode)
 
 
 def write_document_files(docs: DataFrame, path: str, mode: str = "full") -> None:

@@ -412,11 +412,12 @@ def nest_reviews(spark, sf_dir):
 @query
 def nest_orders(spark, sf_dir):
     """Orders nested per customer, hot customers split if there were any."""
-    orders = table(spark, sf_dir, "orders")
-    rows, parted = nest.split_hot_groups(orders, "o_custkey", "o_orderkey")
-    group = ["o_custkey", "part"] if parted else ["o_custkey"]
+    orders, group = table(spark, sf_dir, "orders"), ["o_custkey"]
+    hot = nest.hot_groups(orders, "o_custkey")
+    if hot is not None:
+        orders, group = nest.deal(orders, "o_custkey", "o_orderkey", hot), ["o_custkey", "part"]
     nested = nest.nest(
-        rows, group, fields=["o_orderkey", "o_orderdate", "o_totalprice"], present="o_orderkey"
+        orders, group, fields=["o_orderkey", "o_orderdate", "o_totalprice"], present="o_orderkey"
     )
     keys = F.transform("reviews", lambda r: r["o_orderkey"].cast("string"))
     return nested.select(

@@ -35,4 +35,10 @@ def reviews_feed(spark, rows):
 def multiset(df, *columns):
     """Rows by count, whatever their order; columns by name."""
     names = columns or sorted(df.columns)
-    return Counter(tuple(row) for row in df.select(*names).collect())
+    return Counter(_hashable(row) for row in df.select(*names).collect())
+
+
+def _hashable(value):
+    if isinstance(value, list | tuple):
+        return tuple(_hashable(v) for v in value)
+    return value

@@ -233,10 +233,9 @@ def test_nest_sorts_and_keeps_empty_groups(spark):
 @pytest.mark.parametrize("broadcast_keys", [50, 0])
 def test_hot_groups_are_split_whole(spark, broadcast_keys):
     df = nested_input(spark, {"hot": 1000, "warm": 100, "cold": 3})
-    rows, parted = nest.split_hot_groups(
-        df, "g", "id", limit=100, broadcast_keys=broadcast_keys
-    )
-    assert parted
+    hot = nest.hot_groups(df, "g", limit=100, broadcast_keys=broadcast_keys)
+    assert {tuple(r) for r in hot.collect()} == {("hot", 10)}
+    rows = nest.deal(df, "g", "id", hot)
     nested = nest.nest(rows, ["g", "part"], fields=["id", "text"], present="id").collect()
     parts = {}
     for row in nested:
@@ -249,8 +248,15 @@ def test_hot_groups_are_split_whole(spark, broadcast_keys):
 
 def test_no_hot_group_means_no_parts(spark):
     df = nested_input(spark, {"a": 100})
-    rows, parted = nest.split_hot_groups(df, "g", "id", limit=100)
-    assert not parted and rows.columns == df.columns
+    assert nest.hot_groups(df, "g", limit=100) is None
+    assert nest.has_more(df, ["g"], 99) and not nest.has_more(df, ["g"], 100)
+
+
+def test_rows_are_repeated_for_the_parts(spark):
+    hot = nest.hot_groups(nested_input(spark, {"hot": 25, "cold": 3}), "g", limit=10)
+    df = spark.createDataFrame([("hot", 1), ("cold", 2), (None, 3)], "g string, n int")
+    made = multiset(nest.repeat(df, "g", hot), "g", "n", "part")
+    assert made == {("hot", 1, 0): 1, ("hot", 1, 1): 1, ("hot", 1, 2): 1, ("cold", 2, 0): 1, (None, 3, 0): 1}
 
 
 def test_final_frame_in_parts_is_whole(spark, sf_dir):

@@ -4,6 +4,7 @@ The thresholds that adaptive execution compares partitions with are set low, so
 small table with a third of all rows on one key behaves like a large one.
 """
 
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -58,6 +59,15 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
         assert word not in text, word
 
 
+def shuffles(text):
+    """What is shuffled by what: the keys of each hash exchange, sorted."""
+    found = []
+    for keys, origin in re.findall(r"Exchange hashpartitioning\((.*), \d+\), (\w+),", text):
+        plain = re.sub(r"#\d+L?", "", keys)
+        found.append(plain + (" REPARTITION" if origin.startswith("REPARTITION") else ""))
+    return sorted(found)
+
+
 def hot_properties(spark, n=30_000):
     """Reviews of which a third are for property 7; some properties have none, some no id."""
     key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 300)
@@ -192,22 +202,48 @@ def test_reviews_are_shuffled_once_when_nothing_is_hot(spark, sf_dir):
     with conf(spark, **SMALL):
         df = builds.final_frame(builds.read_rental(spark, root), builds.read_reviews(spark, root))
         text = plan(df)
+    assert shuffles(text) == ["gen_id REPARTITION", "id"]
     assert text.count("Exchange ") == 2
-    assert text.count("SortMergeJoin") == 1
 
 
-def test_copies_of_a_review_are_dropped_before_they_move_when_hot(spark, sf_dir):
+def test_reviews_are_shuffled_once_when_a_property_is_hot(spark, sf_dir):
+    """The join on property and part needs no further shuffle of the nested rows."""
     root = feeds.built_tables(spark, sf_dir)
     with conf(spark, **SMALL):
         df = builds.final_frame(
             builds.read_rental(spark, root), builds.read_reviews(spark, root), limit=20
         )
         text = plan(df)
-    shuffles = text.split("Exchange hashpartitioning(gen_id")[1:]
-    by_review = [i for i, t in enumerate(shuffles) if "review_id" in t.split("\n")[0]]
-    assert len(by_review) == 1
-    assert "WindowGroupLimit" in shuffles[by_review[0]]
-    assert "REPARTITION" not in text
+    assert shuffles(text) == [
+        "gen_id, _groupingexpression",  # the hot properties, one row each, for the rentals
+        "gen_id, _groupingexpression",  # and for the reviews
+        "gen_id, part",  # the rentals, one row per property and part
+        "gen_id, part REPARTITION",  # the reviews
+        "id",  # the rentals, to drop copies
+    ]
+
+
+def single_reviews(df):
+    return df.select(*V.RENTAL_COLUMNS, F.explode("reviews").alias("r")).select(
+        *V.RENTAL_COLUMNS, "r.*"
+    )
+
+
+def test_copies_of_a_review_are_dropped_before_they_move(spark, sf_dir):
+    root = feeds.built_tables(spark, sf_dir)
+    reviews = builds.read_reviews(spark, root)
+    one = reviews.where("review_id IS NOT NULL").orderBy("review_id").limit(1)
+    copies = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy")
+    with conf(spark, **SMALL):
+        rental, crowded = builds.read_rental(spark, root), reviews.unionAll(copies)
+        df = builds.final_frame(rental, crowded, limit=100)
+        text = plan(df)
+        whole = builds.final_frame(rental, reviews)
+        assert multiset(single_reviews(df)) == multiset(single_reviews(whole))
+    assert "gen_id, part, review_id" in shuffles(text)
+    assert not any("REPARTITION" in keys for keys in shuffles(text))
+    below = text.split("Exchange hashpartitioning(gen_id#")
+    assert any("review_id" in t.split("\n")[0] and "WindowGroupLimit" in t for t in below)
 
 
 def test_report_on_one_country_and_year_prunes_partitions(spark, sf_dir):
