@@ -192,7 +192,7 @@ def build_final(
         V.FINAL_PARTITIONS,
         mode,
         FINAL,
-        reviews=F.sum(nest.total_reviews()),
+        reviews=F.coalesce(F.sum(nest.total_reviews()), F.lit(0)),
     )
     written = read_final(spark, root).where(F.col("created_time") == stamp)
     made = docs.documents(written, V.RENTAL_COLUMNS, "id")

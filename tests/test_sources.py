@@ -177,6 +177,21 @@ def test_build_all(spark, tmp_path):
     assert len(spark.table("property_combined").columns) == 26
 
 
+def test_builds_on_feeds_that_do_not_meet(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    details = details_feed(spark, [dict(id="1", name={"en": "One"})])
+    counts = builds.build_all(
+        details, search_feed(spark, [dict(id="2")]), reviews_feed(spark, []), root
+    )
+    assert counts == {
+        "rental_property": {"rows": 0, "needs_review": 0, "missing_commission": 0},
+        "property_reviews": {"rows": 1, "reviews": 0, "needs_review": 1},
+        "rentals_reviews": {"rows": 0, "reviews": 0},
+    }
+    assert builds.read_final(spark, root).count() == 0
+    assert [d["gen_id"] for d in read_lines(spark, f"{root}/property_data")] == ["GEN-1"]
+
+
 @pytest.mark.parametrize("layout", ["lines", "arrays"])
 def test_build_from_files(spark, tmp_path, capsys, layout):
     """The command line on JSON files: the same documents as from frames."""
