@@ -29,11 +29,14 @@ def main(given=None) -> None:
     options = arguments(given)
     spark = SparkSession.builder.appName("feedlake").getOrCreate()
     lines = not options.arrays
+    parsed = {
+        "details": feeds.read_details(spark, options.details, lines),
+        "search": feeds.read_search(spark, options.search, lines),
+        "reviews": feeds.read_reviews(spark, options.reviews, lines),
+    }
     counts = builds.build_all(
-        feeds.read_details(spark, options.details, lines),
-        feeds.read_search(spark, options.search, lines),
-        feeds.read_reviews(spark, options.reviews, lines),
-        options.root,
+        **{name: feeds.staged(feed, f"{options.root}/feeds/{name}") for name, feed in parsed.items()},
+        root=options.root,
         mode=options.mode,
         dedup_search=options.one_offer,
     )

@@ -21,3 +21,13 @@ def read_search(spark: SparkSession, path, json_lines: bool = True) -> DataFrame
 
 def read_reviews(spark: SparkSession, path, json_lines: bool = True) -> DataFrame:
     return _read(spark, path, schemas.REVIEWS_FEED, json_lines)
+
+
+def staged(feed: DataFrame, path: str) -> DataFrame:
+    """The feed as Parquet below `path`, written now and read back.
+
+    The builds read a feed several times, mostly for its id. Text has to be parsed whole each
+    time; staged, it is parsed once and later reads take only the columns they need.
+    """
+    feed.write.mode("overwrite").parquet(path)
+    return feed.sparkSession.read.schema(feed.schema).parquet(path)
