@@ -20,7 +20,7 @@ def arguments(given=None) -> argparse.Namespace:
     )
     parser.add_argument("--mode", choices=("dynamic", "full"), default="dynamic")
     parser.add_argument(
-        "--one-offer", action="store_true", help="keep one search row per id (the smallest)"
+        "--unique", action="store_true", help="keep one offer and one listing per id"
     )
     return parser.parse_args(given)
 
@@ -34,11 +34,14 @@ def main(given=None) -> None:
         "search": feeds.read_search(spark, options.search, lines),
         "reviews": feeds.read_reviews(spark, options.reviews, lines),
     }
+    staged = {
+        name: feeds.staged(feed, f"{options.root}/feeds/{name}") for name, feed in parsed.items()
+    }
     counts = builds.build_all(
-        **{name: feeds.staged(feed, f"{options.root}/feeds/{name}") for name, feed in parsed.items()},
+        **staged,
         root=options.root,
         mode=options.mode,
-        dedup_search=options.one_offer,
+        unique=options.unique,
     )
     print(json.dumps(counts))
 

@@ -44,12 +44,21 @@ def rental_frames(
     return standardize.rental_property(matched), joins.rental_unmatched(listed, offers)
 
 
-def reviews_frame(details: DataFrame, reviews: DataFrame) -> DataFrame:
-    """property_reviews rows."""
+def reviews_frame(
+    details: DataFrame, reviews: DataFrame, dedup_properties: bool = False
+) -> DataFrame:
+    """property_reviews rows.
+
+    A property listed several times has its reviews once per listing; `dedup_properties`
+    keeps one listing per id. Properties without a usable id are all kept.
+    """
+    properties = extract.flatten_properties(details)
+    if dedup_properties:
+        key = F.col("source_id")
+        listed = dedup(properties.where(key.isNotNull()), ["source_id"], for_join=True)
+        properties = listed.unionAll(properties.where(key.isNull()))
     joined = joins.properties_left_reviews(
-        extract.flatten_properties(details),
-        extract.explode_reviews(reviews),
-        extract.review_keys(reviews),
+        properties, extract.explode_reviews(reviews), extract.review_keys(reviews)
     )
     return standardize.property_reviews(standardize.enrich_reviews(joined))
 
@@ -103,16 +112,29 @@ def final_frame(
 
 
 def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> DataFrame:
-    """One row per property of property_reviews, its reviews nested, and `part`."""
+    """One row per property of property_reviews, its reviews nested, and `part`.
+
+    Rows without an id make one property, as null keys compare equal. However many they
+    are, they are reduced by the dedup before they move, apart from the rest.
+    """
     property_columns = list(V.REVIEWED_PROPERTY_COLUMNS)
     columns = [*property_columns, *V.REVIEW_FIELDS]
-    unique, group, _ = _unique_reviews(reviews, columns, columns, limit)
-    described = [c for c in property_columns if c not in group]
-    nested = nest.nest(unique, group, extra=[F.min(F.struct(*described)).alias("_property")])
-    part = F.col("part") if "part" in group else F.lit(0)
-    return nested.select("gen_id", "_property.*", "reviews", part.alias("part")).select(
-        *property_columns, "reviews", "part"
+
+    def nested(unique: DataFrame, group: list[str]) -> DataFrame:
+        described = F.min(F.struct(*[c for c in property_columns if c != "gen_id"]))
+        rows = nest.nest(unique, group, extra=[described.alias("_property")])
+        if "part" not in group:
+            rows = rows.withColumn("part", F.lit(0))
+        return rows.select("gen_id", "_property.*", "reviews", "part").select(
+            *property_columns, "reviews", "part"
+        )
+
+    has_id = F.col("gen_id").isNotNull()
+    unique, group, _ = _unique_reviews(reviews.where(has_id), columns, columns, limit)
+    without_id = dedup(
+        reviews.where(~has_id).select(*columns), ["gen_id", "review_id"], order=columns
     )
+    return nested(unique, group).unionAll(nested(without_id, ["gen_id"]))
 
 
 # --- the builds ----------------------------------------------------------------------
@@ -152,11 +174,15 @@ def build_rental(
 
 
 def build_reviews(
-    details: DataFrame, reviews: DataFrame, root: str, mode: str = "dynamic"
+    details: DataFrame,
+    reviews: DataFrame,
+    root: str,
+    mode: str = "dynamic",
+    dedup_properties: bool = False,
 ) -> dict:
     """Write property_reviews; returns the counts observed by the write."""
     return _write(
-        reviews_frame(details, reviews),
+        reviews_frame(details, reviews, dedup_properties),
         f"{root}/{REVIEWS}",
         V.REVIEWS_PARTITIONS,
         mode,
@@ -210,13 +236,16 @@ def build_all(
     reviews: DataFrame,
     root: str,
     mode: str = "dynamic",
-    dedup_search: bool = False,
+    unique: bool = False,
 ) -> dict:
-    """All tables and documents; returns the counts of each build."""
+    """All tables and documents; returns the counts of each build.
+
+    `unique` keeps one offer and one listing per id in the tables.
+    """
     spark = details.sparkSession
     counts = {
-        RENTAL: build_rental(details, search, root, mode, dedup_search, backup=True),
-        REVIEWS: build_reviews(details, reviews, root, mode),
+        RENTAL: build_rental(details, search, root, mode, dedup_search=unique, backup=True),
+        REVIEWS: build_reviews(details, reviews, root, mode, dedup_properties=unique),
     }
     build_review_documents(spark, root)
     counts[FINAL] = build_final(spark, root, mode)

@@ -120,6 +120,15 @@ def test_rental_rows_with_one_offer_each(spark):
     assert [r.usd_price for r in rows.where("id = 'GEN-3'").collect()] == [5.0]
 
 
+def test_reviews_rows_with_one_listing_each(spark):
+    details, _ = details_and_offers(spark)
+    reviews = reviews_of_all_kinds(spark)
+    once = builds.reviews_frame(details, reviews).where("property_id IS NOT NULL")
+    twice = builds.reviews_frame(details.unionAll(details), reviews, dedup_properties=True)
+    assert multiset(twice.where("property_id IS NOT NULL")) == multiset(once)
+    assert twice.where("property_id IS NULL").count() == 4
+
+
 def reviews_of_all_kinds(spark):
     return reviews_feed(
         spark,

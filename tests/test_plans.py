@@ -223,6 +223,17 @@ def test_reviews_are_shuffled_once_when_a_property_is_hot(spark, sf_dir):
     ]
 
 
+def test_rows_without_an_id_are_reduced_before_they_move(spark, sf_dir):
+    reviews = builds.read_reviews(spark, feeds.built_tables(spark, sf_dir))
+    with conf(spark, **SMALL):
+        text = plan(builds.review_documents_frame(reviews))
+    # The first and the last are of rows without an id, reduced before the last already.
+    assert shuffles(text) == ["gen_id", "gen_id REPARTITION", "gen_id, review_id"]
+    without_id = text.split("Exchange hashpartitioning(gen_id#")[-1]
+    assert "review_id" in without_id.split("\n")[0]
+    assert "WindowGroupLimit" in without_id and "isnull(gen_id" in without_id
+
+
 def single_reviews(df):
     return df.select(*V.RENTAL_COLUMNS, F.explode("reviews").alias("r")).select(
         *V.RENTAL_COLUMNS, "r.*"
