@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 
-ROW_LIMIT = 20_000
+ROW_LIMIT = 10_000
 # Longest list of hot keys that is broadcast: a key and a number each, a few MB in all.
 BROADCAST_KEYS = 50_000
 
@@ -77,4 +77,4 @@ def nest(
 
 def total_reviews(reviews: str = "reviews") -> Column:
     """Length of the array, 0 for null."""
-    return F.coalesce(F.size(reviews), F.lit(0))
+    return F.coalesce(F.array_size(reviews), F.lit(0))

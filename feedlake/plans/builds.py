@@ -140,10 +140,12 @@ def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> D
 # --- the builds ----------------------------------------------------------------------
 
 
-def _write(df: DataFrame, path: str, partitions, mode: str, name: str, **metrics: Column) -> dict:
+def _write(
+    df: DataFrame, path: str, partitions, mode: str, name: str, options=None, **metrics: Column
+) -> dict:
     rows = tables.spread_for_write(tables.encode_partitions(df, partitions), partitions)
     counted, observation = observed(rows, name, **metrics)
-    tables.write_table(counted, path, partitions, mode=mode, spread=False)
+    tables.write_table(counted, path, partitions, mode=mode, spread=False, options=options)
     return observation.get
 
 
@@ -205,11 +207,11 @@ def build_final(
     root: str,
     mode: str = "dynamic",
     per_key: bool = False,
-    created_at: Column | None = None,
+    created_at: datetime | None = None,
 ) -> dict:
     """Write rentals_reviews from the two tables, then its documents from what was written."""
     # One stamp for the batch, so that the rows of this build can be told from older ones.
-    stamp = F.lit(datetime.now(UTC)) if created_at is None else created_at
+    stamp = F.lit(created_at or datetime.now(UTC))
     nested = final_frame(read_rental(spark, root), read_reviews(spark, root))
     stamped = standardize.with_created_time(nested, stamp)
     counts = _write(
@@ -218,6 +220,7 @@ def build_final(
         V.FINAL_PARTITIONS,
         mode,
         FINAL,
+        options=tables.LONG_ROWS,
         reviews=F.coalesce(F.sum(nest.total_reviews()), F.lit(0)),
     )
     written = read_final(spark, root).where(F.col("created_time") == stamp)

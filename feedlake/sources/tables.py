@@ -1,6 +1,6 @@
 """Partitioned Parquet tables: written by partition overwrite, read with their schema."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 EMPTY_PARTITION = "__EMPTY__"
 
 
+# For rows that hold long arrays. A row group is held in memory when written and decoded at
+# once when read, so it is kept small, and its size is looked at every few rows.
+LONG_ROWS = {"parquet.block.size": 32 << 20, "parquet.block.size.row.check.min": 10}
+
+
 def _text_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if isinstance(df.schema[name].dataType, T.StringType)]
 
@@ -48,6 +53,7 @@ def write_table(
     mode: str = "dynamic",
     max_records_per_file: int = 0,
     spread: bool = True,
+    options: Mapping[str, object] | None = None,
 ) -> None:
     """Write `df` to `path`, creating it if need be.
 
@@ -64,6 +70,7 @@ def write_table(
         .option("partitionOverwriteMode", overwrite_option(mode))
         .option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
+        .options(**(options or {}))
     )
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)

@@ -219,7 +219,7 @@ def test_second_build_replaces_its_countries_only(spark, tmp_path):
     details, search, reviews = feeds_for_build(spark)
     builds.build_rental(details, search, root)
     builds.build_reviews(details, reviews, root)
-    builds.build_final(spark, root, created_at=F.lit(datetime(2024, 1, 1)))
+    builds.build_final(spark, root, created_at=datetime(2024, 1, 1))
     british = details.where("location.country = 'gb'").withColumn("currency", F.lit("EUR"))
     builds.build_rental(british, search, root)
     rental = {r.id: r.currency for r in builds.read_rental(spark, root).collect()}
