@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
+from feedlake.workspace import kept
 
 ROW_LIMIT = 10_000
 # Longest list of hot keys that is broadcast: a key and a number each, a few MB in all.
@@ -29,8 +30,8 @@ def hot_groups(
 ) -> DataFrame | None:
     """(key, parts) of the groups of `key` with more than `limit` rows; None if there are none.
 
-    `df` may be a cheaper frame with at least as many rows per key. The list is counted: it
-    carries a broadcast hint only if short, else it is joined by shuffle.
+    The list is counted: it carries a broadcast hint only if short, else it is joined by
+    shuffle. It is written to a work folder, as it is used more than once.
     """
     spread = F.pmod(F.xxhash64(key), F.lit(2)).alias("_made")  # see operators.dedup
     sizes = df.where(F.col(key).isNotNull()).groupBy(key, spread).agg(F.count("*").alias("n"))
@@ -40,7 +41,8 @@ def hot_groups(
     found = hot.limit(broadcast_keys + 1).count()
     if found == 0:
         return None
-    return F.broadcast(hot) if found <= broadcast_keys else hot
+    written = kept(hot, "hot")
+    return F.broadcast(written) if found <= broadcast_keys else written
 
 
 def deal(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:

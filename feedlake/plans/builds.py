@@ -67,18 +67,22 @@ def _unique_reviews(
     reviews: DataFrame, columns: list[str], order: list[str], limit: int
 ) -> tuple[DataFrame, list[str], DataFrame | None]:
     """One row per (gen_id, review_id), the columns that make up a nested row, and the
-    properties that have more than one such row.
+    properties that need more than one such row, having more than `limit` reviews.
 
     The rows are shuffled once, by property and part, which serves the dedup, the nesting
-    and a join on the same columns. Only if a part is crowded nevertheless, with copies of
-    one review, are copies dropped in a shuffle of their own, by review: there they are
-    reduced to one row per task before they move.
+    and a join on the same columns. Only if that would crowd a property or part with copies
+    are these dropped in a shuffle of their own, by review: there they are reduced to one
+    row per task before they move.
     """
     rows, group = reviews.select(*columns), ["gen_id"]
-    hot = nest.hot_groups(reviews, "gen_id", limit)
-    crowded = False
-    if hot is not None:
-        rows, group = nest.deal(rows, "gen_id", "review_id", hot), ["gen_id", "part"]
+    hot, crowded = None, False
+    long = nest.hot_groups(reviews, "gen_id", limit)
+    if long is not None:
+        # Many rows need not be many reviews: only the latter make parts.
+        listed = reviews.join(long, F.col("gen_id") == F.col("_hot"), "left_semi")
+        hot = nest.hot_groups(listed.select("gen_id", "review_id").distinct(), "gen_id", limit)
+        if hot is not None:
+            rows, group = nest.deal(rows, "gen_id", "review_id", hot), ["gen_id", "part"]
         crowded = nest.has_more(rows, group, 4 * limit)
     if not crowded:
         rows = rows.repartition(*group)

@@ -70,9 +70,8 @@ def maintenance_plan(
     cutoff = cutoff_time(older_than)
 
     def actions(df: DataFrame, action: str, target: str) -> DataFrame:
-        return df.select(
-            "table_name", F.lit(action).alias("action"), F.col(target).cast("string").alias("target")
-        )
+        named = F.col(target).cast("string").alias("target")
+        return df.select("table_name", F.lit(action).alias("action"), named)
 
     expire = snapshots_to_expire(snapshots, cutoff, retain_last)
     orphans = orphan_files(listing, referenced, cutoff)

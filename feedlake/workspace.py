@@ -2,18 +2,43 @@
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names in spark.checkpoint.dir.
+@cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="feedlake-")
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names in spark.checkpoint.dir, which all executors share.
 
     Only a local session without that setting (tests) gets a temporary folder instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named or not spark.conf.get("spark.master", "").startswith("local"):
+        return named
+    return _temporary_folder()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """The name of a new folder below the shared folder."""
+    root = shared_folder(spark)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="feedlake-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to a work folder and read back, for a small result that is used again.
+
+    Without a shared folder it is left to be computed again.
+    """
+    spark = df.sparkSession
+    if not shared_folder(spark):
+        return df
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,8 @@ def at(day):
 
 
 def snapshots(spark, dtype="timestamp"):
-    rows = [("t", 1, at(1)), ("t", 2, at(2)), ("t", 3, at(9)), ("u", 4, at(1)), ("v", 5, at(1)), ("v", 6, at(1))]
+    rows = [("t", 1, 1), ("t", 2, 2), ("t", 3, 9), ("u", 4, 1), ("v", 5, 1), ("v", 6, 1)]
+    rows = [(table, snapshot, at(day)) for table, snapshot, day in rows]
     return spark.createDataFrame(
         rows, f"table_name string, snapshot_id bigint, committed_at {dtype}"
     )
@@ -71,7 +72,13 @@ def test_table_health(spark):
         "table_name string, location string, expected_location string, current_snapshot_id bigint",
     )
     known = spark.createDataFrame(
-        [("fine", 1, "m1"), ("moved", 2, "m2"), ("bare", 3, "gone"), ("unlisted", 4, None), ("fine", 9, "m9")],
+        [
+            ("fine", 1, "m1"),
+            ("moved", 2, "m2"),
+            ("bare", 3, "gone"),
+            ("unlisted", 4, None),
+            ("fine", 9, "m9"),
+        ],
         "table_name string, snapshot_id bigint, manifest_list string",
     )
     files = spark.createDataFrame([("m1",), ("m1",), ("m2",)], "path string")

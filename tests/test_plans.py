@@ -215,8 +215,6 @@ def test_reviews_are_shuffled_once_when_a_property_is_hot(spark, sf_dir):
         )
         text = plan(df)
     assert shuffles(text) == [
-        "gen_id, _groupingexpression",  # the hot properties, one row each, for the rentals
-        "gen_id, _groupingexpression",  # and for the reviews
         "gen_id, part",  # the rentals, one row per property and part
         "gen_id, part REPARTITION",  # the reviews
         "id",  # the rentals, to drop copies
@@ -240,18 +238,30 @@ def single_reviews(df):
     )
 
 
-def test_copies_of_a_review_are_dropped_before_they_move(spark, sf_dir):
+def with_copies(reviews):
+    """Reviews of 7 properties, one of which has 500 copies of one review."""
+    ids = [f"GEN-{i}" for i in range(3, 10)]
+    few = reviews.where(F.col("gen_id").isin(ids))
+    one = few.where("review_id IS NOT NULL").orderBy("review_id").limit(1)
+    copies = F.explode(F.sequence(F.lit(1), F.lit(500))).alias("copy")
+    return few, few.unionAll(one.select("*", copies).drop("copy"))
+
+
+@pytest.mark.parametrize(("limit", "split"), [(100, False), (20, True)])
+def test_copies_of_a_review_are_dropped_before_they_move(spark, sf_dir, limit, split):
     root = feeds.built_tables(spark, sf_dir)
-    reviews = builds.read_reviews(spark, root)
-    one = reviews.where("review_id IS NOT NULL").orderBy("review_id").limit(1)
-    copies = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy")
+    few, crowded = with_copies(builds.read_reviews(spark, root))
     with conf(spark, **SMALL):
-        rental, crowded = builds.read_rental(spark, root), reviews.unionAll(copies)
-        df = builds.final_frame(rental, crowded, limit=100)
+        rental = builds.read_rental(spark, root)
+        whole = builds.final_frame(rental, few)
+        df = builds.final_frame(rental, crowded, limit=limit)
         text = plan(df)
-        whole = builds.final_frame(rental, reviews)
         assert multiset(single_reviews(df)) == multiset(single_reviews(whole))
-    assert "gen_id, part, review_id" in shuffles(text)
+        # Copies do not make parts, reviews do.
+        assert (df.count() > whole.count()) == split
+        assert (df.where("part > 0").count() > 0) == split
+    by = "gen_id, part, review_id" if split else "gen_id, review_id"
+    assert by in shuffles(text)
     assert not any("REPARTITION" in keys for keys in shuffles(text))
     below = text.split("Exchange hashpartitioning(gen_id#")
     assert any("review_id" in t.split("\n")[0] and "WindowGroupLimit" in t for t in below)
@@ -261,7 +271,8 @@ def test_report_on_one_country_and_year_prunes_partitions(spark, sf_dir):
     root = feeds.built_tables(spark, sf_dir)
     rental, reviews = builds.read_rental(spark, root), builds.read_reviews(spark, root)
     text = plan(reports.filtered_reviews(rental, reviews))
-    filters = [line.split("PartitionFilters: [")[1] for line in text.split("\n") if "FileScan" in line]
+    scans = [line for line in text.split("\n") if "FileScan" in line]
+    filters = [line.split("PartitionFilters: [")[1] for line in scans]
     assert any("GB" in f.split("], PushedFilters")[0] for f in filters)
     assert any("2024" in f.split("], PushedFilters")[0] for f in filters)
     for column in V.RENTAL_COLUMNS:
@@ -285,7 +296,8 @@ def test_hot_country_is_written_by_several_tasks(spark, tmp_path):
     )
     with conf(spark, **SMALL):
         tables.write_table(rows, str(tmp_path / "t"), ["country_code"])
-    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("country_code=*")}
+    folders = (tmp_path / "t").glob("country_code=*")
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in folders}
     assert files["country_code=GB"] > 3
     back = tables.read_table(spark, str(tmp_path / "t"), "country_code string, text string")
     assert back.count() == 60_000

@@ -96,7 +96,8 @@ def test_listing_names_files_without_reading_them(spark, tmp_path):
     (tmp_path / "x" / "a.bin").write_bytes(b"12")
     df = tables.list_files(spark, str(tmp_path))
     assert [Path(r.path).name for r in df.collect()] == ["a.bin"]
-    assert "content" not in df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    read = df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    assert "content" not in read
 
 
 def test_observed_counts_come_from_the_write(spark, tmp_path):
@@ -235,7 +236,9 @@ def test_second_build_replaces_its_countries_only(spark, tmp_path):
 def nested_docs(spark, ids):
     rows = [(i, "GB", [(1, "t")], p) for i, p in ids]
     df = spark.createDataFrame(
-        rows, "id string, country_code string, reviews array<struct<review_id:bigint,t:string>>, part int"
+        rows,
+        "id string, country_code string, reviews array<struct<review_id:bigint,t:string>>, "
+        "part int",
     )
     fields = F.transform(
         "reviews",
