@@ -2,8 +2,10 @@
 
 Customers are the listed properties, orders the search offers, events the review records.
 The tables hold no nulls, so conditions on their values make the gaps, bad ids, blank texts,
-copies and malformed dates that feeds come with. Each feed is a projection of whole tables,
-staged as files on first use in a session, since feeds are files; queries read those.
+copies and malformed dates that feeds come with. Prices, commissions and scores are square
+roots, whose averages do not fall on the edge between two rounded values. Each feed is a
+projection of whole tables, staged as files on first use in a session, since feeds are
+files; queries read those.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,7 +84,7 @@ def _dressed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dressed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders: offers for the ordering customer, for unknown ids and for none."""
-    priority, price = F.col("o_orderpriority"), F.col("o_totalprice")
+    priority, price = F.col("o_orderpriority"), F.sqrt("o_totalprice")
 
     def product(*meals) -> Column:
         # No meals at all is an empty array of text.
@@ -99,7 +101,7 @@ def _dressed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("USD").alias("currency"),
         F.when(priority != "5-LOW", F.struct(price.alias("book"))).alias("price"),
         F.struct(
-            F.when(priority != "4-NOT SPECIFIED", price / 100000).alias("percentage")
+            F.when(priority != "4-NOT SPECIFIED", price / 100).alias("percentage")
         ).alias("commission"),
         F.when(priority == "1-URGENT", F.array(product()))
         .when(priority == "2-HIGH", F.array().cast(products))
@@ -116,7 +118,7 @@ def _dressed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dressed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events: records with no, one or two reviews; two share one review id."""
-    kind, k, value = F.col("event_type"), F.col("k"), F.col("value")
+    kind, k, value = F.col("event_type"), F.col("k"), F.sqrt("value")
 
     def review(score: Column) -> Column:
         return F.struct(
@@ -193,15 +195,17 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "reviews", _dressed_reviews, schemas.REVIEWS_FEED)
 
 
-def built_tables(spark: SparkSession, sf_dir: str) -> str:
+def built_tables(spark: SparkSession, sf_dir: str, unique: bool = True) -> str:
     """Folder of the tables built from the feeds: rental_property and property_reviews.
 
     Built on first use in a session, then read by every query on tables, as reports are.
+    They have one listing and one offer per id, so that the view of both stays as long as
+    the reviews are, however many offers and reviews one id has. Tests also take all.
     """
 
     def build(root: str) -> None:
         listing = details(spark, sf_dir)
-        builds.build_rental(listing, search(spark, sf_dir), root)
-        builds.build_reviews(listing, reviews(spark, sf_dir), root)
+        builds.build_rental(listing, search(spark, sf_dir), root, dedup_search=unique)
+        builds.build_reviews(listing, reviews(spark, sf_dir), root, dedup_properties=unique)
 
-    return _once(spark, sf_dir, "tables", build)
+    return _once(spark, sf_dir, "tables" if unique else "tables_of_all", build)

@@ -18,13 +18,14 @@ def _ordered(columns) -> str:
     return ", ".join(f"{column} ASC NULLS FIRST" for column in columns)
 
 
-def sql(body: str, *needs: str) -> str:
+def _with_parts(body: str, needs: tuple[str, ...], all_rows: bool) -> str:
     """`body` with the parts it needs as common table expressions."""
     chosen: dict[str, str] = {}
+    parts = _PARTS | (_ALL_ROWS if all_rows else {})
 
     def add(name: str) -> None:
         if name not in chosen:
-            inner, text = _PARTS[name]
+            inner, text = parts[name]
             for other in inner:
                 add(other)
             chosen[name] = text
@@ -33,8 +34,8 @@ def sql(body: str, *needs: str) -> str:
         add(name)
     if not chosen:
         return body
-    parts = ",\n".join(f"{name} AS ({text})" for name, text in chosen.items())
-    return f"WITH {parts}\n{body}"
+    clauses = ",\n".join(f"{name} AS ({text})" for name, text in chosen.items())
+    return f"WITH {clauses}\n{body}"
 
 
 # --- feeds ---------------------------------------------------------------------------
@@ -84,8 +85,8 @@ _part(
     SELECT CASE o_orderstatus WHEN 'F' THEN o_custkey::VARCHAR
                 WHEN 'P' THEN 'P-' || o_custkey END AS id,
            'USD' AS currency,
-           CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price,
-           CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_totalprice / 100000 END
+           CASE WHEN o_orderpriority <> '5-LOW' THEN sqrt(o_totalprice) END AS price,
+           CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN sqrt(o_totalprice) / 100 END
                AS commission,
            CASE o_orderpriority WHEN '1-URGENT' THEN '[]'
                 WHEN '4-NOT SPECIFIED' THEN '[breakfast, dinner]'
@@ -102,7 +103,7 @@ _part(
     """
     SELECT *, CASE WHEN event_type = 'view' AND k >= 90 THEN 'v' || user_id
                    ELSE user_id::VARCHAR END AS id,
-           CASE WHEN event_type <> 'view' OR k >= 20 THEN value END AS score
+           CASE WHEN event_type <> 'view' OR k >= 20 THEN sqrt(value) END AS score
     FROM (SELECT *, (props ->> 'k')::INTEGER AS k FROM events)""",
 )
 _part(
@@ -139,6 +140,14 @@ _DETAILS = (
     "star_rating",
     "review_score",
 )
+_OFFERS = (
+    "search_id",
+    "usd_price",
+    "commission_pct",
+    "meal_plan",
+    "deep_link_url",
+    "search_currency",
+)
 _part(
     "extracted",
     ("details",),
@@ -169,9 +178,21 @@ _part(
     "SELECT * FROM unique_details JOIN offers ON source_id = search_id",
 )
 _part(
-    "rental_property",
-    ("matched",),
-    """
+    "unique_offers",
+    ("offers",),
+    f"""
+    SELECT * FROM offers
+    QUALIFY row_number() OVER (PARTITION BY search_id ORDER BY {_ordered(_OFFERS[1:])}) = 1""",
+)
+_part(
+    "matched_once",
+    ("unique_details", "unique_offers"),
+    "SELECT * FROM unique_details JOIN unique_offers ON source_id = search_id",
+)
+
+
+def _rental_rows(matched: str) -> str:
+    return f"""
     SELECT concat_ws('-', 'GEN', source_id) AS id, source_id AS feed_provider_id, property_name,
            lower(regexp_replace(trim(property_name, ' '), '[^a-zA-Z0-9]+', '-', 'g'))
                AS property_slug,
@@ -182,8 +203,11 @@ _part(
            commission_pct AS commission, meal_plan, true AS published,
            CASE WHEN property_name IS NULL OR length(country_code) <> 2 THEN 'NEEDS_REVIEW'
                 ELSE 'GOOD' END AS data_quality_flag
-    FROM matched""",
-)
+    FROM {matched}"""
+
+
+_part("rental_property", ("matched",), _rental_rows("matched"))
+_part("rental_once", ("matched_once",), _rental_rows("matched_once"))
 _part(
     "flat_properties",
     ("details",),
@@ -205,54 +229,87 @@ _part(
            NULL
     FROM records WHERE event_type = 'signup' OR (event_type = 'error' AND k < 10)""",
 )
+_FLAT = (
+    "raw_name",
+    "raw_city",
+    "raw_currency",
+    "raw_country",
+    "star_rating_raw",
+    "review_score_raw",
+    "property_name",
+)
 _part(
-    "enriched",
-    ("flat_properties", "flat_reviews"),
-    r"""
+    "flat_properties_once",
+    ("flat_properties",),
+    f"""
+    SELECT * FROM flat_properties
+    QUALIFY source_id IS NULL
+         OR row_number() OVER (PARTITION BY source_id ORDER BY {_ordered(_FLAT)}) = 1""",
+)
+
+
+def _enriched_rows(properties: str) -> str:
+    return rf"""
     SELECT *, CASE WHEN property_name IS NULL OR trim(property_name, ' ') = ''
                         OR country_code IS NULL OR review_score = 0 OR star_rating = 0
                    THEN 'NEEDS_REVIEW' ELSE 'GOOD' END AS data_quality_flag
     FROM (SELECT *, 'GEN-' || source_id AS gen_id, source_id::VARCHAR AS feed_provider_id,
                  regexp_replace(regexp_replace(regexp_replace(regexp_replace(
                      trim(lower(property_name), ' '), '[^\w\s-]', '', 'g'),
-                     '[\s_]+', '-', 'g'), '-{2,}', '-', 'g'), '^-|-$', '', 'g')
+                     '[\s_]+', '-', 'g'), '-{{2,}}', '-', 'g'), '^-|-$', '', 'g')
                      AS property_slug,
                  upper(raw_country) AS country_code,
                  CASE WHEN raw_currency IS NULL OR trim(raw_currency, ' ') = '' THEN 'USD'
                       ELSE raw_currency END AS currency,
                  coalesce(star_rating_raw, 0.0::DOUBLE) AS star_rating,
                  coalesce(review_score_raw, 0.0::DOUBLE) AS review_score, true AS published
-          FROM flat_properties LEFT JOIN flat_reviews ON source_id = source_id_r)""",
-)
-_part(
-    "property_reviews",
-    ("enriched",),
-    f"""
+          FROM {properties} LEFT JOIN flat_reviews ON source_id = source_id_r)"""
+
+
+def _review_rows(enriched: str) -> str:
+    return f"""
     SELECT source_id AS property_id, {", ".join(V.REVIEWED_PROPERTY_COLUMNS[1:])},
            review_id, review_date,
            year(try_strptime(review_date, '%Y-%m-%d'))::INTEGER AS review_year,
            {", ".join(V.REVIEW_FIELDS[3:])}
-    FROM enriched""",
+    FROM {enriched}"""
+
+
+_part("enriched", ("flat_properties", "flat_reviews"), _enriched_rows("flat_properties"))
+_part("property_reviews", ("enriched",), _review_rows("enriched"))
+_part(
+    "enriched_once",
+    ("flat_properties_once", "flat_reviews"),
+    _enriched_rows("flat_properties_once"),
 )
+_part("reviews_once", ("enriched_once",), _review_rows("enriched_once"))
 
 # --- the joined tables ---------------------------------------------------------------
 
+# The tables that queries read: built from feeds with one listing and one offer per id, or
+# (for tests) with all of them.
+_part("rental_table", ("rental_once",), "SELECT * FROM rental_once")
+_part("reviews_table", ("reviews_once",), "SELECT * FROM reviews_once")
+_ALL_ROWS = {
+    "rental_table": (("rental_property",), "SELECT * FROM rental_property"),
+    "reviews_table": (("property_reviews",), "SELECT * FROM property_reviews"),
+}
 _part(
     "combined",
-    ("rental_property", "property_reviews"),
+    ("rental_table", "reviews_table"),
     f"""
     SELECT {", ".join("r." + c for c in V.RENTAL_COLUMNS)}, v.property_id,
            {", ".join("v." + c for c in V.REVIEW_FIELDS)}
-    FROM rental_property r JOIN property_reviews v ON r.id = v.gen_id""",
+    FROM rental_table r JOIN reviews_table v ON r.id = v.gen_id""",
 )
 _part(
     "joined",
-    ("rental_property", "property_reviews"),
+    ("rental_table", "reviews_table"),
     f"""
     SELECT r.*, v.property_id,
            {", ".join(f"v.{c} AS {V.SHARED_PREFIX}{c}" for c in V.SHARED_COLUMNS)},
            {", ".join("v." + c for c in V.REVIEW_FIELDS)}
-    FROM rental_property r JOIN property_reviews v ON r.id = v.gen_id""",
+    FROM rental_table r JOIN reviews_table v ON r.id = v.gen_id""",
 )
 _RENAMED = [V.SHARED_PREFIX + c for c in V.SHARED_COLUMNS]
 _part(
@@ -278,9 +335,9 @@ _part(
 )
 _part(
     "reviews_unique",
-    ("property_reviews",),
+    ("reviews_table",),
     f"""
-    SELECT * FROM property_reviews
+    SELECT * FROM reviews_table
     QUALIFY row_number() OVER (
         PARTITION BY gen_id, review_id
         ORDER BY {_ordered([*V.REVIEWED_PROPERTY_COLUMNS, *V.REVIEW_FIELDS])}) = 1""",
@@ -336,8 +393,12 @@ def _distinct(*columns: str) -> str:
     return _BASE.format(", ".join(columns))
 
 
-def expected() -> dict[str, str]:
-    """Query name to SQL."""
+def expected(all_rows: bool = False) -> dict[str, str]:
+    """Query name to SQL; with `all_rows` on tables built with all listings and offers."""
+
+    def sql(body: str, *needs: str) -> str:
+        return _with_parts(body, needs, all_rows)
+
     view_order = _ordered(["id", "review_id", *V.RENTAL_COLUMNS, "property_id", *V.REVIEW_FIELDS])
     queries = {
         # sources and sinks
@@ -353,7 +414,7 @@ def expected() -> dict[str, str]:
             "search",
         ),
         "scan_feed_reviews": sql("SELECT * FROM flat_reviews", "flat_reviews"),
-        "table_scan": sql("SELECT * FROM rental_property", "rental_property"),
+        "table_scan": sql("SELECT * FROM rental_table", "rental_table"),
         "write_partitioned": f"SELECT {_LINEITEM} FROM lineitem",
         "write_partitioned_2level": _SHIPPED,
         "overwrite_partitions": f"""
@@ -370,7 +431,7 @@ def expected() -> dict[str, str]:
                    CASE WHEN o_orderstatus = 'P'
                         THEN o_orderdate END AS created_time
             FROM orders""",
-        "backup_parquet": sql("SELECT * FROM rental_property", "rental_property"),
+        "backup_parquet": sql("SELECT * FROM rental_table", "rental_table"),
         "property_documents": sql("SELECT * FROM final_documents", "final_documents"),
         "review_documents": sql("SELECT * FROM review_documents", "review_documents"),
         "doc_key": r"SELECT page_id, regexp_replace(url, '[/\\]', '_', 'g') AS doc_key FROM pages",

@@ -346,3 +346,51 @@ def test_nest_after_dedup_is_undone_by_explode(spark, rows):
     has_reviews = {g for g, i in expected if i is not None}
     expected -= {(g, None) for g in has_reviews}
     assert {tuple(r) for r in back.collect()} == expected
+
+
+rental_rows = st.lists(
+    st.tuples(st.sampled_from(["GEN-0", "GEN-1", "GEN-2"]), st.sampled_from([1.0, 2.0, None])),
+    max_size=8,
+)
+review_rows = st.lists(
+    st.tuples(
+        st.sampled_from([None, "GEN-0", "GEN-1", "GEN-9"]),
+        st.one_of(st.none(), st.integers(0, 6)),
+        st.sampled_from([1.0, 2.0, None]),
+    ),
+    max_size=40,
+)
+
+
+def filled(df, columns):
+    """`df` with the columns it lacks as nulls, in order."""
+    return df.select(
+        *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    )
+
+
+@settings(max_examples=12, deadline=None)
+@given(rental_rows, review_rows, st.sampled_from([2, 100]))
+def test_final_frame_equals_the_long_way(spark, rentals, written, limit):
+    """Join, drop copies, group by all property columns; parts put together again."""
+    rental = filled(spark.createDataFrame(rentals, "id string, usd_price double"), V.RENTAL_COLUMNS)
+    reviews = filled(
+        spark.createDataFrame(
+            written, "gen_id string, review_id bigint, review_individual_score double"
+        ),
+        [*V.REVIEWED_PROPERTY_COLUMNS, *V.REVIEW_FIELDS],
+    )
+    joined = joins.join_tables(rental, reviews)
+    unique = dedup.dedup(
+        joined, ["id", "review_id"], order=[*V.RENTAL_COLUMNS, *V.REVIEW_FIELDS]
+    )
+    expected = {r.id: r for r in nest.nest(unique, V.RENTAL_COLUMNS).collect()}
+    made = {}
+    for row in builds.final_frame(rental, reviews, limit=limit).collect():
+        one = made.setdefault(row.id, {"usd_price": row.usd_price, "reviews": []})
+        assert one["usd_price"] == row.usd_price
+        one["reviews"] += row.reviews
+    assert set(made) == set(expected)
+    for key, one in made.items():
+        assert one["usd_price"] == expected[key].usd_price
+        assert sorted(one["reviews"], key=lambda r: r.review_id) == expected[key].reviews

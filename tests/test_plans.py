@@ -301,24 +301,3 @@ def test_hot_country_is_written_by_several_tasks(spark, tmp_path):
     assert files["country_code=GB"] > 3
     back = tables.read_table(spark, str(tmp_path / "t"), "country_code string, text string")
     assert back.count() == 60_000
-
-
-def test_reports_equal_plain_sql_on_the_view(spark, sf_dir):
-    """Summing before the join gives what grouping the joined rows gives, repeats included."""
-    root = feeds.built_tables(spark, sf_dir)
-    rental, reviews = builds.read_rental(spark, root), builds.read_reviews(spark, root)
-    view = joins.combined_view(rental, reviews)
-    score = F.round(F.avg("review_individual_score"), 2)
-    plain = view.groupBy("country_code").agg(
-        F.count_distinct("id").alias("properties"),
-        F.count("review_id").alias("total_reviews"),
-        score.alias("avg_review_score"),
-        F.round(F.avg("star_rating"), 2).alias("avg_stars"),
-    )
-    assert multiset(reports.reviews_per_country(rental, reviews)) == multiset(plain)
-    plain = view.where("reviewer_type IS NOT NULL").groupBy("reviewer_type").agg(
-        F.round(F.avg("star_rating"), 2).alias("avg_stars"),
-        score.alias("avg_review_score"),
-        F.count("*").alias("total_reviews"),
-    )
-    assert multiset(reports.by_type(rental, reviews)) == multiset(plain)
