@@ -46,11 +46,13 @@ def hot_groups(
 
 
 def deal(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
-    """Add `part`. Rows of a hot group are dealt by a hash of `member`.
+    """Add `part`. Rows of a hot group are dealt by the first 32 bits of the md5 of `member`.
 
-    So equal members share a part, and a task that runs again deals them the same way.
+    So equal members share a part, a task that runs again deals them the same way, and any
+    other system can tell the part of a review. Only rows of hot groups are hashed.
     """
-    part = F.pmod(F.xxhash64(member), F.col("_parts")).cast("int")
+    bits = F.conv(F.substring(F.md5(F.col(member).cast("string")), 1, 8), 16, 10).cast("bigint")
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(bits, F.col("_parts")).cast("int"))
     dealt = df.join(hot, F.col(key) == F.col("_hot"), "left")
     return dealt.withColumn("part", F.coalesce(part, F.lit(0))).drop("_hot", "_parts")
 

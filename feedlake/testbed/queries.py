@@ -406,22 +406,25 @@ def property_base(spark, sf_dir):
 
 @query
 def nest_reviews(spark, sf_dir):
-    return _flat(builds.final_frame(*_tables(spark, sf_dir)), *V.RENTAL_COLUMNS)
+    return _flat(builds.final_frame(*_tables(spark, sf_dir)), *V.RENTAL_COLUMNS, "part")
 
 
 @query
 def nest_orders(spark, sf_dir):
     """Orders nested per customer, hot customers split if there were any."""
-    orders, group = table(spark, sf_dir, "orders"), ["o_custkey"]
+    orders = table(spark, sf_dir, "orders")
     hot = nest.hot_groups(orders, "o_custkey")
-    if hot is not None:
-        orders, group = nest.deal(orders, "o_custkey", "o_orderkey", hot), ["o_custkey", "part"]
+    if hot is None:
+        orders = orders.withColumn("part", F.lit(0))
+    else:
+        orders = nest.deal(orders, "o_custkey", "o_orderkey", hot)
     nested = nest.nest(
-        orders, group, fields=["o_orderkey", "o_orderdate", "o_totalprice"], present="o_orderkey"
+        orders, ["o_custkey", "part"], fields=["o_orderkey", "o_orderdate", "o_totalprice"], present="o_orderkey"
     )
     keys = F.transform("reviews", lambda r: r["o_orderkey"].cast("string"))
     return nested.select(
         "o_custkey",
+        "part",
         nest.total_reviews().alias("total"),
         F.array_join(keys, ",").alias("order_keys"),
     )
