@@ -201,7 +201,7 @@ def build_reviews(
 def build_review_documents(spark: SparkSession, root: str, per_key: bool = False) -> None:
     """Write the documents made from property_reviews alone."""
     nested = review_documents_frame(read_reviews(spark, root))
-    made = docs.documents(nested, V.REVIEWED_PROPERTY_COLUMNS, "gen_id")
+    made = docs.documents(nested, V.REVIEWED_PROPERTY_COLUMNS, "gen_id", pretty=per_key)
     write = docs.write_document_files if per_key else docs.write_documents
     write(made, f"{root}/{REVIEW_DOCUMENTS}", "full")
 
@@ -228,7 +228,7 @@ def build_final(
         reviews=F.coalesce(F.sum(nest.total_reviews()), F.lit(0)),
     )
     written = read_final(spark, root).where(F.col("created_time") == stamp)
-    made = docs.documents(written, V.RENTAL_COLUMNS, "id")
+    made = docs.documents(written, V.RENTAL_COLUMNS, "id", pretty=per_key)
     if per_key:
         docs.write_document_files(made, f"{root}/{FINAL_DOCUMENTS}", mode)
     else:

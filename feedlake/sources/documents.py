@@ -24,11 +24,14 @@ def _document_reviews(nested: DataFrame) -> Column:
     return F.coalesce(F.col("reviews").cast(T.ArrayType(renamed)), F.array())
 
 
-def documents(nested: DataFrame, scalars: Sequence[str], key: str) -> DataFrame:
+def documents(
+    nested: DataFrame, scalars: Sequence[str], key: str, pretty: bool = False
+) -> DataFrame:
     """(doc_key, country_code, document) for each row of `nested`.
 
-    The document holds `scalars`, total_reviews and reviews, nulls included. Further parts
-    of a property too big for one row are documents of their own, numbered in their key.
+    The document holds `scalars`, total_reviews and reviews, nulls included, on one line
+    unless `pretty`. Further parts of a property too big for one row are documents of their
+    own, numbered in their key.
     """
     doc_key = document_key(F.col(key))
     if "part" in nested.columns:
@@ -42,7 +45,7 @@ def documents(nested: DataFrame, scalars: Sequence[str], key: str) -> DataFrame:
     return nested.select(
         doc_key.alias("doc_key"),
         "country_code",
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("document"),
+        F.to_json(body, {"ignoreNullFields": "false", "pretty": pretty}).alias("document"),
     )
 
 
@@ -80,6 +83,7 @@ def write_document_files(docs: DataFrame, path: str, mode: str = "full") -> None
     _write_text(docs, path, "doc_key", mode)
 
 
-def read_documents(spark, path: str, schema: str) -> DataFrame:
-    """Documents back as rows. Reads both layouts, and pretty-printed files one per document."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+def read_documents(spark, path: str, schema: str, pretty: bool = False) -> DataFrame:
+    """Documents back as rows, from either layout; pretty ones take several lines each."""
+    reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return reader.option("multiLine", pretty).json(path)

@@ -193,6 +193,27 @@ def test_builds_on_feeds_that_do_not_meet(spark, tmp_path):
     assert [d["gen_id"] for d in read_lines(spark, f"{root}/property_data")] == ["GEN-1"]
 
 
+def test_one_pretty_file_per_listing(spark, tmp_path):
+    lines, files = str(tmp_path / "lines"), str(tmp_path / "files")
+    for root in (lines, files):
+        details, search, reviews = feeds_for_build(spark)
+        builds.build_rental(details, search, root)
+        builds.build_reviews(details, reviews, root)
+        builds.build_final(spark, root, per_key=root == files)
+        builds.build_review_documents(spark, root, per_key=root == files)
+    folders = {p.name for p in (tmp_path / "files" / "final_data").glob("doc_key=*")}
+    assert folders == {"doc_key=GEN-1", "doc_key=GEN-2"}
+    for folder, schema in (
+        ("final_data", schemas.FINAL_DOCUMENT),
+        ("property_data", schemas.REVIEW_DOCUMENT),
+    ):
+        one = documents.read_documents(spark, f"{lines}/{folder}", schema)
+        other = documents.read_documents(spark, f"{files}/{folder}", schema, pretty=True)
+        assert multiset(one) == multiset(other)
+    text = (tmp_path / "files" / "final_data" / "doc_key=GEN-1").glob("part-*")
+    assert len(next(text).read_text("utf-8").splitlines()) > 20
+
+
 @pytest.mark.parametrize("layout", ["lines", "arrays"])
 def test_build_from_files(spark, tmp_path, capsys, layout):
     """The command line on JSON files: the same documents as from frames."""
