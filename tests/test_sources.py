@@ -304,3 +304,30 @@ def test_null_reviews_become_an_empty_list(spark):
 def nested_type(spark):
     empty = spark.createDataFrame([], schemas.RENTALS_REVIEWS)
     return empty.schema["reviews"].dataType
+
+
+def test_reviews_of_a_property_lie_together(spark, tmp_path):
+    ids = [str(i) for i in range(40)]
+    details = details_feed(spark, [dict(id=i, country="gb") for i in ids])
+    records = [(i, [review(n * 100 + int(i), "2024-05-01")]) for n in range(5) for i in ids]
+    builds.build_reviews(details, reviews_feed(spark, records), str(tmp_path))
+    df = builds.read_reviews(spark, str(tmp_path))
+    assert df.count() == 200
+    for file in df.inputFiles():
+        found = [r.gen_id for r in spark.read.parquet(file).select("gen_id").coalesce(1).collect()]
+        assert found == sorted(found)
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        settings = {key.replace("_", "."): value for key, value in conf.items()}
+        self.conf = type("Conf", (), {"get": staticmethod(settings.get)})
+
+
+def test_shared_folder():
+    named = FakeSession(spark_master="yarn", spark_checkpoint_dir="hdfs://nn/shared/")
+    assert work_folder(named, "x").startswith("hdfs://nn/shared/x-")
+    unnamed = FakeSession(spark_master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(unnamed, "x")
+    assert Path(work_folder(FakeSession(spark_master="local[2]"), "x")).parent.is_dir()
