@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8_000_000):
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6_000_000):
     """The rows of `batches` in slices whose texts in `column` hold about `limit` bytes.
 
     A text longer than the limit is a slice of its own. What is built from a slice is so

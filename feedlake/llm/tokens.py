@@ -7,8 +7,16 @@ texts do, so each Python worker keeps the ids of pieces it has met.
 
 import re
 
-#: Pieces a worker remembers; some 250 bytes each.
-REMEMBERED = 400_000
+#: Pieces a worker remembers; some 200 bytes each.
+REMEMBERED = 1_000_000
+#: How such vocabularies mark the token that ends a word.
+WORD_END = "</w>"
+#: Words encoded in one call.
+TOGETHER = 5_000
+#: A word of Latin letters and ASCII signs without an apostrophe, which may start an ending.
+WORD_AND_SIGNS = re.compile(
+    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-&(-/:-@\[-`{-~]+)"
+).fullmatch
 #: White space to Python or to Unicode, but not among the six characters split at below.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 SPACE = re.compile("[ \t-\r]+")
@@ -29,11 +37,18 @@ class Encoder:
     def __init__(self, path: str):
         import os
 
+        import numpy as np
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: By id: whether the token ends a word, in vocabularies that mark this.
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[number] = token.endswith(WORD_END)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text; none for a null one."""
@@ -48,25 +63,51 @@ class Encoder:
         return text.split()
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known = {}
-        new = {piece: _parts(piece) for piece in pieces - self.known.keys()}
-        parts = list({part for some in new.values() for part in some} - self.known.keys())
-        for part, found in zip(
-            parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        ):
+        """Finds the ids of new pieces. A word and the signs after it are encoded apart."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        known = self._recall(pieces)
+        apart = {}
+        for piece in pieces - known.keys():
+            if signs := WORD_AND_SIGNS(piece):
+                apart[piece] = (signs[1].lower(), signs[2])
+            else:
+                apart[piece] = (piece.lower() if piece.isascii() else piece, "")
+        parts = {part for both in apart.values() for part in both}
+        self._encode(parts - self._recall(parts).keys())
+        for piece, (word, signs) in apart.items():
+            known[piece] = known[word] + known[signs] if signs else known[word]
+
+    def _recall(self, pieces: set[str]) -> dict[str, bytes]:
+        """The younger half, after those of `pieces` that only the older half has moved to it."""
+        older = (pieces - self.known.keys()) & self.older.keys()
+        self.known.update((piece, self.older[piece]) for piece in older)
+        return self.known
+
+    def _encode(self, parts: set[str]) -> None:
+        """Words of Latin letters are encoded many at a time and told apart by their ends."""
+        import numpy as np
+
+        plain, alone = [], []
+        marked = bool(self.ends.any())
+        for part in parts:
+            (plain if marked and part.isalpha() and part.islower() else alone).append(part)
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at : at + TOGETHER]
+            found = np.asarray(self._encode_each([" ".join(some)])[0].ids)
+            ends = np.flatnonzero(self.ends[found]) + 1
+            if len(ends) != len(some):
+                alone += some
+                continue
+            ids, start = little_endian(found), 0
+            for part, end in zip(some, (4 * ends).tolist()):
+                self.known[part] = ids[start:end]
+                start = end
+        for part, found in zip(alone, self._encode_each(alone)):
             self.known[part] = little_endian(found.ids)
-        for piece, some in new.items():
-            if len(some) > 1:
-                self.known[piece] = b"".join(self.known[part] for part in some)
-
 
-def _parts(piece: str) -> tuple[str, ...]:
-    """A Latin word and the full stop or comma after it are encoded apart by the tokenizer."""
-    word = piece[:-1]
-    if piece[-1] in ".," and word.isalpha() and max(word) < "\u0250":
-        return word, piece[-1]
-    return (piece,)
+    def _encode_each(self, texts: list[str]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
 def little_endian(ids) -> bytes:
