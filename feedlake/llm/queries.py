@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlake.llm import packing, token_files
+from feedlake.llm import jaccard_join, mixing, packing, token_files
 from feedlake.llm.frames import table
 from feedlake.llm.tokens import default_vocabulary
 from feedlake.workspace import work_folder
@@ -24,6 +25,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_positions(manifest)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    similarity = jaccard_join.Similarity(words=3, num=90, den=100)
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), similarity)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(
         table(spark, sf_dir, "documents"), default_vocabulary(), SEQUENCE_END_ID, SEQUENCE_LENGTH
@@ -31,10 +37,18 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("copy")
 
 
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = (F.col("size") * F.col("times")).alias("taken")
+    return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op3_jaccard_join": op3_jaccard_join,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op10_source_mix": op10_source_mix,
     }
 
 
