@@ -1,11 +1,14 @@
 """The operators as registered queries, over the whole of their tables."""
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import jaccard_join, mixing, packing, token_files
+from feedlake.llm import jaccard_join, mixing, packing, quality, token_files
 from feedlake.llm.frames import table
 from feedlake.llm.tokens import default_vocabulary
 from feedlake.workspace import work_folder
@@ -30,6 +33,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), similarity)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.classify(documents, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(
         table(spark, sf_dir, "documents"), default_vocabulary(), SEQUENCE_END_ID, SEQUENCE_LENGTH
@@ -43,13 +52,36 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken)
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it.
+
+    On a cluster where it is installed, or sent with --py-files, the path does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        paths = [root, *filter(None, paths)]
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(paths)
+
+
+def _ready(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workers_find_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_token_files": op1_token_files,
         "op3_jaccard_join": op3_jaccard_join,
+        "op7_quality_classifier": op7_quality_classifier,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op10_source_mix": op10_source_mix,
     }
+    return {name: _ready(query) for name, query in found.items()}
 
 
 def llm_oracle_sql() -> dict[str, str]:
