@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import jaccard_join, mixing, packing, quality, token_files
+from feedlake.llm import embedding_dedup, jaccard_join, mixing, packing, quality, token_files, topk
 from feedlake.llm.frames import table
 from feedlake.llm.tokens import default_vocabulary
 from feedlake.workspace import work_folder
@@ -33,6 +33,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), similarity)
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return topk.top_k(embeddings, F.col("vec_id") % 20 == 0, k=20, factor=64)
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.classify(documents, table(spark, sf_dir, "labels"))
@@ -77,6 +86,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_files": op1_token_files,
         "op3_jaccard_join": op3_jaccard_join,
+        "op5_exact_top_k": op5_exact_top_k,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op10_source_mix": op10_source_mix,
@@ -84,5 +95,28 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _ready(query) for name, query in found.items()}
 
 
+_DOUBLES = "list_transform(embedding, x -> CAST(x AS DOUBLE))"
+#: No vector takes part that is null, empty, or holds null or non-finite components.
+_SOUND = f"""
+    embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter({_DOUBLES}, x -> x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+OP5_SQL = f"""
+WITH vectors AS (
+    SELECT vec_id, list_transform({_DOUBLES}, x -> floor(64 * x)) AS v
+    FROM embeddings WHERE {_SOUND} AND vec_id IS NOT NULL
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_top_k": OP5_SQL}
