@@ -95,16 +95,16 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _ready(query) for name, query in found.items()}
 
 
-_DOUBLES = "list_transform(embedding, x -> CAST(x AS DOUBLE))"
+_DOUBLES = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
 #: No vector takes part that is null, empty, or holds null or non-finite components.
 _SOUND = f"""
     embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter({_DOUBLES}, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter({_DOUBLES}, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 """
 
 OP5_SQL = f"""
 WITH vectors AS (
-    SELECT vec_id, list_transform({_DOUBLES}, x -> floor(64 * x)) AS v
+    SELECT vec_id, list_transform({_DOUBLES}, lambda x: floor(64 * x)) AS v
     FROM embeddings WHERE {_SOUND} AND vec_id IS NOT NULL
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
