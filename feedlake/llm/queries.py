@@ -8,7 +8,16 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import embedding_dedup, jaccard_join, mixing, packing, quality, token_files, topk
+from feedlake.llm import (
+    conversations,
+    embedding_dedup,
+    jaccard_join,
+    mixing,
+    packing,
+    quality,
+    token_files,
+    topk,
+)
 from feedlake.llm.frames import table
 from feedlake.llm.tokens import default_vocabulary
 from feedlake.workspace import work_folder
@@ -33,6 +42,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), similarity)
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.rendered(table(spark, sf_dir, "conversations"))
+
+
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     return topk.top_k(embeddings, F.col("vec_id") % 20 == 0, k=20, factor=64)
@@ -86,6 +99,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_files": op1_token_files,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_top_k": op5_exact_top_k,
         "op6_embedding_dedup": op6_embedding_dedup,
         "op7_quality_classifier": op7_quality_classifier,
@@ -117,6 +131,38 @@ WITH vectors AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+#: Prefixes are compared as whole texts here, not by hash.
+OP4_SQL = """
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (
+               PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+           ) AS position,
+           count(*) OVER (PARTITION BY conv_id) AS n
+    FROM conversations
+), begun AS (
+    SELECT conv_id, position, n,
+           string_agg(length(role) || ':' || length(text) || ':' || role || text, '|') OVER (
+               PARTITION BY conv_id ORDER BY position
+           ) AS said
+    FROM turns
+), kept AS (
+    SELECT n, min(conv_id) AS conv_id
+    FROM begun AS b
+    WHERE position = n AND NOT EXISTS (
+        SELECT 1 FROM begun AS l
+        WHERE l.position < l.n AND l.position = b.n AND l.said = b.said
+    )
+    GROUP BY n, said
+)
+SELECT t.conv_id, CAST((position - 1) // 4096 AS INTEGER) AS part, count(*) AS n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                  ORDER BY position) AS text
+FROM turns AS t JOIN kept AS k ON t.conv_id IS NOT DISTINCT FROM k.conv_id
+GROUP BY t.conv_id, part
+"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op5_exact_top_k": OP5_SQL}
+    return {"op4_chat_formatting": OP4_SQL, "op5_exact_top_k": OP5_SQL}
