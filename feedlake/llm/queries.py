@@ -17,6 +17,7 @@ from feedlake.llm import (
     quality,
     token_files,
     topk,
+    url_filter,
 )
 from feedlake.llm.frames import table
 from feedlake.llm.tokens import default_vocabulary
@@ -37,6 +38,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_positions(manifest)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     similarity = jaccard_join.Similarity(words=3, num=90, den=100)
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), similarity)
@@ -98,6 +104,7 @@ def _ready(query):
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op1_token_files": op1_token_files,
+        "op2_url_filter": op2_url_filter,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_chat_formatting": op4_chat_formatting,
         "op5_exact_top_k": op5_exact_top_k,
@@ -109,6 +116,103 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _ready(query) for name, query in found.items()}
 
 
+def _ratio_steps() -> str:
+    """SQL of the estimates for every length of context, each on the one before."""
+    steps = []
+    for order in range(4):
+        less = "1.0 / (SELECT count(DISTINCT right(gram, 1)) FROM counts)"
+        joined = ""
+        if order:
+            joined = f"JOIN share{order - 1} AS l ON l.g = substr(s.g, 2)"
+        seen = f"""
+seen{order} AS (
+    SELECT right(gram, {order + 1}) AS g, sum(allowed) AS allowed, sum(blocked) AS blocked
+    FROM counts GROUP BY 1
+), context{order} AS (
+    SELECT left(g, {order}) AS context,
+           sum(allowed) AS an, count(*) FILTER (allowed > 0) AS ak,
+           sum(blocked) AS bn, count(*) FILTER (blocked > 0) AS bk
+    FROM seen{order} GROUP BY 1
+), share{order} AS (
+    SELECT s.g,
+           CASE WHEN an > 0 THEN (s.allowed + ak * {"l.a" if order else less}) / (an + ak)
+                ELSE {"l.a" if order else less} END AS a,
+           CASE WHEN bn > 0 THEN (s.blocked + bk * {"l.b" if order else less}) / (bn + bk)
+                ELSE {"l.b" if order else less} END AS b
+    FROM seen{order} AS s JOIN context{order} ON context = left(s.g, {order}) {joined}
+)"""
+        steps.append(seen)
+    return ",".join(steps)
+
+
+OP2_SQL = f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://')
+                         THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+    FROM pages
+), parted AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), lowered AS (
+    SELECT page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz') AS host
+    FROM parted
+), rules(says, domain, start) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+           ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), judged AS (
+    SELECT p.page_id, p.host, p.path, p.host || p.path AS text,
+           (SELECT max_by(domain || start, length(domain || start)) FROM rules
+            WHERE (p.host = domain OR ends_with(p.host, '.' || domain))
+              AND starts_with(p.path, start)) AS rule,
+           (SELECT max_by(says, length(domain || start)) FROM rules
+            WHERE (p.host = domain OR ends_with(p.host, '.' || domain))
+              AND starts_with(p.path, start)) AS verdict
+    FROM lowered AS p
+), texts AS (
+    SELECT text, count(*) FILTER (verdict = 'allow') AS allowed,
+           count(*) FILTER (verdict = 'block') AS blocked,
+           left(md5(text), 1) IN ('0', '1', '2') AS calibrates
+    FROM judged GROUP BY text
+), grams AS (
+    SELECT t.*, substr(repeat(chr(2), 3) || text || chr(3), CAST(place AS INTEGER), 4) AS gram
+    FROM texts AS t, unnest(range(1, length(text) + 2)) AS places(place)
+), counts AS (
+    SELECT gram, sum(CASE WHEN calibrates THEN 0 ELSE allowed END) AS allowed,
+           sum(CASE WHEN calibrates THEN 0 ELSE blocked END) AS blocked
+    FROM grams GROUP BY gram
+), {_ratio_steps()},
+ratios AS (
+    SELECT g AS gram,
+           CASE WHEN (SELECT sum(allowed) > 0 AND sum(blocked) > 0 FROM counts)
+                THEN ln(a) - ln(b) ELSE 0 END AS ratio
+    FROM share3
+), scored AS (
+    SELECT text, any_value(allowed) AS allowed, any_value(blocked) AS blocked,
+           any_value(calibrates) AS calibrates,
+           CAST(sum(CAST(round(ratio * 1073741824) AS BIGINT)) AS DOUBLE) / 1073741824.0
+               / count(*) AS score
+    FROM grams JOIN ratios USING (gram) GROUP BY text
+), steps AS (
+    SELECT least(greatest(floor(score * 100), -1000), 1000) AS step,
+           sum(allowed) AS a, sum(blocked) AS b
+    FROM scored WHERE calibrates AND allowed + blocked > 0 GROUP BY 1
+), passed AS (
+    SELECT step, coalesce(sum(a) OVER below, 0) AS missed, coalesce(sum(b) OVER below, 0) AS caught,
+           sum(a) OVER () AS a, sum(b) OVER () AS b
+    FROM steps
+    WINDOW below AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), best AS (
+    SELECT step / 100 AS least FROM passed WHERE a > 0 AND b > 0
+    ORDER BY caught * a - missed * b DESC, step LIMIT 1
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN score >= coalesce((SELECT least FROM best), 0)
+                              THEN 'allow' ELSE 'block' END) AS verdict
+FROM judged JOIN scored USING (text)
+"""
+
 _DOUBLES = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
 #: No vector takes part that is null, empty, or holds null or non-finite components.
 _SOUND = f"""
@@ -165,4 +269,8 @@ GROUP BY t.conv_id, part
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op4_chat_formatting": OP4_SQL, "op5_exact_top_k": OP5_SQL}
+    return {
+        "op2_url_filter": OP2_SQL,
+        "op4_chat_formatting": OP4_SQL,
+        "op5_exact_top_k": OP5_SQL,
+    }
