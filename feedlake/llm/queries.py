@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import (
     conversations,
     embedding_dedup,
+    html_text,
     jaccard_join,
     mixing,
     packing,
@@ -74,6 +75,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("copy")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    n_chars = F.length("text").cast("long").alias("n_chars")
+    return pages.select("page_id", "url", "text", n_chars)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = (F.col("size") * F.col("times")).alias("taken")
@@ -111,6 +118,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_embedding_dedup": op6_embedding_dedup,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_html_extraction": op9_html_extraction,
         "op10_source_mix": op10_source_mix,
     }
     return {name: _ready(query) for name, query in found.items()}
