@@ -14,6 +14,9 @@ from feedlake.llm.frames import table, written
 from feedlake.llm.queries import SEQUENCE_END_ID, SEQUENCE_LENGTH, workers_find_package
 from feedlake.llm.tokens import default_vocabulary
 
+#: Rows without a doc_id are numbered from here on while they are compared.
+UNNAMED = 2**62
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels of sf_dir."""
@@ -24,11 +27,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-copies (five words, similarity 0.8) the smallest doc_id."""
+    """Of every group of near-copies (five words, similarity 0.8) the smallest doc_id.
+
+    Of rows with one doc_id and text one stays. Rows without a doc_id count as larger than all
+    others: one stays if it is near no row that has an id.
+    """
     workers_find_package(spark)
-    found = jaccard_join.jaccard_join(docs, jaccard_join.Similarity(words=5, num=80, den=100))
+    if not docs.where("doc_id is null").isEmpty():
+        number = F.lit(UNNAMED) + F.monotonically_increasing_id()
+        docs = written(docs.withColumn("doc_id", F.coalesce("doc_id", number)), "numbered")
+    similar = jaccard_join.Similarity(words=5, num=80, den=100)
+    found = written(jaccard_join.jaccard_join(docs, similar), "near")
     others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*_columns(docs))
+    kept = docs.join(others, "doc_id", "left_anti")
+    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(again)
+    named = F.when(F.col("doc_id") < UNNAMED, F.col("doc_id"))
+    return kept.withColumn("doc_id", named).select(*_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,71 @@
+import html
+import re
+
+from feedlake.llm import html_text
+from feedlake.llm.frames import table
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var t="</p>";</script></head>
+<body class="has-sidebar"><nav><ul><li><a href="/a">Menu one</a></li><li><a href="/b">Menu two</a></li></ul></nav>
+<header>Site name</header><div class="ad">Buy this now, it is very cheap today only</div>
+<aside><p>Side words are many here and there</p></aside>
+<article><header><h1>Main   &amp; title</h1></header><p>First <b>bold</b> text &lt;x&gt;,
+with <a href="#">a link</a>.<br>Next<p>Second&nbsp;one &eacute;</p><!-- not <p>this</p> -->
+<div class="ad-box">Advert inside</div><form><p>Your name</p></form><ul><li>Item</li><li>Other</li></ul></article>
+<section id="comments"><article><p>I like this article a lot, thank you for all the words</p></article></section>
+<div role="alert">We use cookies</div><footer>&copy; someone</footer></body></html>"""
+TEXT = "Main & title\n\nFirst bold text <x>, with a link. Next\n\nSecond one é\n\nItem\n\nOther"
+
+
+def _weights(pages):
+    total = html_text.Counter()
+    for page in pages:
+        total.update(html_text.counted(page))
+    return html_text.weights_of(total)
+
+
+def test_page_by_hand():
+    assert html_text.main_text(PAGE, _weights([PAGE] * 3)) == TEXT
+    assert html_text.main_text(PAGE, html_text.weights_of({})) == TEXT
+
+
+def test_region_is_the_one_with_the_highest_score():
+    weights = {"word": 1.0, "linked word": -1.0, "word apart": -1.0, "<other>": -1.0}
+    page = html_text.Page(PAGE)
+    gains = [n * weights.get(kind, -1.0) for kind, n, *_ in page.tokens]
+    best = max(sum(gains[i:j]) for i in range(len(gains)) for j in range(i, len(gains) + 1))
+    text = html_text.main_text(PAGE, weights)
+    assert best > 0 and text.split()[0] == "Main"
+
+
+def test_odd_pages():
+    weights = _weights([PAGE])
+    for page in ("", "   ", "<", "<p", "<article></article>", "<nav>only a menu</nav>", "<!-- open", "<script>x"):
+        assert html_text.main_text(page, weights) in ("", "<", "<p")
+    assert html_text.main_text("a &amp b &am; 1 < 2", weights) == "a & b &am; 1 < 2"
+    assert html_text.main_text("<p>broken <p title='x>y'>quoted</p>", weights) == "broken\n\nquoted"
+    long = "<article>" + "<p>word word</p>" * 50_000 + "</article>"
+    assert html_text.main_text(long, weights).count("word") == 100_000
+    assert html_text.main_text("<p " + "a='b' " * 20_000 + "x", weights) is not None
+    assert html_text.main_text("<div class=ad>open ad<article><p>still here</p></article>", weights) == "still here"
+
+
+def test_all_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = html_text.extract(pages.select("page_id", "html")).collect()
+    assert len(found) == pages.count()
+    for row in found:
+        article = re.search(r"<article>(.*)</article>", row.html, re.DOTALL)[1]
+        blocks = [re.sub(r"</?(b|br)>", " ", block) for block in re.split(r"</?(?:p|h1)>", article)]
+        blocks = [" ".join(html.unescape(block).split()) for block in blocks]
+        assert row.text == "\n\n".join(block for block in blocks if block)
+
+
+def test_frames(spark):
+    rows = [(1, PAGE), (2, None), (3, ""), (None, PAGE), (1, PAGE)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").selectExpr("*", "1 AS text", "2 AS kind")
+    found = html_text.extract(pages)
+    assert found.columns == ["page_id", "html", "kind", "text"]
+    assert sorted(str((r.page_id, r.text)) for r in found.collect()) == sorted(
+        str(x) for x in [(1, TEXT), (2, ""), (3, ""), (None, TEXT), (1, TEXT)]
+    )
+    assert html_text.extract(pages.limit(0)).collect() == []

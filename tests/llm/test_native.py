@@ -1,0 +1,168 @@
+"""The operators made of DataFrame functions only, on small tables and against SQL."""
+
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.llm import conversations, url_filter
+from feedlake.llm.queries import OP2_SQL, OP4_SQL, OP5_SQL, llm_queries
+
+
+def by_sql(sql, sf_dir, **tables):
+    connection = duckdb.connect()
+    for name in ("pages", "conversations", "embeddings"):
+        if name in tables:
+            connection.register(name, tables[name])
+        else:
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    found = connection.sql(sql)
+    names = sorted(found.columns)
+    return names, sorted(str(tuple(dict(zip(found.columns, row))[n] for n in names)) for row in found.fetchall())
+
+
+def by_spark(frame):
+    names = sorted(frame.columns)
+    return names, sorted(str(tuple(row[n] for n in names)) for row in frame.collect())
+
+
+@pytest.mark.parametrize(
+    "name, sql",
+    [("op2_url_filter", OP2_SQL), ("op4_chat_formatting", OP4_SQL), ("op5_exact_top_k", OP5_SQL)],
+)
+def test_queries_against_sql(spark, sf_dir, name, sql):
+    assert by_spark(llm_queries()[name](spark, sf_dir)) == by_sql(sql, sf_dir)
+
+
+@pytest.mark.parametrize("name", ["op2_url_filter", "op4_chat_formatting"])
+def test_no_python_in_the_plan(spark, sf_dir, name):
+    frame = llm_queries()[name](spark, sf_dir)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)
+
+
+URLS = {
+    "http://A.COM/x?y": ("a.com", "/x", "com/", "allow"),
+    "https://b.example.com/en/1": ("b.example.com", "/en/1", "example.com/en/", "block"),
+    "https://www.example.com/en/1": ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+    "https://a.www.example.com/en/1": ("a.www.example.com", "/en/1", "www.example.com/en/", "allow"),
+    "https://badexample.com/en/1": ("badexample.com", "/en/1", "com/", "allow"),
+    "x://n.net/es/#a/b": ("n.net", "/es/", "net/es/", "block"),
+    "x://net/fr/q": ("net", "/fr/q", "net/fr/", "block"),
+    "http://e.com": ("e.com", "", None, None),
+    "http://e.net/es": ("e.net", "/es", None, None),
+    "http://ÀB.com#/x": ("Àb.com", "", None, None),
+    "a://b://c/d": ("b:", "//c/d", None, None),
+    "http://?x=://com/": ("", "", None, None),
+    "://net/fr/": ("net", "/fr/", "net/fr/", "block"),
+    "no scheme.com/": ("", "", None, None),
+    "": ("", "", None, None),
+    None: ("", "", None, None),
+}
+
+
+def _pages(spark, urls):
+    rows = [(i, url, 7) for i, url in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id long, url string, text int").selectExpr(
+        "*", "'x' AS Rule", "1 AS score", "2 AS gram"
+    )
+
+
+def test_hosts_paths_and_rules(spark):
+    urls = [*URLS, *URLS, "http://long.net/" + "x" * 50_000]
+    found = url_filter.judge(_pages(spark, urls)).collect()
+    assert len(found) == len(urls)
+    for row in found:
+        if row.url in URLS:
+            host, path, rule, verdict = URLS[row.url]
+            assert (row.host, row.path, row.rule) == (host, path, rule)
+            assert row.verdict == verdict if verdict else row.verdict in ("allow", "block")
+    assert {row.text for row in found} == {7}
+
+
+def test_models_learn_from_the_rules(spark):
+    good = [f"http://news{i}.org/story-{i % 7}" for i in range(150)]
+    bad = [f"http://casino{i}.biz/win-{i % 7}" for i in range(150)]
+    rules = [("allow", f"news{i}.org", "/") for i in range(100)]
+    rules += [("block", f"casino{i}.biz", "/") for i in range(100)]
+    found = url_filter.judge(_pages(spark, good + bad), rules).collect()
+    open_ = [row for row in found if row.rule is None]
+    assert len(open_) == 100
+    assert all(row.verdict == ("allow" if "news" in row.host else "block") for row in open_)
+
+
+def test_one_kind_of_example_or_none(spark):
+    pages = _pages(spark, ["http://a.org/x", "http://a.com/x", None])
+    assert {row.verdict for row in url_filter.judge(pages).collect()} == {"allow"}
+    assert {row.verdict for row in url_filter.judge(pages, []).collect()} == {"allow"}
+    assert url_filter.judge(pages.limit(0)).collect() == []
+
+
+def test_estimates_are_probabilities(spark):
+    rows = [("abab", 3, 0), ("abc", 1, 1), ("ccc", 0, 2), ("bca", 1, 0)]
+    texts = spark.createDataFrame(rows, "text string, allowed long, blocked long")
+    counts = url_filter._grams(texts).groupBy("gram").agg(
+        F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")
+    )
+    assert sum(row.allowed for row in counts.collect()) == 3 * 5 + 4 + 4
+    ratios = url_filter._ratios(counts).collect()
+    assert len(ratios) == counts.count()
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def _turns(conv, *texts, first=0):
+    return [(conv, first + i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate(texts)]
+
+
+CHAT = [
+    *_turns(1, "a", "b"),
+    *_turns(2, "a", "b", "c"),
+    *_turns(3, "a", "b", "c", first=10),
+    *_turns(4, "a"),
+    *_turns(5, "a", "x"),
+    *_turns(6, "ab"),
+    *_turns(None, "n", "m"),
+    *_turns(8, "n"),
+    (9, None, None, None),
+    (9, 3, "user", "late"),
+    (10, None, "", ""),
+    (11, 1, "user", "twice"),
+    (11, 1, "user", "twice"),
+    (12, 1, "user", "twice"),
+    (13, 0, "use", "rab"),
+    *_turns(14, "a", "b", "c"),
+]
+
+
+def test_maximal_conversations(spark):
+    turns = spark.createDataFrame(CHAT, SCHEMA).selectExpr("*", "1 AS position", "2 AS block", "3 AS size")
+    found = {row.conv_id: row for row in conversations.rendered(turns.repartition(3)).collect()}
+    assert set(found) == {2, 5, 6, None, 9, 11, 13}
+    assert found[2].text == (
+        "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n<|im_start|>user\nc<|im_end|>\n"
+    )
+    assert (found[2].part, found[2].n_turns, found[11].n_turns) == (0, 3, 2)
+    assert conversations.rendered(turns.limit(0)).collect() == []
+
+
+def test_chat_against_sql(spark, sf_dir):
+    turns = spark.createDataFrame(CHAT, SCHEMA)
+    expected = by_sql(OP4_SQL, sf_dir, conversations=turns.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    assert by_spark(conversations.rendered(turns)) == expected
+
+
+def test_blocks_of_a_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(conversations, "BLOCK", 4)
+    long = _turns(1, *[f"t{i}" for i in range(23)])
+    shorter = _turns(2, *[f"t{i}" for i in range(11)], first=100)
+    other = _turns(3, *[f"t{i}" for i in range(10)], "else")
+    turns = spark.createDataFrame(long + shorter + other, SCHEMA)
+    found = conversations.rendered(turns.repartition(5)).orderBy("conv_id", "part").collect()
+    assert [(r.conv_id, r.part, r.n_turns) for r in found] == [
+        *[(1, i, 4) for i in range(5)], (1, 5, 3), (3, 0, 4), (3, 1, 4), (3, 2, 3)
+    ]
+    text = "".join(r.text for r in found if r.conv_id == 1)
+    assert re.findall(r"t\d+", text) == [f"t{i}" for i in range(23)]
