@@ -162,18 +162,24 @@ def mix(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
     A run with the same seed takes the same documents, however the rows are dealt to tasks.
     """
     plain = documents.drop("size", "source_size", "target", "times")
-    order, cutoff = fresh(plain, "mix_order"), fresh(plain, "mix_cutoff")
+    order = fresh(plain, "mix_order")
     hashed = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)).alias(order)
     sized = plain.select("*", words(F.col("text")).alias("size"), hashed)
     quotas = _cutoffs(sized.select("source", "size", F.col(order).alias("hash")), weights)
-    quotas = quotas.withColumnsRenamed({"source": "q_source", "size": "q_size", "cutoff": cutoff})
+    names = {name: fresh(sized, f"quota_{name}") for name in quotas.columns}
+    quotas = quotas.withColumnsRenamed(names)
     if quotas.count() <= BROADCAST_ROWS:
         quotas = F.broadcast(quotas)
-    met = F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size"))
-    once_more = F.coalesce(F.col(order) <= F.col(cutoff), F.lit(False)).cast("int")
-    joined = sized.join(quotas, met).withColumn("times", F.col("passes") + once_more)
+    met = F.col("source").eqNullSafe(F.col(names["source"])) & (
+        F.col("size") == F.col(names["size"])
+    )
+    once_more = F.coalesce(F.col(order) <= F.col(names["cutoff"]), F.lit(False)).cast("int")
+    joined = sized.join(quotas, met).withColumn(
+        "times", F.col(names["passes"]) + once_more
+    )
     columns = [F.col(f"`{name}`") for name in plain.columns]
-    return joined.select(*columns, "size", "source_size", "target", "times")
+    known = [F.col(names[name]).alias(name) for name in ("source_size", "target")]
+    return joined.select(*columns, "size", *known, "times")
 
 
 def _cutoffs(hashes: DataFrame, weights) -> DataFrame:
