@@ -207,12 +207,13 @@ ratios AS (
            sum(allowed) AS a, sum(blocked) AS b
     FROM scored WHERE calibrates AND allowed + blocked > 0 GROUP BY 1
 ), passed AS (
-    SELECT step, coalesce(sum(a) OVER below, 0) AS missed, coalesce(sum(b) OVER below, 0) AS caught,
+    SELECT step, coalesce(lag(step) OVER (ORDER BY step) + 1, step) AS free,
+           coalesce(sum(a) OVER below, 0) AS missed, coalesce(sum(b) OVER below, 0) AS caught,
            sum(a) OVER () AS a, sum(b) OVER () AS b
     FROM steps
     WINDOW below AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), best AS (
-    SELECT step / 100 AS least FROM passed WHERE a > 0 AND b > 0
+    SELECT (free + step) / 2 / 100 AS least FROM passed WHERE a > 0 AND b > 0
     ORDER BY caught * a - missed * b DESC, step LIMIT 1
 )
 SELECT page_id, host, path, rule,

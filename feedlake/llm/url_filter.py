@@ -169,8 +169,8 @@ def _ratios(counts: DataFrame) -> DataFrame:
 
 def threshold(scored: DataFrame) -> float:
     """The score that parts the calibrating examples best: the largest share of allowed ones at
-    or above it, plus share of blocked ones below it. The lowest of equally good steps, and 0
-    if either kind has no example."""
+    or above it, plus share of blocked ones below it. Of equally good ones the lowest, and of
+    those between two examples the middle; 0 if either kind has no example."""
     step = F.floor(F.col("score") * STEPS)
     step = F.least(F.greatest(step, F.lit(-LIMIT * STEPS)), F.lit(LIMIT * STEPS)).alias("step")
     examples = scored.where(_calibrates(F.col("text")) & (F.col("allowed") + F.col("blocked") > 0))
@@ -179,6 +179,7 @@ def threshold(scored: DataFrame) -> float:
     everything = Window.partitionBy(F.lit(0))
     passed = steps.select(
         "step",
+        F.coalesce(F.lag("step").over(Window.orderBy("step")) + 1, F.col("step")).alias("open"),
         F.coalesce(F.sum("a").over(below), F.lit(0)).alias("missed"),
         F.coalesce(F.sum("b").over(below), F.lit(0)).alias("caught"),
         F.sum("a").over(everything).alias("a"),
@@ -186,4 +187,4 @@ def threshold(scored: DataFrame) -> float:
     ).where("a > 0 and b > 0")
     gain = F.col("caught") * F.col("a") - F.col("missed") * F.col("b")
     best = passed.orderBy(gain.desc(), "step").first()
-    return best["step"] / STEPS if best else 0.0
+    return (best["open"] + best["step"]) / 2 / STEPS if best else 0.0
