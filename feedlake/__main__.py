@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from feedlake.operators import nest
 from feedlake.plans import builds
 from feedlake.sources import feeds
 
@@ -22,6 +23,12 @@ def arguments(given=None) -> argparse.Namespace:
     parser.add_argument(
         "--unique", action="store_true", help="keep one offer and one listing per id"
     )
+    parser.add_argument(
+        "--allow-bad", action="store_true", help="set records aside that cannot be read"
+    )
+    parser.add_argument(
+        "--row-limit", type=int, default=nest.ROW_LIMIT, help="reviews of a listing in one row"
+    )
     return parser.parse_args(given)
 
 
@@ -34,14 +41,17 @@ def main(given=None) -> None:
         "search": feeds.read_search(spark, options.search, lines),
         "reviews": feeds.read_reviews(spark, options.reviews, lines),
     }
+    sources = [options.details, options.search, options.reviews]
     staged = {
-        name: feeds.staged(feed, f"{options.root}/feeds/{name}") for name, feed in parsed.items()
+        name: feeds.staged(feed, f"{options.root}/_staged/{name}", options.allow_bad, sources)
+        for name, feed in parsed.items()
     }
     counts = builds.build_all(
         **staged,
         root=options.root,
         mode=options.mode,
         unique=options.unique,
+        limit=options.row_limit,
     )
     print(json.dumps(counts))
 

@@ -3,13 +3,18 @@
 Casts from feed text are try_casts: a bad value becomes null, it does not end the job.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 from feedlake.functions.names import is_blank, preferred_name
 
 
+def whole_number(text) -> Column:
+    """A number as bigint, its fraction cut off; null if `text` is no number of that range."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
+
+
 def extract_details(details: DataFrame) -> DataFrame:
     """Details feed for the rental table; the key stays text."""
     return details.select(
@@ -62,7 +67,7 @@ def explode_reviews(reviews: DataFrame) -> DataFrame:
     exploded = reviews.select("id", F.explode_outer("reviews").alias("review"))
     return exploded.select(
         F.col("id").try_cast("bigint").alias("source_id_r"),
-        F.col("review.id").try_cast("bigint").alias("review_id"),
+        whole_number(F.col("review.id")).alias("review_id"),
         F.col("review.date").alias("review_date"),
         F.col("review.score").try_cast("double").alias("review_individual_score"),
         *[
@@ -89,12 +94,12 @@ def raw_property_view(details: DataFrame) -> DataFrame:
         F.col("location.country").alias("country"),
         F.col("location.city").alias("city_id"),
         "currency",
-        F.col("rating.stars").alias("stars"),
-        F.col("rating.review_score").alias("review_score"),
+        F.col("rating.stars").try_cast("double").alias("stars"),
+        F.col("rating.review_score").try_cast("double").alias("review_score"),
         "accommodation_type",
-        "number_of_rooms",
-        "is_genius",
-        "is_work_friendly",
+        whole_number(F.col("number_of_rooms")).alias("number_of_rooms"),
+        F.col("is_genius").try_cast("boolean").alias("is_genius"),
+        F.col("is_work_friendly").try_cast("boolean").alias("is_work_friendly"),
         "url",
     )
 
@@ -104,7 +109,10 @@ def raw_reviews_view(reviews: DataFrame) -> DataFrame:
     rows = reviews.select(F.col("id").alias("property_id"), F.explode("reviews").alias("review"))
     return rows.select(
         "property_id",
-        *[F.col(f"review.{n}").alias(f"review_{n}") for n in ("id", "date", "score", "language")],
+        whole_number(F.col("review.id")).alias("review_id"),
+        F.col("review.date").alias("review_date"),
+        F.col("review.score").try_cast("double").alias("review_score"),
+        F.col("review.language").alias("review_language"),
         *[F.col(f"review.reviewer.{n}").alias(f"reviewer_{n}") for n in ("name", "country")],
         F.col("review.summary").alias("review_summary"),
     )
@@ -115,8 +123,8 @@ def raw_search_view(search: DataFrame) -> DataFrame:
     return search.select(
         "id",
         "currency",
-        F.col("price.book").alias("price_book"),
-        F.col("commission.percentage").alias("commission_pct"),
+        F.col("price.book").try_cast("double").alias("price_book"),
+        F.col("commission.percentage").try_cast("double").alias("commission_pct"),
         "deep_link_url",
         "url",
         F.size("products").alias("products_count"),

@@ -3,7 +3,8 @@
 One row per property is the wanted shape, but a row cannot hold a third of a large table.
 So the few groups above a limit of rows are found first (`hot_groups`), their rows are dealt
 to numbered parts (`deal`), and `nest` makes one row per group and part. All other groups
-have the single part 0. No review is left out. `repeat` gives each part its property row.
+have the single part 0. No review is left out. `repeat` gives each part its property row,
+and `with_totals` says in each part how many reviews and parts the whole group has.
 """
 
 from collections.abc import Sequence
@@ -26,17 +27,26 @@ def has_more(df: DataFrame, group: Sequence[str], limit: int) -> bool:
 
 
 def hot_groups(
-    df: DataFrame, key: str, limit: int = ROW_LIMIT, broadcast_keys: int = BROADCAST_KEYS
+    df: DataFrame,
+    key: str,
+    limit: int = ROW_LIMIT,
+    broadcast_keys: int = BROADCAST_KEYS,
+    member: str | None = None,
 ) -> DataFrame | None:
-    """(key, parts) of the groups of `key` with more than `limit` rows; None if there are none.
+    """(key, parts, total) of the groups of `key` with more than `limit` rows; None if there are
+    none. total: rows whose `member` is not null, or all if none is named.
 
     The list is counted: it carries a broadcast hint only if short, else it is joined by
     shuffle. It is written to a work folder, as it is used more than once.
     """
     spread = F.pmod(F.xxhash64(key), F.lit(2)).alias("_made")  # see operators.dedup
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key, spread).agg(F.count("*").alias("n"))
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key, spread).agg(
+        F.count("*").alias("n"), F.count(member or F.lit(1)).alias("_total")
+    )
     hot = sizes.where(F.col("n") > limit).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_parts")
+        F.col(key).alias("_hot"),
+        F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_parts"),
+        "_total",
     )
     found = hot.limit(broadcast_keys + 1).count()
     if found == 0:
@@ -54,7 +64,9 @@ def deal(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
     bits = F.conv(F.substring(F.md5(F.col(member).cast("string")), 1, 8), 16, 10).cast("bigint")
     part = F.when(F.col("_parts").isNotNull(), F.pmod(bits, F.col("_parts")).cast("int"))
     dealt = df.join(hot, F.col(key) == F.col("_hot"), "left")
-    return dealt.withColumn("part", F.coalesce(part, F.lit(0))).drop("_hot", "_parts")
+    return dealt.withColumn("part", F.coalesce(part, F.lit(0))).drop(
+        "_hot", "_parts", "_total"
+    )
 
 
 def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -62,7 +74,7 @@ def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
     repeated = df.join(hot, F.col(key) == F.col("_hot"), "left")
     return repeated.withColumn("part", F.explode(F.sequence(F.lit(0), last))).drop(
-        "_hot", "_parts"
+        "_hot", "_parts", "_total"
     )
 
 
@@ -79,6 +91,21 @@ def nest(
     return grouped.withColumn("reviews", F.sort_array("reviews"))
 
 
+def with_totals(nested: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Add total_reviews and parts of the whole group to each row of `nested`.
+
+    Those of hot groups come from the list of them, all others are in one row.
+    """
+    if hot is None:
+        return nested.withColumns({"total_reviews": total_reviews(), "parts": F.lit(1)})
+    listed = nested.join(hot, F.col(key) == F.col("_hot"), "left")
+    return (
+        listed.withColumn("total_reviews", F.coalesce(F.col("_total").cast("int"), total_reviews()))
+        .withColumn("parts", F.coalesce("_parts", F.lit(1)))
+        .drop("_hot", "_parts", "_total")
+    )
+
+
 def total_reviews(reviews: str = "reviews") -> Column:
     """Length of the array, 0 for null."""
     return F.coalesce(F.array_size(reviews), F.lit(0))

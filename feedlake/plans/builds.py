@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedlake import fixed_values as V
 from feedlake import schemas
 from feedlake.operators import extract, joins, nest, standardize
-from feedlake.operators.audit import observed
+from feedlake.operators.audit import audit_counts, observed
 from feedlake.operators.dedup import dedup
 from feedlake.sources import documents as docs
 from feedlake.sources import tables
@@ -81,7 +81,8 @@ def _unique_reviews(
     if long is not None:
         # Many rows need not be many reviews: only the latter make parts.
         listed = reviews.join(long, F.col("gen_id") == F.col("_hot"), "left_semi")
-        hot = nest.hot_groups(listed.select("gen_id", "review_id").distinct(), "gen_id", limit)
+        distinct = listed.select("gen_id", "review_id").distinct()
+        hot = nest.hot_groups(distinct, "gen_id", limit, member="review_id")
         if hot is not None:
             rows, group = nest.deal(rows, "gen_id", "review_id", hot), ["gen_id", "part"]
         crowded = nest.has_more(rows, group, 4 * limit)
@@ -93,7 +94,9 @@ def _unique_reviews(
 def final_frame(
     rental: DataFrame, reviews: DataFrame, limit: int = nest.ROW_LIMIT
 ) -> DataFrame:
-    """One row per property of both tables, its reviews nested, and `part`.
+    """One row per property of both tables with its reviews nested, total_reviews, part, parts.
+
+    A property with more than `limit` reviews has several rows, numbered in `part`.
 
     Same rows as joining the tables, dropping duplicate (id, review_id) and grouping by
     all property columns, but the reviews are nested by their key alone before the join:
@@ -105,7 +108,7 @@ def final_frame(
         list(V.REVIEW_FIELDS),
         limit,
     )
-    nested = nest.nest(unique, group)
+    nested = nest.with_totals(nest.nest(unique, group), "gen_id", hot)
     property_rows = dedup(rental, ["id"])
     if hot is None:
         joined = property_rows.join(nested, F.col("id") == F.col("gen_id"), "inner")
@@ -113,11 +116,11 @@ def final_frame(
     else:
         property_rows = nest.repeat(property_rows, "id", hot).withColumnRenamed("id", "gen_id")
         joined = property_rows.join(nested, group, "inner").withColumnRenamed("gen_id", "id")
-    return joined.select(*V.RENTAL_COLUMNS, "reviews", "part")
+    return joined.select(*V.RENTAL_COLUMNS, "reviews", "total_reviews", "part", "parts")
 
 
 def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> DataFrame:
-    """One row per property of property_reviews, its reviews nested, and `part`.
+    """One row per property of property_reviews, as `final_frame` makes them.
 
     Rows without an id make one property, as null keys compare equal. However many they
     are, they are reduced by the dedup before they move, apart from the rest.
@@ -125,21 +128,21 @@ def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> D
     property_columns = list(V.REVIEWED_PROPERTY_COLUMNS)
     columns = [*property_columns, *V.REVIEW_FIELDS]
 
-    def nested(unique: DataFrame, group: list[str]) -> DataFrame:
+    def nested(unique: DataFrame, group: list[str], hot: DataFrame | None) -> DataFrame:
         described = F.min(F.struct(*[c for c in property_columns if c != "gen_id"]))
         rows = nest.nest(unique, group, extra=[described.alias("_property")])
         if "part" not in group:
             rows = rows.withColumn("part", F.lit(0))
-        return rows.select("gen_id", "_property.*", "reviews", "part").select(
-            *property_columns, "reviews", "part"
-        )
+        rows = nest.with_totals(rows, "gen_id", hot)
+        counted = ("reviews", "total_reviews", "part", "parts")
+        return rows.select("gen_id", "_property.*", *counted).select(*property_columns, *counted)
 
     has_id = F.col("gen_id").isNotNull()
-    unique, group, _ = _unique_reviews(reviews.where(has_id), columns, columns, limit)
+    unique, group, hot = _unique_reviews(reviews.where(has_id), columns, columns, limit)
     without_id = dedup(
         reviews.where(~has_id).select(*columns), ["gen_id", "review_id"], order=columns
     )
-    return nested(unique, group).unionAll(nested(without_id, ["gen_id"]))
+    return nested(unique, group, hot).unionAll(nested(without_id, ["gen_id"], None))
 
 
 # --- the builds ----------------------------------------------------------------------
@@ -173,8 +176,13 @@ def build_rental(
     dedup_search: bool = False,
     backup: bool = False,
 ) -> dict:
-    """Write rental_property; returns the counts observed by the write."""
+    """Write rental_property; returns the counts observed by the write, and those of the feeds.
+
+    The latter (operators.audit.audit_counts) read the keys of both feeds once more. Mode
+    "full" refuses to replace the table if no listing has an id.
+    """
     spark = details.sparkSession
+    _refuse_empty(details, mode)
     rows, _ = rental_frames(details, search, dedup_search)
     path = f"{root}/{RENTAL}"
     counts = _write(
@@ -188,7 +196,15 @@ def build_rental(
     )
     if backup:
         tables.write_backup(read_rental(spark, root), f"{root}/{BACKUP}")
-    return counts
+    offers = extract.extract_search(search)
+    if dedup_search:
+        offers = dedup(offers, ["search_id"])
+    return counts | audit_counts(extract.extract_details(details), offers).first().asDict()
+
+
+def _refuse_empty(details: DataFrame, mode: str) -> None:
+    if mode == "full" and extract.clean_missing_key(extract.extract_details(details)).isEmpty():
+        raise ValueError("the details feed has no listing with an id; the table is left as it is")
 
 
 def build_reviews(
@@ -200,8 +216,10 @@ def build_reviews(
 ) -> dict:
     """Write property_reviews; returns the counts observed by the write.
 
-    Rows of a property lie together, which makes its repeated columns small.
+    Rows of a property lie together, which makes its repeated columns small. Mode "full"
+    refuses to replace the table if no listing has an id.
     """
+    _refuse_empty(details, mode)
     return _write(
         reviews_frame(details, reviews, dedup_properties),
         f"{root}/{REVIEWS}",
@@ -214,9 +232,11 @@ def build_reviews(
     )
 
 
-def build_review_documents(spark: SparkSession, root: str, per_key: bool = False) -> None:
-    """Write the documents made from property_reviews alone."""
-    nested = review_documents_frame(read_reviews(spark, root))
+def build_review_documents(
+    spark: SparkSession, root: str, per_key: bool = False, limit: int = nest.ROW_LIMIT
+) -> None:
+    """Write the documents made from property_reviews alone, of up to `limit` reviews each."""
+    nested = review_documents_frame(read_reviews(spark, root), limit)
     made = docs.documents(nested, V.REVIEWED_PROPERTY_COLUMNS, "gen_id", pretty=per_key)
     write = docs.write_document_files if per_key else docs.write_documents
     write(made, f"{root}/{REVIEW_DOCUMENTS}", "full")
@@ -228,11 +248,16 @@ def build_final(
     mode: str = "dynamic",
     per_key: bool = False,
     created_at: datetime | None = None,
+    limit: int = nest.ROW_LIMIT,
 ) -> dict:
-    """Write rentals_reviews from the two tables, then its documents from what was written."""
+    """Write rentals_reviews from the two tables, then its documents from what was written.
+
+    Rows and documents hold up to `limit` reviews. The documents are read from the countries
+    just written, no others.
+    """
     # One stamp for the batch, so that the rows of this build can be told from older ones.
     stamp = F.lit(created_at or datetime.now(UTC))
-    nested = final_frame(read_rental(spark, root), read_reviews(spark, root))
+    nested = final_frame(read_rental(spark, root), read_reviews(spark, root), limit)
     stamped = standardize.with_created_time(nested, stamp)
     counts = _write(
         stamped,
@@ -242,8 +267,14 @@ def build_final(
         FINAL,
         options=tables.LONG_ROWS,
         reviews=F.coalesce(F.sum(nest.total_reviews()), F.lit(0)),
+        listings=F.count_if(F.col("part") == 0),
+        countries=F.collect_set("country_code"),
     )
-    written = read_final(spark, root).where(F.col("created_time") == stamp)
+    countries = counts.pop("countries")  # as many as the table has partitions, at most
+    country = F.col("country_code")
+    batch = country.isin(countries) if countries else F.lit(False)
+    written = read_final(spark, root).where(batch | country.isNull())
+    written = written.where(F.col("created_time") == stamp)
     made = docs.documents(written, V.RENTAL_COLUMNS, "id", pretty=per_key)
     if per_key:
         docs.write_document_files(made, f"{root}/{FINAL_DOCUMENTS}", mode)
@@ -260,18 +291,20 @@ def build_all(
     root: str,
     mode: str = "dynamic",
     unique: bool = False,
+    limit: int = nest.ROW_LIMIT,
 ) -> dict:
     """All tables and documents; returns the counts of each build.
 
-    `unique` keeps one offer and one listing per id in the tables.
+    `unique` keeps one offer and one listing per id in the tables. `limit`: reviews of a
+    listing in one row or document. The feeds are read several times: stage them first.
     """
     spark = details.sparkSession
     counts = {
         RENTAL: build_rental(details, search, root, mode, dedup_search=unique, backup=True),
         REVIEWS: build_reviews(details, reviews, root, mode, dedup_properties=unique),
     }
-    build_review_documents(spark, root)
-    counts[FINAL] = build_final(spark, root, mode)
+    build_review_documents(spark, root, limit=limit)
+    counts[FINAL] = build_final(spark, root, mode, limit=limit)
     return counts
 
 

@@ -45,10 +45,13 @@ def snapshots_to_expire(
     retained = (
         snapshots.withColumn("_age", F.row_number().over(newest_first))
         .where(F.col("_age") <= retain_last)
-        .select("table_name", "snapshot_id")
+        .select(F.col("table_name").alias("_table"), F.col("snapshot_id").alias("_snapshot"))
     )
     old = snapshots.where(_before(snapshots, "committed_at", older_than))
-    return old.join(retained, ["table_name", "snapshot_id"], "left_anti")
+    kept = F.col("table_name").eqNullSafe(F.col("_table")) & F.col("snapshot_id").eqNullSafe(
+        F.col("_snapshot")
+    )
+    return old.join(retained, kept, "left_anti")
 
 
 def orphan_files(

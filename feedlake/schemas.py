@@ -1,23 +1,27 @@
-"""Read schemas as DDL. Feeds and tables are always read with one of these, never inferred."""
+"""Read schemas as DDL. Feeds and tables are always read with one of these, never inferred.
+
+Numbers of the feeds that are cast later are read as text: feeds quote some of them, and a
+reader that expects a number makes null of those.
+"""
 
 DETAILS_FEED = """
     id string,
     name map<string,string>,
     location struct<country:string,city:string>,
     currency string,
-    rating struct<stars:double,review_score:double>,
+    rating struct<stars:string,review_score:string>,
     accommodation_type string,
-    number_of_rooms bigint,
-    is_genius boolean,
-    is_work_friendly boolean,
+    number_of_rooms string,
+    is_genius string,
+    is_work_friendly string,
     url string
 """
 
 SEARCH_FEED = """
     id string,
     currency string,
-    price struct<book:double>,
-    commission struct<percentage:double>,
+    price struct<book:string>,
+    commission struct<percentage:string>,
     products array<struct<policies:struct<meal_plan:struct<meals:array<string>>>>>,
     deep_link_url string,
     url string
@@ -26,7 +30,7 @@ SEARCH_FEED = """
 REVIEWS_FEED = """
     id string,
     reviews array<struct<
-        id:bigint, date:string, score:double, language:string,
+        id:string, date:string, score:string, language:string,
         summary:string, positive:string, negative:string,
         reviewer:struct<name:string,country:string,travel_purpose:string,type:string>>>
 """
@@ -83,13 +87,19 @@ _NESTED_REVIEWS = """
         reviewer_country:string, reviewer_travel_purpose:string, reviewer_type:string>>
 """
 
-# `part` is 0 but for properties whose reviews are too many for one row (operators.nest).
+# `part` is 0 and `parts` 1 but for properties whose reviews are too many for one row
+# (operators.nest); total_reviews is of the whole property.
 RENTALS_REVIEWS = (
-    RENTAL_PROPERTY + "," + _NESTED_REVIEWS + ", part int, created_time timestamp"
+    RENTAL_PROPERTY
+    + ","
+    + _NESTED_REVIEWS
+    + ", total_reviews int, part int, parts int, created_time timestamp"
 )
 
 _DOCUMENT_REVIEWS = """
     total_reviews int,
+    part int,
+    parts int,
     reviews array<struct<
         review_id:bigint, review_date:string, review_year:int, score:double,
         language:string, summary:string, positive:string, negative:string,

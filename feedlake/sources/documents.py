@@ -24,14 +24,23 @@ def _document_reviews(nested: DataFrame) -> Column:
     return F.coalesce(F.col("reviews").cast(T.ArrayType(renamed)), F.array())
 
 
+def _counts(nested: DataFrame) -> list[Column]:
+    """total_reviews, part and parts; those of a single document if `nested` does not say."""
+    single = {"total_reviews": total_reviews(), "part": F.lit(0), "parts": F.lit(1)}
+    return [
+        (F.col(name) if name in nested.columns else value).cast("int").alias(name)
+        for name, value in single.items()
+    ]
+
+
 def documents(
     nested: DataFrame, scalars: Sequence[str], key: str, pretty: bool = False
 ) -> DataFrame:
     """(doc_key, country_code, document) for each row of `nested`.
 
-    The document holds `scalars`, total_reviews and reviews, nulls included, on one line
-    unless `pretty`. Further parts of a property too big for one row are documents of their
-    own, numbered in their key.
+    The document holds `scalars`, total_reviews, part, parts and reviews, nulls included, on
+    one line unless `pretty`. A property too big for one row has several documents: part is
+    then the number of each, also in its key, and total_reviews and parts are of the whole.
     """
     doc_key = document_key(F.col(key))
     if "part" in nested.columns:
@@ -39,7 +48,7 @@ def documents(
         doc_key = F.when(part > 0, F.concat_ws(".", doc_key, part)).otherwise(doc_key)
     body = F.struct(
         *scalars,
-        total_reviews().alias("total_reviews"),
+        *_counts(nested),
         _document_reviews(nested).alias("reviews"),
     )
     return nested.select(

@@ -19,8 +19,17 @@ def _text_columns(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [name for name in names if isinstance(df.schema[name].dataType, T.StringType)]
 
 
-def _swap(name: str, old: str, new: str) -> Column:
-    return F.when(F.col(name) == old, new).otherwise(F.col(name))
+def _escaped(name: str) -> Column:
+    """Empty text, and text that starts with the marker, gets the marker before it."""
+    text = F.col(name)
+    marked = (text == "") | text.startswith(EMPTY_PARTITION)
+    return F.when(marked, F.concat(F.lit(EMPTY_PARTITION), text)).otherwise(text)
+
+
+def _plain(name: str) -> Column:
+    text = F.col(name)
+    after = F.substring(text, len(EMPTY_PARTITION) + 1, 2**31 - 1)
+    return F.when(text.startswith(EMPTY_PARTITION), after).otherwise(text)
 
 
 def spread_for_write(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
@@ -36,7 +45,7 @@ def spread_for_write(df: DataFrame, partition_columns: Sequence[str]) -> DataFra
 
 def encode_partitions(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     text = _text_columns(df, partition_columns)
-    return df.withColumns({name: _swap(name, "", EMPTY_PARTITION) for name in text})
+    return df.withColumns({name: _escaped(name) for name in text})
 
 
 def overwrite_option(mode: str) -> str:
@@ -90,7 +99,7 @@ def read_table(
     text = set(_text_columns(df, partition_columns))
     return df.select(
         *[
-            _swap(name, EMPTY_PARTITION, "").alias(name) if name in text else F.col(name)
+            _plain(name).alias(name) if name in text else F.col(name)
             for name in declared
         ]
     )

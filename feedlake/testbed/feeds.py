@@ -10,6 +10,7 @@ files; queries read those.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake import schemas
 from feedlake.plans import builds
@@ -179,7 +180,14 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
 
 
 def _staged(spark: SparkSession, sf_dir: str, name: str, dressed, schema: str) -> DataFrame:
-    path = _once(spark, sf_dir, name, lambda path: dressed(spark, sf_dir).write.parquet(path))
+    """The dressed rows with the types of the feed, numbers as text."""
+    fields = T.StructType.fromDDL(schema).fields
+
+    def make(path: str) -> None:
+        rows = dressed(spark, sf_dir)
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.parquet(path)
+
+    path = _once(spark, sf_dir, name, make)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -195,12 +203,13 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "reviews", _dressed_reviews, schemas.REVIEWS_FEED)
 
 
-def built_tables(spark: SparkSession, sf_dir: str, unique: bool = True) -> str:
+def built_tables(spark: SparkSession, sf_dir: str, unique: bool = False) -> str:
     """Folder of the tables built from the feeds: rental_property and property_reviews.
 
     Built on first use in a session, then read by every query on tables, as reports are.
-    They have one listing and one offer per id, so that the view of both stays as long as
-    the reviews are, however many offers and reviews one id has. Tests also take all.
+    They hold all listings and offers. Queries that return the pairs of both tables as rows
+    take `unique` ones, of one listing and one offer per id: there would be as many rows as
+    offers times reviews, on large feeds too many to write down.
     """
 
     def build(root: str) -> None:

@@ -18,10 +18,10 @@ def _ordered(columns) -> str:
     return ", ".join(f"{column} ASC NULLS FIRST" for column in columns)
 
 
-def _with_parts(body: str, needs: tuple[str, ...], all_rows: bool) -> str:
+def _with_parts(body: str, needs: tuple[str, ...], once: bool = False) -> str:
     """`body` with the parts it needs as common table expressions."""
     chosen: dict[str, str] = {}
-    parts = _PARTS | (_ALL_ROWS if all_rows else {})
+    parts = _PARTS | (_ONCE if once else {})
 
     def add(name: str) -> None:
         if name not in chosen:
@@ -286,13 +286,13 @@ _part("reviews_once", ("enriched_once",), _review_rows("enriched_once"))
 
 # --- the joined tables ---------------------------------------------------------------
 
-# The tables that queries read: built from feeds with one listing and one offer per id, or
-# (for tests) with all of them.
-_part("rental_table", ("rental_once",), "SELECT * FROM rental_once")
-_part("reviews_table", ("reviews_once",), "SELECT * FROM reviews_once")
-_ALL_ROWS = {
-    "rental_table": (("rental_property",), "SELECT * FROM rental_property"),
-    "reviews_table": (("property_reviews",), "SELECT * FROM property_reviews"),
+# The tables that queries read hold all listings and offers; those whose pairs are returned as
+# rows, one of each per id.
+_part("rental_table", ("rental_property",), "SELECT * FROM rental_property")
+_part("reviews_table", ("property_reviews",), "SELECT * FROM property_reviews")
+_ONCE = {
+    "rental_table": (("rental_once",), "SELECT * FROM rental_once"),
+    "reviews_table": (("reviews_once",), "SELECT * FROM reviews_once"),
 }
 _part(
     "combined",
@@ -321,12 +321,17 @@ _part(
         PARTITION BY id, review_id
         ORDER BY {_ordered([*V.RENTAL_COLUMNS[1:], *V.REVIEW_FIELDS[1:], *_RENAMED])}) = 1""",
 )
-_NESTED = """count(review_id)::INTEGER AS total_reviews,
+_NESTED = """sum(count(review_id)) OVER (PARTITION BY {0})::INTEGER AS total_reviews,
+           any_value(coalesce(parts, 1))::INTEGER AS parts,
            coalesce(string_agg(review_id::VARCHAR, ',' ORDER BY review_id), '') AS review_ids,
            coalesce(string_agg(concat_ws('|', review_date, review_year, review_summary,
                         review_positive, reviewer_name, reviewer_type), ';' ORDER BY review_id)
                     FILTER (WHERE review_id IS NOT NULL), '') AS review_texts"""
-# A property with more than 10,000 reviews has several rows, its reviews dealt by a hash.
+# Rows without an id are one property for each set of its columns.
+_OWN = ", ".join(V.REVIEWED_PROPERTY_COLUMNS)
+# A property with more than 10,000 reviews has several rows, its reviews dealt by a hash; some
+# queries split at 5.
+_LOW_LIMIT = ("10000", "5")
 _DEALT = """CASE WHEN parts IS NULL THEN 0
            ELSE coalesce(('0x' || substr(md5({}::VARCHAR), 1, 8))::BIGINT % parts, 0)
            END::INTEGER AS part"""
@@ -342,7 +347,7 @@ _part(
     "final_documents",
     ("joined_unique", "long"),
     f"""
-    SELECT {", ".join(V.RENTAL_COLUMNS)}, part, {_NESTED}
+    SELECT {", ".join(V.RENTAL_COLUMNS)}, part, {_NESTED.format("id")}
     FROM (SELECT *, {_DEALT.format("review_id")} FROM joined_unique
           LEFT JOIN long ON id = long_id)
     GROUP BY {", ".join(V.RENTAL_COLUMNS)}, part""",
@@ -360,7 +365,7 @@ _part(
     "review_documents",
     ("reviews_unique", "long"),
     f"""
-    SELECT {", ".join(V.REVIEWED_PROPERTY_COLUMNS)}, part, {_NESTED}
+    SELECT {", ".join(V.REVIEWED_PROPERTY_COLUMNS)}, part, {_NESTED.format(_OWN)}
     FROM (SELECT *, {_DEALT.format("review_id")} FROM reviews_unique
           LEFT JOIN long ON gen_id = long_id)
     GROUP BY {", ".join(V.REVIEWED_PROPERTY_COLUMNS)}, part""",
@@ -409,27 +414,39 @@ def _distinct(*columns: str) -> str:
     return _BASE.format(", ".join(columns))
 
 
-def expected(all_rows: bool = False) -> dict[str, str]:
-    """Query name to SQL; with `all_rows` on tables built with all listings and offers."""
+def expected() -> dict[str, str]:
+    """Query name to SQL."""
 
-    def sql(body: str, *needs: str) -> str:
-        return _with_parts(body, needs, all_rows)
+    def sql(body: str, *needs: str, once: bool = False) -> str:
+        return _with_parts(body, needs, once)
 
     view_order = _ordered(["id", "review_id", *V.RENTAL_COLUMNS, "property_id", *V.REVIEW_FIELDS])
     queries = {
         # sources and sinks
         "scan_feed": sql(
-            "SELECT id, coalesce(en_us, de, it, pt) AS name, country, city, currency, stars,"
-            " review_score, accommodation_type, number_of_rooms, is_genius, is_work_friendly,"
+            "SELECT id, coalesce(en_us, de, it, pt) AS name, country, city, currency,"
+            " CASE WHEN stars <> 2 THEN stars END AS stars, review_score, accommodation_type, number_of_rooms, is_genius, is_work_friendly,"
             " url FROM details",
             "details",
         ),
         "scan_feed_search": sql(
-            "SELECT id AS search_id, price AS usd_price, commission AS commission_pct, meals AS"
+            "SELECT id AS search_id, CASE WHEN url NOT LIKE '%7' THEN price END AS usd_price,"
+            " commission AS commission_pct, meals AS"
             " meal_plan, deep_link_url, currency AS search_currency FROM search",
             "search",
         ),
-        "scan_feed_reviews": sql("SELECT * FROM flat_reviews", "flat_reviews"),
+        "scan_feed_reviews": sql(
+            "SELECT * REPLACE (CASE WHEN review_id % 10 <> 7 THEN review_individual_score END"
+            " AS review_individual_score,"
+            " CASE WHEN review_id % 100 <> 99 THEN review_id END AS review_id) FROM flat_reviews",
+            "flat_reviews",
+        ),
+        "feed_problems": sql(
+            "SELECT 'details' AS feed, count(*) AS records, 0::BIGINT AS missed FROM details"
+            " UNION ALL SELECT 'reviews', count(*), 0 FROM records",
+            "details",
+            "records",
+        ),
         "table_scan": sql("SELECT * FROM rental_table", "rental_table"),
         "write_partitioned": f"SELECT {_LINEITEM} FROM lineitem",
         "write_partitioned_2level": _SHIPPED,
@@ -448,19 +465,22 @@ def expected(all_rows: bool = False) -> dict[str, str]:
                         THEN o_orderdate END AS created_time
             FROM orders""",
         "backup_parquet": sql("SELECT * FROM rental_table", "rental_table"),
-        "property_documents": sql(
-            "SELECT * EXCLUDE (part) FROM final_documents", "final_documents"
-        ),
-        "review_documents": sql(
-            "SELECT * EXCLUDE (part) FROM review_documents", "review_documents"
-        ),
+        "property_documents": sql("SELECT * FROM final_documents", "final_documents"),
+        "review_documents": sql("SELECT * FROM review_documents", "review_documents"),
+        "property_documents_in_parts": sql(
+            "SELECT * FROM final_documents", "final_documents"
+        ).replace(*_LOW_LIMIT),
+        "review_documents_in_parts": sql(
+            "SELECT * FROM review_documents", "review_documents"
+        ).replace(*_LOW_LIMIT),
         "doc_key": r"SELECT page_id, regexp_replace(url, '[/\\]', '_', 'g') AS doc_key FROM pages",
-        "combined_view": sql("SELECT * FROM combined", "combined"),
+        "combined_view": sql("SELECT * FROM combined", "combined", once=True),
         "combined_sql": sql(
             "SELECT meal_plan, review_language, count(*) AS rows,"
             " round(avg(review_individual_score), 2) AS avg_score"
             " FROM combined GROUP BY meal_plan, review_language",
             "combined",
+            once=True,
         ),
         "row_count": 'SELECT count(*) AS "rows", 11::INTEGER AS "columns" FROM lineitem',
         # extraction and derivation
@@ -534,7 +554,7 @@ def expected(all_rows: bool = False) -> dict[str, str]:
             "SELECT o_orderkey AS source_id, o_custkey, l_orderkey AS source_id_r, l_linenumber,"
             " l_quantity FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"
         ),
-        "join_tables": sql("SELECT * FROM joined", "joined"),
+        "join_tables": sql("SELECT * FROM joined", "joined", once=True),
         "dedup_key": sql("SELECT * FROM unique_details", "unique_details"),
         "dedup_reviews": f"""
             SELECT {_LINEITEM} FROM lineitem
@@ -575,6 +595,26 @@ def expected(all_rows: bool = False) -> dict[str, str]:
             "extracted",
             "matched",
         ),
+        "build_counts": sql(
+            """
+            SELECT 'rows' AS name, count(*) AS n FROM rental_property UNION ALL
+            SELECT 'needs_review', count(*) FROM rental_property
+            WHERE data_quality_flag = 'NEEDS_REVIEW' UNION ALL
+            SELECT 'missing_commission', count(*) FROM rental_property
+            WHERE commission IS NULL UNION ALL
+            SELECT 'details_rows', count(*) FROM extracted UNION ALL
+            SELECT 'dropped_missing_key', count(*) FROM extracted
+            WHERE coalesce(source_id, '') = '' UNION ALL
+            SELECT 'removed_duplicates', count(*) - (SELECT count(*) FROM unique_details)
+            FROM extracted WHERE source_id <> '' UNION ALL
+            SELECT 'matched_rows', count(*) FROM matched UNION ALL
+            SELECT 'unmatched_rows', count(*) FROM unique_details
+            WHERE source_id NOT IN (SELECT search_id FROM offers WHERE search_id IS NOT NULL)
+            UNION ALL
+            SELECT 'defaulted_prices', count(*) FROM matched WHERE usd_price IS NULL""",
+            "rental_property",
+            "extracted",
+        ),
         # reports
         "sample_rows": sql(
             f"SELECT {', '.join(V.SAMPLE_COLUMNS)} FROM combined ORDER BY {view_order} LIMIT 10",

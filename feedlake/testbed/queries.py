@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from feedlake.sources import documents, tables
 from feedlake.sources import feeds as sources
 from feedlake.testbed import feeds
 from feedlake.testbed.feeds import table
-from feedlake.workspace import work_folder
+from feedlake.workspace import kept, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,35 +42,72 @@ def _json_lines(df: DataFrame, name: str) -> str:
 
 @query
 def scan_feed(spark, sf_dir):
-    path = _json_lines(feeds.details(spark, sf_dir), "details")
+    """JSON text with quoted numbers; some ratings are no numbers."""
+    rows = feeds.details(spark, sf_dir)
+    stars = F.when(F.col("rating.stars") == "2.0", "two").otherwise(F.col("rating.stars"))
+    rows = rows.withColumn("rating", F.col("rating").withField("stars", stars))
+    path = _json_lines(rows, "details")
     return sources.read_details(spark, path).select(
         "id",
         names.preferred_name(F.col("name")).alias("name"),
         "location.country",
         "location.city",
         "currency",
-        "rating.stars",
-        "rating.review_score",
+        F.col("rating.stars").try_cast("double").alias("stars"),
+        F.col("rating.review_score").try_cast("double").alias("review_score"),
         "accommodation_type",
-        "number_of_rooms",
-        "is_genius",
-        "is_work_friendly",
+        extract.whole_number(F.col("number_of_rooms")).alias("number_of_rooms"),
+        F.col("is_genius").try_cast("boolean").alias("is_genius"),
+        F.col("is_work_friendly").try_cast("boolean").alias("is_work_friendly"),
         "url",
     )
 
 
 @query
 def scan_feed_search(spark, sf_dir):
-    path = _json_lines(feeds.search(spark, sf_dir), "search")
+    """JSON text with quoted numbers; some prices are no numbers."""
+    rows = feeds.search(spark, sf_dir)
+    odd = F.col("url").endswith("7")
+    price = F.col("price").withField("book", F.when(odd, "free").otherwise(F.col("price.book")))
+    path = _json_lines(rows.withColumn("price", price), "search")
     return extract.extract_search(sources.read_search(spark, path))
 
 
 @query
 def scan_feed_reviews(spark, sf_dir):
-    path = _json_lines(feeds.reviews(spark, sf_dir), "reviews")
+    """JSON text with quoted numbers; ids as fractions, and some ids and scores no numbers."""
+
+    def written(review: Column) -> Column:
+        number = review["id"].try_cast("bigint")
+        id = F.when(number % 10 == 3, F.concat(review["id"], F.lit(".0"))).when(
+            number % 100 == 99, F.concat(F.lit("x"), review["id"])
+        )
+        score = F.when(number % 10 == 7, "n/a").otherwise(review["score"])
+        return review.withField("id", F.coalesce(id, review["id"])).withField("score", score)
+
+    rows = feeds.reviews(spark, sf_dir).withColumn("reviews", F.transform("reviews", written))
+    path = _json_lines(rows, "reviews")
     return extract.explode_reviews(sources.read_reviews(spark, path))
 
 
+@query
+def feed_problems(spark, sf_dir):
+    """Feeds with every tenth line cut short: how many records could not be read."""
+    found = []
+    for name, read in (("details", sources.read_details), ("reviews", sources.read_reviews)):
+        lines = spark.read.text(_json_lines(getattr(feeds, name)(spark, sf_dir), name))
+        tenth = F.crc32("value") % 10 == 0
+        path = work_folder(spark, f"cut-{name}")
+        short = F.substring(F.col("value"), F.lit(1), F.length("value") - 1)
+        lines.select(F.when(tenth, short).otherwise(F.col("value"))).write.text(path)
+        counts = sources.problems(kept(read(spark, path), "read"))
+        cut = lines.agg(F.count_if(tenth).alias("cut"))
+        found.append(counts.select(F.lit(name).alias("feed"), "records", F.col("bad").alias("missed")))
+        found.append(cut.select(F.lit(name), F.lit(0).cast("long"), -F.col("cut")))
+    rows = reduce(DataFrame.unionAll, found).groupBy("feed")
+    return rows.agg(F.sum("records").alias("records"), F.sum("missed").alias("missed"))
+
+
 @query
 def table_scan(spark, sf_dir):
     return builds.read_rental(spark, feeds.built_tables(spark, sf_dir))
@@ -165,7 +203,7 @@ def _flat(df: DataFrame, *scalars: str | Column) -> DataFrame:
 
     return df.select(
         *scalars,
-        nest.total_reviews().alias("total_reviews"),
+        "total_reviews",
         F.array_join(ids, ",").alias("review_ids"),
         F.array_join(F.transform("reviews", describe), ";").alias("review_texts"),
     )
@@ -177,25 +215,49 @@ def _documents_back(made: DataFrame, schema: str, name: str) -> DataFrame:
     return documents.read_documents(made.sparkSession, path, schema)
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    root = feeds.built_tables(spark, sf_dir)
+def _tables(
+    spark: SparkSession, sf_dir: str, unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    root = feeds.built_tables(spark, sf_dir, unique)
     return builds.read_rental(spark, root), builds.read_reviews(spark, root)
 
 
-@query
-def property_documents(spark, sf_dir):
-    nested = builds.final_frame(*_tables(spark, sf_dir))
+#: Reviews of a row in the queries that show how long listings are split.
+LOW_LIMIT = 5
+
+
+def _property_documents(spark, sf_dir, limit: int) -> DataFrame:
+    nested = builds.final_frame(*_tables(spark, sf_dir), limit)
     made = documents.documents(nested, V.RENTAL_COLUMNS, "id")
     back = _documents_back(made, schemas.FINAL_DOCUMENT, "final_data")
-    return _flat(back, *V.RENTAL_COLUMNS)
+    return _flat(back, *V.RENTAL_COLUMNS, "part", "parts")
 
 
-@query
-def review_documents(spark, sf_dir):
-    nested = builds.review_documents_frame(_tables(spark, sf_dir)[1])
+def _review_documents(spark, sf_dir, limit: int) -> DataFrame:
+    nested = builds.review_documents_frame(_tables(spark, sf_dir)[1], limit)
     made = documents.documents(nested, V.REVIEWED_PROPERTY_COLUMNS, "gen_id")
     back = _documents_back(made, schemas.REVIEW_DOCUMENT, "property_data")
-    return _flat(back, *V.REVIEWED_PROPERTY_COLUMNS)
+    return _flat(back, *V.REVIEWED_PROPERTY_COLUMNS, "part", "parts")
+
+
+@query
+def property_documents(spark, sf_dir):
+    return _property_documents(spark, sf_dir, nest.ROW_LIMIT)
+
+
+@query
+def review_documents(spark, sf_dir):
+    return _review_documents(spark, sf_dir, nest.ROW_LIMIT)
+
+
+@query
+def property_documents_in_parts(spark, sf_dir):
+    return _property_documents(spark, sf_dir, LOW_LIMIT)
+
+
+@query
+def review_documents_in_parts(spark, sf_dir):
+    return _review_documents(spark, sf_dir, LOW_LIMIT)
 
 
 @query
@@ -206,13 +268,13 @@ def doc_key(spark, sf_dir):
 
 @query
 def combined_view(spark, sf_dir):
-    return joins.combined_view(*_tables(spark, sf_dir))
+    return joins.combined_view(*_tables(spark, sf_dir, unique=True))
 
 
 @query
 def combined_sql(spark, sf_dir):
     """Free SQL over the registered view."""
-    builds.register_combined_view(spark, feeds.built_tables(spark, sf_dir))
+    builds.register_combined_view(spark, feeds.built_tables(spark, sf_dir, unique=True))
     return spark.sql(
         "SELECT meal_plan, review_language, count(*) AS rows,"
         " round(avg(review_individual_score), 2) AS avg_score"
@@ -373,7 +435,7 @@ def properties_left_reviews(spark, sf_dir):
 
 @query
 def join_tables(spark, sf_dir):
-    return joins.join_tables(*_tables(spark, sf_dir))
+    return joins.join_tables(*_tables(spark, sf_dir, unique=True))
 
 
 @query
@@ -406,7 +468,8 @@ def property_base(spark, sf_dir):
 
 @query
 def nest_reviews(spark, sf_dir):
-    return _flat(builds.final_frame(*_tables(spark, sf_dir)), *V.RENTAL_COLUMNS, "part")
+    nested = builds.final_frame(*_tables(spark, sf_dir))
+    return _flat(nested, *V.RENTAL_COLUMNS, "part", "parts")
 
 
 @query
@@ -435,6 +498,18 @@ def audit_counts(spark, sf_dir):
     return audit.audit_counts(extract_details(spark, sf_dir), extract_search(spark, sf_dir))
 
 
+@query
+def build_counts(spark, sf_dir):
+    """The counts that the rental build returns."""
+    root = work_folder(spark, "counted")
+    counts = builds.build_rental(feeds.details(spark, sf_dir), feeds.search(spark, sf_dir), root)
+    rows = [
+        F.struct(F.lit(name).alias("name"), F.lit(n).cast("long").alias("n"))
+        for name, n in counts.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 # --- reports -------------------------------------------------------------------------
 
 

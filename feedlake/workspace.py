@@ -1,26 +1,15 @@
 """Where intermediate tables go."""
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _temporary_folder() -> str:
-    return tempfile.mkdtemp(prefix="feedlake-")
-
-
 def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the cluster names in spark.checkpoint.dir, which all executors share.
-
-    Only a local session without that setting (tests) gets a temporary folder instead.
-    """
+    """The folder all executors share: spark.checkpoint.dir, or else the checkpoint folder set
+    on the SparkContext. None if neither is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named or not spark.conf.get("spark.master", "").startswith("local"):
-        return named
-    return _temporary_folder()
+    return named or spark.sparkContext.getCheckpointDir()
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -32,13 +21,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to a work folder and read back, for a small result that is used again.
-
-    Without a shared folder it is left to be computed again.
-    """
-    spark = df.sparkSession
-    if not shared_folder(spark):
-        return df
-    path = work_folder(spark, name)
+    """`df` written to a work folder and read back, for a result that is used again."""
+    path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -37,12 +37,12 @@ def test_feed_layouts(spark, tmp_path, json_lines):
     df = feeds.read_details(spark, str(tmp_path), json_lines=json_lines)
     rows = {r.id: r for r in df.collect()}
     assert rows["12"].name == {"de": "Haus", "xx": "X"}
-    assert (rows["12"].rating.stars, rows["12"].rating.review_score) == (4.0, 8.5)
+    assert (rows["12"].rating.stars, rows["12"].rating.review_score) == ("4", "8.5")
     assert (rows["12"].currency, rows["13"].location) == (None, None)
 
 
 def test_partition_values_keep_their_type(spark, tmp_path):
-    values = ["01", "1", "", None, "a/b", "A B", "__EMPTY"]
+    values = ["01", "1", "", None, "a/b", "A B", "__EMPTY", "__EMPTY__", "__EMPTY____EMPTY__"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, code string")
     path = str(tmp_path / "t")
     tables.write_table(df, path, ["code"])
@@ -147,15 +147,20 @@ def read_lines(spark, path):
 def test_build_all(spark, tmp_path):
     root = str(tmp_path / "lake")
     counts = builds.build_all(*feeds_for_build(spark), root)
-    assert counts == {
-        "rental_property": {"rows": 3, "needs_review": 0, "missing_commission": 3},
-        "property_reviews": {"rows": 5, "reviews": 3, "needs_review": 1},
-        "rentals_reviews": {"rows": 2, "reviews": 2},
+    assert counts["rental_property"] == {
+        "rows": 3,
+        "needs_review": 0,
+        "missing_commission": 3,
+        **counts["rental_property"],
     }
+    assert counts["rental_property"]["matched_rows"] == 3
+    assert counts["property_reviews"] == {"rows": 5, "reviews": 3, "needs_review": 1}
+    assert counts["rentals_reviews"] == {"rows": 2, "reviews": 2, "listings": 2}
     final = {d["id"]: d for d in read_lines(spark, f"{root}/final_data")}
     assert set(final) == {"GEN-1", "GEN-2"}
     one = final["GEN-1"]
-    assert list(one) == [*V.RENTAL_COLUMNS, "total_reviews", "reviews"]
+    assert list(one) == [*V.RENTAL_COLUMNS, "total_reviews", "part", "parts", "reviews"]
+    assert (one["part"], one["parts"]) == (0, 1)
     assert (one["usd_price"], one["country_code"], one["commission"]) == (8.0, "GB", None)
     assert [(r["review_id"], r["score"], r["review_year"]) for r in one["reviews"]] == [
         (11, 8.0, 2023),
@@ -184,11 +189,10 @@ def test_builds_on_feeds_that_do_not_meet(spark, tmp_path):
     counts = builds.build_all(
         details, search_feed(spark, [dict(id="2")]), reviews_feed(spark, []), root
     )
-    assert counts == {
-        "rental_property": {"rows": 0, "needs_review": 0, "missing_commission": 0},
-        "property_reviews": {"rows": 1, "reviews": 0, "needs_review": 1},
-        "rentals_reviews": {"rows": 0, "reviews": 0},
-    }
+    rental = counts["rental_property"]
+    assert (rental["rows"], rental["details_rows"], rental["unmatched_rows"]) == (0, 1, 1)
+    assert counts["property_reviews"] == {"rows": 1, "reviews": 0, "needs_review": 1}
+    assert counts["rentals_reviews"] == {"rows": 0, "reviews": 0, "listings": 0}
     assert builds.read_final(spark, root).count() == 0
     assert [d["gen_id"] for d in read_lines(spark, f"{root}/property_data")] == ["GEN-1"]
 
@@ -227,7 +231,11 @@ def test_build_from_files(spark, tmp_path, capsys, layout):
         (tmp_path / name / "feed.json").write_text(text, "utf-8")
         given += [f"--{name}", str(tmp_path / name)]
     main(given + (["--arrays"] if layout == "arrays" else []))
-    assert json.loads(capsys.readouterr().out)["rentals_reviews"] == {"rows": 2, "reviews": 2}
+    assert json.loads(capsys.readouterr().out)["rentals_reviews"] == {
+        "rows": 2,
+        "reviews": 2,
+        "listings": 2,
+    }
     builds.build_all(details, search, reviews, str(tmp_path / "frames"))
     for folder in ("final_data", "property_data"):
         made = read_lines(spark, str(tmp_path / "lake" / folder))
@@ -322,6 +330,8 @@ class FakeSession:
     def __init__(self, **conf):
         settings = {key.replace("_", "."): value for key, value in conf.items()}
         self.conf = type("Conf", (), {"get": staticmethod(settings.get)})
+        folder = settings.get("checkpoint.folder")
+        self.sparkContext = type("Context", (), {"getCheckpointDir": lambda self: folder})()
 
 
 def test_shared_folder():
@@ -330,4 +340,44 @@ def test_shared_folder():
     unnamed = FakeSession(spark_master="yarn")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(unnamed, "x")
-    assert Path(work_folder(FakeSession(spark_master="local[2]"), "x")).parent.is_dir()
+    set_later = FakeSession(spark_master="local[2]", checkpoint_folder="/shared")
+    assert work_folder(set_later, "x").startswith("/shared/x-")
+
+
+def test_bad_records_stop_a_build_unless_allowed(spark, tmp_path):
+    records = "\n".join(json.dumps(r) for r in RECORDS) + '\n{"id": "14", "na'
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "details.json").write_text(records, "utf-8")
+    df = feeds.read_details(spark, str(tmp_path / "feed"))
+    with pytest.raises(ValueError, match="1 of 3 records"):
+        feeds.staged(df, str(tmp_path / "out"))
+    kept = feeds.staged(df, str(tmp_path / "out"), allow_bad=True)
+    assert {r.id for r in kept.collect()} == {"12", "13"}
+    assert [r.value for p in (tmp_path / "out").glob("*-bad") for r in spark.read.text(str(p)).collect()] == [
+        '{"id": "14", "na'
+    ]
+
+
+def test_an_array_feed_read_as_lines_is_refused(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "details.json").write_text(json.dumps(RECORDS, indent=1), "utf-8")
+    df = feeds.read_details(spark, str(tmp_path / "feed"))
+    with pytest.raises(ValueError, match="layout"):
+        feeds.staged(df, str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="cannot be staged"):
+        feeds.staged(df, str(tmp_path / "feed" / "x"), sources=[str(tmp_path / "feed")])
+    assert (tmp_path / "feed" / "details.json").exists()
+
+
+def test_a_full_build_does_not_empty_the_table(spark, tmp_path):
+    details, search, reviews = feeds_for_build(spark)
+    root = str(tmp_path)
+    builds.build_rental(details, search, root)
+    before = multiset(builds.read_rental(spark, root))
+    for build in (
+        lambda: builds.build_rental(details.limit(0), search, root, mode="full"),
+        lambda: builds.build_reviews(details.limit(0), reviews, root, mode="full"),
+    ):
+        with pytest.raises(ValueError, match="left as it is"):
+            build()
+    assert multiset(builds.read_rental(spark, root)) == before
