@@ -10,18 +10,20 @@ set are one class, and classes whose sets have the same size and the same prefix
    prefixes alone.
 2. Every document becomes a size, a hash of its whole set and a prefix. Classes and groups are
    aggregates of these; texts are not shuffled.
-3. In a first round every group is compared with one leader of each prefix shingle it has, and
-   every class with the leader of its group: as many pairs as rows, however large a family of
-   copies is. Pairs are verified on the whole sets, and components are made of the links.
-4. In a second round group pairs that share a prefix shingle, could be similar by their sizes
-   and lie in different components are expanded to their classes, and those in different
+3. Classes are compared with the leader of their group. In some rounds the groups of prefix
+   shingles that many have are then compared with a few leaders: no more pairs than rows,
+   however large a family of copies is. Pairs are verified on the whole sets, and components
+   are made of the links.
+4. Last, all group pairs in different components that share a shingle as early in their prefixes
+   as two similar sets of their sizes must are expanded to their classes, and those in different
    components are verified. This completes the links between components. What is left out
    are pairs in one component, which no link could change.
 
-The sets of the few classes that meet others are made again from the texts, found by a bitmap
+The sets of the few classes that are compared are made again from the texts, found by a bitmap
 of fixed size, instead of carrying the sets of all documents along.
 """
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,14 +36,23 @@ from feedlake.llm.components import components
 from feedlake.llm.frames import small_batches, written
 from feedlake.llm.shingles import common, shingle_sets, texts_of
 
-#: Counters of the sketch; 8 bytes each on the driver, 1 byte in a task.
-SKETCH = 1 << 20
+#: Counters of the sketch; a byte each, in a task, on the driver and in the broadcast.
+SKETCH = 1 << 24
 #: Rows the sketch is passed on in.
 SKETCH_PARTS = 64
+#: Sums are passed on as logarithms, in so many steps a doubling.
+STEPS = 8
 #: A shingle is common if its counter is above the mean by so many standard deviations of what
 #: rare shingles give, and by LEAST_COMMON more.
-DEVIATIONS = 5
-LEAST_COMMON = 16
+DEVIATIONS = 4
+LEAST_COMMON = 4
+#: Groups of one prefix shingle above which they are compared with leaders before each other.
+CROWD = 8
+#: Rounds of comparing with leaders, and leaders that a large family of copies has in each. More
+#: rounds leave fewer pairs for the last step, and each takes a pass over the texts.
+ROUNDS, LEADERS = 1, 4
+#: Bytes of text a task makes sets of at once.
+TEXTS = 2_000_000
 #: Bits of the bitmaps that say which sets or shingles are wanted; 2 MB.
 BITS = 1 << 24
 
@@ -73,20 +84,21 @@ def jaccard_join(documents: DataFrame, similarity: Similarity = Similarity()) ->
     """
     levels = _levels(documents, similarity)
     sets = written(_prefixes(documents, similarity, levels), "prefixes")
-    classes = _classes(sets)
-    groups = _groups(classes)
-    members = classes.join(groups.select("n", "prefix", "g"), ["n", "prefix"]).select(
-        "sig", "n", "g"
-    )
-    members = written(members, "members")
+    classes = written(_classes(sets), "classes")
+    groups = _groups(sets)
+    members = classes.join(groups.select("n", "start", "g", "leader"), ["n", "start"])
+    members = written(members.select("sig", "g", "leader"), "members")
     shared = _shared_prefixes(groups)
-    found = _leader_pairs(shared, members)
-    active = _active(shared, members)
-    shingles = _shingles(documents, similarity, active)
-    first = written(_verified(found, shingles, similarity), "links")
-    rooted = written(_with_component(members, components(first)), "rooted")
-    second = _verified(_cross_pairs(shared, rooted, similarity), shingles, similarity)
-    links = first.union(written(second, "links"))
+    crowded = written(_crowded(shared), "crowded")
+    rooted = members.withColumn("component", F.col("sig"))
+    own = members.select(F.col("leader").alias("a"), F.col("sig").alias("b")).where("a <> b")
+    links = _verified(written(own, "pairs"), documents, similarity)
+    for number in range(ROUNDS):
+        leaders = written(_leader_pairs(crowded, rooted, similarity, number), "pairs")
+        links = written(links.union(_verified(leaders, documents, similarity)), "links")
+        rooted = written(_with_component(members, components(links)), "rooted")
+    crossing = written(_cross_pairs(shared, rooted, similarity), "pairs")
+    links = links.union(written(_verified(crossing, documents, similarity), "links"))
     return _result(sets, classes, components(links))
 
 
@@ -94,10 +106,10 @@ def _sets(batch: pa.RecordBatch, similarity: Similarity) -> list[np.ndarray]:
     return shingle_sets(texts_of(batch, "text"), similarity.words)
 
 
-def _signature(values: np.ndarray) -> bytes:
+def _digest(data: bytes) -> bytes:
     import xxhash
 
-    return xxhash.xxh3_128_digest(values.tobytes())
+    return xxhash.xxh3_128_digest(data)
 
 
 def _levels(documents: DataFrame, similarity: Similarity) -> np.ndarray:
@@ -105,44 +117,44 @@ def _levels(documents: DataFrame, similarity: Similarity) -> np.ndarray:
     part = SKETCH // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, dtype=np.int64)
-        for batch in small_batches(batches, "text"):
+        counts = np.zeros(SKETCH, dtype=np.uint8)
+        for batch in small_batches(batches, "text", TEXTS):
             for values in _grouped(_sets(batch, similarity)):
-                places = (values % np.uint64(SKETCH)).astype(np.int64)
-                counts += np.bincount(places, minlength=SKETCH)
+                place, more = np.unique(values % np.uint64(SKETCH), return_counts=True)
+                counts[place] = np.minimum(counts[place] + more, 255)
         if counts.any():
-            yield from _parts(counts)
+            for number in range(SKETCH_PARTS):
+                yield _part(number, counts[number * part : (number + 1) * part], zlib.compress)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, data in zip(*(column.to_pylist() for column in batch.columns)):
-                values = np.frombuffer(data, dtype=np.uint32).astype(np.int64)
-                total[number] = total.get(number, 0) + values
+                values = np.frombuffer(zlib.decompress(data), dtype=np.uint8)
+                total[number] = total.get(number, 0) + values.astype(np.int64)
         for number, values in total.items():
-            yield _part(number, values)
-
-    def _parts(counts):
-        for number in range(SKETCH_PARTS):
-            yield _part(number, counts[number * part : (number + 1) * part])
+            yield _part(number, np.minimum(np.round(STEPS * np.log2(1 + values)), 255))
 
-    def _part(number, values):
-        data = np.minimum(values, 2**32 - 1).astype(np.uint32).tobytes()
+    def _part(number, values, pack=lambda data, level: data):
+        data = pack(values.astype(np.uint8).tobytes(), 1)
         return pa.RecordBatch.from_pydict(
             {"part": pa.array([number], pa.int32()), "counts": pa.array([data], pa.binary())}
         )
 
     schema = "part int, counts binary"
     summed = documents.select("text").mapInArrow(count, schema).repartition("part")
-    counts = np.zeros(SKETCH, dtype=np.int64)
-    for row in summed.mapInArrow(add, schema).collect():  # SKETCH counters, whatever the input
-        values = np.frombuffer(row["counts"], dtype=np.uint32)
-        counts[row["part"] * part : (row["part"] + 1) * part] = values
-    least = counts.mean() + DEVIATIONS * counts.mean() ** 0.5 + LEAST_COMMON
-    return np.where(counts > least, 1 + np.log2(np.maximum(counts, 1) / least), 0).astype(np.uint8)
-
-
-def _grouped(sets: list[np.ndarray], size: int = 2_000_000):
+    codes = np.zeros(SKETCH, dtype=np.uint8)
+    for row in summed.mapInArrow(add, schema).toLocalIterator():  # SKETCH bytes in all
+        values = np.frombuffer(row["counts"], dtype=np.uint8)
+        codes[row["part"] * part : (row["part"] + 1) * part] = values
+    counts = 2.0 ** (np.arange(256) / STEPS) - 1
+    mean = float((np.bincount(codes, minlength=256) * counts).sum() / SKETCH)
+    least = mean + DEVIATIONS * mean**0.5 + LEAST_COMMON
+    level = np.where(counts > least, 1 + np.log2(np.maximum(counts, 1) / least), 0)
+    return level.astype(np.uint8)[codes]
+
+
+def _grouped(sets: list[np.ndarray], size: int = 500_000):
     """The values of many sets together, about `size` at a time."""
     held, count = [], 0
     for values in sets:
@@ -156,15 +168,16 @@ def _grouped(sets: list[np.ndarray], size: int = 2_000_000):
 
 
 def _prefixes(documents: DataFrame, similarity: Similarity, levels: np.ndarray) -> DataFrame:
-    """Per row doc_id, n (size of the set), sig (hash of the set) and prefix (its hashes)."""
+    """Per row doc_id, n (size of the set), sig (hash of the set), prefix (its hashes) and start
+    (a hash of the prefix)."""
     told = documents.sparkSession.sparkContext.broadcast(levels)  # a byte a counter
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             sizes, signatures, prefixes = [], [], []
             for values in _sets(batch, similarity):
                 sizes.append(len(values))
-                signatures.append(_signature(values))
+                signatures.append(_digest(values.tobytes()))
                 prefixes.append(_prefix(values))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -172,8 +185,9 @@ def _prefixes(documents: DataFrame, similarity: Similarity, levels: np.ndarray)
                     pa.array(sizes, pa.int64()),
                     pa.array(signatures, pa.binary()),
                     pa.array(prefixes, pa.binary()),
+                    pa.array([_digest(prefix) for prefix in prefixes], pa.binary()),
                 ],
-                ["doc_id", "n", "sig", "prefix"],
+                ["doc_id", "n", "sig", "prefix", "start"],
             )
 
     def _prefix(values: np.ndarray) -> bytes:
@@ -183,34 +197,28 @@ def _prefixes(documents: DataFrame, similarity: Similarity, levels: np.ndarray)
         order = np.argsort(level, kind="stable")  # values are sorted by hash already
         return values[order[: similarity.prefix(len(values))]].tobytes()
 
-    schema = "doc_id long, n long, sig binary, prefix binary"
+    schema = "doc_id long, n long, sig binary, prefix binary, start binary"
     ids = F.col("doc_id").cast("long").alias("doc_id")
     return documents.select(ids, "text").mapInArrow(cut, schema)
 
 
 def _classes(sets: DataFrame) -> DataFrame:
-    """One row per distinct set. Copies are summed up before they are shuffled."""
-    return (
-        sets.where("n > 0")
-        .groupBy("sig")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
-        )
-    )
+    """One row per distinct set: sig, doc_id (the smallest), n, start. Copies are summed up before
+    they are shuffled."""
+    return sets.where("n > 0").groupBy("sig", "n", "start").agg(F.min("doc_id").alias("doc_id"))
 
 
-def _groups(classes: DataFrame) -> DataFrame:
-    """Classes of one size and one prefix: g (a number), n, prefix, leader (a class), members."""
-    groups = classes.groupBy("n", "prefix").agg(
-        F.min("sig").alias("leader"), F.count("*").alias("members")
+def _groups(sets: DataFrame) -> DataFrame:
+    """Classes of one size and one prefix: g (a number), n, start, prefix, leader (a class)."""
+    groups = sets.where("n > 0").groupBy("n", "start").agg(
+        F.min("sig").alias("leader"), F.first("prefix").alias("prefix")
     )
     return written(groups.withColumn("g", F.monotonically_increasing_id()), "groups")
 
 
 def _shared_prefixes(groups: DataFrame) -> DataFrame:
-    """A row per group and prefix shingle that two groups have: t, g, n, leader."""
+    """A row per group and prefix shingle that two groups have: t, place (in
+    the prefix, from 0), g, n."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,13 +237,16 @@ def _shared_prefixes(groups: DataFrame) -> DataFrame:
                 some = batch.slice(at, 500)
                 prefixes = some.column("prefix").to_pylist()
                 values = np.frombuffer(b"".join(prefixes), dtype=np.int64)
-                row = np.repeat(np.arange(len(prefixes)), [len(p) // 8 for p in prefixes])
+                sizes = [len(p) // 8 for p in prefixes]
+                row = np.repeat(np.arange(len(prefixes)), sizes)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 there = _within(wanted.value, values)
                 kept = some.drop_columns(["prefix"]).take(pa.array(row[there]))
-                yield kept.append_column("t", pa.array(values[there]))
+                kept = kept.append_column("t", pa.array(values[there]))
+                yield kept.append_column("place", pa.array(place[there], pa.int32()))
 
-    fields = groups.select("g", "n", "leader", "prefix")
-    rows = fields.mapInArrow(keep, "g long, n long, leader binary, t long")
+    fields = groups.select("g", "n", "prefix")
+    rows = fields.mapInArrow(keep, "g long, n long, t long, place int")
     return written(rows, "shared")
 
 
@@ -274,24 +285,51 @@ def _within(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[byte] >> bit.astype(np.uint8)) & 1 == 1
 
 
-def _leader_pairs(shared: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of classes (a, b) to verify first: each with the leaders it has."""
-    leaders = shared.groupBy("t").agg(F.min(F.struct("leader", "n")).alias("first"))
-    pairs = shared.join(leaders, "t").select(
-        F.least("leader", "first.leader").alias("a"),
-        F.greatest("leader", "first.leader").alias("b"),
+def _crowded(shared: DataFrame) -> DataFrame:
+    """The rows of `shared` of prefix shingles that CROWD groups have, or more."""
+    many = shared.groupBy("t").count().where(F.col("count") >= CROWD).select("t")
+    return shared.join(many, "t", "left_semi").drop("place")
+
+
+def _spanned(shared: DataFrame, rooted: DataFrame) -> DataFrame:
+    """The rows of `shared` with the first and last component, low and high, of their group, of
+    the prefix shingles that more than one component has."""
+    rows = shared.join(_spans(rooted), "g")
+    split = rows.groupBy("t").agg(F.min("low").alias("l"), F.max("high").alias("h"))
+    return rows.join(split.where("l < h").select("t"), "t", "left_semi")
+
+
+def _spans(rooted: DataFrame) -> DataFrame:
+    return rooted.groupBy("g").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
-    groups = members.groupBy("g").agg(F.min("sig").alias("b"))
-    own = members.join(groups, "g").select(F.col("sig").alias("a"), "b")
-    return pairs.where("a <> b").distinct().union(own.where("a <> b")).distinct()
 
 
-def _active(shared: DataFrame, members: DataFrame) -> DataFrame:
-    """The classes (sig) that may meet another: in a group with others, or sharing a shingle."""
-    busy = shared.groupBy("t").agg(F.min("g").alias("low"), F.max("g").alias("high"))
-    meeting = shared.join(busy.where("low < high").select("t"), "t", "left_semi").select("g")
-    crowded = members.groupBy("g").count().where("count > 1").select("g")
-    return members.join(meeting.union(crowded).distinct(), "g", "left_semi").select("sig")
+def _leader_pairs(
+    crowded: DataFrame, rooted: DataFrame, similarity: Similarity, number: int
+) -> DataFrame:
+    """Pairs of classes (a, b) to verify in this round: each with leaders of another component.
+
+    A leader of a crowded prefix shingle is a group that has most of the crowded shingles: it
+    differs little from what its family has in common. Among such groups a hash decides, one of
+    LEADERS for shingles of the same family. Pairs share two such shingles at least.
+    """
+    central = crowded.groupBy("g").agg(F.count("*").alias("shared"))
+    rows = _spanned(crowded, rooted).join(central, "g")
+    rank = F.xxhash64("g", F.pmod("t", F.lit(LEADERS)), F.lit(number))
+    first = F.struct(-F.col("shared"), rank, "g", "n", "low", "high")
+    leaders = rows.groupBy("t").agg(F.min(first).alias("x"))
+    same = (F.col("low") == F.col("high")) & (F.col("low") == F.col("x.low")) & (
+        F.col("x.low") == F.col("x.high")
+    )
+    fits = F.least("n", "x.n") * similarity.den >= F.greatest("n", "x.n") * similarity.num
+    pairs = rows.join(leaders, "t").where((F.col("g") != F.col("x.g")) & ~same & fits)
+    counted = pairs.groupBy(F.least("g", "x.g").alias("g"), F.greatest("g", "x.g").alias("h"))
+    chosen = counted.count().where("count > 1").select("g", "h")
+    named = rooted.select("g", "leader").distinct()
+    ones = named.withColumnRenamed("leader", "a")
+    others = named.select(F.col("g").alias("h"), F.col("leader").alias("b"))
+    return chosen.join(ones, "g").join(others, "h").select("a", "b")
 
 
 def _low_bits(sig) -> F.Column:
@@ -300,67 +338,91 @@ def _low_bits(sig) -> F.Column:
 
 
 def _shingles(documents: DataFrame, similarity: Similarity, active: DataFrame) -> DataFrame:
-    """The whole sets of the active classes: sig, shingles (their hashes)."""
+    """The whole sets of the classes that `active` names: sig, histogram, shingles (their
+    hashes)."""
     wanted = documents.sparkSession.sparkContext.broadcast(
         _bitmap(active, _low_bits(F.col("sig")))
     )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             signatures, sets = [], []
             for values in _sets(batch, similarity):
                 if len(values):
-                    signatures.append(_signature(values))
+                    signatures.append(_digest(values.tobytes()))
                     sets.append(values)
             last = np.array([int.from_bytes(sig[12:], "big") for sig in signatures], dtype=np.int64)
             there = np.flatnonzero(_within(wanted.value, last)) if len(last) else []
             yield pa.RecordBatch.from_pydict(
                 {
                     "sig": pa.array([signatures[i] for i in there], pa.binary()),
+                    "histogram": pa.array([_histogram(sets[i]) for i in there], pa.binary()),
                     "shingles": pa.array([sets[i].tobytes() for i in there], pa.binary()),
                 }
             )
 
-    found = documents.select("text").mapInArrow(make, "sig binary, shingles binary")
-    return written(found.groupBy("sig").agg(F.first("shingles").alias("shingles")), "shingles")
+    found = documents.select("text").mapInArrow(
+        make, "sig binary, histogram binary, shingles binary"
+    )
+    once = [F.first(name).alias(name) for name in ("histogram", "shingles")]
+    return written(found.groupBy("sig").agg(*once), "shingles")
+
+
+def _histogram(values: np.ndarray) -> bytes:
+    """How many hashes of a set start with each byte. Empty if one count is too large."""
+    counts = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=256)
+    return b"" if counts.max() > 0xFFFF else counts.astype("<u2").tobytes()
+
+
+def _verified(pairs: DataFrame, documents: DataFrame, similarity: Similarity) -> DataFrame:
+    """The pairs of classes (a, b) whose whole sets are similar.
+
+    Two sets share no more hashes than the smaller counts of their histograms add up to. Only
+    pairs for which that is enough have their sets brought together.
+    """
+    both_sides = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    sets = _shingles(documents, similarity, both_sides)
+
+    def may_be(one: bytes, other: bytes) -> bool:
+        if not len(one) or not len(other):
+            return True
+        one, other = (np.frombuffer(x, dtype="<u2").astype(np.int64) for x in (one, other))
+        return similarity.linked(one.sum(), other.sum(), np.minimum(one, other).sum())
 
+    def are(one: bytes, other: bytes) -> bool:
+        one, other = (np.frombuffer(x, dtype=np.uint64) for x in (one, other))
+        return similarity.linked(len(one), len(other), common(one, other))
 
-def _verified(pairs: DataFrame, shingles: DataFrame, similarity: Similarity) -> DataFrame:
-    """The pairs of classes (a, b) whose whole sets are similar."""
+    near = written(_passing(pairs, sets, "histogram", may_be), "near")
+    return _passing(near, sets, "shingles", are)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _passing(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
+    """The pairs that pass a test of the values that both classes have in `column`."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for one, other in zip(batch.column("one"), batch.column("other")):
-                one = np.frombuffer(one.as_buffer(), dtype=np.uint64)
-                other = np.frombuffer(other.as_buffer(), dtype=np.uint64)
-                linked.append(similarity.linked(len(one), len(other), common(one, other)))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+            both = zip(batch.column("one"), batch.column("other"))
+            passed = [bool(test(x.as_buffer(), y.as_buffer())) for x, y in both]
+            yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    ones = shingles.select(F.col("sig").alias("a"), F.col("shingles").alias("one"))
-    others = shingles.select(F.col("sig").alias("b"), F.col("shingles").alias("other"))
-    size_a, size_b = F.length("one"), F.length("other")
-    sizes_fit = (F.least(size_a, size_b) * similarity.den >= F.greatest(size_a, size_b) * similarity.num)
-    both = pairs.join(ones, "a").join(others, "b").where(sizes_fit)
-    return both.select("a", "b", "one", "other").mapInArrow(verify, "a binary, b binary")
+    ones = sets.select(F.col("sig").alias("a"), F.col(column).alias("one"))
+    others = sets.select(F.col("sig").alias("b"), F.col(column).alias("other"))
+    joined = pairs.join(ones, "a").join(others, "b").select("a", "b", "one", "other")
+    return joined.mapInArrow(keep, "a binary, b binary")
 
 
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with the component of their class, which is the class itself if it has none."""
     roots = found.select(F.col("id").alias("sig"), "component")
     return members.join(roots, "sig", "left").select(
-        "sig", "g", "n", F.coalesce("component", "sig").alias("component")
+        "sig", "g", "leader", F.coalesce("component", "sig").alias("component")
     )
 
 
 def _cross_pairs(shared: DataFrame, rooted: DataFrame, similarity: Similarity) -> DataFrame:
     """Pairs of classes (a, b) that may be similar and lie in different components."""
-    spans = rooted.groupBy("g").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    rows = shared.join(spans, "g").select("t", "g", "n", "low", "high")
-    split = rows.groupBy("t").agg(F.min("low").alias("l"), F.max("high").alias("h"))
-    rows = rows.join(split.where("l < h").select("t"), "t", "left_semi")
+    rows = _spanned(shared, rooted)
     one, other = rows.alias("x"), rows.alias("y")
     apart = ~(
         (F.col("x.low") == F.col("x.high"))
@@ -368,9 +430,15 @@ def _cross_pairs(shared: DataFrame, rooted: DataFrame, similarity: Similarity) -
         & (F.col("x.low") == F.col("y.low"))
     )
     fits = F.least("x.n", "y.n") * similarity.den >= F.greatest("x.n", "y.n") * similarity.num
-    met = (F.col("x.t") == F.col("y.t")) & (F.col("x.g") < F.col("y.g")) & apart & fits
-    groups = one.join(other, met).select(F.col("x.g").alias("g"), F.col("y.g").alias("h")).distinct()
-    torn = spans.where("low < high").select("g", F.col("g").alias("h"))
+    # Of two similar sets, these first shingles of each are sure to have one in common.
+    asked = F.ceil(
+        F.lit(similarity.num) * (F.col("x.n") + F.col("y.n")) / (similarity.num + similarity.den)
+    )
+    early = (F.col("x.place") <= F.col("x.n") - asked) & (F.col("y.place") <= F.col("y.n") - asked)
+    met = (F.col("x.t") == F.col("y.t")) & (F.col("x.g") < F.col("y.g")) & apart & fits & early
+    pairs = one.join(other, met).select(F.col("x.g").alias("g"), F.col("y.g").alias("h"))
+    groups = pairs.distinct()
+    torn = _spans(rooted).where("low < high").select("g", F.col("g").alias("h"))
     left = rooted.select("g", F.col("sig").alias("a"), F.col("component").alias("ca"))
     right = rooted.select(
         F.col("g").alias("h"), F.col("sig").alias("b"), F.col("component").alias("cb")
