@@ -20,12 +20,18 @@ from pyspark.sql import functions as F
 from feedlake.llm.frames import fresh, small_batches
 
 # Fixed names of HTML elements.
-RAW = "script style noscript template textarea iframe title svg math object select".split()
+RAW = "script style noscript template textarea iframe title svg select".split()
 VOID = set("area base br col embed hr img input link meta source track wbr param".split())
 BOILERPLATE = set("nav footer aside form button menu dialog head".split())
 INLINE = set(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em embed font i img ins kbd label mark"
+    " object param q s samp small span strike strong sub sup time tt u var wbr".split()
+)
+#: Elements of formulas: inline, and without a score, as a formula has more tags than words.
+FORMULA = set(
+    "math maction menclose merror mfenced mfrac mglyph mi mmultiscripts mn mo mover mpadded mphantom"
+    " mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder"
+    " munderover none semantics annotation annotation-xml".split()
 )
 #: Parts of class, id and role that say an element is no part of an article.
 READERS = set("comment comments reply replies discussion disqus respond responses".split())
@@ -42,7 +48,8 @@ ARTICLES = {"article", "main"}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -80,7 +87,7 @@ class Page:
                     self._close(name)
                 else:
                     self._open(name, found["attributes"])
-            elif found["raw"]:
+            elif found["raw"] and found["raw"].lower() != "svg":
                 self.block += 1
         if at < len(source):
             self._text(source[at:])
@@ -92,6 +99,8 @@ class Page:
         self.tokens.append((kind, n, text, self.block, bool(self.article)))
 
     def _tag(self, name: str) -> None:
+        if name.removeprefix("/") in FORMULA:
+            return
         if name.removeprefix("/") not in INLINE:
             self.block += 1
         if name == "br":
@@ -100,7 +109,7 @@ class Page:
             self.tokens.append((f"<{name}>", 1, "", self.block, bool(self.article)))
 
     def _open(self, name: str, attributes: str) -> None:
-        if name not in VOID:
+        if name not in VOID and not (name in FORMULA and attributes.endswith("/")):
             self.open.append(name)
             depth = len(self.open)
             signs = _signs(attributes) if attributes else set()

@@ -69,3 +69,15 @@ def test_frames(spark):
         str(x) for x in [(1, TEXT), (2, ""), (3, ""), (None, TEXT), (1, TEXT)]
     )
     assert html_text.extract(pages.limit(0)).collect() == []
+
+
+def test_icons_formulas_and_objects():
+    weights = _weights([PAGE] * 3)
+    for icon in ('<svg class="i"/>', "<svg/>", '<SVG title="a > b" />', '<svg class="i"><path d="M0"/></svg>'):
+        page = f"<article><p>one {icon} two</p><p>three</p></article><footer>x <svg></svg></footer>"
+        assert html_text.main_text(page, weights) == "one two\n\nthree"
+    formula = "<math><mrow><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></mrow></math>"
+    page = f"<article><p>So {formula}, <math/>and <object data=a><param name=b>a map</object>.</p></article>"
+    assert html_text.main_text(page, weights) == "So x=y2, and a map."
+    page = "<article><p>one</p><svg-icon>two</svg-icon><p>three words more</p></article>"
+    assert html_text.main_text(page, weights) == "one\n\ntwo\n\nthree words more"
