@@ -22,7 +22,7 @@ from feedlake.llm.frames import fresh, small_batches
 # Fixed names of HTML elements.
 RAW = "script style noscript template textarea iframe title svg select".split()
 VOID = set("area base br col embed hr img input link meta source track wbr param".split())
-BOILERPLATE = set("nav footer aside form button menu dialog head".split())
+BOILERPLATE = set("nav footer aside button menu dialog head".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em embed font i img ins kbd label mark"
     " object param q s samp small span strike strong sub sup time tt u var wbr".split()
@@ -33,17 +33,29 @@ FORMULA = set(
     " mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder"
     " munderover none semantics annotation annotation-xml".split()
 )
-#: Parts of class, id and role that say an element is no part of an article.
+#: Names in class, id and role that say an element is no part of an article. They stand alone
+#: ("widget"), together ("nav-menu") or with words of FRAMES ("ad-box"). With any other word they
+#: say nothing: "share-price", "has-sidebar", "widget-text-editor".
 READERS = set("comment comments reply replies discussion disqus respond responses".split())
 APART = READERS | set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo"
-    " promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter"
-    " subscribe subscription signup share sharing social sidebar sidenav rail widget widgets"
-    " related recommended recommendations menu nav navbar navigation navigationbar breadcrumb"
-    " breadcrumbs footer contentinfo complementary login search toolbar pagination pager".split()
+    " promotion cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription"
+    " signup share sharing social sidebar sidenav rail widget widgets related recommended"
+    " recommendations menu nav navbar navigation navigationbar breadcrumb breadcrumbs footer"
+    " contentinfo complementary login search toolbar pagination pager".split()
 )
-#: The same, but only outside of an article, which may have a header of its own.
-HEADERS = set("header masthead topbar hero".split())
+#: The same, but only outside of an article, which may have a header and notes of its own.
+HEADERS = set("header masthead topbar hero alert notice notices".split())
+#: Names that no wrapper of an article has: they need not give way to it, see Page.
+SURE = READERS | set("cookie cookies consent gdpr".split())
+FRAMES = set(
+    "area articles bar block bottom box button buttons center col column container cta desktop div"
+    " fixed floating follow form global google gpt group holder icon icons inline inner item items js"
+    " leaderboard left link links list main media mobile module mpu outer panel posts primary prompt"
+    " rectangle region right row secondary site slot sticky stories tools top unit wrap wrapper zone".split()
+)
+#: Frames whose header is their title.
+OWNERS = set("article entry page post section story".split())
 ARTICLES = {"article", "main"}
 
 TOKEN = re.compile(
@@ -56,6 +68,8 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SIGN = re.compile(r"[a-z]+")
+SIGNS = APART | HEADERS
+NAMING = SIGNS | FRAMES | OWNERS
 
 #: Smallest gain of a word and smallest loss of a tag.
 LEAST = 0.05
@@ -65,9 +79,50 @@ WORDS = (WORD, LINKED, OUTSIDE)
 
 
 class Page:
-    """The tokens of a page in order: kind, number of them, text, block and whether in an article."""
+    """The tokens of a page in order: kind, number of them, text, block and whether in an article.
+
+    An element that by name, or as a form or header, would stand apart does not if it holds most of
+    the plain words of the page: those not in links nor in BOILERPLATE. It still stands apart if
+    words beside it say what the article is: those of the only <article>, or of <main> if there is
+    no <article>; for an element of a SURE name, those of any.
+    """
 
     def __init__(self, source: str):
+        self._read(source, set())
+        if wide := self._wide():
+            self._read(source, wide)
+
+    def _wide(self) -> set[int]:
+        """The numbers of the elements that hold too much to stand apart."""
+        while self.named:
+            self._settle(False)
+        one = 2 if self.articles == 1 else 1 if self.articles == 0 else None
+        return {
+            number
+            for number, held, sure, inner in self.held
+            if 2 * held[0] > self.plain[0]
+            and not (sure and self.plain[1] > held[1])
+            and not (one and not inner[one - 1] and self.plain[one] > held[one])
+        }
+
+    def _settle(self, closed: bool) -> None:
+        """Ends the last named element. If it was never closed, it ends before an article in it."""
+        _, number, before, articles, sure, inner = self.named.pop()
+        after = self.begun[articles] if not closed and len(self.begun) > articles else self.plain
+        held = [now - then for now, then in zip(after, before)]
+        self.held.append((number, held, sure, inner))
+
+    def _read(self, source: str, wide: set[int]) -> None:
+        self.wide = wide
+        self.number = 0  # of the element
+        #: Plain words so far: all, in articles and main elements, in articles.
+        self.plain = (0, 0, 0)
+        self.within = self.boilerplate = 0  # how deep the article or main element, and BOILERPLATE is
+        self.begun: list[tuple[int, int, int]] = []  # plain where articles and mains begin
+        #: Open elements that may stand apart: depth, number, plain and articles before, whether
+        #: the name is sure, and whether they are in a main element or article, and in an article.
+        self.named: list[tuple] = []
+        self.held: list[tuple] = []
         self.tokens: list[tuple[str, int, str, int, bool]] = []
         self.articles = 0
         self.block = 0
@@ -96,6 +151,9 @@ class Page:
         text = html.unescape(text)
         n = len(text.split())
         kind = OUTSIDE if self.apart else LINKED if self.links else WORD
+        if not self.links and not self.boilerplate:
+            some, marked, told = self.plain
+            self.plain = (some + n, marked + n * bool(self.within), told + n * bool(self.article))
         self.tokens.append((kind, n, text, self.block, bool(self.article)))
 
     def _tag(self, name: str) -> None:
@@ -112,14 +170,26 @@ class Page:
         if name not in VOID and not (name in FORMULA and attributes.endswith("/")):
             self.open.append(name)
             depth = len(self.open)
+            self.number += 1
             signs = _signs(attributes) if attributes else set()
-            apart = bool(signs & APART) or name in BOILERPLATE
+            apart = bool(signs & APART) or name == "form"
             if not self.article:
                 apart = apart or name == "header" or bool(signs & HEADERS)
             if name in ARTICLES or name in ("html", "body"):
                 apart = bool(signs & READERS) and name not in ("html", "body")
-                if name in ARTICLES and not apart and not self.readers:
-                    self.apart = 0  # what is left open before an article ends there
+            if apart and name not in BOILERPLATE:
+                sure = bool(signs & SURE)
+                inner = (bool(self.within), bool(self.article))
+                self.named.append((depth, self.number, self.plain, len(self.begun), sure, inner))
+                apart = self.number not in self.wide
+            apart = apart or name in BOILERPLATE
+            if name in ARTICLES and not apart and not self.readers:
+                # What is left open before an article ends there.
+                self.apart = self.boilerplate = 0
+                self.begun.append(self.plain)
+                self.within = self.within or depth
+            if name in BOILERPLATE and not self.boilerplate:
+                self.boilerplate = depth
             if apart and not self.apart:
                 self.apart, self.readers = depth, bool(signs & READERS)
             if name == "article" and not self.apart and not self.article:
@@ -137,15 +207,27 @@ class Page:
                     self.links -= 1
                 if depth == self.apart:
                     self.apart, self.readers = 0, False
+                if depth == self.boilerplate:
+                    self.boilerplate = 0
+                if self.named and self.named[-1][0] == depth:
+                    self._settle(last == name)
                 if last == name:
                     break
         self._tag(f"/{name}")
         if self.article > len(self.open):
             self.article = 0
+        if self.within > len(self.open):
+            self.within = 0
 
 
 def _signs(attributes: str) -> set[str]:
-    return {sign for found in NAMED.findall(attributes) for sign in SIGN.findall("".join(found).lower())}
+    signs = set()
+    for found in NAMED.findall(attributes):
+        for name in "".join(found).lower().split():
+            parts = set(SIGN.findall(name))
+            if (here := parts & SIGNS) and parts <= NAMING:
+                signs |= here - HEADERS if parts & OWNERS else here
+    return signs
 
 
 def counted(source: str) -> Counter:
@@ -163,7 +245,7 @@ def counted(source: str) -> Counter:
 #: Tags that have a weight of their own.
 KNOWN = INLINE | VOID | BOILERPLATE | set(
     "p div section header h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tfoot tr td th body"
-    " html blockquote pre figure figcaption address details summary caption center fieldset".split()
+    " html form blockquote pre figure figcaption address details summary caption center fieldset".split()
 )
 OTHER = "<other>"
 

@@ -81,3 +81,41 @@ def test_icons_formulas_and_objects():
     assert html_text.main_text(page, weights) == "So x=y2, and a map."
     page = "<article><p>one</p><svg-icon>two</svg-icon><p>three words more</p></article>"
     assert html_text.main_text(page, weights) == "one\n\ntwo\n\nthree words more"
+
+
+def test_names_that_only_mention_a_sign():
+    body = "<h1>Title here</h1>" + "<p>plain words of the text go on and on</p>" * 9
+    text = "\n\n".join(["Title here"] + ["plain words of the text go on and on"] * 9)
+    weights = (_weights([PAGE] * 3), html_text.weights_of({}))
+    names = ("class='elementor-widget-text-editor'", "class='content has-sidebar'", "id=share-price",
+             "class='related-work'", "class='widget'", "id='sidebar'", "class='page-header'")
+    for weight in weights:
+        for name in names:
+            for page in (f"<body><div {name}>{body}</div>", f"<article><div {name}>{body}</div></article>"):
+                assert html_text.main_text(page + "<footer>some foot</footer>", weight) == text, name
+        for page in (f"<form id=aspnet>{body}</form>", f"<main><form>{body}</form></main>",
+                     f"<form><nav>a menu</nav><article>{body}</article></form>"):
+            assert html_text.main_text(f"<nav>menu of words</nav>{page}", weight) == text
+    part = f"<article>{body}<p class='related-work'>Some others did it</p><p>The end now</p></article>"
+    assert html_text.main_text(part, weights[0]) == text + "\n\nSome others did it\n\nThe end now"
+
+
+def test_elements_that_still_stand_apart():
+    weights = _weights([PAGE] * 3)
+    body = "<p>plain words of the text go on and on</p>" * 9
+    text = "\n\n".join(["plain words of the text go on and on"] * 9)
+    for name in ("ad", "ad-box", "nav-menu", "widget-area", "post-share", "newsletter_box top", "ad ad--sticky"):
+        page = f"<article>{body}<div class='{name}'>buy it</div>{body}</article>"
+        assert html_text.main_text(page, weights) == f"{text}\n\n{text}", name
+    thread = "<div class=comment>what a text</div>" * 99
+    page = f"<main><div>{body}</div><section id=comments>{thread}</section></main>"
+    assert html_text.main_text(page, weights) == text
+    page = "<div class=ad>an advert of more words than the article has</div><article><p>short</p></article>"
+    assert html_text.main_text(page, weights) == "short"
+    page = f"<div class=widget>{body}</div><article><p>teaser</p></article><article><p>teaser</p></article>"
+    assert html_text.main_text(page, weights).startswith(text)
+
+
+def test_many_named_elements():
+    page = "<div class=widget>" * 20_000 + "word " * 50 + "</div>" * 20_000
+    assert html_text.main_text(page, html_text.weights_of({})) == ("word " * 50).strip()
