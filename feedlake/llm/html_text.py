@@ -4,7 +4,8 @@ A page is a sequence of words and tags. Words score positive, tags negative; how
 from pages whose article is marked by an <article> element, by how much more often each kind of
 word and tag stands inside of it than outside. Words in links, and in elements that are by name
 or class not part of an article, count against the region like tags. One scan finds the region
-of the highest sum. Its text is taken without those elements.
+of the highest sum. Its text is taken without those elements; inside an <article> or <main> they
+count nothing, so that a block of any size leaves what stands before and after it.
 """
 
 import html
@@ -154,13 +155,17 @@ class Page:
         if not self.links and not self.boilerplate:
             some, marked, told = self.plain
             self.plain = (some + n, marked + n * bool(self.within), told + n * bool(self.article))
-        self.tokens.append((kind, n, text, self.block, bool(self.article)))
+        if not (self.apart and self.within):
+            self.tokens.append((kind, n, text, self.block, bool(self.article)))
 
-    def _tag(self, name: str) -> None:
+    def _tag(self, name: str, apart: bool) -> None:
+        """Tags of elements that stand apart are none of the page's tokens."""
         if name.removeprefix("/") in FORMULA:
             return
         if name.removeprefix("/") not in INLINE:
             self.block += 1
+        if apart:
+            return
         if name == "br":
             self.tokens.append((WORD, 0, " ", self.block, bool(self.article)))
         elif name not in ARTICLES:
@@ -197,9 +202,10 @@ class Page:
                 self.articles += 1
             if name == "a":
                 self.links += 1
-        self._tag(name)
+        self._tag(name, bool(self.apart))
 
     def _close(self, name: str) -> None:
+        apart = bool(self.apart)
         if name in self.open:
             while True:
                 depth, last = len(self.open), self.open.pop()
@@ -213,7 +219,7 @@ class Page:
                     self._settle(last == name)
                 if last == name:
                     break
-        self._tag(f"/{name}")
+        self._tag(f"/{name}", apart)
         if self.article > len(self.open):
             self.article = 0
         if self.within > len(self.open):
@@ -254,7 +260,8 @@ def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     """The score of every kind: the logarithm of how much likelier it is inside an article.
 
     Plain words gain LEAST at least, tags and words that stand apart lose it at least. Without
-    any labelled page words gain 1, tags lose 0.3, and words in links or apart 0.5.
+    any labelled page words gain 1, tags lose 0.3, and words in links or apart 0.5. Tags seen on no
+    side, as those seen only in elements that stand apart, lose LEAST.
     """
     inside, outside = (sum(n for (_, there), n in counts.items() if there == side) for side in (True, False))
     kinds = {kind for kind, _ in counts}
@@ -266,6 +273,9 @@ def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
         there = (counts.get((kind, False), 0) + 1) / (outside + len(kinds))
         odds = math.log(here / there)
         found[kind] = max(LEAST, odds) if kind == WORD else min(-LEAST, odds)
+    for name in KNOWN - ARTICLES:
+        for kind in (f"<{name}>", f"</{name}>"):
+            found.setdefault(kind, -LEAST)
     return found
 
 

@@ -119,3 +119,20 @@ def test_elements_that_still_stand_apart():
 def test_many_named_elements():
     page = "<div class=widget>" * 20_000 + "word " * 50 + "</div>" * 20_000
     assert html_text.main_text(page, html_text.weights_of({})) == ("word " * 50).strip()
+
+
+def test_large_blocks_inside_an_article():
+    menu = "<nav><ul>" + "<li><a href=x>menu</a></li>" * 20 + "</ul></nav>"
+    plain = "<article><h1>Title</h1>" + "<p>some words of a text</p>" * 20 + "</article>"
+    weights = _weights([f"{menu}<div class=ad>buy this now</div>{plain}<footer>by someone</footer>"] * 9)
+    body, box = "<p>" + "text " * 400 + "</p>", "<li>box word</li>" * 60
+    first, last = "<p>" + "lead " * 30 + "</p>", "<p>" + "end " * 5 + "</p>"
+    text = "\n\n".join(" ".join([word] * n) for word, n in (("lead", 30), ("text", 400), ("end", 5)))
+    for weight in (weights, _weights([PAGE] * 3), html_text.weights_of({})):
+        for block in (f"<div class='newsletter'><ul>{box}</ul></div>", f"<aside>{box}</aside>", f"<form>{box}</form>"):
+            for tag in ("article", "main"):
+                page = f"{menu}<{tag}>{first}{block}{body}{block}{last}</{tag}><footer>foot words</footer>"
+                assert html_text.main_text(page, weight) == text
+    for items in ("<ul><li>One</li><li>Two</li></ul>", "<table><tr><td>One</td></tr><tr><td>Two</td></tr></table>"):
+        page = f"{menu}<article>{body}{items}</article><footer>foot words</footer>"
+        assert html_text.main_text(page, weights).endswith("text\n\nOne\n\nTwo")
