@@ -10,13 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import jaccard_join, mixing, packing, quality
-from feedlake.llm.frames import table, written
+from feedlake.llm.frames import WORD, fresh, table, written
 from feedlake.llm.queries import SEQUENCE_END_ID, SEQUENCE_LENGTH, workers_find_package
 from feedlake.llm.tokens import default_vocabulary
 
-#: Rows without a doc_id are numbered from here on while they are compared.
-UNNAMED = 2**62
-
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels of sf_dir."""
@@ -27,25 +24,31 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-copies (five words, similarity 0.8) the smallest doc_id.
+    """Of every group of near-copies (five words, similarity 0.8) the row of the smallest doc_id.
 
-    Of rows with one doc_id and text one stays. Rows without a doc_id count as larger than all
-    others: one stays if it is near no row that has an id.
+    Rows are told apart by a number of their own, so rows that repeat a doc_id are compared like
+    any others. Rows without a doc_id count as larger than all others: one stays if it is near no
+    row that has an id. A text without words is near nothing; of rows that have one and the same
+    doc_id and such a text one stays.
     """
     workers_find_package(spark)
-    if not docs.where("doc_id is null").isEmpty():
-        number = F.lit(UNNAMED) + F.monotonically_increasing_id()
-        docs = written(docs.withColumn("doc_id", F.coalesce("doc_id", number)), "numbered")
+    row = fresh(docs, "row_number")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     similar = jaccard_join.Similarity(words=5, num=80, den=100)
-    found = written(jaccard_join.jaccard_join(docs, similar), "near")
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not repeated.isEmpty():
-        again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(again)
-    named = F.when(F.col("doc_id") < UNNAMED, F.col("doc_id"))
-    return kept.withColumn("doc_id", named).select(*_columns(docs))
+    texts = numbered.select(F.col(row).alias("doc_id"), "text")
+    found = written(jaccard_join.jaccard_join(texts, similar), "near")
+    group = found.where("n_shingles > 0").select(F.col("doc_id").alias("number"), "component_id")
+    ids = numbered.select(F.col(row).alias("number"), "doc_id")
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "number"))
+    first = ids.join(group, "number").groupBy("component_id").agg(order.alias("first"))
+    gone = group.select("number").join(first.select("first.number"), "number", "left_anti")
+    blank = numbered.where("doc_id is not null").where(~F.coalesce(F.col("text").rlike(WORD), F.lit(False)))
+    blank = blank.select(F.col(row).alias("number"), "doc_id", "text")
+    one = blank.groupBy("doc_id", "text").agg(F.min("number").alias("number"))
+    again = blank.select("number").join(one.select("number"), "number", "left_anti")
+    gone = written(gone.union(again), "gone")
+    kept = numbered.join(gone.withColumnRenamed("number", row), row, "left_anti")
+    return kept.select(*_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

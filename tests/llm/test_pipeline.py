@@ -55,6 +55,21 @@ def test_copies_of_a_row_go(spark, sf_dir):
     assert sorted(str(r.doc_id) for r in found) == ["1", "3", "None"]
 
 
+def test_rows_that_repeat_a_doc_id(spark, sf_dir):
+    a, b = "one text of nine words that is long enough", "quite another text without any copy in here"
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, a), (5, a), (5, b), (7, long), (7, long + " more"), (2**62, "a hash id"), (2**63 - 1, "larger"),
+            (-4, a + " "), (8, ""), (8, ""), (8, None), (8, None), (9, ""), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 3) for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    found = corpus_pipeline.keep_one_of_each(spark, docs.repartition(3), sf_dir)
+    assert found.columns == docs.columns
+    kept = Counter((r.doc_id, (r.text or "").split(" more")[0]) for r in found.collect())
+    expected = [(-4, a + " "), (5, b), (7, long), (2**62, "a hash id"), (2**63 - 1, "larger"),
+                (8, ""), (8, ""), (9, ""), (None, ""), (None, "")]
+    assert kept == Counter(expected)
+
+
 def test_stages_and_run(spark, sf_dir):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     sf_dir = sf_dir.rsplit("/", 1)[0] + DIR
