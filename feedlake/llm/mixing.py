@@ -78,7 +78,7 @@ def fill(sizes: list[int], weights, most: int) -> list[float]:
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of the `counts` documents of each length to take, to come near `budget` words.
 
-    0 <= budget <= sum(lengths * counts). The sum found is the nearest that step 3 above
+    0 <= budget <= sum(lengths * counts). Documents without words only have step 1. The sum found is the nearest that step 3 above
     reaches, and mostly the budget itself.
     """
     total = int((lengths * counts).sum())
@@ -89,11 +89,11 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     left = budget - int((lengths * taken).sum())
     rest = LEFT_OPEN * total // int(counts.sum())
     for i in np.argsort(taken - exact, kind="stable").tolist():
-        if lengths[i] <= left - rest and taken[i] < counts[i]:
+        if 0 < lengths[i] <= left - rest and taken[i] < counts[i]:
             taken[i] += 1
             left -= int(lengths[i])
     for i in np.argsort(-lengths, kind="stable").tolist():
-        if left <= KNAPSACK:
+        if left <= KNAPSACK or lengths[i] == 0:
             break
         more = min(int(counts[i] - taken[i]), left // int(lengths[i]))
         taken[i] += more

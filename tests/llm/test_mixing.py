@@ -34,6 +34,20 @@ def test_fit_comes_near(lengths, part):
     assert abs(int((sizes * taken).sum()) - budget) <= sizes.max()
 
 
+def test_very_long_and_empty_documents():
+    lengths, counts = np.array([0, 400, 2_000_000]), np.array([1, 500, 1])
+    taken = mixing.fit(lengths, counts, 1_000_000)
+    assert (0 <= taken).all() and (taken <= counts).all() and taken[1:].tolist() == [500, 0]
+    assert mixing.fit(np.array([0, 2_000_000]), np.array([1, 1]), 900_000)[1] == 0
+    assert mixing.fit(np.array([0, 2_000_000]), np.array([1, 1]), 1_100_000)[1] == 1
+
+
+def test_a_source_of_one_giant_and_one_empty_document(spark):
+    rows = [(1, "w " * 500_000, "a"), (2, "", "a"), (3, "w " * 400_000, "b"), (4, None, "b")]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert {r.doc_id: r.times for r in found.collect() if r.size} == {1: 1, 3: 1}
+
+
 def test_targets_by_hand():
     assert mixing.fill([80, 10, 10], (5, 2, 1), 3) == pytest.approx([62.5, 25, 12.5])
     assert mixing.fill([10, 50, 40], (5, 2, 1), 3) == pytest.approx([30, 140 / 3, 70 / 3])
