@@ -10,7 +10,9 @@ up is found on the counts of documents by exact length:
 3. a bounded knapsack on the documents still left finds the sum nearest to what is left.
 
 Which documents of a length are taken is dealt by a seeded hash. Only lengths and counts are
-gathered per source, and only numbers are sent over the network, never texts.
+gathered per source, and only numbers are sent over the network, never texts. Rows that repeat a
+doc_id and text have one hash; if only some of them are to be taken, these rows are written with a
+number of their own that decides.
 """
 
 import numpy as np
@@ -27,6 +29,8 @@ MOST_PASSES = 3
 #: The hashes of one length and source are counted in 2 ** BUCKET_BITS ranges; only those in one
 #: range are ranked.
 BUCKET_BITS = 12
+#: Numbers of rows are counted by task, which their bits from here on tell.
+TASK_BITS = 33
 #: Rows of quotas, some 40 bytes each, up to which they are sent to all executors.
 BROADCAST_ROWS = 500_000
 #: Words left open for the knapsack, in mean lengths.
@@ -156,16 +160,17 @@ def mix(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
     documents: doc_id, text, source and any other columns. Columns of those four names are
     replaced, in `mixed` not. times is 0 to MOST_PASSES. A null text has no words, and documents without words
     are taken as often as the source as a whole is passed over. A null source is a source of
-    its own. Rows that repeat a doc_id are documents of their own, but rows equal in doc_id and
-    text are taken alike. An empty table gives no rows.
+    its own. Rows that repeat a doc_id are documents of their own. An empty table gives no rows.
 
-    A run with the same seed takes the same documents, however the rows are dealt to tasks.
+    A run with the same seed takes the same documents, however the rows are dealt to tasks; of rows
+    equal in all columns it does not matter which are taken.
     """
     plain = documents.drop("size", "source_size", "target", "times")
     order = fresh(plain, "mix_order")
     hashed = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed)).alias(order)
     sized = plain.select("*", words(F.col("text")).alias("size"), hashed)
     quotas = _cutoffs(sized.select("source", "size", F.col(order).alias("hash")), weights)
+    some = not quotas.where("part < ties").isEmpty()
     names = {name: fresh(sized, f"quota_{name}") for name in quotas.columns}
     quotas = quotas.withColumnsRenamed(names)
     if quotas.count() <= BROADCAST_ROWS:
@@ -174,20 +179,52 @@ def mix(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
         F.col("size") == F.col(names["size"])
     )
     once_more = F.coalesce(F.col(order) <= F.col(names["cutoff"]), F.lit(False)).cast("int")
-    joined = sized.join(quotas, met).withColumn(
-        "times", F.col(names["passes"]) + once_more
-    )
+    matched = sized.join(quotas, met)
+    joined = matched.withColumn("times", F.col(names["passes"]) + once_more)
+    if some:
+        tie = (F.col(order) == F.col(names["cutoff"])) & (F.col(names["part"]) < F.col(names["ties"]))
+        tie = F.coalesce(tie, F.lit(False))
+        joined = joined.where(~tie).unionByName(_some_of(matched.where(tie), plain, names, seed))
     columns = [F.col(f"`{name}`") for name in plain.columns]
     known = [F.col(names[name]).alias(name) for name in ("source_size", "target")]
     return joined.select(*columns, "size", *known, "times")
 
 
+def _some_of(tied: DataFrame, plain: DataFrame, names: dict[str, str], seed: int) -> DataFrame:
+    """Adds times to rows of one hash per source and size, of which `part` are taken once more.
+
+    A hash of all columns decides, and among rows equal in that the number of the row.
+    """
+    sound = [f"`{f.name}`" for f in plain.schema.fields if "map<" not in f.dataType.simpleString()]
+    sound = [name for name in sound if plain.schema[name.strip("`")].dataType.typeName() != "variant"]
+    whole, number = fresh(tied, "whole"), fresh(tied, "number")
+    rows = tied.withColumn(whole, F.xxhash64(*[F.col(name) for name in sound], F.lit(seed)))
+    rows = written(rows.withColumn(number, F.monotonically_increasing_id()), "tied")
+    keys = ["source", "size"]
+    quotas = rows.groupBy(*keys).agg(F.min(names["part"]).alias("more"))
+    named = rows.select(*keys, F.col(whole).alias("hash"), F.col(number).alias("number"))
+    first = written(_cut(named.select(*keys, "hash"), quotas, 64 - BUCKET_BITS), "first")
+    last = F.broadcast(first.select(*keys, "cutoff", "part"))  # a row for each length with ties
+    left = _join(named, last, keys).where("hash = cutoff")
+    second = left.select(*keys, F.col("number").alias("hash"))
+    asked = first.select(*keys, F.col("part").alias("more"))
+    second = written(_cut(second, asked, TASK_BITS), "second")
+    cuts = _join(first.select(*keys, "cutoff"), second.select(*keys, F.col("cutoff").alias("until")), keys)
+    cuts = cuts.withColumnsRenamed({name: f"{fresh(rows, 'cut')}_{name}" for name in cuts.columns})
+    source, size, cutoff, until = (F.col(name) for name in cuts.columns)
+    met = F.col("source").eqNullSafe(source) & (F.col("size") == size)
+    taken = (F.col(whole) < cutoff) | ((F.col(whole) == cutoff) & (F.col(number) <= until))
+    found = rows.join(F.broadcast(cuts), met)
+    found = found.withColumn("times", F.col(names["passes"]) + taken.cast("int"))
+    return found.drop(whole, number, *cuts.columns)
+
+
 def _cutoffs(hashes: DataFrame, weights) -> DataFrame:
     """Per source and size: source_size, target, passes, and cutoff, the largest hash of the
-    documents taken once more (null if none are)."""
+    documents taken once more, part, how many of that hash are taken, and ties, how many have it
+    (all null if none are taken)."""
     keys = ["source", "size"]
-    bucket = F.shiftright("hash", 64 - BUCKET_BITS).alias("bucket")
-    counted = written(hashes.groupBy(*keys, bucket).agg(F.count("*").alias("n")), "lengths")
+    counted = written(_counted(hashes, 64 - BUCKET_BITS), "lengths")
     by_length = counted.groupBy(*keys).agg(F.sum("n").alias("n"))
     sources = by_length.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     aims = F.broadcast(targets(sources, weights))  # made of rows the driver has
@@ -199,20 +236,41 @@ def _cutoffs(hashes: DataFrame, weights) -> DataFrame:
         ),
         "quotas",
     )
+    last = _cut(hashes, quotas.where("more > 0"), 64 - BUCKET_BITS, counted)
+    return written(_join(quotas, last, keys, "left").drop("more"), "cutoffs")
+
+
+def _counted(hashes: DataFrame, shift: int) -> DataFrame:
+    bucket = F.shiftright("hash", shift).alias("bucket")
+    return hashes.groupBy("source", "size", bucket).agg(F.count("*").alias("n"))
+
+
+def _cut(
+    hashes: DataFrame, quotas: DataFrame, shift: int, counted: DataFrame | None = None
+) -> DataFrame:
+    """Per source and size of quotas the cutoff below which the first `more` hashes are.
+
+    hashes: source, size, hash, counted in ranges of 2 ** shift. Returns cutoff, the hash of the
+    last one, ties, how many have it, and part, how many of them are among the first `more`.
+    """
+    keys = ["source", "size"]
+    counted = _counted(hashes, shift) if counted is None else counted
     earlier = (
         Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     rest = F.col("more") - F.col("before")
-    edges = _join(before, quotas.where("more > 0").select(*keys, "more"), keys).where(
+    edges = _join(before, quotas.select(*keys, "more"), keys).where(
         (rest > 0) & (rest <= F.col("n"))
     )
     edges = edges.select(*keys, "bucket", rest.alias("rank"))
+    bucket = F.shiftright("hash", shift).alias("bucket")
     ranked = _join(hashes.select(*keys, "hash", bucket), edges, [*keys, "bucket"])
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
-    last = ranked.withColumn("place", place).where("place = rank")
-    last = last.select(*keys, F.col("hash").alias("cutoff"))
-    return written(_join(quotas, last, keys, "left").drop("more"), "cutoffs")
+    ranked = ranked.groupBy(*keys, "rank", "hash").agg(F.count("*").alias("ties"))
+    upto = F.sum("ties").over(Window.partitionBy(*keys).orderBy("hash"))
+    ranked = ranked.withColumn("part", F.col("rank") - upto + F.col("ties"))
+    last = ranked.where("part between 1 and ties")
+    return last.select(*keys, F.col("hash").alias("cutoff"), "part", "ties")
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

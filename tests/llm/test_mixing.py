@@ -107,3 +107,21 @@ def test_without_broadcast_and_empty(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
     assert Counter(map(str, mixing.mix(documents).collect())) == expected
     assert mixing.mix(documents.limit(0)).collect() == []
+
+
+def test_rows_that_repeat_a_document(spark):
+    rows = [(None, "w " * 10, "a", i % 2, {"k": 1}) for i in range(300)] + [(1, "w " * 1000, "b", 0, None)]
+    rows += [(7, "x y", "c", i, None) for i in range(200)] + [(8, "x " * 20, "c", 0, None)]
+    schema = "doc_id long, text string, source string, number int, hash map<string,int>"
+    documents = spark.createDataFrame(rows, schema)
+    for dealt in (documents.repartition(5), documents.coalesce(1)):
+        found = mixing.mix(dealt).collect()
+        assert Counter(map(str, ((r.doc_id, r.text, r.source, r.number, r.hash) for r in found))) == Counter(map(str, rows))
+        for name in "abc":
+            mine = [r for r in found if r.source == name]
+            longest = max(r.size for r in mine)
+            miss = abs(sum(r.size * r.times for r in mine) - mine[0].target)
+            assert miss <= (longest if name == "b" else 5)
+    keys = [Counter((r.doc_id, r.size, r.source, r.number, r.times) for r in mixing.mix(d).collect())
+            for d in (documents.repartition(5), documents.repartition(2, "number"))]
+    assert keys[0] == keys[1]
