@@ -29,8 +29,10 @@ QUERIES = 2048
 DEPTHS = 64
 #: Rows of each list that a query scores before it looks for the depth to stop at.
 FIRST_DEPTH = 8
-#: Largest component, so that scores are exact in double precision.
-LARGEST = 1 << 20
+#: Largest component: of 32 bits, as they are stored.
+LARGEST = (1 << 31) - 1
+#: Scores up to here are exact in double precision; blocks that may have larger ones score in integers.
+DOUBLE, LONG = 1 << 53, 1 << 63
 
 RESULT = "query_id long, query_row long, vec_id long, row long, score long"
 
@@ -124,7 +126,8 @@ def top_k(
     query_id, rank (from 1), vec_id, score, with fewer ranks where there are fewer candidates.
 
     A row with a null vec_id is neither query nor candidate, as it cannot be named. Rows that
-    repeat a vec_id are candidates of each other. Vectors of different lengths do not meet.
+    repeat a vec_id are candidates of each other. Vectors of different lengths do not meet. Scores
+    are exact; one among the best that does not fit a long raises an error.
     """
     rows = written(
         quantized(embeddings.where("vec_id is not null"), factor).withColumn(
@@ -161,14 +164,18 @@ def _search(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     columns = [name.split()[0] for name in RESULT.split(", ")]
     if candidates.empty or queries.empty:
         return pd.DataFrame({name: pd.Series(dtype=np.int64) for name in columns})
-    lists = Lists(_matrix(candidates["vector"]))
+    vectors = _matrix(candidates["vector"])
     ids, numbers = candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
     place = {number: i for i, number in enumerate(numbers.tolist())}
     own = [place.get(number, -1) for number in queries["row"].tolist()]
     parts = []
     names = zip(queries["vec_id"].tolist(), queries["row"].tolist())
+    asked = _matrix(queries["vector"])
     # Rows are in the order of ids, so places break ties as ids do, and repeated ids by row.
-    found = lists.best(_matrix(queries["vector"]).astype(np.float64), np.arange(len(ids)), own, k)
+    if _most(vectors, asked) <= DOUBLE:
+        found = Lists(vectors).best(asked.astype(np.float64), np.arange(len(ids)), own, k)
+    else:
+        found = _best_of_all(vectors, asked, own, k)
     for (query_id, query_row), (rows, scores) in zip(names, found):
         parts.append(
             pd.DataFrame(
@@ -184,5 +191,34 @@ def _search(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(parts)[columns]
 
 
+def _most(vectors: np.ndarray, queries: np.ndarray) -> int:
+    """No score, nor a sum on the way to it, is larger in size."""
+    largest = [max(-int(side.min()), int(side.max())) for side in (vectors, queries)]
+    return vectors.shape[1] * largest[0] * largest[1]
+
+
+def _best_of_all(vectors: np.ndarray, queries: np.ndarray, own: list[int], k: int):
+    """What Lists.best gives, from all scores in integers of any size."""
+    small = _most(vectors, queries) < LONG
+    whole = vectors.astype(np.int64)
+    high, low = whole >> 16, whole & 0xFFFF
+    for i, query in enumerate(queries.astype(np.int64)):
+        rows = np.flatnonzero(np.arange(len(vectors)) != own[i])
+        if small:
+            scores = (whole @ query)[rows]
+            first = np.lexsort((rows, -scores))[:k]
+            yield rows[first], scores[first]
+        else:
+            exact = [0] * len(rows)
+            for at in range(0, len(query), 1 << 15):  # sums of so many products fit a long
+                part = slice(at, at + (1 << 15))
+                sums = [(side[:, part] @ query[part])[rows].tolist() for side in (high, low)]
+                exact = [x + (upper << 16) + lower for x, upper, lower in zip(exact, *sums)]
+            first = sorted(range(len(rows)), key=lambda j: -exact[j])[:k]
+            if any(not -LONG <= exact[j] < LONG for j in first):
+                raise ValueError("a score does not fit a long")
+            yield rows[first], np.array([exact[j] for j in first], dtype=np.int64)
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), dtype=np.int32).reshape(len(vectors), -1)

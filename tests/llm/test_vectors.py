@@ -125,3 +125,26 @@ def test_components_too_large_are_refused(spark):
     rows = spark.createDataFrame([(0, [1e9]), (1, [1.0])], SCHEMA)
     with pytest.raises(Exception, match="must not exceed"):
         topk.top_k(rows, F.col("vec_id") % 5 == 0).collect()
+
+
+@pytest.mark.parametrize("size", [2.0**15, 2.0**20, 2.0**24])
+def test_large_components_are_exact(spark, size):
+    rule = np.random.default_rng(8)
+    vectors = (rule.integers(-64, 65, (60, 9)) / 64 * size).tolist() + rule.uniform(-1, 1, (60, 9)).tolist()
+    rows = list(enumerate(vectors)) + [(200, [size, size]), (201, [size, 1 / 64]), (202, [size, 2 / 64])]
+    embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(embeddings, F.col("vec_id") % 5 == 0, k=6)
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    expected = []
+    for i, query in whole:
+        others = [(-sum(a * b for a, b in zip(query, v)), j) for j, v in whole if j != i and len(v) == len(query)]
+        if i % 5 == 0:
+            expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(others)[:6])]
+    assert sorted(tuple(row) for row in found.collect()) == sorted(expected)
+
+
+def test_scores_beyond_a_long_are_refused(spark):
+    rows = [(0, [2.0**24] * 9), (1, [2.0**24] * 9)]
+    embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(embeddings, F.col("vec_id") % 5 == 0).collect()
