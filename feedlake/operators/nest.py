@@ -33,20 +33,21 @@ def hot_groups(
     broadcast_keys: int = BROADCAST_KEYS,
     member: str | None = None,
 ) -> DataFrame | None:
-    """(key, parts, total) of the groups of `key` with more than `limit` rows; None if there are
-    none. total: rows whose `member` is not null, or all if none is named.
+    """(key, parts) of the groups of `key` with more than `limit` rows; None if there are none.
+    If `member` is named, the total of its values that are not null is a third column.
 
     The list is counted: it carries a broadcast hint only if short, else it is joined by
     shuffle. It is written to a work folder, as it is used more than once.
     """
     spread = F.pmod(F.xxhash64(key), F.lit(2)).alias("_made")  # see operators.dedup
+    totals = [F.count(member).alias("_total")] if member else []
     sizes = df.where(F.col(key).isNotNull()).groupBy(key, spread).agg(
-        F.count("*").alias("n"), F.count(member or F.lit(1)).alias("_total")
+        F.count("*").alias("n"), *totals
     )
     hot = sizes.where(F.col("n") > limit).select(
         F.col(key).alias("_hot"),
         F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("_parts"),
-        "_total",
+        *(["_total"] if member else []),
     )
     found = hot.limit(broadcast_keys + 1).count()
     if found == 0:
@@ -94,7 +95,8 @@ def nest(
 def with_totals(nested: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Add total_reviews and parts of the whole group to each row of `nested`.
 
-    Those of hot groups come from the list of them, all others are in one row.
+    Those of hot groups come from the list of them, made with a `member`; all others are in
+    one row.
     """
     if hot is None:
         return nested.withColumns({"total_reviews": total_reviews(), "parts": F.lit(1)})

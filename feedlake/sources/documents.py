@@ -24,13 +24,10 @@ def _document_reviews(nested: DataFrame) -> Column:
     return F.coalesce(F.col("reviews").cast(T.ArrayType(renamed)), F.array())
 
 
-def _counts(nested: DataFrame) -> list[Column]:
-    """total_reviews, part and parts; those of a single document if `nested` does not say."""
-    single = {"total_reviews": total_reviews(), "part": F.lit(0), "parts": F.lit(1)}
-    return [
-        (F.col(name) if name in nested.columns else value).cast("int").alias(name)
-        for name, value in single.items()
-    ]
+def _total(nested: DataFrame) -> Column:
+    """total_reviews of the whole property; the length of its array if `nested` does not say."""
+    said = F.col("total_reviews") if "total_reviews" in nested.columns else total_reviews()
+    return said.cast("int").alias("total_reviews")
 
 
 def documents(
@@ -38,24 +35,26 @@ def documents(
 ) -> DataFrame:
     """(doc_key, country_code, document) for each row of `nested`.
 
-    The document holds `scalars`, total_reviews, part, parts and reviews, nulls included, on
-    one line unless `pretty`. A property too big for one row has several documents: part is
-    then the number of each, also in its key, and total_reviews and parts are of the whole.
+    The document holds `scalars`, total_reviews and reviews, nulls included, on one line
+    unless `pretty`. A property too big for one row has several documents. Only these say
+    their number and into how many the property was dealt, in `part` and `parts` before the
+    reviews; the number is also in the key, and total_reviews is of the whole.
     """
     doc_key = document_key(F.col(key))
     if "part" in nested.columns:
         part = F.col("part")
         doc_key = F.when(part > 0, F.concat_ws(".", doc_key, part)).otherwise(doc_key)
-    body = F.struct(
-        *scalars,
-        *_counts(nested),
-        _document_reviews(nested).alias("reviews"),
-    )
-    return nested.select(
-        doc_key.alias("doc_key"),
-        "country_code",
-        F.to_json(body, {"ignoreNullFields": "false", "pretty": pretty}).alias("document"),
-    )
+
+    def body(*counts: Column) -> Column:
+        reviews = _document_reviews(nested).alias("reviews")
+        whole = F.struct(*scalars, _total(nested), *counts, reviews)
+        return F.to_json(whole, {"ignoreNullFields": "false", "pretty": pretty})
+
+    document = body()
+    if {"part", "parts"} <= set(nested.columns):
+        split = [F.col(name).cast("int").alias(name) for name in ("part", "parts")]
+        document = F.when(F.col("parts") > 1, body(*split)).otherwise(document)
+    return nested.select(doc_key.alias("doc_key"), "country_code", document.alias("document"))
 
 
 def _write_text(docs: DataFrame, path: str, folder: str, mode: str) -> None:

@@ -212,7 +212,9 @@ def _flat(df: DataFrame, *scalars: str | Column) -> DataFrame:
 def _documents_back(made: DataFrame, schema: str, name: str) -> DataFrame:
     path = work_folder(made.sparkSession, name)
     documents.write_documents(made, path)
-    return documents.read_documents(made.sparkSession, path, schema)
+    back = documents.read_documents(made.sparkSession, path, schema)
+    whole = {"part": 0, "parts": 1}  # what a document need not say
+    return back.withColumns({name: F.coalesce(name, F.lit(n)) for name, n in whole.items()})
 
 
 def _tables(

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import GOLDENS
+from helpers import GOLDENS
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
