@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import (
     conversations,
     embedding_dedup,
+    hard_negatives,
     html_text,
     jaccard_join,
     mixing,
@@ -87,6 +88,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it.
 
@@ -120,6 +127,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_html_extraction": op9_html_extraction,
         "op10_source_mix": op10_source_mix,
+        "op11_hard_negatives": op11_hard_negatives,
     }
     return {name: _ready(query) for name, query in found.items()}
 
@@ -244,6 +252,31 @@ WITH vectors AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP11_SQL = f"""
+WITH vectors AS (
+    SELECT row_number() OVER () AS row, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform({_DOUBLES}, lambda x: floor(256 * x)) AS v
+    FROM embeddings WHERE {_SOUND} AND vec_id IS NOT NULL AND label IS NOT NULL
+), scored AS (
+    SELECT a.row, a.vec_id AS anchor_id, c.row AS other, c.vec_id, a.label = c.label AS alike,
+           CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM vectors AS a JOIN vectors AS c ON a.row <> c.row AND len(a.v) = len(c.v)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY p.row, p.other ORDER BY n.score DESC, n.vec_id)
+                AS INTEGER) AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives AS p JOIN scored AS n ON p.row = n.row AND NOT n.alike
+    WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 #: Prefixes are compared as whole texts here, not by hash.
 OP4_SQL = """
 WITH turns AS (
@@ -282,4 +315,5 @@ def llm_oracle_sql() -> dict[str, str]:
         "op2_url_filter": OP2_SQL,
         "op4_chat_formatting": OP4_SQL,
         "op5_exact_top_k": OP5_SQL,
+        "op11_hard_negatives": OP11_SQL,
     }
