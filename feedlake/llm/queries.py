@@ -16,12 +16,13 @@ from feedlake.llm import (
     jaccard_join,
     mixing,
     packing,
+    periodic_runs,
     quality,
     token_files,
     topk,
     url_filter,
 )
-from feedlake.llm.frames import table
+from feedlake.llm.frames import WORD, table
 from feedlake.llm.tokens import default_vocabulary
 from feedlake.workspace import work_folder
 
@@ -94,6 +95,44 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
 
 
+def _with_periods(documents: DataFrame) -> DataFrame:
+    """Of every tenth document by hash, the words from some place on become a periodic run."""
+    split = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    hashed = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    marked = hashed.withColumn("words", F.when(F.col("h") % 10 == 0, split))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    placed = marked.withColumns({"n": n, "a": a})
+    rest = F.col("n") - F.col("a")
+    period = (1 + F.floor(rest / (3 + g % 8))).cast("int")
+    placed = placed.withColumn("p", period)
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("p")).cast("int")))
+    made = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), rest))
+    text = F.when(F.col("n") > 0, F.array_join(made, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(_with_periods(documents))
+    by_length = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    length, period = -F.col("longest.col1"), F.col("longest.period")
+    listed = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))
+    )
+    return found.withColumn("longest", F.array_min(by_length)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def workers_find_package(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it.
 
@@ -128,6 +167,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_extraction": op9_html_extraction,
         "op10_source_mix": op10_source_mix,
         "op11_hard_negatives": op11_hard_negatives,
+        "op13_periodic_runs": op13_periodic_runs,
     }
     return {name: _ready(query) for name, query in found.items()}
 
