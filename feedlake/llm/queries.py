@@ -14,6 +14,7 @@ from feedlake.llm import (
     hard_negatives,
     html_text,
     jaccard_join,
+    license_scan,
     mixing,
     packing,
     periodic_runs,
@@ -95,6 +96,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _with_periods(documents: DataFrame) -> DataFrame:
     """Of every tenth document by hash, the words from some place on become a periodic run."""
     split = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
@@ -167,6 +172,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_extraction": op9_html_extraction,
         "op10_source_mix": op10_source_mix,
         "op11_hard_negatives": op11_hard_negatives,
+        "op12_license_scan": op12_license_scan,
         "op13_periodic_runs": op13_periodic_runs,
     }
     return {name: _ready(query) for name, query in found.items()}
@@ -317,6 +323,58 @@ WITH vectors AS (
 SELECT * FROM ranked WHERE rank <= 10
 """
 
+
+
+def _quoted(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in words) + "]"
+
+
+def _license_rows() -> tuple[str, str]:
+    phrases = [f"('{label}', {_quoted(p.split())})" for p, label in license_scan.PHRASES.items()]
+    sets = [(label, license_scan.template_words(text)) for label, text in license_scan.TEMPLATES]
+    return ", ".join(phrases), ", ".join(f"('{label}', {_quoted(words)})" for label, words in sets)
+
+
+#: Every block against every template.
+OP12_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), phrases(label, phrase) AS (
+    VALUES {phrases}
+), templates(label, wanted) AS (
+    VALUES {templates}
+), places AS (
+    SELECT row, place - 1 AS place, label
+    FROM texts, unnest(range(1, len(words) + 1)) AS places(place), phrases
+    WHERE words[place] = phrase[1] AND words[place:place + len(phrase) - 1] = phrase
+), base AS (
+    SELECT row, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
+           list_distinct(list(label)) AS labels
+    FROM places GROUP BY row
+), blocks AS (
+    SELECT row, words[64 * number + 1:64 * number + 128] AS held
+    FROM texts, unnest(range(greatest(1, CAST(ceil(len(words) / 64.0) AS BIGINT) - 1))) AS b(number)
+), shares AS (
+    SELECT row, label, len(list_intersect(wanted, held)) AS shared, len(wanted) AS size
+    FROM blocks, templates
+), added AS (
+    SELECT row, list_distinct(list(label)) AS labels,
+           max(CAST(shared AS DOUBLE) / CAST(size AS DOUBLE)) AS share
+    FROM shares WHERE 10 * shared >= 9 * size GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, a.labels))), ','), '')
+           AS labels,
+       greatest(CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END, coalesce(share, 0.0))::DOUBLE AS score
+FROM texts LEFT JOIN base AS b USING (row) LEFT JOIN added AS a USING (row)
+""".format(**dict(zip(("phrases", "templates"), _license_rows())))
+
 #: Prefixes are compared as whole texts here, not by hash.
 OP4_SQL = """
 WITH turns AS (
@@ -356,4 +414,5 @@ def llm_oracle_sql() -> dict[str, str]:
         "op4_chat_formatting": OP4_SQL,
         "op5_exact_top_k": OP5_SQL,
         "op11_hard_negatives": OP11_SQL,
+        "op12_license_scan": OP12_SQL,
     }
