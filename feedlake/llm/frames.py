@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,16 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6
             yield batch.slice(start)
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in turn, as ASCII white space parts them, and where each text's
+    words begin, with the end. A null text has none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat, offsets = lists.values, lists.offsets.to_numpy().astype(np.int64)
+    there = pc.not_equal(pc.binary_length(flat), 0)
+    kept = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
+    return flat.filter(there), kept[offsets]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or a longer one that no column of `df` has in any case."""
     taken = {column.lower() for column in df.columns}

@@ -78,7 +78,7 @@ def pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) ->
         encode, end = encoder(vocabulary), little_endian([end_id])
         for batch in small_batches(batches, "text"):
             rows = []
-            encoded = encode(batch.column("text").to_pylist())
+            encoded = encode(batch.column("text"))
             ids = (batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist())
             for doc_id, copy, tokens in zip(*ids, encoded):
                 tokens += end
@@ -167,7 +167,7 @@ def sequence_tokens(
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), little_endian([end_id])
         for batch in small_batches(batches, "text"):
-            encoded = encode(batch.column("text").to_pylist())
+            encoded = encode(batch.column("text"))
             rows = []
             for row, tokens in zip(batch.drop_columns(["text"]).to_pylist(), encoded):
                 tokens += end

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.frames import small_batches
+from feedlake.llm.frames import small_batches, split_words
 
 #: A run has so many words, and so many times its period, at least.
 LEAST, TIMES = 6, 4
@@ -285,15 +285,6 @@ def dropped(runs: np.ndarray, words: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts in turn, and where each text's words begin, with the end."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    flat, offsets = lists.values, lists.offsets.to_numpy().astype(np.int64)
-    there = pc.not_equal(pc.binary_length(flat), 0)
-    kept = np.concatenate(([0], np.cumsum(there.to_numpy(zero_copy_only=False))))
-    return flat.filter(there), kept[offsets]
-
-
 def periodic_runs(documents: DataFrame) -> DataFrame:
     """The periodic runs of every whole text, and the text without its repetitions.
 

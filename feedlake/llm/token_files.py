@@ -37,11 +37,21 @@ MANIFEST = "file long, path string, n_docs long, n_tokens long"
 DOCUMENTS = "file long, position long, doc_id long, n_tokens long, ids_crc32 long"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """`folder` with scheme and host, as Spark itself would resolve it: one without a scheme is
+    on the cluster's default file system, not on the disk of whoever opens it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString()
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
     return fs.LocalFileSystem(), path
 
 
@@ -126,8 +136,10 @@ def write_token_files(
 
     documents: doc_id, text; other columns are ignored. A null text has no tokens but the end
     id, like an empty one. Rows without doc_id come first; rows that repeat an id stand side
-    by side, ordered by a hash of the text. folder: where all executors write, by any URI that
-    Arrow opens. files: how many; the number of shuffle partitions if not given.
+    by side, ordered by a hash of the text; even equal rows may be dealt to several files. A
+    text is encoded whole: its words and ids are held at once, some 20 bytes a byte of text.
+    folder: one that all executors share, on a file system that both Spark and Arrow open.
+    files: how many; the number of shuffle partitions if not given.
 
     Returns the manifest: file (from 0, in the order of doc_id), path, n_docs, n_tokens.
     Files without documents are not written. An empty table gives an empty manifest.
@@ -142,7 +154,7 @@ def write_token_files(
 
         def encoded():
             for batch in small_batches(batches, "text"):
-                texts = encode(batch.column("text").to_pylist())
+                texts = encode(batch.column("text"))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
                     yield doc_id, ids + end
 
@@ -156,11 +168,14 @@ def write_token_files(
             [{"file": number, "path": path, "n_docs": docs, "n_tokens": tokens}]
         )
 
+    folder = qualified(spark, folder)
     _make_folder(folder)
-    ordered = documents.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-    ordered = ordered.repartitionByRange(count, "doc_id", "tie").sortWithinPartitions(
-        "doc_id", "tie"
+    # The row's number parts copies of one document, of which there may be very many.
+    order = ("doc_id", "tie", "row")
+    ordered = documents.select(
+        "doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row")
     )
+    ordered = ordered.repartitionByRange(count, *order).sortWithinPartitions(*order)
     return written(ordered.select("doc_id", "text").mapInArrow(write, MANIFEST), "manifest")
 
 
@@ -239,37 +254,36 @@ def read_documents(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
     """The ids of the documents whose doc_id is in `wanted`; only their frames are read.
 
     Returns doc_id, ids (bytes). A doc_id that occurs several times gives as many rows; ids
-    that are null or in no file give none. Files are pruned by their first and last id.
+    that are null or in no file give none. Of the files' tables of ids all are read, and joined
+    with `wanted` by id.
     """
     ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where(
         F.col("doc_id").isNotNull()
     )
 
-    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 source = TokenFile(path)
-                known = [doc for doc in source.doc_ids if doc is not None]
                 source.close()
-                if known:
-                    yield pa.RecordBatch.from_pylist(
-                        [{"path": path, "low": known[0], "high": known[-1]}]
-                    )
+                doc_ids = pa.array(source.doc_ids, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(doc_ids)), pa.array(range(len(doc_ids)), pa.int64()), doc_ids],
+                    ["path", "position", "doc_id"],
+                )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, path, places = None, None, {}
+        source, path = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["path"] != path:
-                    path, source, places = row["path"], TokenFile(row["path"]), {}
-                    for i, doc in enumerate(source.doc_ids):
-                        places.setdefault(doc, []).append(i)
-                for i in places.get(row["doc_id"], ()):
-                    yield pa.RecordBatch.from_pydict(
-                        {"doc_id": [row["doc_id"]], "ids": [source.tokens(i)]}
-                    )
-
-    files = manifest.select("path").mapInArrow(bounds, "path string, low long, high long")
-    pairs = ids.distinct().join(F.broadcast(files), F.col("doc_id").between(F.col("low"), F.col("high")))
-    pairs = pairs.select("path", "doc_id").repartition("path").sortWithinPartitions("path")
-    return pairs.mapInArrow(fetch, "doc_id long, ids binary")
+                    path, source = row["path"], TokenFile(row["path"])
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": [row["doc_id"]], "ids": [source.tokens(row["position"])]}
+                )
+
+    files = manifest.select("path").repartition(_tasks(manifest.sparkSession), "path")
+    index = files.mapInArrow(listed, "path string, position long, doc_id long")
+    places = index.join(ids.distinct(), "doc_id", "left_semi")
+    places = places.repartition("path").sortWithinPartitions("path", "position")
+    return places.mapInArrow(fetch, "doc_id long, ids binary")

@@ -2,10 +2,15 @@
 
 The tokenizer drops white space and never joins characters across it, so the ids of a text
 are the ids of its white-space separated pieces in turn. Pieces repeat far more often than
-texts do, so each Python worker keeps the ids of pieces it has met.
+texts do: Arrow numbers those of a batch, parts them into a word and the signs after it, and
+puts the ids together; only words that are new to a worker meet the tokenizer.
 """
 
-import re
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from feedlake.llm.frames import split_words
 
 #: Pieces a worker remembers; some 200 bytes each.
 REMEMBERED = 1_000_000
@@ -14,12 +19,10 @@ WORD_END = "</w>"
 #: Words encoded in one call.
 TOGETHER = 5_000
 #: A word of Latin letters and ASCII signs without an apostrophe, which may start an ending.
-WORD_AND_SIGNS = re.compile(
-    r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)([!-&(-/:-@\[-`{-~]+)"
-).fullmatch
-#: White space to Python or to Unicode, but not among the six characters split at below.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-SPACE = re.compile("[ \t-\r]+")
+WORD_AND_SIGNS = (
+    "^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]+)"
+    r"(?P<signs>[!-&(-/:-@\[-`{-~]+)$"
+)
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -37,8 +40,6 @@ class Encoder:
     def __init__(self, path: str):
         import os
 
-        import numpy as np
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs the tasks
         from tokenizers import Tokenizer
 
@@ -50,44 +51,41 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def __call__(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """The ids of every text; none for a null one."""
-        split = [self._pieces(text or "") for text in texts]
-        self._learn(set().union(*split))
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in split]
-
-    def _pieces(self, text: str) -> list[str]:
-        if ODD_SPACE.search(text):
-            return [piece for piece in SPACE.split(text) if piece]
-        return text.split()
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Finds the ids of new pieces. A word and the signs after it are encoded apart."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        words, offsets = split_words(texts)
+        coded = words.dictionary_encode()
+        word, signs = (part.dictionary_encode() for part in _parts(coded.dictionary))
+        parts = word.dictionary.to_pylist() + signs.dictionary.to_pylist()
+        self._learn(set(parts))
+        ids = pa.array(map(self.known.__getitem__, parts), pa.large_binary(), size=len(parts))
+        # The word of every piece and the signs after it, often none, in turn.
+        codes = coded.indices.to_numpy()
+        turns = np.empty(2 * len(codes), dtype=np.int64)
+        turns[::2] = word.indices.to_numpy()[codes]
+        turns[1::2] = signs.indices.to_numpy()[codes] + len(word.dictionary)
+        taken = ids.take(pa.array(turns))
+        _, ends, data = taken.buffers()
+        bounds = np.frombuffer(ends, np.int64)[2 * offsets].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[start:end]) for start, end in zip(bounds[:-1], bounds[1:])]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Finds the ids of parts that are new."""
         if len(self.known) > REMEMBERED // 2:
             self.known, self.older = {}, self.known
-        known = self._recall(pieces)
-        apart = {}
-        for piece in pieces - known.keys():
-            if signs := WORD_AND_SIGNS(piece):
-                apart[piece] = (signs[1].lower(), signs[2])
-            else:
-                apart[piece] = (piece.lower() if piece.isascii() else piece, "")
-        parts = {part for both in apart.values() for part in both}
         self._encode(parts - self._recall(parts).keys())
-        for piece, (word, signs) in apart.items():
-            known[piece] = known[word] + known[signs] if signs else known[word]
 
-    def _recall(self, pieces: set[str]) -> dict[str, bytes]:
-        """The younger half, after those of `pieces` that only the older half has moved to it."""
-        older = (pieces - self.known.keys()) & self.older.keys()
-        self.known.update((piece, self.older[piece]) for piece in older)
+    def _recall(self, parts: set[str]) -> dict[str, bytes]:
+        """The younger half, after those of `parts` that only the older half has moved to it."""
+        older = (parts - self.known.keys()) & self.older.keys()
+        self.known.update((part, self.older[part]) for part in older)
         return self.known
 
     def _encode(self, parts: set[str]) -> None:
         """Words of Latin letters are encoded many at a time and told apart by their ends."""
-        import numpy as np
-
         plain, alone = [], []
         marked = bool(self.ends.any())
         for part in parts:
@@ -110,9 +108,17 @@ class Encoder:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
-def little_endian(ids) -> bytes:
-    import numpy as np
+def _parts(pieces: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The word of each piece, in lower case, and the signs after it. A piece that is not a word
+    and signs is its own word, in lower case if it is ASCII, as the tokenizer lowers it."""
+    found = pc.extract_regex(pieces, WORD_AND_SIGNS)
+    there = found.is_valid()
+    word, signs = found.flatten()
+    ascii_ = pc.if_else(pc.string_is_ascii(pieces), pc.ascii_lower(pieces), pieces)
+    return pc.if_else(there, pc.utf8_lower(word), ascii_), pc.fill_null(signs, "")
+
 
+def little_endian(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 

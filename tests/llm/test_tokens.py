@@ -97,3 +97,29 @@ def test_empty_table(spark):
         documents, work_folder(spark, "tokens"), tokens.default_vocabulary(), 2
     )
     assert token_files.token_positions(manifest).collect() == []
+
+
+def test_copies_of_one_document_are_dealt_to_many_files(spark):
+    rows = [(7, "the same text")] * 4000 + [(i, f"text {i}") for i in range(2000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = token_files.write_token_files(
+        documents, work_folder(spark, "tokens"), tokens.default_vocabulary(), 2, 8
+    )
+    assert max(row.n_docs for row in manifest.collect()) < 1500
+    found = token_files.token_positions(manifest).select("doc_id", "start", "n_tokens").collect()
+    at = 0
+    for doc_id, start, n in sorted(found, key=lambda row: row.start):
+        assert start == at
+        at += n
+    assert [row.doc_id for row in sorted(found, key=lambda row: row.start)] == sorted(i for i, _ in rows)
+
+
+def test_folders_are_resolved_as_spark_does(spark, tmp_path):
+    assert token_files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    _, place = token_files._filesystem(f"file:{tmp_path}/a")
+    assert place == f"{tmp_path}/a"
+
+
+def test_a_very_long_text():
+    text = "Wort, und " * 200_000 + "x" * 50_000
+    assert tokens.Encoder(tokens.default_vocabulary())([text, None, ""]) == [plain(text), b"", b""]
