@@ -19,8 +19,9 @@ set are one class, and classes whose sets have the same size and the same prefix
    components are verified. This completes the links between components. What is left out
    are pairs in one component, which no link could change.
 
-The sets of the few classes that are compared are made again from the texts, found by a bitmap
-of fixed size, instead of carrying the sets of all documents along.
+Pairs are compared by histograms of their sets first. Both these and the sets of the few classes
+that pass are made again from the texts when they are needed, of one row per class, found by a
+bitmap of bounded size, instead of carrying the sets of all documents along.
 """
 
 import zlib
@@ -53,8 +54,9 @@ CROWD = 8
 ROUNDS, LEADERS = 1, 4
 #: Bytes of text a task makes sets of at once.
 TEXTS = 2_000_000
-#: Bits of the bitmaps that say which sets or shingles are wanted; 2 MB.
-BITS = 1 << 24
+#: Bits of the bitmaps that say which sets or shingles are wanted: some for each, within bounds;
+#: 16 MB at most. A fuller bitmap lets more pass that a join then drops.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 27, 8
 
 
 @dataclass(frozen=True)
@@ -92,13 +94,14 @@ def jaccard_join(documents: DataFrame, similarity: Similarity = Similarity()) ->
     crowded = written(_crowded(shared), "crowded")
     rooted = members.withColumn("component", F.col("sig"))
     own = members.select(F.col("leader").alias("a"), F.col("sig").alias("b")).where("a <> b")
-    links = _verified(written(own, "pairs"), documents, similarity)
+    links = _verified(written(own, "pairs"), documents, classes, similarity)
     for number in range(ROUNDS):
         leaders = written(_leader_pairs(crowded, rooted, similarity, number), "pairs")
-        links = written(links.union(_verified(leaders, documents, similarity)), "links")
+        found = _verified(leaders, documents, classes, similarity)
+        links = written(links.union(found), "links")
         rooted = written(_with_component(members, components(links)), "rooted")
     crossing = written(_cross_pairs(shared, rooted, similarity), "pairs")
-    links = links.union(written(_verified(crossing, documents, similarity), "links"))
+    links = links.union(written(_verified(crossing, documents, classes, similarity), "links"))
     return _result(sets, classes, components(links))
 
 
@@ -227,9 +230,8 @@ def _shared_prefixes(groups: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"t": _hashes(b"".join(prefixes))})
 
     counted = groups.select("prefix").mapInArrow(shingle, "t long").groupBy("t").count()
-    wanted = groups.sparkSession.sparkContext.broadcast(
-        _bitmap(counted.where("count > 1"), F.col("t"))
-    )
+    repeated = written(counted.where("count > 1").select("t"), "repeated")
+    wanted = groups.sparkSession.sparkContext.broadcast(_bitmap(repeated, F.col("t")))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,29 +257,26 @@ def _hashes(data: bytes) -> pa.Array:
 
 
 def _bitmap(rows: DataFrame, value) -> np.ndarray:
-    """A bitmap of BITS bits with one for each value (long), by its lowest bits."""
-    place = F.pmod(value, F.lit(BITS))
+    """A bitmap with a bit for each value (long) of `rows`, a written table, by its lowest bits."""
+    wanted = min(max(BITS_EACH * rows.count(), LEAST_BITS), MOST_BITS)
+    size = 1 << (wanted - 1).bit_length()
+    place = F.pmod(value, F.lit(size))
     parts = (
         rows.select(place.alias("place"))
         .groupBy(F.expr("bitmap_bucket_number(place)").alias("part"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
     )
-    bits = np.zeros(BITS // 8 + 8192, dtype=np.uint8)
-    for row in parts.collect():  # BITS bits, whatever the input
-        data = np.frombuffer(row["bits"], dtype=np.uint8)
-        start = _bitmap_start(row["part"])
-        bits[start : start + len(data)] = data
+    # Spark numbers from 1 the bitmaps of 4096 bytes, and has one for place 0 before them.
+    bits = np.zeros(size // 8 + 4096, dtype=np.uint8)
+    for row in parts.toLocalIterator():  # `size` bits, whatever the input
+        data = np.frombuffer(row["bits"], dtype=np.uint8)[: len(bits) - row["part"] * 4096]
+        bits[row["part"] * 4096 : row["part"] * 4096 + len(data)] = data
     return bits
 
 
-def _bitmap_start(part: int) -> int:
-    """Spark numbers from 1 the bitmaps of 4096 bytes, and has one for place 0 before them."""
-    return part * 4096
-
-
 def _within(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which of `values` have their bit set; some that were never put in may have it too."""
-    place = values & np.int64(BITS - 1)
+    place = values & np.int64((len(bits) - 4096) * 8 - 1)
     # Place p has number 1 + (p - 1) // 32768 and bit (p - 1) % 32768; place 0 is in bitmap 0.
     before = np.maximum(place - 1, 0)
     byte = np.where(place > 0, 4096 * (1 + before // 32768) + before % 32768 // 8, 0)
@@ -332,73 +331,90 @@ def _leader_pairs(
     return chosen.join(ones, "g").join(others, "h").select("a", "b")
 
 
-def _low_bits(sig) -> F.Column:
-    """A number of the last bytes of a signature, as `_shingles` takes it."""
-    return F.conv(F.hex(F.substring(sig, 13, 4)), 16, 10).cast("long")
+#: Makes a number of the low bits of a signature and of a doc_id, the same in Spark and numpy.
+MARK = 40503
+DOC_BITS = 1 << 24
+
 
+def _mark(sig, doc_id) -> F.Column:
+    """A number of a class and one of its documents, as `_made` takes it."""
+    last = F.conv(F.hex(F.substring(sig, 13, 4)), 16, 10).cast("long")
+    return last + F.pmod(F.coalesce(doc_id, F.lit(-1)), F.lit(DOC_BITS)) * MARK
+
+
+def _made(
+    documents: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: Similarity, make
+) -> DataFrame:
+    """sig and data, which is `make` of the whole set, of the classes in `pairs`.
 
-def _shingles(documents: DataFrame, similarity: Similarity, active: DataFrame) -> DataFrame:
-    """The whole sets of the classes that `active` names: sig, histogram, shingles (their
-    hashes)."""
+    Of each class the row of its smallest doc_id makes it, whatever copies there are. Rows that
+    repeat that one are left out within a task, then dropped.
+    """
+    active = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    marks = classes.join(active, "sig", "left_semi").select(
+        _mark(F.col("sig"), F.col("doc_id")).alias("mark")
+    )
     wanted = documents.sparkSession.sparkContext.broadcast(
-        _bitmap(active, _low_bits(F.col("sig")))
+        _bitmap(written(marks, "marks"), F.col("mark"))
     )
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = set()
         for batch in small_batches(batches, "text", TEXTS):
-            signatures, sets = [], []
-            for values in _sets(batch, similarity):
-                if len(values):
-                    signatures.append(_digest(values.tobytes()))
-                    sets.append(values)
-            last = np.array([int.from_bytes(sig[12:], "big") for sig in signatures], dtype=np.int64)
-            there = np.flatnonzero(_within(wanted.value, last)) if len(last) else []
+            ids = batch.column("doc_id").fill_null(-1).to_numpy() % DOC_BITS * MARK
+            sets = _sets(batch, similarity)
+            signatures = [_digest(values.tobytes()) for values in sets]
+            last = [int.from_bytes(sig[12:], "big") for sig in signatures]
+            there = _within(wanted.value, np.array(last, dtype=np.int64) + ids)
+            found = {}
+            for i in np.flatnonzero(there).tolist():
+                if len(sets[i]) and signatures[i] not in made:
+                    found[signatures[i]] = make(sets[i])
+            made.update(found)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "sig": pa.array([signatures[i] for i in there], pa.binary()),
-                    "histogram": pa.array([_histogram(sets[i]) for i in there], pa.binary()),
-                    "shingles": pa.array([sets[i].tobytes() for i in there], pa.binary()),
+                    "sig": pa.array(found.keys(), pa.binary(), size=len(found)),
+                    "data": pa.array(found.values(), pa.binary(), size=len(found)),
                 }
             )
 
-    found = documents.select("text").mapInArrow(
-        make, "sig binary, histogram binary, shingles binary"
-    )
-    once = [F.first(name).alias(name) for name in ("histogram", "shingles")]
-    return written(found.groupBy("sig").agg(*once), "shingles")
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    found = documents.select(ids, "text").mapInArrow(some, "sig binary, data binary")
+    return found.dropDuplicates(["sig"])
 
 
 def _histogram(values: np.ndarray) -> bytes:
     """How many hashes of a set start with each byte. Empty if one count is too large."""
     counts = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=256)
-    return b"" if counts.max() > 0xFFFF else counts.astype("<u2").tobytes()
+    return b"" if counts.max() > 0xFF else counts.astype(np.uint8).tobytes()
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, similarity: Similarity) -> DataFrame:
+def _verified(
+    pairs: DataFrame, documents: DataFrame, classes: DataFrame, similarity: Similarity
+) -> DataFrame:
     """The pairs of classes (a, b) whose whole sets are similar.
 
     Two sets share no more hashes than the smaller counts of their histograms add up to. Only
-    pairs for which that is enough have their sets brought together.
+    pairs for which that is enough have their sets made and brought together.
     """
-    both_sides = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    sets = _shingles(documents, similarity, both_sides)
 
     def may_be(one: bytes, other: bytes) -> bool:
         if not len(one) or not len(other):
             return True
-        one, other = (np.frombuffer(x, dtype="<u2").astype(np.int64) for x in (one, other))
+        one, other = (np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in (one, other))
         return similarity.linked(one.sum(), other.sum(), np.minimum(one, other).sum())
 
     def are(one: bytes, other: bytes) -> bool:
         one, other = (np.frombuffer(x, dtype=np.uint64) for x in (one, other))
         return similarity.linked(len(one), len(other), common(one, other))
 
-    near = written(_passing(pairs, sets, "histogram", may_be), "near")
-    return _passing(near, sets, "shingles", are)
+    histograms = _made(documents, classes, pairs, similarity, _histogram)
+    near = written(_passing(pairs, histograms, may_be), "near")
+    return _passing(near, _made(documents, classes, near, similarity, np.ndarray.tobytes), are)
 
 
-def _passing(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
-    """The pairs that pass a test of the values that both classes have in `column`."""
+def _passing(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """The pairs that pass a test of the data of both classes."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,8 +422,8 @@ def _passing(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
             passed = [bool(test(x.as_buffer(), y.as_buffer())) for x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
-    ones = sets.select(F.col("sig").alias("a"), F.col(column).alias("one"))
-    others = sets.select(F.col("sig").alias("b"), F.col(column).alias("other"))
+    ones = sets.select(F.col("sig").alias("a"), F.col("data").alias("one"))
+    others = sets.select(F.col("sig").alias("b"), F.col("data").alias("other"))
     joined = pairs.join(ones, "a").join(others, "b").select("a", "b", "one", "other")
     return joined.mapInArrow(keep, "a binary, b binary")
 

@@ -169,8 +169,8 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(checksum % PARTS == HELD_OUT, F.lit(False))
 
 
-def _rows(batch: pa.RecordBatch) -> np.ndarray:
-    texts = batch.column("text").to_pylist()
+def _rows(batch: pa.RecordBatch, text: str = "text") -> np.ndarray:
+    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
     return np.array([statistics(text or "") for text in texts]).reshape(len(texts), STATISTICS)
 
 
@@ -203,35 +203,52 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tree
     return train(values, np.array([row["quality"] for row in rows], dtype=np.float64))
 
 
-def score(documents: DataFrame, trees: Trees) -> DataFrame:
-    """Adds score (0 to 1) and predicted (1 if score >= 0.5, else 0) to documents.
+def score(
+    documents: DataFrame,
+    trees: Trees,
+    names: tuple[str, str] = ("score", "predicted"),
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """Adds a score (0 to 1) and whether it is 0.5 or more (1, else 0), by `names`, to documents.
 
-    documents: text and any other columns; columns of those two names are replaced. A null text
-    is scored like an empty one. An empty table gives no rows.
+    documents: text and any other columns; columns of those two names are replaced. columns:
+    those that are returned with the two; all if not given. A text is sent to the workers once,
+    and back only if it is among them. A null text is scored like an empty one. An empty table
+    gives no rows. Of a text, its words and pairs of words are held at once.
     """
     told = documents.sparkSession.sparkContext.broadcast(trees)
-    plain = documents.drop("score", "predicted")
-    text = fresh(plain, "scored_text")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
+    plain = documents.drop(*names)
+    carried = plain if columns is None else plain.select(*[F.col(f"`{name}`") for name in columns])
+    text = "text"
+    if "text" not in carried.columns:
+        text = fresh(carried, "scored_text")
+        sent = plain.select(*carried.columns, F.col("text").alias(text))
+    else:
+        sent = carried
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
-            texts = batch.column(text).to_pylist()
-            rows = np.array([statistics(t or "") for t in texts]).reshape(len(texts), STATISTICS)
-            scores = told.value.scores(rows)
+            scores = told.value.scores(_rows(batch, text))
             yield (
-                batch.drop_columns([text])
-                .append_column("score", pa.array(scores))
-                .append_column("predicted", pa.array((scores >= 0.5).astype(np.int32)))
+                batch.select(carried_names)
+                .append_column(names[0], pa.array(scores))
+                .append_column(names[1], pa.array((scores >= 0.5).astype(np.int32)))
             )
 
-    sent = plain.withColumn(text, F.col("text"))
-    return sent.mapInArrow(judge, ", ".join([*fields, "score double", "predicted int"]))
+    carried_names = carried.columns
+    return sent.mapInArrow(judge, ", ".join([*fields, f"`{names[0]}` double, `{names[1]}` int"]))
 
 
-def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def classify(
+    documents: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    columns: list[str] | None = None,
+) -> DataFrame:
     """Adds held_out, score and predicted to documents (doc_id, text, ...), by trees learned
-    from the documents that labels name."""
+    from the documents that labels name. columns: those returned, doc_id among them; all if
+    not given."""
     plain = documents.drop("held_out")
-    scored = score(plain, learn(documents, labels, sample))
+    scored = score(plain, learn(documents, labels, sample), columns=columns)
     return scored.withColumn("held_out", held_out("doc_id"))

@@ -67,7 +67,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality.classify(documents, table(spark, sf_dir, "labels"))
+    judged = quality.classify(documents, table(spark, sf_dir, "labels"), columns=["doc_id"])
     return judged.select("doc_id", "held_out", "score", "predicted")
 
 
@@ -407,12 +407,77 @@ FROM turns AS t JOIN kept AS k ON t.conv_id IS NOT DISTINCT FROM k.conv_id
 GROUP BY t.conv_id, part
 """
 
+#: From links (a, b) between rows, the component of every row that has one: reached (a, b).
+_REACHED = """
+reached AS (
+    SELECT a, b FROM both_ways
+    UNION SELECT r.a, l.b FROM reached AS r JOIN both_ways AS l ON r.b = l.a
+)"""
+
+#: All pairs of texts that share a shingle.
+OP3_SQL = rf"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT row, doc_id,
+           CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 1),
+                                                  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+           END AS shingles
+    FROM texts
+), shingled AS (
+    SELECT row, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+    SELECT x.row AS a, y.row AS b
+    FROM shingled AS x JOIN shingled AS y ON x.shingle = y.shingle AND x.row < y.row
+    WHERE 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n)
+    GROUP BY x.row, y.row, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), {_REACHED}, smallest AS (
+    SELECT r.a AS row, min(s.doc_id) AS least FROM reached AS r JOIN sets AS s ON r.b = s.row GROUP BY r.a
+)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles,
+       CASE WHEN least IS NULL THEN doc_id ELSE coalesce(least(least, doc_id), least) END AS component_id
+FROM sets LEFT JOIN smallest USING (row)
+"""
+
+#: All pairs of vectors.
+OP6_SQL = f"""
+WITH RECURSIVE vectors AS (
+    SELECT row_number() OVER () AS row, vec_id, {_DOUBLES} AS v, {_SOUND} AS sound FROM embeddings
+), sound AS (
+    SELECT row, v FROM vectors WHERE sound AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.row AS a, y.row AS b
+    FROM sound AS x JOIN sound AS y ON x.row < y.row AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.9
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), {_REACHED}, smallest AS (
+    SELECT r.a AS row, min(s.vec_id) AS least FROM reached AS r JOIN vectors AS s ON r.b = s.row GROUP BY r.a
+), counted AS (
+    SELECT a AS row, count(*) AS n FROM both_ways GROUP BY a
+), named AS (
+    SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
+           CASE WHEN least IS NULL THEN vec_id ELSE coalesce(least(least, vec_id), least) END AS component_id
+    FROM vectors LEFT JOIN smallest USING (row) LEFT JOIN counted USING (row)
+)
+SELECT *, coalesce(vec_id = component_id, false) AS kept FROM named
+"""
+
 
 def llm_oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": OP2_SQL,
+        "op3_jaccard_join": OP3_SQL,
         "op4_chat_formatting": OP4_SQL,
         "op5_exact_top_k": OP5_SQL,
+        "op6_embedding_dedup": OP6_SQL,
         "op11_hard_negatives": OP11_SQL,
         "op12_license_scan": OP12_SQL,
     }

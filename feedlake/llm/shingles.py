@@ -4,8 +4,6 @@ Words are what stands between ASCII white space, A-Z lower-cased. White space is
 in UTF-8, so texts are cut as bytes.
 """
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 
@@ -86,9 +84,3 @@ def common(one: np.ndarray, other: np.ndarray) -> int:
     places = np.searchsorted(one, other)
     places[places == len(one)] = 0
     return int(np.count_nonzero(one[places] == other))
-
-
-def as_rows(columns: dict[str, list], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """One batch of the columns, or none if they are empty."""
-    if len(next(iter(columns.values()))):
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)

@@ -84,3 +84,17 @@ def test_empty_documents(spark, sf_dir):
         assert found.count() == 0
         if stage is not corpus_pipeline.pack_sequences:
             docs = found
+
+
+def test_columns_that_the_stages_use_themselves(spark, sf_dir):
+    sf_dir = sf_dir.rsplit("/", 1)[0] + DIR
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "*", "-7.0 AS Score", "42 AS predicted", "1 AS quality_score", "2 AS row_number", "3 AS copy",
+        "4 AS size", "5 AS times", "6 AS mix_order", "'x' AS n", "7 AS component_id",
+    )
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir).cache()
+        assert docs.columns[5:] == ["Score", "predicted", "quality_score", "row_number", "copy", "size",
+                                    "times", "mix_order", "n", "component_id"]
+        assert {tuple(row)[5:] for row in docs.collect()} == {(docs.first().Score, 42, 1, 2, 3, 4, 5, 6, "x", 7)}
+        assert float(docs.first().Score) == -7.0
