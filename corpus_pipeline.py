@@ -19,8 +19,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels of sf_dir."""
     workers_find_package(spark)
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
-    judged = quality.score(docs, trees)
-    return judged.where("predicted = 1").select(*_columns(docs))
+    score = fresh(docs, "quality_score")
+    predicted = fresh(docs, "quality_predicted")
+    judged = quality.score(docs, trees, names=(score, predicted))
+    return judged.where(F.col(predicted) == 1).select(*_columns(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
