@@ -81,6 +81,9 @@ REVIEW_FIELDS = (
     "reviewer_type",
 )
 
+# Those of them that are no text.
+REVIEW_NUMBERS = ("review_id", "review_year", "review_individual_score")
+
 # Names that review fields take inside a document, where they differ.
 DOCUMENT_REVIEW_NAMES = {
     "review_individual_score": "score",

@@ -3,7 +3,8 @@
 None carries a broadcast hint, as every side grows with the data. A join may meet a hot key
 on either side: adaptive execution splits such a partition. The shapes it cannot split (the
 right side of an outer join, a side that is not shuffled for the join, null keys) are
-written so that they do not occur.
+written so that they do not occur. The joins that pair all rows of two tables, where a key
+may be hot on both sides, are salted for the keys that operators.skew finds heavy.
 """
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 from feedlake.operators.dedup import dedup, distinct_keys
+from feedlake.operators.skew import salted_join
 
 
 def rental_matched(details: DataFrame, search: DataFrame) -> DataFrame:
@@ -47,14 +49,21 @@ def properties_left_reviews(
     )
 
 
-def join_tables(rental: DataFrame, reviews: DataFrame) -> DataFrame:
-    """rental_property with property_reviews; shared columns of the latter get a prefix."""
+def join_tables(
+    rental: DataFrame, reviews: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
+    """rental_property with property_reviews; shared columns of the latter get a prefix.
+
+    heavy: the ids that are hot (`skew.heavy_keys`), whose rows are then shared out.
+    """
     renamed = reviews.withColumnsRenamed(
         {name: V.SHARED_PREFIX + name for name in V.SHARED_COLUMNS}
     )
-    return rental.join(renamed, rental["id"] == renamed["gen_id"], "inner").drop(
-        "gen_id", "source_id_r"
-    )
+    if heavy is None:
+        joined = rental.join(renamed, rental["id"] == renamed["gen_id"], "inner")
+    else:
+        joined = salted_join(rental, renamed, "id", "gen_id", heavy)
+    return joined.drop("gen_id", "source_id_r")
 
 
 def join_tables_deduplicated(rental: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -70,8 +79,16 @@ def join_tables_deduplicated(rental: DataFrame, reviews: DataFrame) -> DataFrame
     )
 
 
-def combined_view(rental: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The 26 columns that ad-hoc queries run on: one row per pair of the two tables."""
+def combined_view(
+    rental: DataFrame, reviews: DataFrame, heavy: DataFrame | None = None
+) -> DataFrame:
+    """The 26 columns that ad-hoc queries run on: one row per pair of the two tables.
+
+    heavy: as in `join_tables`.
+    """
+    if heavy is not None:
+        described = reviews.select("gen_id", "property_id", *V.REVIEW_FIELDS)
+        return salted_join(rental, described, "id", "gen_id", heavy).drop("gen_id")
     r, v = rental.alias("r"), reviews.alias("v")
     return r.join(v, F.col("r.id") == F.col("v.gen_id"), "inner").select(
         *[F.col(f"r.{name}") for name in V.RENTAL_COLUMNS],

@@ -5,6 +5,10 @@ So the few groups above a limit of rows are found first (`hot_groups`), their ro
 to numbered parts (`deal`), and `nest` makes one row per group and part. All other groups
 have the single part 0. No review is left out. `repeat` gives each part its property row,
 and `with_totals` says in each part how many reviews and parts the whole group has.
+
+`deal_by_bytes` cuts groups by how long their reviews are instead, in the order of their ids:
+what a row holds is then bounded in bytes, whatever the reviews are like. `with_totals_by_part`
+goes with it.
 """
 
 from collections.abc import Sequence
@@ -13,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
+from feedlake.operators.running import BUCKET_ROWS, running_sum
 from feedlake.workspace import kept
 
 ROW_LIMIT = 10_000
@@ -70,6 +75,35 @@ def deal(df: DataFrame, key: str, member: str, hot: DataFrame) -> DataFrame:
     )
 
 
+def row_bytes(df: DataFrame, fields: Sequence[str]) -> Column:
+    """Bytes of the text in `fields`, and 8 for each other one that is not null."""
+    types = dict(df.dtypes)
+    sizes = [
+        F.octet_length(name) if types[name] == "string" else F.when(F.col(name).isNotNull(), 8)
+        for name in fields
+    ]
+    return sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(0).cast("long"))
+
+
+def deal_by_bytes(
+    df: DataFrame,
+    key: str,
+    member: str,
+    fields: Sequence[str],
+    limit: int,
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Add `part`. Rows of a group, one per `member`, are cut in its order at every `limit` bytes.
+
+    A row belongs to the part in which it begins, so the rows of a part have less than `limit`
+    bytes before the last one. One that is longer than that leaves the numbers unused which
+    it covers. Rows without a member count nothing. A hot group is summed up on two levels.
+    """
+    size = F.when(F.col(member).isNotNull(), row_bytes(df, fields))
+    summed = running_sum(df, key, [member], size, "_before", bucket_rows)
+    return summed.withColumn("part", F.floor(F.col("_before") / limit).cast("int")).drop("_before")
+
+
 def repeat(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Each row once for every part of its group, numbered in `part`."""
     last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
@@ -108,6 +142,16 @@ def with_totals(nested: DataFrame, key: str, hot: DataFrame | None) -> DataFrame
     )
 
 
+def with_totals_by_part(nested: DataFrame, key: str) -> DataFrame:
+    """Add total_reviews and parts of the whole group to each row of `nested`, counted from its
+    rows; their arrays are not moved for it."""
+    totals = nested.groupBy(F.col(key).alias("_whole")).agg(
+        F.sum(total_reviews()).cast("int").alias("total_reviews"),
+        F.count(F.lit(1)).cast("int").alias("parts"),
+    )
+    return nested.join(totals, F.col(key) == F.col("_whole")).drop("_whole")
+
+
 def total_reviews(reviews: str = "reviews") -> Column:
     """Length of the array, 0 for null."""
     return F.coalesce(F.array_size(reviews), F.lit(0))

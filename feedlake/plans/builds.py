@@ -15,8 +15,11 @@ from feedlake import schemas
 from feedlake.operators import extract, joins, nest, standardize
 from feedlake.operators.audit import audit_counts, observed
 from feedlake.operators.dedup import dedup
+from feedlake.operators.running import BUCKET_ROWS
+from feedlake.operators.skew import heavy_keys
 from feedlake.sources import documents as docs
 from feedlake.sources import tables
+from feedlake.workspace import kept
 
 RENTAL = "rental_property"
 REVIEWS = "property_reviews"
@@ -92,7 +95,11 @@ def _unique_reviews(
 
 
 def final_frame(
-    rental: DataFrame, reviews: DataFrame, limit: int = nest.ROW_LIMIT
+    rental: DataFrame,
+    reviews: DataFrame,
+    limit: int = nest.ROW_LIMIT,
+    max_bytes: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """One row per property of both tables with its reviews nested, total_reviews, part, parts.
 
@@ -101,7 +108,12 @@ def final_frame(
     Same rows as joining the tables, dropping duplicate (id, review_id) and grouping by
     all property columns, but the reviews are nested by their key alone before the join:
     property columns are never copied onto reviews, and the join is one row to one row.
+
+    With `max_bytes`, rows are bounded by the bytes of their reviews instead of by their number,
+    and hold them in the order of their ids (operators.nest.deal_by_bytes).
     """
+    if max_bytes is not None:
+        return _final_by_bytes(rental, reviews, max_bytes, bucket_rows)
     unique, group, hot = _unique_reviews(
         reviews.where(F.col("gen_id").isNotNull()),
         ["gen_id", *V.REVIEW_FIELDS],
@@ -119,6 +131,21 @@ def final_frame(
     return joined.select(*V.RENTAL_COLUMNS, "reviews", "total_reviews", "part", "parts")
 
 
+def _final_by_bytes(
+    rental: DataFrame, reviews: DataFrame, max_bytes: int, bucket_rows: int
+) -> DataFrame:
+    rows = reviews.where(F.col("gen_id").isNotNull()).select("gen_id", *V.REVIEW_FIELDS)
+    unique = dedup(rows, ["gen_id", "review_id"], order=list(V.REVIEW_FIELDS))
+    dealt = nest.deal_by_bytes(
+        unique, "gen_id", "review_id", V.REVIEW_FIELDS, max_bytes, bucket_rows
+    )
+    # Used for its rows and for their counts.
+    nested = kept(nest.nest(dealt, ["gen_id", "part"]), "nested")
+    counted = nest.with_totals_by_part(nested, "gen_id")
+    joined = dedup(rental, ["id"]).join(counted, F.col("id") == F.col("gen_id"), "inner")
+    return joined.select(*V.RENTAL_COLUMNS, "reviews", "total_reviews", "part", "parts")
+
+
 def review_documents_frame(reviews: DataFrame, limit: int = nest.ROW_LIMIT) -> DataFrame:
     """One row per property of property_reviews, as `final_frame` makes them.
 
@@ -249,15 +276,16 @@ def build_final(
     per_key: bool = False,
     created_at: datetime | None = None,
     limit: int = nest.ROW_LIMIT,
+    max_bytes: int | None = None,
 ) -> dict:
     """Write rentals_reviews from the two tables, then its documents from what was written.
 
-    Rows and documents hold up to `limit` reviews. The documents are read from the countries
+    Rows and documents hold up to `limit` reviews, or `max_bytes` of them. The documents are read from the countries
     just written, no others.
     """
     # One stamp for the batch, so that the rows of this build can be told from older ones.
     stamp = F.lit(created_at or datetime.now(UTC))
-    nested = final_frame(read_rental(spark, root), read_reviews(spark, root), limit)
+    nested = final_frame(read_rental(spark, root), read_reviews(spark, root), limit, max_bytes)
     stamped = standardize.with_created_time(nested, stamp)
     counts = _write(
         stamped,
@@ -330,6 +358,10 @@ def read_final(spark: SparkSession, root: str) -> DataFrame:
 
 
 def register_combined_view(spark: SparkSession, root: str, name: str = "property_combined") -> None:
-    """Make the combined view available to spark.sql."""
-    view = joins.combined_view(read_rental(spark, root), read_reviews(spark, root))
-    view.createOrReplaceTempView(name)
+    """Make the combined view available to spark.sql.
+
+    Ids that are hot in both tables are looked for now; the view shares out their rows.
+    """
+    rental, reviews = read_rental(spark, root), read_reviews(spark, root)
+    heavy = heavy_keys(rental, reviews, "id", "gen_id")
+    joins.combined_view(rental, reviews, heavy).createOrReplaceTempView(name)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 from feedlake.operators.dedup import distinct_keys
+from feedlake.workspace import kept
 
 
 def cutoff_time(older_than: datetime | str | None = None) -> datetime:
@@ -54,6 +55,44 @@ def snapshots_to_expire(
     return old.join(retained, kept, "left_anti")
 
 
+def files_to_expire(
+    snapshots: DataFrame,
+    manifests: DataFrame,
+    entries: DataFrame,
+    older_than: datetime | str | None = None,
+    retain_last: int = V.RETAIN_LAST,
+) -> DataFrame:
+    """What goes with the snapshots that `snapshots_to_expire` names: (table_name, kind, target),
+    a row for each manifest and each file that no other snapshot reaches.
+
+    manifests: table_name, snapshot_id, manifest; entries: manifest, path. Snapshots share
+    manifests, and manifests share files, also between tables. What any snapshot reaches that
+    does not expire is kept, even one that `snapshots` does not list; so are the files of a
+    manifest that none is known to hold. A manifest that several tables hold is named for
+    each. Nulls reach nothing.
+    """
+    expired = snapshots_to_expire(snapshots, older_than, retain_last).select(
+        F.col("table_name").alias("_table"), F.col("snapshot_id").alias("_snapshot")
+    )
+    of_expired = F.col("table_name").eqNullSafe(F.col("_table")) & F.col(
+        "snapshot_id"
+    ).eqNullSafe(F.col("_snapshot"))
+    held = manifests.where(F.col("manifest").isNotNull())
+    # Each side is made distinct in part before it moves: a manifest may be in all snapshots.
+    still = distinct_keys(held.join(expired, of_expired, "left_anti"), "manifest")
+    named = held.join(expired, of_expired, "left_semi").select("table_name", "manifest").distinct()
+    gone = kept(named.join(still, "manifest", "left_anti"), "gone")
+    listed = entries.where(F.col("path").isNotNull()).select("manifest", "path")
+    used = distinct_keys(
+        listed.join(distinct_keys(gone, "manifest"), "manifest", "left_anti"), "path"
+    )
+    files = listed.join(gone, "manifest").select("table_name", "path").distinct()
+    files = files.join(used, "path", "left_anti")
+    return gone.select("table_name", F.lit("manifest").alias("kind"), F.col("manifest").alias("target")).unionAll(
+        files.select("table_name", F.lit("file"), "path")
+    )
+
+
 def orphan_files(
     listing: DataFrame, referenced: DataFrame, older_than: datetime | str | None = None
 ) -> DataFrame:

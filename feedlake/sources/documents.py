@@ -1,8 +1,8 @@
 """One JSON document per property."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,10 @@ from feedlake import fixed_values as V
 from feedlake.functions.names import document_key
 from feedlake.operators.nest import total_reviews
 from feedlake.sources.tables import encode_partitions, overwrite_option, spread_for_write
+from feedlake.workspace import kept
+
+#: Bytes of documents in a file of an indexed set.
+SHARD_BYTES = 128 << 20
 
 
 def _document_reviews(nested: DataFrame) -> Column:
@@ -91,6 +95,87 @@ def write_document_files(docs: DataFrame, path: str, mode: str = "full") -> None
     _write_text(docs, path, "doc_key", mode)
 
 
+def write_indexed(
+    docs: DataFrame, path: str, index_path: str, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """JSON Lines in files of some `shard_bytes`, and an index to fetch single documents by.
+
+    Documents are dealt to shards by a hash of their key, one file each, in the order of key
+    and text. The index, a Parquet table at `index_path`, has a row for each: doc_key, file,
+    offset and length in bytes, crc32. Offsets are running sums within a shard, which is no
+    longer than one task writes. Keys need not be distinct. Both are replaced; the index is
+    written last. Returns it. No documents, no files and an empty index.
+    """
+    spark = docs.sparkSession
+    size = F.octet_length("document").cast("long")
+    rows = kept(docs.select("doc_key", "document"), "documents")
+    total = rows.agg(F.coalesce(F.sum(size + 1), F.lit(0)).alias("n")).first()["n"]
+    shards = max(1, -(-total // shard_bytes))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_key"), F.lit(shards)).cast("int"))
+    order = ("doc_key", "document")
+    ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", *order)
+    _write_text(ordered, path, "shard", "full")
+
+    named = spark.createDataFrame([], "shard int, file string")
+    if total:
+        files = spark.read.format("binaryFile").load(path)  # names alone are read
+        named = files.select(F.col("shard").cast("int"), F.col("path").alias("file"))
+        if named.groupBy("shard").count().where("count > 1").take(1):
+            raise ValueError(f"a shard in {path} has several files")
+    before = Window.partitionBy("shard").orderBy(*order)
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.select(
+        "shard",
+        "doc_key",
+        F.coalesce(F.sum(size + 1).over(before), F.lit(0)).alias("offset"),
+        size.alias("length"),
+        F.crc32("document").alias("crc32"),
+    )
+    index = placed.join(named, "shard").select("doc_key", "file", "offset", "length", "crc32")
+    index.write.mode("overwrite").parquet(index_path)
+    return spark.read.schema(index.schema).parquet(index_path)
+
+
+def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_key, document) of the documents whose key is in `wanted` (doc_key), by an index that
+    `write_indexed` made. Only their bytes are read; those of a file together, in order.
+
+    Keys that are null or not in the index give no row, repeated ones one row a document. Bytes
+    that do not have the checksum of the index fail the job. Files are opened by Arrow: local
+    ones, or by any scheme it knows.
+    """
+
+    def read(batches: Iterator) -> Iterator:
+        import zlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        name, source = None, None
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if row["file"] != name:
+                    name = row["file"]
+                    if name.startswith("file:"):
+                        system, place = fs.LocalFileSystem(), "/" + name[5:].lstrip("/")
+                    else:
+                        system, place = fs.FileSystem.from_uri(name.replace("s3a://", "s3://", 1))
+                    source = system.open_input_file(place)
+                source.seek(row["offset"])
+                data = source.read(row["length"])
+                if zlib.crc32(data) != row["crc32"]:
+                    raise ValueError(f"{name} does not hold {row['doc_key']} at {row['offset']}")
+                found.append({"doc_key": row["doc_key"], "document": data.decode()})
+            if found:
+                yield pa.RecordBatch.from_pylist(found)
+
+    keys = wanted.select("doc_key").where(F.col("doc_key").isNotNull()).distinct()
+    rows = index.join(keys, "doc_key", "left_semi")
+    rows = rows.repartition("file").sortWithinPartitions("file", "offset")
+    return rows.mapInArrow(read, "doc_key string, document string")
+
+
 def read_documents(spark, path: str, schema: str, pretty: bool = False) -> DataFrame:
     """Documents back as rows, from either layout; pretty ones take several lines each."""
     reader = spark.read.schema(schema).option("recursiveFileLookup", "true")

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
+from feedlake.sources.array_feeds import read_array
 
 BAD = "_corrupt_record"
 
 
 def _read(spark: SparkSession, path, schema: str, json_lines: bool) -> DataFrame:
-    # A file that is one JSON array can only be read whole, by one task per file. Feeds of
-    # any size should come as JSON Lines, which Spark splits.
+    if not json_lines:
+        return read_array(spark, path, schema, BAD)
     reader = spark.read.schema(f"{schema}, {BAD} string").option("columnNameOfCorruptRecord", BAD)
-    return reader.option("multiLine", not json_lines).json(path)
+    return reader.json(path)
 
 
 def read_details(spark: SparkSession, path, json_lines: bool = True) -> DataFrame:

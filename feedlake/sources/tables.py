@@ -6,6 +6,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.sources.listing import list_files
+from feedlake.workspace import kept
+
+__all__ = [
+    "changed_partitions", "encode_partitions", "list_files", "overwrite_option", "read_table",
+    "rewrite_changed", "row_count", "schema_table", "spread_for_write", "write_backup",
+    "write_table",
+]
+
 # A partition directory cannot tell empty text from null, so empty text gets a name.
 EMPTY_PARTITION = "__EMPTY__"
 
@@ -105,6 +114,77 @@ def read_table(
     )
 
 
+def _fingerprints(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """Per partition its rows, and sums of hashes that do not depend on their order."""
+    columns = sorted(df.columns)
+    hashes = [
+        F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")).alias(f"_hash{seed}")
+        for seed in (1, 2)
+    ]
+    return df.groupBy(*partition_columns).agg(F.count(F.lit(1)).alias("rows"), *hashes)
+
+
+def changed_partitions(
+    old: DataFrame, new: DataFrame, partition_columns: Sequence[str]
+) -> DataFrame:
+    """Per partition of either table: its values, rows_before, rows_after (0 where it is not)
+    and change: new, changed, same or gone.
+
+    Both hold the same columns, in any order. Partitions are compared as multisets of rows, so
+    the order of rows does not matter and the number of copies does. Two sums of 64-bit hashes
+    stand for the rows; they are summed up before anything is shuffled. Null is a partition
+    value of its own. Columns of maps cannot be compared.
+    """
+    if sorted(old.columns) != sorted(new.columns):
+        raise ValueError("the tables have different columns")
+    before = _fingerprints(old, partition_columns).withColumnsRenamed(
+        {name: f"_old_{name}" for name in (*partition_columns, "rows", "_hash1", "_hash2")}
+    )
+    after = _fingerprints(new, partition_columns)
+    same_values = [F.col(name).eqNullSafe(F.col(f"_old_{name}")) for name in partition_columns]
+    both = after.join(before, same_values, "full")
+    hashes = [F.col(f"_hash{i}") == F.col(f"_old__hash{i}") for i in (1, 2)]
+    change = (
+        F.when(F.col("_old_rows").isNull(), "new")
+        .when(F.col("rows").isNull(), "gone")
+        .when((F.col("rows") == F.col("_old_rows")) & hashes[0] & hashes[1], "same")
+        .otherwise("changed")
+    )
+    values = [
+        F.when(F.col("rows").isNull(), F.col(f"_old_{name}")).otherwise(F.col(name)).alias(name)
+        for name in partition_columns
+    ]
+    return both.select(
+        *values,
+        F.coalesce("_old_rows", F.lit(0)).alias("rows_before"),
+        F.coalesce("rows", F.lit(0)).alias("rows_after"),
+        change.alias("change"),
+    )
+
+
+def rewrite_changed(
+    spark: SparkSession, path: str, df: DataFrame, partition_columns: Sequence[str]
+) -> DataFrame:
+    """Brings the table at `path` to hold `df`, writing only partitions that are new or changed.
+
+    Returns what `changed_partitions` says, a written table. Files of the other partitions are
+    not touched, so readers and copies of them need not be brought up to date. Partitions that
+    `df` lacks are named as gone and stay, as with every dynamic overwrite.
+    """
+    schema = ", ".join(f"`{name}` {dtype}" for name, dtype in df.dtypes)
+    old = read_table(spark, path, schema, partition_columns)
+    changes = kept(changed_partitions(old, df, partition_columns), "changes")
+    due = changes.where(F.col("change").isin("new", "changed")).select(
+        *[F.col(name).alias(f"_due_{name}") for name in partition_columns]
+    )
+    if not due.isEmpty():
+        met = [F.col(name).eqNullSafe(F.col(f"_due_{name}")) for name in partition_columns]
+        # What is written must not be read from the files that the write replaces.
+        rows = kept(df.join(due, met, "left_semi"), "due")
+        write_table(rows, path, partition_columns)
+    return changes
+
+
 def write_backup(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
     """Unpartitioned Parquet copy of a table, replacing the last one.
 
@@ -134,13 +214,3 @@ def schema_table(df: DataFrame) -> DataFrame:
         ).alias("columns")
     )
     return filled.select(F.inline("columns"))
-
-
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files below `path` with their modification time; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", F.col("modificationTime").alias("modified_at"))
-    )

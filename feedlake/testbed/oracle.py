@@ -352,6 +352,23 @@ _part(
           LEFT JOIN long ON id = long_id)
     GROUP BY {", ".join(V.RENTAL_COLUMNS)}, part""",
 )
+_BYTES = " + ".join(
+    f"coalesce({'strlen(' + c + ')' if c not in V.REVIEW_NUMBERS else f'CASE WHEN {c} IS NOT NULL THEN 8 END'}, 0)"
+    for c in V.REVIEW_FIELDS
+)
+_part(
+    "documents_by_bytes",
+    ("joined_unique",),
+    f"""
+    SELECT {", ".join(V.RENTAL_COLUMNS)}, part, (count(*) OVER (PARTITION BY id))::INTEGER AS parts,
+           {", ".join(_NESTED.format("id").split(",")[:1])},
+           {_NESTED[_NESTED.index("coalesce(string_agg(review_id"):]}
+    FROM (SELECT *, floor(coalesce(sum(CASE WHEN review_id IS NOT NULL THEN {_BYTES} END) OVER (
+                     PARTITION BY id ORDER BY review_id NULLS FIRST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 400)::INTEGER AS part
+          FROM joined_unique)
+    GROUP BY {", ".join(V.RENTAL_COLUMNS)}, part""",
+)
 _part(
     "reviews_unique",
     ("reviews_table",),
@@ -371,6 +388,44 @@ _part(
     GROUP BY {", ".join(V.REVIEWED_PROPERTY_COLUMNS)}, part""",
 )
 
+# --- two states of a table -----------------------------------------------------------
+
+_part(
+    "monthly",
+    (),
+    "SELECT *, strftime(l_shipdate, '%Y-%m') AS month, month(l_shipdate) % 5 AS n FROM lineitem",
+)
+_part(
+    "twice",
+    ("monthly",),
+    "SELECT * FROM monthly UNION ALL SELECT * FROM monthly WHERE l_linenumber = 1",
+)
+_part("state", ("twice",), "SELECT * FROM twice WHERE n <> 3")
+_part(
+    "later_state",
+    ("twice",),
+    """
+    SELECT * REPLACE (CASE WHEN n = 0 AND l_partkey % 7 = 0 THEN l_tax + 1 ELSE l_tax END AS l_tax)
+    FROM twice WHERE n NOT IN (1, 2)
+    UNION ALL SELECT * FROM monthly WHERE n = 1""",
+)
+_part(
+    "month_changes",
+    ("state", "later_state"),
+    """
+    SELECT coalesce(a.month, b.month) AS month, coalesce(a.n, 0)::BIGINT AS rows_before,
+           coalesce(b.n, 0)::BIGINT AS rows_after,
+           CASE WHEN a.n IS NULL THEN 'new' WHEN b.n IS NULL THEN 'gone'
+                WHEN coalesce(a.month, b.month) IN (
+                    SELECT month FROM (SELECT * FROM state EXCEPT ALL SELECT * FROM later_state)
+                    UNION ALL
+                    SELECT month FROM (SELECT * FROM later_state EXCEPT ALL SELECT * FROM state)
+                ) THEN 'changed' ELSE 'same' END AS change
+    FROM (SELECT month, count(*) AS n FROM state GROUP BY month) AS a
+    FULL JOIN (SELECT month, count(*) AS n FROM later_state GROUP BY month) AS b
+           ON a.month = b.month""",
+)
+
 # --- metadata tables -----------------------------------------------------------------
 
 _CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
@@ -429,6 +484,12 @@ def expected() -> dict[str, str]:
             " url FROM details",
             "details",
         ),
+        "scan_array_feed": sql(
+            "SELECT id, coalesce(en_us, de, it, pt) AS name, country, city, currency, stars,"
+            " review_score, accommodation_type, number_of_rooms, is_genius, is_work_friendly,"
+            """ url || '?q={"a":["}]},{\\"' AS url FROM details""",
+            "details",
+        ),
         "scan_feed_search": sql(
             "SELECT id AS search_id, CASE WHEN url NOT LIKE '%7' THEN price END AS usd_price,"
             " commission AS commission_pct, meals AS"
@@ -466,6 +527,8 @@ def expected() -> dict[str, str]:
             FROM orders""",
         "backup_parquet": sql("SELECT * FROM rental_table", "rental_table"),
         "property_documents": sql("SELECT * FROM final_documents", "final_documents"),
+        "nest_by_bytes": sql("SELECT * FROM documents_by_bytes", "documents_by_bytes"),
+        "document_index": sql("SELECT * FROM final_documents", "final_documents"),
         "review_documents": sql("SELECT * FROM review_documents", "review_documents"),
         "property_documents_in_parts": sql(
             "SELECT * FROM final_documents", "final_documents"
@@ -474,13 +537,39 @@ def expected() -> dict[str, str]:
             "SELECT * FROM review_documents", "review_documents"
         ).replace(*_LOW_LIMIT),
         "doc_key": r"SELECT page_id, regexp_replace(url, '[/\\]', '_', 'g') AS doc_key FROM pages",
-        "combined_view": sql("SELECT * FROM combined", "combined", once=True),
+        "combined_view": sql("SELECT * FROM combined", "combined"),
         "combined_sql": sql(
             "SELECT meal_plan, review_language, count(*) AS rows,"
             " round(avg(review_individual_score), 2) AS avg_score"
             " FROM combined GROUP BY meal_plan, review_language",
             "combined",
-            once=True,
+        ),
+        "changed_partitions": sql("SELECT * FROM month_changes", "month_changes"),
+        "rewrite_changed": sql(
+            """
+            SELECT month, count(*) AS n, sum(l_tax::DECIMAL(12, 2))::DOUBLE AS tax,
+                   any_value(change IN ('same', 'gone')) AS untouched
+            FROM (SELECT * FROM later_state
+                  UNION ALL SELECT * FROM state WHERE month NOT IN (SELECT month FROM later_state))
+            JOIN month_changes USING (month) GROUP BY month""",
+            "month_changes",
+        ),
+        "orphan_files_of_table": """
+            SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_orderkey)::BIGINT AS orders
+            FROM lineitem WHERE l_quantity > 40 AND l_tax > 0.05 GROUP BY ALL""",
+        "files_to_expire": sql(
+            """
+            , gone AS (SELECT table_name, 'manifest/' || snapshot_id AS manifest FROM expired),
+            entries AS (
+                SELECT 'manifest/' || l_orderkey AS manifest,
+                       'data/' || o_custkey || '/' || (l_partkey % 20) AS path
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            )
+            SELECT table_name, 'manifest' AS kind, manifest AS target FROM gone
+            UNION ALL
+            SELECT DISTINCT table_name, 'file', path FROM entries JOIN gone USING (manifest)
+            WHERE path NOT IN (SELECT path FROM entries WHERE manifest NOT IN (SELECT manifest FROM gone))""",
+            "expired",
         ),
         "row_count": 'SELECT count(*) AS "rows", 11::INTEGER AS "columns" FROM lineitem',
         # extraction and derivation
@@ -554,7 +643,7 @@ def expected() -> dict[str, str]:
             "SELECT o_orderkey AS source_id, o_custkey, l_orderkey AS source_id_r, l_linenumber,"
             " l_quantity FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"
         ),
-        "join_tables": sql("SELECT * FROM joined", "joined", once=True),
+        "join_tables": sql("SELECT * FROM joined", "joined"),
         "dedup_key": sql("SELECT * FROM unique_details", "unique_details"),
         "dedup_reviews": f"""
             SELECT {_LINEITEM} FROM lineitem

@@ -4,15 +4,15 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
 from feedlake import schemas
 from feedlake.functions import names, quality
-from feedlake.operators import audit, dedup, extract, joins, nest, standardize
+from feedlake.operators import audit, dedup, extract, joins, nest, skew, standardize
 from feedlake.plans import builds, maintenance, reports
-from feedlake.sources import documents, tables
+from feedlake.sources import documents, listing, tables
 from feedlake.sources import feeds as sources
 from feedlake.testbed import feeds
 from feedlake.testbed.feeds import table
@@ -46,8 +46,11 @@ def scan_feed(spark, sf_dir):
     rows = feeds.details(spark, sf_dir)
     stars = F.when(F.col("rating.stars") == "2.0", "two").otherwise(F.col("rating.stars"))
     rows = rows.withColumn("rating", F.col("rating").withField("stars", stars))
-    path = _json_lines(rows, "details")
-    return sources.read_details(spark, path).select(
+    return _scanned_details(sources.read_details(spark, _json_lines(rows, "details")))
+
+
+def _scanned_details(read: DataFrame) -> DataFrame:
+    return read.select(
         "id",
         names.preferred_name(F.col("name")).alias("name"),
         "location.country",
@@ -90,6 +93,41 @@ def scan_feed_reviews(spark, sf_dir):
     return extract.explode_reviews(sources.read_reviews(spark, path))
 
 
+#: What a listing's address may hold that looks like the end of a record, or of the feed.
+ODD_TEXT = '?q={"a":["}]},{\\"'
+
+
+def _array_files(df: DataFrame, name: str, files: int = 8) -> str:
+    """Files of one JSON array each, every other one with a line for each value."""
+    path = work_folder(df.sparkSession, name)
+    body = F.struct(*df.columns)
+    dealt = df.select(
+        F.pmod(F.crc32(F.to_json(body)), F.lit(files)).cast("int").alias("file"),
+        F.to_json(body).alias("line"),
+        F.to_json(body, {"pretty": "true"}).alias("lines"),
+    )
+    within = Window.partitionBy("file").orderBy("line")
+    count = F.count(F.lit(1)).over(Window.partitionBy("file"))
+    placed = dealt.withColumns({"n": F.row_number().over(within), "count": count})
+    text = F.concat(
+        F.when(F.col("n") == 1, "[").otherwise(","),
+        F.when(F.col("file") % 2 == 0, F.col("lines")).otherwise(F.col("line")),
+        F.when(F.col("n") == F.col("count"), "]").otherwise(""),
+    )
+    rows = placed.repartition("file").sortWithinPartitions("file", "n")
+    rows.select("file", text.alias("text")).write.partitionBy("file").text(path)
+    return path
+
+
+@query
+def scan_array_feed(spark, sf_dir):
+    """Files of one array each; addresses hold quotes, escapes, brackets and braces."""
+    rows = feeds.details(spark, sf_dir)
+    path = _array_files(rows.withColumn("url", F.concat("url", F.lit(ODD_TEXT))), "array")
+    read = sources.read_details(spark, path, json_lines=False)
+    return _scanned_details(read)
+
+
 @query
 def feed_problems(spark, sf_dir):
     """Feeds with every tenth line cut short: how many records could not be read."""
@@ -217,10 +255,8 @@ def _documents_back(made: DataFrame, schema: str, name: str) -> DataFrame:
     return back.withColumns({name: F.coalesce(name, F.lit(n)) for name, n in whole.items()})
 
 
-def _tables(
-    spark: SparkSession, sf_dir: str, unique: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    root = feeds.built_tables(spark, sf_dir, unique)
+def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    root = feeds.built_tables(spark, sf_dir)
     return builds.read_rental(spark, root), builds.read_reviews(spark, root)
 
 
@@ -247,6 +283,28 @@ def property_documents(spark, sf_dir):
     return _property_documents(spark, sf_dir, nest.ROW_LIMIT)
 
 
+@query
+def nest_by_bytes(spark, sf_dir):
+    """Rows of 400 bytes of reviews or so; listings of more than 25 reviews are summed up in
+    ranges."""
+    nested = builds.final_frame(*_tables(spark, sf_dir), max_bytes=400, bucket_rows=25)
+    return _flat(nested, *V.RENTAL_COLUMNS, "part", "parts")
+
+
+@query
+def document_index(spark, sf_dir):
+    """All documents, fetched one by one from files of many by their place in the index."""
+    nested = builds.final_frame(*_tables(spark, sf_dir))
+    made = documents.documents(nested, V.RENTAL_COLUMNS, "id")
+    path = work_folder(spark, "indexed")
+    index = documents.write_indexed(made, path, f"{path}-index", shard_bytes=100_000)
+    fetched = documents.fetch(index, index)
+    read = fetched.select(F.from_json("document", schemas.FINAL_DOCUMENT).alias("d")).select("d.*")
+    whole = {"part": 0, "parts": 1}
+    read = read.withColumns({name: F.coalesce(name, F.lit(n)) for name, n in whole.items()})
+    return _flat(read, *V.RENTAL_COLUMNS, "part", "parts")
+
+
 @query
 def review_documents(spark, sf_dir):
     return _review_documents(spark, sf_dir, nest.ROW_LIMIT)
@@ -268,15 +326,21 @@ def doc_key(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", key.alias("doc_key"))
 
 
+def _heavy(rental: DataFrame, reviews: DataFrame) -> DataFrame:
+    """With bounds so low that some ids of the test tables are heavy."""
+    return skew.heavy_keys(rental, reviews, "id", "gen_id", share_rows=40, share_pairs=200)
+
+
 @query
 def combined_view(spark, sf_dir):
-    return joins.combined_view(*_tables(spark, sf_dir, unique=True))
+    both = _tables(spark, sf_dir)
+    return joins.combined_view(*both, _heavy(*both))
 
 
 @query
 def combined_sql(spark, sf_dir):
     """Free SQL over the registered view."""
-    builds.register_combined_view(spark, feeds.built_tables(spark, sf_dir, unique=True))
+    builds.register_combined_view(spark, feeds.built_tables(spark, sf_dir))
     return spark.sql(
         "SELECT meal_plan, review_language, count(*) AS rows,"
         " round(avg(review_individual_score), 2) AS avg_score"
@@ -437,7 +501,8 @@ def properties_left_reviews(spark, sf_dir):
 
 @query
 def join_tables(spark, sf_dir):
-    return joins.join_tables(*_tables(spark, sf_dir, unique=True))
+    both = _tables(spark, sf_dir)
+    return joins.join_tables(*both, _heavy(*both))
 
 
 @query
@@ -560,6 +625,84 @@ def orphan_files(spark, sf_dir):
     return maintenance.orphan_files(_listing(spark, sf_dir), _referenced(spark, sf_dir), CUTOFF)
 
 
+@query
+def orphan_files_of_table(spark, sf_dir):
+    """What the files hold that a written table does not name: a table is written, a partition
+    replaced, its files noted, and stray files added. Rows of the strays by partition."""
+    rows = table(spark, sf_dir, "lineitem")
+    path, partitions = work_folder(spark, "upkept"), ["l_returnflag", "l_linestatus"]
+    tables.write_table(rows, path, partitions)
+    tables.write_table(_returned_open(rows).where("l_discount > 0"), path, partitions)
+    stored = tables.read_table(spark, path, _ddl(rows), partitions)
+    noted = kept(listing.referenced_files(stored), "noted")
+    strays = rows.where("l_quantity > 40 AND l_tax > 0.05")
+    strays.write.mode("append").partitionBy(*partitions).parquet(path)
+    orphans = maintenance.orphan_files(
+        listing.list_files(spark, path), noted, datetime(9999, 1, 1)
+    )
+    held = spark.read.schema(_ddl(rows)).parquet(path).withColumn("path", F.input_file_name())
+    held = held.withColumn("path", F.regexp_replace(F.url_decode("path"), "^file:/+", "file:/"))
+    return (
+        held.join(orphans, "path", "left_semi")
+        .groupBy(*partitions)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders"))
+    )
+
+
+@query
+def files_to_expire(spark, sf_dir):
+    """Orders as snapshots, line items as the entries of their manifests; the parts of a
+    customer are files that its snapshots share."""
+    snapshots = _snapshots(spark, sf_dir)
+    manifests = snapshots.select("table_name", "snapshot_id", F.col("manifest_list").alias("manifest"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    file = F.concat(F.lit("data/"), "o_custkey", F.lit("/"), F.col("l_partkey") % 20)
+    entries = lines.select(
+        F.concat(F.lit("manifest/"), "l_orderkey").alias("manifest"), file.alias("path")
+    )
+    return maintenance.files_to_expire(snapshots, manifests, entries, CUTOFF)
+
+
+@query
+def changed_partitions(spark, sf_dir):
+    """Line items, and a later state of them: a partition changed in one column, one that lost a
+    copy of its rows, one gone, one new, one merely dealt anew."""
+    rows, partitions = _states(spark, sf_dir)
+    old, new = rows
+    return tables.changed_partitions(old, new, partitions)
+
+
+def _states(spark, sf_dir):
+    month = F.date_format("l_shipdate", "yyyy-MM").alias("month")
+    rows = table(spark, sf_dir, "lineitem").select("*", month)
+    twice = rows.where("l_linenumber = 1").unionAll(rows)
+    n = F.month("l_shipdate") % 5
+    raised = F.when((n == 0) & (F.col("l_partkey") % 7 == 0), F.col("l_tax") + 1)
+    later = twice.where(~n.isin(1, 2)).unionAll(rows.where(n == 1))
+    later = later.withColumn("l_tax", F.coalesce(raised, F.col("l_tax")))
+    return (twice.where(n != 3), later.repartition("l_partkey")), ["month"]
+
+
+@query
+def rewrite_changed(spark, sf_dir):
+    """Only the partitions that are new or changed are written."""
+    (old, new), partitions = _states(spark, sf_dir)
+    path = work_folder(spark, "rebuilt")
+    tables.write_table(old, path, partitions)
+    before = kept(listing.referenced_files(tables.read_table(spark, path, _ddl(old), partitions)), "before")
+    tables.rewrite_changed(spark, path, new, partitions)
+    file = F.col("_metadata.file_path")
+    stored = spark.read.schema(_ddl(old)).parquet(path).withColumn("path", file)
+    same = before.withColumn("untouched", F.lit(1))
+    counted = stored.join(same, "path", "left").groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("l_tax").cast("decimal(12,2)")).cast("double").alias("tax"),
+        (F.count("untouched") == F.count(F.lit(1))).alias("untouched"),
+    )
+    return counted
+
+
 @query
 def maintenance_plan(spark, sf_dir):
     return maintenance.maintenance_plan(

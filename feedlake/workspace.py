@@ -12,6 +12,14 @@ def shared_folder(spark: SparkSession) -> str | None:
     return named or spark.sparkContext.getCheckpointDir()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with scheme and host, as Spark itself resolves it: one without a scheme is on the
+    cluster's default file system, not on the disk of whoever opens it."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(named).toString()
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """The name of a new folder below the shared folder."""
     root = shared_folder(spark)
