@@ -40,13 +40,13 @@ FORMULA = set(
 READERS = set("comment comments reply replies discussion disqus respond responses".split())
 APART = READERS | set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo"
-    " promotion cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription"
+    " promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription"
     " signup share sharing social sidebar sidenav rail widget widgets related recommended"
     " recommendations menu nav navbar navigation navigationbar breadcrumb breadcrumbs footer"
     " contentinfo complementary login search toolbar pagination pager".split()
 )
-#: The same, but only outside of an article, which may have a header and notes of its own.
-HEADERS = set("header masthead topbar hero alert notice notices".split())
+#: The same, but only outside of an article, which may have a header of its own.
+HEADERS = set("header masthead topbar hero".split())
 #: Names that no wrapper of an article has: they need not give way to it, see Page.
 SURE = READERS | set("cookie cookies consent gdpr".split())
 FRAMES = set(
@@ -72,8 +72,13 @@ SIGN = re.compile(r"[a-z]+")
 SIGNS = APART | HEADERS
 NAMING = SIGNS | FRAMES | OWNERS
 
-#: Smallest gain of a word and smallest loss of a tag.
-LEAST = 0.05
+#: Smallest loss of a tag, the losses of an inline tag and of any other that are seen as often
+#: inside of articles as outside, and how much less or more a tag may lose for being seen on one
+#: side; a word gains 1.
+LEAST, INLINE_TAG, TAG, SPREAD = 0.05, 0.2, 1.0, 3.0
+#: Seen on either side of an article before anything is counted, as a share of all that is: what
+#: keeps odds from being extreme where few pages, or pages all alike, are labelled.
+PRIOR = 0.002
 #: Kinds of words.
 WORD, LINKED, OUTSIDE = "word", "linked word", "word apart"
 WORDS = (WORD, LINKED, OUTSIDE)
@@ -257,38 +262,48 @@ OTHER = "<other>"
 
 
 def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """The score of every kind: the logarithm of how much likelier it is inside an article.
+    """The score of every kind, from how often it is seen inside and outside of articles.
 
-    Plain words gain LEAST at least, tags and words that stand apart lose it at least. Without
-    any labelled page words gain 1, tags lose 0.3, and words in links or apart 0.5. Tags seen on no
-    side, as those seen only in elements that stand apart, lose LEAST.
+    Plain words gain 1. A tag loses TAG or INLINE_TAG, and up to SPREAD more or less by the
+    logarithm of how much likelier it is outside, but LEAST at least; words in links or apart
+    lose like tags. Both sides are taken to have seen PRIOR of all before. Tags never seen lose
+    what tags do: a menu of more tags than words counts against the region, whatever its name.
     """
     inside, outside = (sum(n for (_, there), n in counts.items() if there == side) for side in (True, False))
-    kinds = {kind for kind, _ in counts}
-    found = {WORD: 1.0, OTHER: -0.3, LINKED: -0.5, OUTSIDE: -0.5}
+    found = {WORD: 1.0, OTHER: -TAG, LINKED: -TAG, OUTSIDE: -TAG}
+    for name in KNOWN - ARTICLES:
+        loss = -INLINE_TAG if name in INLINE else -TAG
+        found |= {f"<{name}>": loss, f"</{name}>": loss}
     if not inside or not outside:
         return found
-    for kind in kinds | {OTHER}:
-        here = (counts.get((kind, True), 0) + 1) / (inside + len(kinds))
-        there = (counts.get((kind, False), 0) + 1) / (outside + len(kinds))
-        odds = math.log(here / there)
-        found[kind] = max(LEAST, odds) if kind == WORD else min(-LEAST, odds)
-    for name in KNOWN - ARTICLES:
-        for kind in (f"<{name}>", f"</{name}>"):
-            found.setdefault(kind, -LEAST)
+    for kind in {kind for kind, _ in counts} - {WORD}:
+        here = counts.get((kind, True), 0) / inside + PRIOR
+        there = counts.get((kind, False), 0) / outside + PRIOR
+        odds = max(-SPREAD, min(SPREAD, math.log(there / here)))
+        found[kind] = -max(LEAST, odds - found.get(kind, -TAG))
     return found
 
 
 def main_text(source: str, weights: dict[str, float]) -> str:
     """The text of the highest scoring region: blocks of single-spaced words, two line ends
-    between them. Of equal regions the first and longest."""
+    between them. Of equal regions the first and longest.
+
+    Where a page has one article, and most of its plain words in it, words beside it count like
+    those apart, and tags within it lose LEAST.
+    """
     page = Page(source)
+    told = page.articles == 1 and 2 * page.plain[2] > page.plain[0]
     best = total = 0.0
     first = start = end = 0
-    for i, (kind, n, _, _, _) in enumerate(page.tokens):
+    for i, (kind, n, _, _, inside) in enumerate(page.tokens):
         if total < 0:
             total, first = 0.0, i
-        total += n * weights.get(kind, weights[OTHER])
+        weight = weights.get(kind, weights[OTHER])
+        if told and kind == WORD and not inside:
+            weight = weights[OUTSIDE]
+        elif told and inside and kind not in WORDS:
+            weight = -LEAST
+        total += n * weight
         if total >= best and total > 0:
             best, start, end = total, first, i + 1
     blocks: dict[int, list[str]] = {}

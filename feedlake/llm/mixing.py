@@ -4,10 +4,13 @@ Every source has a target in words. Whole passes over the source come first; wha
 the target, the budget, is smaller than the source. How many documents of each length make it
 up is found on the counts of documents by exact length:
 
-1. each length gives the share of its documents that the budget is of the source, rounded down;
-2. of the lengths whose share was rounded most, one document more, until about eight documents
-   of mean length are left open;
-3. a bounded knapsack on the documents still left finds the sum nearest to what is left.
+1. some words of the budget are left open, at first eight documents of mean length; of the rest
+   each length gives its share of documents, rounded down;
+2. of the lengths whose share was rounded most, one document more, until the words to be left
+   open are what is left;
+3. a bounded knapsack on the documents not taken finds the sum nearest to what is left;
+4. if that is not the budget itself, four times as many words are left open, up to the whole
+   budget: the knapsack then has all documents to choose from, and no sum is nearer.
 
 Which documents of a length are taken is dealt by a seeded hash. Only lengths and counts are
 gathered per source, and only numbers are sent over the network, never texts. Rows that repeat a
@@ -32,8 +35,8 @@ BUCKET_BITS = 12
 #: Numbers of rows are counted by task, which their bits from here on tell.
 TASK_BITS = 33
 #: Rows of quotas, some 40 bytes each, up to which they are sent to all executors.
-BROADCAST_ROWS = 500_000
-#: Words left open for the knapsack, in mean lengths.
+BROADCAST_ROWS = 100_000
+#: Words left open for the knapsack at first, in mean lengths.
 LEFT_OPEN = 8
 #: Longest budget, in words, that the knapsack is run on; a longer rest is first cut down by
 #: taking whole documents. A bit for each word and size of bundle.
@@ -82,18 +85,36 @@ def fill(sizes: list[int], weights, most: int) -> list[float]:
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of the `counts` documents of each length to take, to come near `budget` words.
 
-    0 <= budget <= sum(lengths * counts). Documents without words only have step 1. The sum found is the nearest that step 3 above
-    reaches, and mostly the budget itself.
+    0 <= budget <= sum(lengths * counts). Documents without words are left to step 1. Up to a
+    budget of KNAPSACK words no other choice comes nearer; of a longer one, KNAPSACK words are
+    left open at most.
     """
     total = int((lengths * counts).sum())
     if total == 0 or budget <= 0:
         return np.zeros_like(counts)
-    exact = counts * (budget / total)
+    best, missed = None, None
+    left_open = LEFT_OPEN * -(-total // max(1, int(counts[lengths > 0].sum())))
+    while True:
+        taken = _shares(lengths, counts, budget, min(left_open, budget, KNAPSACK))
+        left = budget - int((lengths * taken).sum())
+        taken = taken + knapsack(lengths, counts - taken, left)
+        miss = abs(budget - int((lengths * taken).sum()))
+        if best is None or miss < missed:
+            best, missed = taken, miss
+        if missed == 0 or left_open >= min(budget, KNAPSACK):
+            return best
+        left_open *= 4
+
+
+def _shares(lengths: np.ndarray, counts: np.ndarray, budget: int, left_open: int) -> np.ndarray:
+    """Steps 1 and 2: documents of every length for the budget but `left_open` words or more, of
+    which KNAPSACK at most where there are documents to take."""
+    total = int((lengths * counts).sum())
+    exact = counts * ((budget - left_open) / total)
     taken = np.minimum(np.floor(exact).astype(np.int64), counts)
     left = budget - int((lengths * taken).sum())
-    rest = LEFT_OPEN * total // int(counts.sum())
     for i in np.argsort(taken - exact, kind="stable").tolist():
-        if 0 < lengths[i] <= left - rest and taken[i] < counts[i]:
+        if 0 < lengths[i] <= left - left_open and taken[i] < counts[i]:
             taken[i] += 1
             left -= int(lengths[i])
     for i in np.argsort(-lengths, kind="stable").tolist():
@@ -102,7 +123,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         more = min(int(counts[i] - taken[i]), left // int(lengths[i]))
         taken[i] += more
         left -= more * int(lengths[i])
-    return taken + knapsack(lengths, counts - taken, left)
+    return taken
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -110,14 +131,14 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
 
     Counts are taken in bundles of 1, 2, 4, ... documents. Bit s of a bitset says whether sum s
     can be made of the bundles so far; the bitsets before each bundle lead back from the sum
-    found to the bundles in it. Sums up to budget + the shortest length left are looked at, as
-    a sum just above may be nearer than the next below.
+    found to the bundles in it. Sums up to twice the budget are looked at, as one above may be
+    nearer than the next below.
     """
     usable = [i for i in range(len(lengths)) if counts[i] > 0 and lengths[i] > 0]
     taken = np.zeros_like(counts)
     if budget <= 0 or not usable:
         return taken
-    limit = budget + min(int(lengths[i]) for i in usable)
+    limit = 2 * budget
     mask = (1 << (limit + 1)) - 1
     reach, steps = 1, []
     for i in sorted(usable, key=lambda i: int(lengths[i])):
@@ -173,8 +194,7 @@ def mix(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
     some = not quotas.where("part < ties").isEmpty()
     names = {name: fresh(sized, f"quota_{name}") for name in quotas.columns}
     quotas = quotas.withColumnsRenamed(names)
-    if quotas.count() <= BROADCAST_ROWS:
-        quotas = F.broadcast(quotas)
+    quotas = _small(quotas)
     met = F.col("source").eqNullSafe(F.col(names["source"])) & (
         F.col("size") == F.col(names["size"])
     )
@@ -190,6 +210,11 @@ def mix(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
     return joined.select(*columns, "size", *known, "times")
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """`table`, a written one, with a broadcast hint if it is short."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _some_of(tied: DataFrame, plain: DataFrame, names: dict[str, str], seed: int) -> DataFrame:
     """Adds times to rows of one hash per source and size, of which `part` are taken once more.
 
@@ -204,17 +229,18 @@ def _some_of(tied: DataFrame, plain: DataFrame, names: dict[str, str], seed: int
     quotas = rows.groupBy(*keys).agg(F.min(names["part"]).alias("more"))
     named = rows.select(*keys, F.col(whole).alias("hash"), F.col(number).alias("number"))
     first = written(_cut(named.select(*keys, "hash"), quotas, 64 - BUCKET_BITS), "first")
-    last = F.broadcast(first.select(*keys, "cutoff", "part"))  # a row for each length with ties
+    last = _small(first.select(*keys, "cutoff", "part"))  # a row for each length with ties
     left = _join(named, last, keys).where("hash = cutoff")
     second = left.select(*keys, F.col("number").alias("hash"))
     asked = first.select(*keys, F.col("part").alias("more"))
     second = written(_cut(second, asked, TASK_BITS), "second")
     cuts = _join(first.select(*keys, "cutoff"), second.select(*keys, F.col("cutoff").alias("until")), keys)
+    cuts = written(cuts, "cuts")
     cuts = cuts.withColumnsRenamed({name: f"{fresh(rows, 'cut')}_{name}" for name in cuts.columns})
     source, size, cutoff, until = (F.col(name) for name in cuts.columns)
     met = F.col("source").eqNullSafe(source) & (F.col("size") == size)
     taken = (F.col(whole) < cutoff) | ((F.col(whole) == cutoff) & (F.col(number) <= until))
-    found = rows.join(F.broadcast(cuts), met)
+    found = rows.join(_small(cuts), met)
     found = found.withColumn("times", F.col(names["passes"]) + taken.cast("int"))
     return found.drop(whole, number, *cuts.columns)
 

@@ -136,3 +136,33 @@ def test_large_blocks_inside_an_article():
     for items in ("<ul><li>One</li><li>Two</li></ul>", "<table><tr><td>One</td></tr><tr><td>Two</td></tr></table>"):
         page = f"{menu}<article>{body}{items}</article><footer>foot words</footer>"
         assert html_text.main_text(page, weights).endswith("text\n\nOne\n\nTwo")
+
+
+MENU = "<ul>" + "".join(f"<li><span>Menu {i}</span></li>" for i in range(12)) + "</ul>"
+LEGAL = "<ul>" + "".join(f"<li>Legal point {i}</li>" for i in range(8)) + "</ul>"
+STORY = "<div><h1>The title</h1>" + "".join(f"<p>{'word ' * 40}</p>" for _ in range(4)) + "</div>"
+LINKS = "<ul>" + "".join(f"<li><a href=x>Link to page {i}</a></li>" for i in range(12)) + "</ul>"
+FOOT = "<div>" + "".join(f"<a href=x>Foot {i}</a> " for i in range(9)) + "</div>"
+EXPECTED = "The title\n\n" + "\n\n".join([("word " * 40).strip()] * 4)
+
+
+def test_unlinked_menus_legal_lists_and_notices():
+    for weights in (_weights([PAGE] * 3), html_text.weights_of({})):
+        for notice in ("notice", "alert", "cookie-banner"):
+            box = f"<div class='{notice}'>Please note that our terms have changed</div>"
+            page = f"<body>{MENU}<article>{STORY}{box}{STORY}</article>{LEGAL}</body>"
+            assert html_text.main_text(page, weights) == f"{EXPECTED}\n\n{EXPECTED}"
+
+
+def test_pages_without_article():
+    for weights in (_weights([PAGE] * 3), html_text.weights_of({})):
+        for page in (f"{MENU}{STORY}{MENU}", f"{LINKS}{STORY}{FOOT}", f"{MENU}{LINKS}{STORY}{LINKS}"):
+            assert html_text.main_text(f"<body>{page}</body>", weights) == EXPECTED
+
+
+def test_weights_stay_within_bounds():
+    weights = _weights([PAGE] * 50)
+    assert weights["word"] == 1
+    lost = [weight for kind, weight in weights.items() if kind != "word"]
+    most = html_text.TAG + html_text.SPREAD
+    assert -most <= min(lost) <= max(lost) <= -html_text.LEAST

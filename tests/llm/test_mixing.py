@@ -18,8 +18,7 @@ def test_knapsack_against_all_sums(lengths, budget):
     sums = {0}
     for size, count in lengths.items():
         sums = {s + size * n for s in sums for n in range(count + 1)}
-    shortest = min((s for s in lengths if s > 0), default=0)
-    near = min(abs(s - budget) for s in sums if s <= budget + shortest)
+    near = min(abs(s - budget) for s in sums)
     assert abs(int((sizes * taken).sum()) - budget) == near
 
 
@@ -34,6 +33,43 @@ def test_fit_comes_near(lengths, part):
     assert abs(int((sizes * taken).sum()) - budget) <= sizes.max()
 
 
+def all_sums(lengths, counts):
+    reach = 1
+    for length, count in zip(lengths.tolist(), counts.tolist()):
+        for _ in range(count):
+            reach |= reach << length
+    return reach
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(0, 900), st.integers(1, 5), min_size=1, max_size=25), st.floats(0, 1))
+def test_no_choice_comes_nearer(lengths, part):
+    sizes = np.array(list(lengths), dtype=np.int64)
+    counts = np.array(list(lengths.values()), dtype=np.int64)
+    budget = int(part * (sizes * counts).sum())
+    taken = mixing.fit(sizes, counts, budget)
+    assert (0 <= taken).all() and (taken <= counts).all()
+    reach, miss = all_sums(sizes, counts), abs(int((sizes * taken).sum()) - budget)
+    nearer = [budget + d for d in range(-miss + 1, miss) if budget + d >= 0]
+    assert not any(reach >> s & 1 for s in nearer)
+
+
+def test_every_source_of_the_test_tables_is_met(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = mixing.mix(documents).collect()
+    sources = defaultdict(list)
+    for row in found:
+        sources[row.source].append(row)
+    for rows in sources.values():
+        taken = sum(r.size * r.times for r in rows)
+        passes = min(3, int(rows[0].target // rows[0].source_size))
+        budget = round(rows[0].target) - passes * rows[0].source_size if passes < 3 else 0
+        lengths = Counter(r.size for r in rows)
+        reach = all_sums(np.array(list(lengths)), np.array(list(lengths.values())))
+        least = next(d for d in range(10**6) if reach >> (budget + d) & 1 or (budget >= d and reach >> (budget - d) & 1))
+        assert abs(taken - passes * rows[0].source_size - budget) == least
+
+
 def test_very_long_and_empty_documents():
     lengths, counts = np.array([0, 400, 2_000_000]), np.array([1, 500, 1])
     taken = mixing.fit(lengths, counts, 1_000_000)
