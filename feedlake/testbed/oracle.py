@@ -525,6 +525,32 @@ def expected() -> dict[str, str]:
                    CASE WHEN o_orderstatus = 'P'
                         THEN o_orderdate END AS created_time
             FROM orders""",
+        "read_discovered": """
+            SELECT o_orderkey::BIGINT AS o_orderkey,
+                   CASE o_orderkey % 3 WHEN 1 THEN o_totalprice ELSE trunc(o_totalprice) END::DOUBLE
+                       AS o_totalprice,
+                   CASE o_orderkey % 3 WHEN 2 THEN 'c' ELSE '' END || o_custkey AS o_custkey,
+                   CASE o_orderkey % 3 WHEN 1 THEN o_totalprice > 100000 END AS large,
+                   o_orderpriority, o_orderstatus
+            FROM orders""",
+        "discovered_schema": """
+            SELECT * FROM (VALUES
+                ('o_orderkey', 'bigint', 'bigint,int', false),
+                ('o_totalprice', 'double', 'bigint,double,int', false),
+                ('o_custkey', 'string', 'bigint,string', true),
+                ('o_orderpriority', 'string', 'string', false),
+                ('large', 'boolean', 'boolean', false)) AS t(name, type, types, conflict)""",
+        "column_profile": " UNION ALL ".join(
+            f"""SELECT '{c}' AS name, count(*) AS rows, count(*) - count({c}) AS nulls,
+                min({c})::DOUBLE AS least, max({c})::DOUBLE AS most, NULL::VARCHAR AS first,
+                NULL::VARCHAR AS last, true AS distinct_near, true AS quartiles_near,
+                true AS frequent_near FROM lineitem"""
+            for c in _LINEITEM.split(", ")
+            if c not in ("l_returnflag", "l_linestatus", "l_shipdate")
+        )
+        + """ UNION ALL SELECT 'l_shipdate', count(*), 0, NULL, NULL,
+                strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S'),
+                strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S'), true, true, true FROM lineitem""",
         "backup_parquet": sql("SELECT * FROM rental_table", "rental_table"),
         "property_documents": sql("SELECT * FROM final_documents", "final_documents"),
         "nest_by_bytes": sql("SELECT * FROM documents_by_bytes", "documents_by_bytes"),

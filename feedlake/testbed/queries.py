@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from feedlake import fixed_values as V
 from feedlake import schemas
 from feedlake.functions import names, quality
-from feedlake.operators import audit, dedup, extract, joins, nest, skew, standardize
+from feedlake.operators import audit, dedup, extract, joins, nest, profile, skew, standardize
 from feedlake.plans import builds, maintenance, reports
-from feedlake.sources import documents, listing, tables
+from feedlake.sources import discovery, documents, listing, tables
 from feedlake.sources import feeds as sources
 from feedlake.testbed import feeds
 from feedlake.testbed.feeds import table
@@ -210,6 +210,76 @@ def read_evolved(spark, sf_dir):
     return tables.read_table(spark, path, schema, ["o_orderstatus"])
 
 
+def _generations(spark, sf_dir) -> str:
+    """Folder of orders written by three generations of a writer: totals were whole numbers
+    once, keys became longer, a column was added, customers got names in place of numbers."""
+    orders, path = table(spark, sf_dir, "orders"), work_folder(spark, "generations")
+    age = F.pmod("o_orderkey", F.lit(3))
+    common = ("o_orderpriority", "o_orderstatus")
+    first = orders.where(age == 0).select(
+        F.col("o_orderkey").cast("int"), F.col("o_totalprice").cast("int"), "o_custkey", *common
+    )
+    second = orders.where(age == 1).select(
+        F.col("o_totalprice"), F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"),
+        (F.col("o_totalprice") > 100_000).alias("large"), *common,
+    )
+    third = orders.where(age == 2).select(
+        F.col("o_orderkey").cast("bigint"), F.concat(F.lit("c"), "o_custkey").alias("o_custkey"),
+        F.col("o_totalprice").cast("bigint"), *common,
+    )
+    for rows in (first, second, third):
+        rows.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    return path
+
+
+@query
+def read_discovered(spark, sf_dir):
+    return discovery.read_discovered(spark, _generations(spark, sf_dir), ["o_orderstatus"])
+
+
+@query
+def discovered_schema(spark, sf_dir):
+    found = discovery.discovered_schema(discovery.footers(spark, _generations(spark, sf_dir)))
+    return found.select("name", "type", F.array_join("types", ",").alias("types"), "conflict")
+
+
+@query
+def column_profile(spark, sf_dir):
+    """Exact counts and bounds of line items, and whether what the merged sketches say of distinct,
+    middle and frequent values is as near to the exact values as they promise."""
+    rows = table(spark, sf_dir, "lineitem")
+    parts = kept(profile.partition_profiles(rows, ["l_returnflag", "l_linestatus"]), "profiles")
+    merged = kept(profile.merged_profile(parts), "profile")
+    checks = []
+    for c in merged.collect():  # a row a column
+        value, text = F.col(c["name"]), F.col(c["name"]).cast("string")
+        exact = F.count_distinct(text)
+        distinct = F.abs(F.lit(c["distinct"]) - exact) <= F.greatest(
+            4 * profile.DISTINCT_ERROR * exact, F.lit(1)
+        )
+        quartiles, shares = F.lit(True), (0.25, 0.5, 0.75)
+        for share, quartile in zip(shares, c["quartiles"]):
+            if quartile is not None:
+                below, upto = F.avg((value < quartile).cast("int")), F.avg((value <= quartile).cast("int"))
+                near = 1.5 * profile.RANK_ERROR
+                quartiles = quartiles & (below <= share + near) & (upto >= share - near)
+        frequent = F.lit(True)
+        for item in c["frequent"]:
+            off = F.abs(F.count_if(text == item["item"]) - item["count"])
+            frequent = frequent & (off <= F.count(F.lit(1)) / profile.TRACKED)
+        checks.append(
+            F.struct(
+                F.lit(c["name"]).alias("checked"),
+                distinct.alias("distinct_near"),
+                quartiles.alias("quartiles_near"),
+                frequent.alias("frequent_near"),
+            )
+        )
+    checked = rows.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+    told = merged.select("name", "rows", "nulls", "least", "most", "first", "last")
+    return told.join(checked, F.col("name") == F.col("checked")).drop("checked")
+
+
 @query
 def backup_parquet(spark, sf_dir):
     path = work_folder(spark, "backup")
