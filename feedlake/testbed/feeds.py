@@ -203,18 +203,16 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "reviews", _dressed_reviews, schemas.REVIEWS_FEED)
 
 
-def built_tables(spark: SparkSession, sf_dir: str, unique: bool = False) -> str:
+def built_tables(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the tables built from the feeds: rental_property and property_reviews.
 
     Built on first use in a session, then read by every query on tables, as reports are.
-    They hold all listings and offers. Queries that return the pairs of both tables as rows
-    take `unique` ones, of one listing and one offer per id: there would be as many rows as
-    offers times reviews, on large feeds too many to write down.
+    They hold all listings and offers.
     """
 
     def build(root: str) -> None:
         listing = details(spark, sf_dir)
-        builds.build_rental(listing, search(spark, sf_dir), root, dedup_search=unique)
-        builds.build_reviews(listing, reviews(spark, sf_dir), root, dedup_properties=unique)
+        builds.build_rental(listing, search(spark, sf_dir), root)
+        builds.build_reviews(listing, reviews(spark, sf_dir), root)
 
-    return _once(spark, sf_dir, "tables" if unique else "tables_of_all", build)
+    return _once(spark, sf_dir, "tables", build)

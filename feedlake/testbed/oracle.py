@@ -18,14 +18,13 @@ def _ordered(columns) -> str:
     return ", ".join(f"{column} ASC NULLS FIRST" for column in columns)
 
 
-def _with_parts(body: str, needs: tuple[str, ...], once: bool = False) -> str:
+def _with_parts(body: str, needs: tuple[str, ...]) -> str:
     """`body` with the parts it needs as common table expressions."""
     chosen: dict[str, str] = {}
-    parts = _PARTS | (_ONCE if once else {})
 
     def add(name: str) -> None:
         if name not in chosen:
-            inner, text = parts[name]
+            inner, text = _PARTS[name]
             for other in inner:
                 add(other)
             chosen[name] = text
@@ -177,18 +176,6 @@ _part(
     ("unique_details", "offers"),
     "SELECT * FROM unique_details JOIN offers ON source_id = search_id",
 )
-_part(
-    "unique_offers",
-    ("offers",),
-    f"""
-    SELECT * FROM offers
-    QUALIFY row_number() OVER (PARTITION BY search_id ORDER BY {_ordered(_OFFERS[1:])}) = 1""",
-)
-_part(
-    "matched_once",
-    ("unique_details", "unique_offers"),
-    "SELECT * FROM unique_details JOIN unique_offers ON source_id = search_id",
-)
 
 
 def _rental_rows(matched: str) -> str:
@@ -207,7 +194,6 @@ def _rental_rows(matched: str) -> str:
 
 
 _part("rental_property", ("matched",), _rental_rows("matched"))
-_part("rental_once", ("matched_once",), _rental_rows("matched_once"))
 _part(
     "flat_properties",
     ("details",),
@@ -238,14 +224,6 @@ _FLAT = (
     "review_score_raw",
     "property_name",
 )
-_part(
-    "flat_properties_once",
-    ("flat_properties",),
-    f"""
-    SELECT * FROM flat_properties
-    QUALIFY source_id IS NULL
-         OR row_number() OVER (PARTITION BY source_id ORDER BY {_ordered(_FLAT)}) = 1""",
-)
 
 
 def _enriched_rows(properties: str) -> str:
@@ -277,23 +255,12 @@ def _review_rows(enriched: str) -> str:
 
 _part("enriched", ("flat_properties", "flat_reviews"), _enriched_rows("flat_properties"))
 _part("property_reviews", ("enriched",), _review_rows("enriched"))
-_part(
-    "enriched_once",
-    ("flat_properties_once", "flat_reviews"),
-    _enriched_rows("flat_properties_once"),
-)
-_part("reviews_once", ("enriched_once",), _review_rows("enriched_once"))
 
 # --- the joined tables ---------------------------------------------------------------
 
-# The tables that queries read hold all listings and offers; those whose pairs are returned as
-# rows, one of each per id.
+# The tables that queries read hold all listings and offers.
 _part("rental_table", ("rental_property",), "SELECT * FROM rental_property")
 _part("reviews_table", ("property_reviews",), "SELECT * FROM property_reviews")
-_ONCE = {
-    "rental_table": (("rental_once",), "SELECT * FROM rental_once"),
-    "reviews_table": (("reviews_once",), "SELECT * FROM reviews_once"),
-}
 _part(
     "combined",
     ("rental_table", "reviews_table"),
@@ -472,8 +439,8 @@ def _distinct(*columns: str) -> str:
 def expected() -> dict[str, str]:
     """Query name to SQL."""
 
-    def sql(body: str, *needs: str, once: bool = False) -> str:
-        return _with_parts(body, needs, once)
+    def sql(body: str, *needs: str) -> str:
+        return _with_parts(body, needs)
 
     view_order = _ordered(["id", "review_id", *V.RENTAL_COLUMNS, "property_id", *V.REVIEW_FIELDS])
     queries = {
