@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import written
-from feedlake.llm.vectors import rows_of
+from feedlake.llm.vectors import floored, integers, matrix
 
 #: Rows of a block of candidates; anchors a cluster should hold; most in a piece of one.
 CANDIDATES, ANCHORS, PIECE = 8192, 256, 1024
@@ -49,19 +49,7 @@ def quantized(embeddings: DataFrame, factor: int) -> DataFrame:
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = rows_of(batch.column("embedding"))
-            with np.errstate(over="ignore"):
-                whole = [None if row is None else np.floor(factor * row) for row in rows]
-            data, dims = [], []
-            for row in whole:
-                if row is None:
-                    data.append(None)
-                elif not np.isfinite(row).all():
-                    raise ValueError("a component is too large to be scaled")
-                else:
-                    small = np.abs(row).max() < 1 << 31
-                    data.append(row.astype("<i4" if small else "<f8").tobytes())
-                dims.append(0 if row is None else len(row))
+            dims, data = floored(batch.column("embedding"), factor)
             kept = batch.select(["vec_id", "row", "label"])
             kept = kept.append_column("dim", pa.array(dims, pa.int32()))
             kept = kept.append_column("vector", pa.array(data, pa.binary()))
@@ -76,14 +64,6 @@ def quantized(embeddings: DataFrame, factor: int) -> DataFrame:
     return named.mapInArrow(floor, "vec_id long, row long, label long, dim int, vector binary")
 
 
-def matrix(vectors, dim: int) -> np.ndarray:
-    """Rows of integers held as doubles, from either width."""
-    rows = np.empty((len(vectors), dim))
-    for i, data in enumerate(vectors):
-        rows[i] = np.frombuffer(data, "<i4" if len(data) == 4 * dim else "<f8")
-    return rows
-
-
 def _directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors (zeros stay) and norms."""
     norms = np.linalg.norm(vectors, axis=1)
@@ -157,7 +137,7 @@ class SharedList:
         largest = anchors.shape[1] * np.abs(anchors).max() * np.abs(candidates).max()
         self.exact = largest < DOUBLE
         if not self.exact:  # Python's integers, of any size
-            anchors, candidates = (_integers(side) for side in (anchors, candidates))
+            anchors, candidates = (integers(side) for side in (anchors, candidates))
         self.anchors, self.candidates = anchors, candidates
 
     def walk(self, goals: list[list["Goal"]], usable: np.ndarray) -> None:
@@ -184,10 +164,6 @@ class SharedList:
             at, step = at + step, min(2 * step, LAST_STEP)
 
 
-def _integers(vectors: np.ndarray) -> np.ndarray:
-    return np.array([[int(x) for x in row] for row in vectors.tolist()], dtype=object)
-
-
 class Goal:
     """The best `k` candidates with scores from `low` to `high` in hundredths (None: any).
     Places of candidates are in the order of their ids, so that the smaller place wins a tie."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import written
-from feedlake.llm.vectors import rows_of
+from feedlake.llm.vectors import floored, integers, matrix
 
 #: Rows of a block of candidates and of queries.
 CANDIDATES = 8192
@@ -29,30 +29,25 @@ QUERIES = 2048
 DEPTHS = 64
 #: Rows of each list that a query scores before it looks for the depth to stop at.
 FIRST_DEPTH = 8
-#: Largest component: of 32 bits, as they are stored.
-LARGEST = (1 << 31) - 1
-#: Scores up to here are exact in double precision; blocks that may have larger ones score in integers.
+#: Scores up to here are exact in double precision; blocks that may have larger ones score in
+#: Python's integers. A score that is returned must fit a long.
 DOUBLE, LONG = 1 << 53, 1 << 63
+#: What doubles may lose of a threshold, as a share of the largest score there could be.
+SLACK = 1e-12
 
 RESULT = "query_id long, query_row long, vec_id long, row long, score long"
 
 
 def quantized(embeddings: DataFrame, factor: int) -> DataFrame:
-    """vec_id, row (a number for each row) and vector (floor(factor * x) as integers).
+    """vec_id, row (a number for each row), dim and vector (floor(factor * x) as whole numbers).
 
-    Vectors that are null, empty, or hold null or non-finite components take no part; nor do
-    those with a component above LARGEST / factor in size, which raise an error.
+    Vectors that are null, empty, or hold null or non-finite components take no part.
     """
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = rows_of(batch.column("embedding"))
-            whole = [None if row is None else np.floor(factor * row) for row in rows]
-            for row in whole:
-                if row is not None and np.abs(row).max() > LARGEST:
-                    raise ValueError(f"components must not exceed {LARGEST / factor} in size")
-            data = [None if row is None else row.astype(np.int32).tobytes() for row in whole]
-            kept = batch.select(["vec_id", "row"])
+            dims, data = floored(batch.column("embedding"), factor)
+            kept = batch.select(["vec_id", "row"]).append_column("dim", pa.array(dims, pa.int32()))
             kept = kept.append_column("vector", pa.array(data, pa.binary()))
             yield kept.filter(kept.column("vector").is_valid())
 
@@ -61,14 +56,16 @@ def quantized(embeddings: DataFrame, factor: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
-    return named.mapInArrow(floor, "vec_id long, row long, vector binary")
+    return named.mapInArrow(floor, "vec_id long, row long, dim int, vector binary")
 
 
 class Lists:
     """The sorted lists of a block of candidates, a matrix of integers, by ascending row id."""
 
-    def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors.astype(np.float64)
+    def __init__(self, vectors: np.ndarray, wide: bool = False):
+        """wide: scores may not be exact in doubles."""
+        self.vectors, self.wide = vectors.astype(np.float64), wide
+        self.whole = integers(self.vectors) if wide else self.vectors
         self.order = np.argsort(vectors, axis=0, kind="stable")  # depth x dimension
         self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
         n = len(vectors)
@@ -78,7 +75,8 @@ class Lists:
     def thresholds(self, queries: np.ndarray) -> np.ndarray:
         """query x depth of the grid: the most that a row not seen down to there can score."""
         top, bottom = self.sorted[::-1][self.grid], self.sorted[self.grid]
-        return np.maximum(queries, 0) @ top.T + np.minimum(queries, 0) @ bottom.T
+        found = np.maximum(queries, 0) @ top.T + np.minimum(queries, 0) @ bottom.T
+        return found + SLACK * _most(self.vectors, queries) if self.wide else found
 
     def seen(self, query: np.ndarray, depth: int) -> np.ndarray:
         """The rows among the first depth + 1 of any list that the query goes down."""
@@ -94,27 +92,38 @@ class Lists:
         (-1: none) is left out."""
         bounds = self.thresholds(queries)
         start = int(np.searchsorted(self.grid, min(FIRST_DEPTH, len(ids)) - 1))
+        whole = integers(queries) if self.wide else queries
         for i, query in enumerate(queries):
             depth, rows = start, self.seen(query, int(self.grid[start]))
             while True:
                 rows = rows[rows != own[i]]
-                scores = self.vectors[rows] @ query
+                scores = self.whole[rows] @ whole[i]
                 if depth == len(self.grid) - 1 or not query.any():
                     break
-                kth = np.partition(scores, -k)[-k] if len(scores) >= k else -np.inf
+                kth = self._kth(scores, k)
                 if bounds[i, depth] < kth:
                     break
                 # The best so far says how deep the threshold must fall; by then it has risen.
-                enough = np.flatnonzero(bounds[i] < kth)
+                enough = np.flatnonzero(bounds[i] < float(kth))
                 deeper = int(enough[0]) if len(enough) else len(self.grid) - 1
                 depth = max(depth + 1, deeper)
                 rows = self.seen(query, int(self.grid[depth]))
             if not query.any():  # it goes down no list: all score 0
                 rows = np.flatnonzero(np.arange(len(ids)) != own[i])
                 scores = np.zeros(len(rows))
-            first = np.lexsort((ids[rows], -scores))[:k]
+            first = self._first(scores, ids[rows], k)
             yield rows[first], scores[first]
 
+    def _kth(self, scores: np.ndarray, k: int):
+        if len(scores) < k:
+            return -np.inf
+        return np.sort(scores)[-k] if self.wide else np.partition(scores, -k)[-k]
+
+    def _first(self, scores: np.ndarray, ids: np.ndarray, k: int) -> list[int] | np.ndarray:
+        if self.wide:
+            return sorted(range(len(scores)), key=lambda j: (-scores[j], ids[j]))[:k]
+        return np.lexsort((ids, -scores))[:k]
+
 
 def top_k(
     embeddings: DataFrame, is_query, k: int = 20, factor: int = 64
@@ -127,14 +136,9 @@ def top_k(
 
     A row with a null vec_id is neither query nor candidate, as it cannot be named. Rows that
     repeat a vec_id are candidates of each other. Vectors of different lengths do not meet. Scores
-    are exact; one among the best that does not fit a long raises an error.
+    are exact at any size; one among the best that does not fit a long raises an error.
     """
-    rows = written(
-        quantized(embeddings.where("vec_id is not null"), factor).withColumn(
-            "dim", F.length("vector")
-        ),
-        "vectors",
-    )
+    rows = written(quantized(embeddings.where("vec_id is not null"), factor), "vectors")
     asked = rows.where(F.coalesce(is_query, F.lit(False)))
     blocks = max(1, -(-rows.count() // CANDIDATES))
     query_blocks = max(1, -(-asked.count() // QUERIES))
@@ -164,19 +168,19 @@ def _search(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     columns = [name.split()[0] for name in RESULT.split(", ")]
     if candidates.empty or queries.empty:
         return pd.DataFrame({name: pd.Series(dtype=np.int64) for name in columns})
-    vectors = _matrix(candidates["vector"])
+    dim = int(candidates["dim"].iloc[0])
+    vectors, asked = matrix(candidates["vector"], dim), matrix(queries["vector"], dim)
     ids, numbers = candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
     place = {number: i for i, number in enumerate(numbers.tolist())}
     own = [place.get(number, -1) for number in queries["row"].tolist()]
     parts = []
     names = zip(queries["vec_id"].tolist(), queries["row"].tolist())
-    asked = _matrix(queries["vector"])
     # Rows are in the order of ids, so places break ties as ids do, and repeated ids by row.
-    if _most(vectors, asked) <= DOUBLE:
-        found = Lists(vectors).best(asked.astype(np.float64), np.arange(len(ids)), own, k)
-    else:
-        found = _best_of_all(vectors, asked, own, k)
+    lists = Lists(vectors, _most(vectors, asked) > DOUBLE)
+    found = lists.best(asked, np.arange(len(ids)), own, k)
     for (query_id, query_row), (rows, scores) in zip(names, found):
+        if lists.wide and any(not -LONG <= score < LONG for score in scores):
+            raise ValueError("a score does not fit a long")
         parts.append(
             pd.DataFrame(
                 {
@@ -191,34 +195,6 @@ def _search(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.concat(parts)[columns]
 
 
-def _most(vectors: np.ndarray, queries: np.ndarray) -> int:
+def _most(vectors: np.ndarray, queries: np.ndarray) -> float:
     """No score, nor a sum on the way to it, is larger in size."""
-    largest = [max(-int(side.min()), int(side.max())) for side in (vectors, queries)]
-    return vectors.shape[1] * largest[0] * largest[1]
-
-
-def _best_of_all(vectors: np.ndarray, queries: np.ndarray, own: list[int], k: int):
-    """What Lists.best gives, from all scores in integers of any size."""
-    small = _most(vectors, queries) < LONG
-    whole = vectors.astype(np.int64)
-    high, low = whole >> 16, whole & 0xFFFF
-    for i, query in enumerate(queries.astype(np.int64)):
-        rows = np.flatnonzero(np.arange(len(vectors)) != own[i])
-        if small:
-            scores = (whole @ query)[rows]
-            first = np.lexsort((rows, -scores))[:k]
-            yield rows[first], scores[first]
-        else:
-            exact = [0] * len(rows)
-            for at in range(0, len(query), 1 << 15):  # sums of so many products fit a long
-                part = slice(at, at + (1 << 15))
-                sums = [(side[:, part] @ query[part])[rows].tolist() for side in (high, low)]
-                exact = [x + (upper << 16) + lower for x, upper, lower in zip(exact, *sums)]
-            first = sorted(range(len(rows)), key=lambda j: -exact[j])[:k]
-            if any(not -LONG <= exact[j] < LONG for j in first):
-                raise ValueError("a score does not fit a long")
-            yield rows[first], np.array([exact[j] for j in first], dtype=np.int64)
-
-
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), dtype=np.int32).reshape(len(vectors), -1)
+    return vectors.shape[1] * float(np.abs(vectors).max()) * float(np.abs(queries).max())

@@ -121,10 +121,43 @@ def test_empty_tables(spark):
     assert embedding_dedup.near_duplicates(empty).collect() == []
 
 
-def test_components_too_large_are_refused(spark):
-    rows = spark.createDataFrame([(0, [1e9]), (1, [1.0])], SCHEMA)
-    with pytest.raises(Exception, match="must not exceed"):
-        topk.top_k(rows, F.col("vec_id") % 5 == 0).collect()
+def test_any_finite_component_takes_part(spark):
+    rows = [(0, [1e9]), (1, [1.0]), (2, [-4e7]), (5, [2.0**20]), (6, [1e-300])]
+    embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(embeddings, F.col("vec_id") % 5 == 0, k=2).collect()
+    whole = [(i, math.floor(64 * x)) for i, (x,) in rows]
+    expected = []
+    for i in (0, 5):
+        scores = sorted((-whole[0 if i == 0 else 3][1] * x, j) for j, x in whole if j != i)
+        expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:2])]
+    assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_the_threshold_stops_at_large_scores_too():
+    rule = np.random.default_rng(7)
+    vectors = rule.integers(-3, 4, (4000, 8)) * 2.0**30
+    vectors[:30] += np.array([40, 0, 30, 0, 0, 0, 0, 0]) * 2.0**30
+    lists = topk.Lists(vectors, wide=True)
+    seen, monitored = [], lists.seen
+    lists.seen = lambda query, depth: seen.append(len(monitored(query, depth))) or monitored(query, depth)
+    ((rows, scores),) = lists.best(np.array([[9.0, 0, 9, 0, 0, 0, 0, 0]]) * 2.0**30, np.arange(4000), [-1], 10)
+    exact = sorted((9 * (int(v[0]) + int(v[2])) << 30 for v in vectors), reverse=True)
+    assert scores.tolist() == exact[:10] and max(seen) < 1000
+
+
+def test_recall_at_the_threshold_with_the_default_planes():
+    """Pairs at a cosine of exactly 0.9 that meet in a bucket of some table."""
+    rule = np.random.default_rng(12)
+    for classes, pairs in ((10_000, 2_000), (10**8, 1_000)):
+        planes = embedding_dedup.Planes.fitting(classes, 0.9)
+        one = rule.standard_normal((pairs, 64))
+        one /= np.linalg.norm(one, axis=1)[:, None]
+        other = rule.standard_normal((pairs, 64))
+        other -= (other * one).sum(axis=1)[:, None] * one
+        other /= np.linalg.norm(other, axis=1)[:, None]
+        other = 0.9 * one + math.sqrt(1 - 0.81) * other
+        met = (planes.buckets(one) == planes.buckets(other)).any(axis=1)
+        assert met.mean() >= 0.99
 
 
 @pytest.mark.parametrize("size", [2.0**15, 2.0**20, 2.0**24])
