@@ -27,7 +27,8 @@ def _is_number(dtype: str) -> bool:
 
 def _column(name: str, dtype: str) -> Column:
     value, text = F.col(f"`{name}`"), F.col(f"`{name}`").cast("string")
-    number = value.cast("double") if _is_number(dtype) else F.lit(None).cast("double")
+    # The two zeros are one value.
+    number = value.cast("double") + 0.0 if _is_number(dtype) else F.lit(None).cast("double")
     return F.struct(
         F.lit(name).alias("name"),
         F.count(F.lit(1)).alias("rows"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from feedlake import fixed_values as V
 from feedlake.operators.dedup import first_rows
 from feedlake.operators.joins import combined_view, property_base
+from feedlake.workspace import kept
 
 TOP = 10
 
@@ -260,6 +261,76 @@ def by_type(rental: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+#: The reports that `report_cube` holds: the column each is by, what it counts, and which of
+#: its columns it has besides.
+CUBE = {
+    "reviews_per_country": ("country_code", "reviews", ("properties", "avg_score", "avg_stars")),
+    "reviews_by_year": ("review_year", "rows", ("avg_score", "countries")),
+    "quality_distribution": ("data_quality_flag", "rows", ("properties",)),
+    "by_purpose": ("reviewer_travel_purpose", "rows", ("avg_score",)),
+    "by_type": ("reviewer_type", "rows", ("avg_score", "avg_stars")),
+}
+
+
+def report_cube(rental: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Five reports from one pass over each table: report, key (as text), total (rows or reviews),
+    properties, avg_score, avg_stars and countries, null where a report does not have them.
+
+    Both tables are summed up by all columns that any report is by, then joined, and the result
+    is grouped by each of them at once. Distinct properties are counted exactly by bitmaps,
+    which unlike distinct counts are merged from partial ones: properties are numbered, and a
+    bitmap holds 32,768 of them, so no group is one task's. Countries are few. Of the reports
+    by year, purpose and type, reviews without any are left out, as there.
+    """
+    by_review = ("review_year", "reviewer_travel_purpose", "reviewer_type")
+    listed = kept(_times_listed(rental, "country_code", "star_rating", "data_quality_flag"), "listed")
+    numbers = listed.select("id").distinct().withColumn("number", F.monotonically_increasing_id())
+    numbers = kept(numbers, "numbers").withColumnRenamed("id", "numbered")
+    joined = _weighted(listed, _summed_reviews(reviews, *by_review))
+    joined = joined.join(numbers, F.col("id") == F.col("numbered")).withColumn(
+        "part", F.bitmap_bucket_number("number")
+    )
+    stars, rows = F.col("star_rating"), F.col("rows")
+    keys = [key for key, _, _ in CUBE.values()]
+    counted = [key for key, _, has in CUBE.values() if "properties" in has]
+    sets = [["part", key] if key in counted else [key] for key in keys]
+    grouped = joined.groupingSets(sets, "part", *keys).agg(
+        *[F.sum(name).alias(name) for name in ("rows", "reviews", "score_sum", "score_count")],
+        F.sum(stars * rows).alias("stars_sum"),
+        F.sum(F.when(stars.isNotNull(), rows)).alias("stars_count"),
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("numbers"),
+        F.collect_set("country_code").alias("codes"),
+        *[F.grouping(key).alias(f"not_{key}") for key in keys],
+    )
+    report, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (column, _, _) in CUBE.items():
+        its_own = F.col(f"not_{column}") == 0
+        report = F.when(its_own, name).otherwise(report)
+        key = F.when(its_own, F.col(column).cast("string")).otherwise(key)
+    named = grouped.withColumns({"report": report, "key": key})
+    named = named.where(F.col("key").isNotNull() | ~F.col("report").isin(*[
+        name for name, (column, _, _) in CUBE.items() if column in by_review
+    ]))
+    merged = named.groupBy("report", "key").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("reviews").alias("reviews"),
+        F.sum(F.bitmap_count("numbers")).alias("properties"),
+        _mean_score().alias("avg_score"),
+        _rounded_mean(F.sum("stars_sum"), F.sum("stars_count")).alias("avg_stars"),
+        # A report with countries has one row a key before this.
+        F.max(F.size("codes")).cast("long").alias("countries"),
+    )
+
+    def having(column: str) -> Column:
+        reports = [name for name, (_, _, has) in CUBE.items() if column in has]
+        return F.when(F.col("report").isin(*reports), F.col(column)).alias(column)
+
+    in_reviews = [name for name, (_, counts, _) in CUBE.items() if counts == "reviews"]
+    total = F.when(F.col("report").isin(*in_reviews), F.col("reviews")).otherwise(F.col("rows"))
+    shown = [having(name) for name in ("properties", "avg_score", "avg_stars", "countries")]
+    return merged.select("report", "key", total.alias("total"), *shown)
+
+
 ALL = {
     report.__name__: report
     for report in (

@@ -509,7 +509,7 @@ def expected() -> dict[str, str]:
                 ('large', 'boolean', 'boolean', false)) AS t(name, type, types, conflict)""",
         "column_profile": " UNION ALL ".join(
             f"""SELECT '{c}' AS name, count(*) AS rows, count(*) - count({c}) AS nulls,
-                min({c})::DOUBLE AS least, max({c})::DOUBLE AS most, NULL::VARCHAR AS first,
+                min({c})::DOUBLE + 0.0 AS least, max({c})::DOUBLE + 0.0 AS most, NULL::VARCHAR AS first,
                 NULL::VARCHAR AS last, true AS distinct_near, true AS quartiles_near,
                 true AS frequent_near FROM lineitem"""
             for c in _LINEITEM.split(", ")
@@ -564,6 +564,30 @@ def expected() -> dict[str, str]:
             WHERE path NOT IN (SELECT path FROM entries WHERE manifest NOT IN (SELECT manifest FROM gone))""",
             "expired",
         ),
+        "report_cube": sql(
+            """
+            SELECT 'reviews_per_country' AS report, country_code AS key, count(review_id) AS total,
+                   count(DISTINCT id) AS properties,
+                   round(avg(review_individual_score), 2) AS avg_score,
+                   round(avg(star_rating), 2) AS avg_stars, NULL::BIGINT AS countries
+            FROM combined GROUP BY country_code
+            UNION ALL
+            SELECT 'reviews_by_year', review_year::VARCHAR, count(*), NULL,
+                   round(avg(review_individual_score), 2), NULL, count(DISTINCT country_code)
+            FROM combined WHERE review_year IS NOT NULL GROUP BY review_year
+            UNION ALL
+            SELECT 'quality_distribution', data_quality_flag, count(*), count(DISTINCT id), NULL, NULL, NULL
+            FROM combined GROUP BY data_quality_flag
+            UNION ALL
+            SELECT 'by_purpose', reviewer_travel_purpose, count(*), NULL,
+                   round(avg(review_individual_score), 2), NULL, NULL
+            FROM combined WHERE reviewer_travel_purpose IS NOT NULL GROUP BY reviewer_travel_purpose
+            UNION ALL
+            SELECT 'by_type', reviewer_type, count(*), NULL,
+                   round(avg(review_individual_score), 2), round(avg(star_rating), 2), NULL
+            FROM combined WHERE reviewer_type IS NOT NULL GROUP BY reviewer_type""",
+            "combined",
+        ),
         "row_count": 'SELECT count(*) AS "rows", 11::INTEGER AS "columns" FROM lineitem',
         # extraction and derivation
         "extract_details": sql("SELECT * FROM extracted", "extracted"),

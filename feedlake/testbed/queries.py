@@ -657,6 +657,9 @@ def _report(report) -> Query:
 _QUERIES.update({name: _report(report) for name, report in reports.ALL.items()})
 
 
+_QUERIES["report_cube"] = _report(reports.report_cube)
+
+
 # --- upkeep --------------------------------------------------------------------------
 
 CUTOFF = datetime(1998, 1, 1)
