@@ -4,15 +4,21 @@ A log often holds a conversation again each time it has grown. Every turn gets a
 position, role and text, and every prefix of a conversation the sum of the hashes of its turns.
 A conversation whose own sum is that of a shorter prefix of another is a snapshot of it and goes.
 
-Running sums are made in blocks of turns: first within each block, then over the blocks of a
-conversation. A conversation that holds a third of all turns is so dealt to many tasks.
+All turns are sorted once, in ranges, and written with their place. What a conversation has in one
+range is a block: running sums are made within each block, then over the blocks of a
+conversation. A conversation that holds a third of all turns is so dealt to many tasks, also if
+its turns have no numbers. Only ids, places and hashes take part in that; texts are joined last.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Range of turn numbers that is one block, and turns that are one part when rendered.
+from feedlake.llm.frames import written
+
+#: Turns that are one part when rendered.
 BLOCK = 4096
+#: The bits of a place from here on tell the range.
+RANGE_BITS = 33
 #: How a turn is rendered, in the order of the text.
 BEFORE_ROLE, AFTER_ROLE, AFTER_TEXT = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -29,17 +35,21 @@ def prefixes(turns: DataFrame) -> DataFrame:
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))).alias("block"),
+        F.monotonically_increasing_id().alias("row"),  # parts even equal turns
     )
-    order = [F.asc_nulls_first("turn"), "role", "text"]
+    order = [F.asc_nulls_first("conv_id"), F.asc_nulls_first("turn"), "role", "text", "row"]
+    ranges = said.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
+    digest = F.md5(F.concat_ws("\n", F.length("role").cast("string"), "role", "text"))
+    rows = ranges.withColumns({"place": F.monotonically_increasing_id(), "digest": digest})
+    rows = written(rows, "turns")
     block = ["conv_id", "block"]
+    rows = rows.withColumn("block", F.shiftright("place", RANGE_BITS))
+    sizes = rows.groupBy(*block).agg(F.count("*").alias("size"), F.min("place").alias("first"))
     # Positions first, as the hash of a turn holds its position.
-    sizes = said.groupBy(*block).agg(F.count("*").alias("size"))
-    rows = _before(said, sizes, "earlier_turns", "long").withColumn(
-        "position",
-        F.col("earlier_turns") + F.row_number().over(Window.partitionBy(*block).orderBy(*order)),
+    rows = _before(rows, sizes, "earlier_turns", "long", "first").withColumn(
+        "position", F.col("earlier_turns") + F.col("place") - F.col("first") + 1
     )
-    rows = rows.withColumn("hash", _hash(F.col("position"), F.col("role"), F.col("text")))
+    rows = rows.withColumn("hash", _hash(F.col("position"), F.col("digest")))
     sums = rows.groupBy(*block).agg(F.sum("hash").alias("size"))
     within = F.sum("hash").over(
         Window.partitionBy(*block).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
@@ -52,23 +62,23 @@ def prefixes(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "turn", "role", "text", "position", "n_turns", "prefix")
 
 
-def _hash(position: Column, role: Column, text: Column) -> Column:
+def _hash(position: Column, digest: Column) -> Column:
     """96 bits of an MD5 sum as a number; a billion of them add up without overflow."""
-    length = F.length(role).cast("string")
-    digits = F.md5(F.concat_ws("\n", position.cast("string"), length, role, text))
+    digits = F.md5(F.concat_ws("\n", position.cast("string"), digest))
     high, low = (
         F.conv(F.substring(digits, at, 12), 16, 10).cast("decimal(15,0)") for at in (1, 13)
     )
     return high * F.lit(16**12).cast("decimal(15,0)") + low
 
 
-def _before(rows: DataFrame, blocks: DataFrame, name: str, kind: str) -> DataFrame:
-    """Adds the sum of `size` over the earlier blocks of each row's conversation."""
+def _before(rows: DataFrame, blocks: DataFrame, name: str, kind: str, *more: str) -> DataFrame:
+    """Adds the sum of `size` over the earlier blocks of each row's conversation, and `more`
+    columns of its block."""
     earlier = (
         Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
     total = F.coalesce(F.sum("size").over(earlier), F.lit(0)).cast(kind)
-    offsets = blocks.select("conv_id", "block", total.alias(name))
+    offsets = blocks.select("conv_id", "block", total.alias(name), *more)
     return _same(rows, offsets, ["conv_id", "block"])
 
 
@@ -87,12 +97,13 @@ def maximal(turns: DataFrame) -> DataFrame:
     Of equal conversations the one with the smallest conv_id stays, null last.
     """
     rows = prefixes(turns)
+    begins = written(rows.select("conv_id", "position", "n_turns", "prefix"), "prefixes")
     whole = (
-        rows.where(F.col("position") == F.col("n_turns"))
+        begins.where(F.col("position") == F.col("n_turns"))
         .groupBy("n_turns", "prefix")
         .agg(F.min("conv_id").alias("conv_id"))
     )
-    begun = rows.where(F.col("position") < F.col("n_turns")).select(
+    begun = begins.where(F.col("position") < F.col("n_turns")).select(
         F.col("position").alias("n_turns"), "prefix"
     )
     kept = whole.join(begun.distinct(), ["n_turns", "prefix"], "left_anti").select("conv_id")

@@ -166,3 +166,16 @@ def test_blocks_of_a_long_conversation(spark, monkeypatch):
     ]
     text = "".join(r.text for r in found if r.conv_id == 1)
     assert re.findall(r"t\d+", text) == [f"t{i}" for i in range(23)]
+
+
+def test_turns_without_numbers_are_dealt_to_many_tasks(spark):
+    rows = [("hot", None, "user", f"text {i % 700}") for i in range(6000)] + [("hot", 1, "user", "end")]
+    rows += [("like hot", *row[1:]) for row in rows[:-1]] + [(None, 3, None, None), ("x", 1, "user", "a")]
+    turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string").repartition(4)
+    found = conversations.prefixes(turns)
+    positions = sorted(r.position for r in found.where("conv_id = 'hot'").collect())
+    assert positions == list(range(1, 6002))
+    blocks = found.where("conv_id = 'hot'").groupBy(F.expr("position DIV 3000")).count().count()
+    assert blocks == 3
+    kept = {(r.conv_id, r.part): r.n_turns for r in conversations.rendered(turns).collect()}
+    assert kept == {("hot", 0): 4096, ("hot", 1): 1905, (None, 0): 1, ("x", 0): 1}
