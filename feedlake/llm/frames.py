@@ -1,5 +1,6 @@
 """Small helpers that the operators of this subpackage share."""
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,8 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6
     """The rows of `batches` in slices whose texts in `column` hold about `limit` bytes.
 
     A text longer than the limit is a slice of its own. What is built from a slice is so
-    bounded by the limit and the longest text, however many rows Spark puts in a batch.
+    bounded by the limit and the longest text, however many rows Spark puts in a batch. After
+    each batch what is free goes back to the system, as workers outlive their tasks.
     """
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
@@ -41,6 +43,16 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6
             size += length or 0
         if batch.num_rows > start:
             yield batch.slice(start)
+        del batch, texts
+        _give_back()
+
+
+def _give_back() -> None:
+    """Returns free memory of Arrow and of the C library, where it is one that can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.components import components
 from feedlake.llm.frames import small_batches, written
-from feedlake.llm.shingles import common, shingle_sets, texts_of
+from feedlake.llm.shingles import shingle_sets, texts_of
 
 #: Counters of the sketch; a byte each, in a task, on the driver and in the broadcast.
 SKETCH = 1 << 24
@@ -53,7 +53,7 @@ CROWD = 8
 #: rounds leave fewer pairs for the last step, and each takes a pass over the texts.
 ROUNDS, LEADERS = 1, 4
 #: Bytes of text a task makes sets of at once.
-TEXTS = 2_000_000
+TEXTS = 500_000
 #: Bits of the bitmaps that say which sets or shingles are wanted: some for each, within bounds;
 #: 16 MB at most. A fuller bitmap lets more pass that a join then drops.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 27, 8
@@ -343,9 +343,14 @@ def _mark(sig, doc_id) -> F.Column:
 
 
 def _made(
-    documents: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: Similarity, make
+    documents: DataFrame,
+    classes: DataFrame,
+    pairs: DataFrame,
+    similarity: Similarity,
+    make,
+    kind: pa.DataType,
 ) -> DataFrame:
-    """sig and data, which is `make` of the whole set, of the classes in `pairs`.
+    """sig and data, which is `make` of the whole set, of that `kind`, of the classes in `pairs`.
 
     Of each class the row of its smallest doc_id makes it, whatever copies there are. Rows that
     repeat that one are left out within a task, then dropped.
@@ -374,13 +379,13 @@ def _made(
             yield pa.RecordBatch.from_pydict(
                 {
                     "sig": pa.array(found.keys(), pa.binary(), size=len(found)),
-                    "data": pa.array(found.values(), pa.binary(), size=len(found)),
+                    "data": pa.array(list(found.values()), kind),
                 }
             )
 
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    found = documents.select(ids, "text").mapInArrow(some, "sig binary, data binary")
-    return found.dropDuplicates(["sig"])
+    schema = f"sig binary, data {'binary' if pa.types.is_binary(kind) else 'array<long>'}"
+    return documents.select(ids, "text").mapInArrow(some, schema).dropDuplicates(["sig"])
 
 
 def _histogram(values: np.ndarray) -> bytes:
@@ -404,28 +409,34 @@ def _verified(
         one, other = (np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in (one, other))
         return similarity.linked(one.sum(), other.sum(), np.minimum(one, other).sum())
 
-    def are(one: bytes, other: bytes) -> bool:
-        one, other = (np.frombuffer(x, dtype=np.uint64) for x in (one, other))
-        return similarity.linked(len(one), len(other), common(one, other))
-
-    histograms = _made(documents, classes, pairs, similarity, _histogram)
-    near = written(_passing(pairs, histograms, may_be), "near")
-    return _passing(near, _made(documents, classes, near, similarity, np.ndarray.tobytes), are)
-
-
-def _passing(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
-    """The pairs that pass a test of the data of both classes."""
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = zip(batch.column("one"), batch.column("other"))
-            passed = [bool(test(x.as_buffer(), y.as_buffer())) for x, y in both]
+            passed = [bool(may_be(x.as_buffer(), y.as_buffer())) for x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(passed, pa.bool_()))
 
+    histograms = _made(documents, classes, pairs, similarity, _histogram, pa.binary())
+    likely = _brought(pairs, histograms).mapInArrow(keep, "a binary, b binary")
+    near = written(likely, "near")
+    hashes = _made(documents, classes, near, similarity, _signed, pa.list_(pa.int64()))
+    # Sets stay in Spark: a batch of them for a worker might be large.
+    both = F.size(F.array_intersect("one", "other"))
+    counted = _brought(near, hashes).select(
+        "a", "b", (F.size("one") + F.size("other")).alias("all"), both.alias("both")
+    )
+    enough = F.col("both") * similarity.den >= (F.col("all") - F.col("both")) * similarity.num
+    return counted.where((F.col("both") > 0) & enough).select("a", "b")
+
+
+def _signed(values: np.ndarray) -> np.ndarray:
+    return values.view(np.int64)
+
+
+def _brought(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with the data of both classes, one and other."""
     ones = sets.select(F.col("sig").alias("a"), F.col("data").alias("one"))
     others = sets.select(F.col("sig").alias("b"), F.col("data").alias("other"))
-    joined = pairs.join(ones, "a").join(others, "b").select("a", "b", "one", "other")
-    return joined.mapInArrow(keep, "a binary, b binary")
+    return pairs.join(ones, "a").join(others, "b").select("a", "b", "one", "other")
 
 
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:

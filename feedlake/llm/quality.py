@@ -16,6 +16,8 @@ from feedlake.llm.frames import fresh, small_batches
 
 #: Labelled documents that are learned from, at most; those with the smallest hashes.
 SAMPLE = 20_000
+#: Bytes of text a task takes the statistics of at once.
+TEXTS = 2_000_000
 TREES = 150
 DEPTH = 4
 RATE = 0.1
@@ -190,7 +192,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tree
     )
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             values = pa.array(_rows(batch).tolist(), pa.list_(pa.float64()))
             yield batch.select(["doc_id", "quality"]).append_column("values", values)
 
@@ -228,7 +230,7 @@ def score(
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, TEXTS):
             scores = told.value.scores(_rows(batch, text))
             yield (
                 batch.select(carried_names)

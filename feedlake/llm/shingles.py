@@ -75,12 +75,3 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
 def _distinct(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     return values[np.concatenate(([True], values[1:] != values[:-1]))]
-
-
-def common(one: np.ndarray, other: np.ndarray) -> int:
-    """How many values two sorted distinct arrays share."""
-    if not len(one) or not len(other):
-        return 0
-    places = np.searchsorted(one, other)
-    places[places == len(one)] = 0
-    return int(np.count_nonzero(one[places] == other))
