@@ -203,16 +203,17 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "reviews", _dressed_reviews, schemas.REVIEWS_FEED)
 
 
-def built_tables(spark: SparkSession, sf_dir: str) -> str:
+def built_tables(spark: SparkSession, sf_dir: str, unique: bool = False) -> str:
     """Folder of the tables built from the feeds: rental_property and property_reviews.
 
     Built on first use in a session, then read by every query on tables, as reports are.
-    They hold all listings and offers.
+    They hold all listings and offers; `unique` ones, which only tests of plans read, hold one
+    listing and one offer per id.
     """
 
     def build(root: str) -> None:
         listing = details(spark, sf_dir)
-        builds.build_rental(listing, search(spark, sf_dir), root)
-        builds.build_reviews(listing, reviews(spark, sf_dir), root)
+        builds.build_rental(listing, search(spark, sf_dir), root, dedup_search=unique)
+        builds.build_reviews(listing, reviews(spark, sf_dir), root, dedup_properties=unique)
 
-    return _once(spark, sf_dir, "tables", build)
+    return _once(spark, sf_dir, "unique_tables" if unique else "tables", build)
