@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import small_batches, written
-from feedlake.llm.tokens import encoder, little_endian
+from feedlake.llm.tokens import TEXTS, encoder, little_endian
 
 #: Sequences a task keeps open. More fit better and cost a few bytes each.
 OPEN_SEQUENCES = 1024
@@ -76,7 +76,7 @@ def pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), little_endian([end_id])
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             rows = []
             encoded = encode(batch.column("text"))
             ids = (batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist())
@@ -166,7 +166,7 @@ def sequence_tokens(
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary), little_endian([end_id])
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", TEXTS):
             encoded = encode(batch.column("text"))
             rows = []
             for row, tokens in zip(batch.drop_columns(["text"]).to_pylist(), encoded):

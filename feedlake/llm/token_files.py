@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import small_batches, written
-from feedlake.llm.tokens import encoder, little_endian
+from feedlake.llm.tokens import TEXTS, encoder, little_endian
 
 # Fixed values of the public format.
 SKIPPABLE_MAGIC = 0x184D2A50
@@ -153,7 +153,7 @@ def write_token_files(
         encode, end = encoder(vocabulary), little_endian([end_id])
 
         def encoded():
-            for batch in small_batches(batches, "text"):
+            for batch in small_batches(batches, "text", TEXTS):
                 texts = encode(batch.column("text"))
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
                     yield doc_id, ids + end

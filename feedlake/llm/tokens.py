@@ -12,8 +12,10 @@ import pyarrow.compute as pc
 
 from feedlake.llm.frames import split_words
 
-#: Pieces a worker remembers; some 200 bytes each.
-REMEMBERED = 1_000_000
+#: Words a worker remembers; some 200 bytes each.
+REMEMBERED = 300_000
+#: Bytes of text that are encoded together.
+TEXTS = 3_000_000
 #: How such vocabularies mark the token that ends a word.
 WORD_END = "</w>"
 #: Words encoded in one call.
