@@ -310,8 +310,10 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
 
 def mixed(documents: DataFrame, seed: int = 0, weights=WEIGHTS) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its own columns only."""
-    found = mix(documents, seed, weights)
-    columns = [F.col(f"`{name}`") for name in documents.columns]
+    added = ("size", "source_size", "target", "times")
+    own = {name: fresh(documents, f"own_{name}") for name in documents.columns if name.lower() in added}
+    found = mix(documents.withColumnsRenamed(own), seed, weights)
+    columns = [F.col(f"`{own.get(name, name)}`").alias(name) for name in documents.columns]
     copy = fresh(found, "copy")
     taken = found.where("times > 0").select(
         "*", F.explode(F.sequence(F.lit(1), F.col("times"))).alias(copy)
