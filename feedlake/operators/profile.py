@@ -25,8 +25,8 @@ def _is_number(dtype: str) -> bool:
     return dtype in NUMERIC or dtype.startswith("decimal")
 
 
-def _column(name: str, dtype: str) -> Column:
-    value, text = F.col(f"`{name}`"), F.col(f"`{name}`").cast("string")
+def _column(name: str, dtype: str, text_column: str) -> Column:
+    value, text = F.col(f"`{name}`"), F.col(f"`{text_column}`")
     # The two zeros are one value.
     number = value.cast("double") + 0.0 if _is_number(dtype) else F.lit(None).cast("double")
     return F.struct(
@@ -50,8 +50,16 @@ def partition_profiles(df: DataFrame, by: Sequence[str], columns: Sequence[str]
     """
     types = dict(df.dtypes)
     chosen = [name for name in (columns or df.columns) if name not in by]
+    # Each value is made a text once, for all that is made of it.
+    texts = {name: f"_text_{i}" for i, name in enumerate(chosen)}
+    told = df.select(
+        *by,
+        *[F.col(f"`{name}`") for name in chosen],
+        *[F.col(f"`{name}`").cast("string").alias(text) for name, text in texts.items()],
+    )
     # Counts and sketches of all columns in one pass.
-    made = df.groupBy(*by).agg(F.array(*[_column(name, types[name]) for name in chosen]).alias("_made"))
+    columns_made = [_column(name, types[name], texts[name]) for name in chosen]
+    made = told.groupBy(*by).agg(F.array(*columns_made).alias("_made"))
     return made.select(*by, F.inline("_made"))
 
 

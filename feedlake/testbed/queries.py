@@ -4,7 +4,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake import fixed_values as V
@@ -243,6 +243,42 @@ def discovered_schema(spark, sf_dir):
     return found.select("name", "type", F.array_join("types", ",").alias("types"), "conflict")
 
 
+def _profile_check(rows: DataFrame, c: Row) -> DataFrame:
+    """One row: whether what the merged profile `c` of a column says is near the exact values."""
+    text, n = F.col("text"), F.col("n")
+    value = F.col(f"`{c['name']}`")
+    counted = rows.groupBy(value.cast("string").alias("text")).agg(
+        # Rows of one text have one number, and only numbers have quartiles.
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("value")
+    )
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    exact = F.count(text)
+    distinct = F.abs(F.lit(c["distinct"]) - exact) <= F.greatest(
+        4 * profile.DISTINCT_ERROR * exact, F.lit(1)
+    )
+    quartiles, shares = F.lit(True), (0.25, 0.5, 0.75)
+    there = rows_where(F.col("value").isNotNull())
+    for share, quartile in zip(shares, c["quartiles"]):
+        if quartile is not None:
+            below = rows_where(F.col("value") < quartile) / there
+            upto = rows_where(F.col("value") <= quartile) / there
+            near = 1.5 * profile.RANK_ERROR
+            quartiles = quartiles & (below <= share + near) & (upto >= share - near)
+    frequent = F.lit(True)
+    for item in c["frequent"]:
+        off = F.abs(rows_where(text == item["item"]) - item["count"])
+        frequent = frequent & (off <= F.sum(n) / profile.TRACKED)
+    return counted.agg(
+        F.lit(c["name"]).alias("checked"),
+        distinct.alias("distinct_near"),
+        quartiles.alias("quartiles_near"),
+        frequent.alias("frequent_near"),
+    )
+
+
 @query
 def column_profile(spark, sf_dir):
     """Exact counts and bounds of line items, and whether what the merged sketches say of distinct,
@@ -250,32 +286,10 @@ def column_profile(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem")
     parts = kept(profile.partition_profiles(rows, ["l_returnflag", "l_linestatus"]), "profiles")
     merged = kept(profile.merged_profile(parts), "profile")
-    checks = []
-    for c in merged.collect():  # a row a column
-        value, text = F.col(c["name"]), F.col(c["name"]).cast("string")
-        exact = F.count_distinct(text)
-        distinct = F.abs(F.lit(c["distinct"]) - exact) <= F.greatest(
-            4 * profile.DISTINCT_ERROR * exact, F.lit(1)
-        )
-        quartiles, shares = F.lit(True), (0.25, 0.5, 0.75)
-        for share, quartile in zip(shares, c["quartiles"]):
-            if quartile is not None:
-                below, upto = F.avg((value < quartile).cast("int")), F.avg((value <= quartile).cast("int"))
-                near = 1.5 * profile.RANK_ERROR
-                quartiles = quartiles & (below <= share + near) & (upto >= share - near)
-        frequent = F.lit(True)
-        for item in c["frequent"]:
-            off = F.abs(F.count_if(text == item["item"]) - item["count"])
-            frequent = frequent & (off <= F.count(F.lit(1)) / profile.TRACKED)
-        checks.append(
-            F.struct(
-                F.lit(c["name"]).alias("checked"),
-                distinct.alias("distinct_near"),
-                quartiles.alias("quartiles_near"),
-                frequent.alias("frequent_near"),
-            )
-        )
-    checked = rows.agg(F.array(*checks).alias("c")).select(F.inline("c"))
+    # A row a column. Values are counted first, each column by itself: what is exact about them
+    # is told by the counts, and no row is repeated for another column.
+    checks = [_profile_check(rows, c) for c in merged.collect()]
+    checked = reduce(DataFrame.unionAll, checks)
     told = merged.select("name", "rows", "nulls", "least", "most", "first", "last")
     return told.join(checked, F.col("name") == F.col("checked")).drop("checked")
 

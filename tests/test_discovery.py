@@ -67,3 +67,21 @@ def test_profile_of_columns_without_values(spark):
     assert (merged["t"].nulls, merged["t"].first, merged["t"].distinct) == (1, None, 0)
     empty = profile.partition_profiles(df.limit(0), ["p"])
     assert profile.merged_profile(empty).count() == 0
+
+
+def test_profile_is_checked_without_repeating_rows(spark, tmp_path):
+    from feedlake.testbed.queries import all_queries
+
+    rows = spark.range(2000).selectExpr(
+        "id % 400 AS l_orderkey", "id % 50 / 10 AS l_tax",
+        "IF(id % 3 = 0, -0.0D, id % 2 + 0.0D) AS l_quantity",
+        "concat('A', id % 2) AS l_returnflag", "'F' AS l_linestatus",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    profiled = all_queries()["column_profile"](spark, str(tmp_path))
+    assert "Expand" not in profiled._jdf.queryExecution().toString()
+    found = {r.name: r for r in profiled.collect()}
+    assert set(found) == {"l_orderkey", "l_tax", "l_quantity"}
+    near = {n: (r.distinct_near, r.quartiles_near, r.frequent_near) for n, r in found.items()}
+    assert near == dict.fromkeys(found, (True, True, True))
+    assert {(r.rows, r.nulls) for r in found.values()} == {(2000, 0)}
