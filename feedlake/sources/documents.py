@@ -2,7 +2,7 @@
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,13 +95,17 @@ def write_document_files(docs: DataFrame, path: str, mode: str = "full") -> None
     _write_text(docs, path, "doc_key", mode)
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_indexed(
     docs: DataFrame, path: str, index_path: str, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """JSON Lines in files of some `shard_bytes`, and an index to fetch single documents by.
 
     Documents are dealt to shards by a hash of their key, one file each, in the order of key
-    and text. The index, a Parquet table at `index_path`, has a row for each: doc_key, file,
+    and text. A task writes many shards if they are small. The index, a Parquet table at `index_path`, has a row for each: doc_key, file,
     offset and length in bytes, crc32. Offsets are running sums within a shard, which is no
     longer than one task writes. Keys need not be distinct. Both are replaced; the index is
     written last. Returns it. No documents, no files and an empty index.
@@ -113,7 +117,8 @@ def write_indexed(
     shards = max(1, -(-total // shard_bytes))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_key"), F.lit(shards)).cast("int"))
     order = ("doc_key", "document")
-    ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", *order)
+    tasks = min(shards, max(_partitions(spark), -(-total // SHARD_BYTES)))
+    ordered = dealt.repartition(tasks, "shard").sortWithinPartitions("shard", *order)
     _write_text(ordered, path, "shard", "full")
 
     named = spark.createDataFrame([], "shard int, file string")
@@ -172,7 +177,9 @@ def fetch(index: DataFrame, wanted: DataFrame) -> DataFrame:
 
     keys = wanted.select("doc_key").where(F.col("doc_key").isNotNull()).distinct()
     rows = index.join(keys, "doc_key", "left_semi")
-    rows = rows.repartition("file").sortWithinPartitions("file", "offset")
+    # By number: rows of an index are short, and would be put together into too few tasks.
+    tasks = _partitions(index.sparkSession)
+    rows = rows.repartition(tasks, "file").sortWithinPartitions("file", "offset")
     return rows.mapInArrow(read, "doc_key string, document string")
 
 

@@ -380,3 +380,24 @@ def test_a_full_build_does_not_empty_the_table(spark, tmp_path):
         with pytest.raises(ValueError, match="left as it is"):
             build()
     assert multiset(builds.read_rental(spark, root)) == before
+
+
+def test_small_shards_share_tasks(spark):
+    docs = spark.range(400).selectExpr(
+        "concat('k', id) AS doc_key", "concat(repeat('x', 90), id) AS document"
+    )
+    path = work_folder(spark, "shards")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("indexed", "")
+    index = documents.write_indexed(docs, path, f"{path}-index", shard_bytes=2_000)
+    context.setJobGroup("fetched", "")
+    fetched = multiset(documents.fetch(index, index))
+    context._jsc.clearJobGroup()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stages = [s for j in tracker.getJobIdsForGroup("indexed") for s in tracker.getJobInfo(j).stageIds]
+    sizes = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    assert index.select("file").distinct().count() > partitions
+    assert max(sizes) <= max(partitions, docs.rdd.getNumPartitions())
+    stages = [s for j in tracker.getJobIdsForGroup("fetched") for s in tracker.getJobInfo(j).stageIds]
+    assert partitions in [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    assert fetched == multiset(docs)
