@@ -5,7 +5,8 @@ A query goes down all lists at once, from the end that its own component favours
 not seen at some depth scores at most the threshold, the sum over dimensions of its component
 times the value at that depth. It stops where the threshold is below the k-th best score it
 has, for then nothing unseen can be among the best; an equal score might still come with a
-smaller id.
+smaller id. A query whose threshold falls so late that it would meet most rows of a block is scored
+against all of them, together with others like it: looking rows up one by one would take longer.
 
 Queries and candidates meet in blocks of bounded size; each pair of blocks is one group, and
 the best k of a query's blocks are merged.
@@ -29,6 +30,9 @@ QUERIES = 2048
 DEPTHS = 64
 #: Rows of each list that a query scores before it looks for the depth to stop at.
 FIRST_DEPTH = 8
+#: Once a query would look up more than one place in SHARE for each row of a block, the whole
+#: block is scored, for up to TOGETHER such queries in one product.
+SHARE, TOGETHER = 4, 64
 #: Scores up to here are exact in double precision; blocks that may have larger ones score in
 #: Python's integers. A score that is returned must fit a long.
 DOUBLE, LONG = 1 << 53, 1 << 63
@@ -93,26 +97,42 @@ class Lists:
         bounds = self.thresholds(queries)
         start = int(np.searchsorted(self.grid, min(FIRST_DEPTH, len(ids)) - 1))
         whole = integers(queries) if self.wide else queries
-        for i, query in enumerate(queries):
-            depth, rows = start, self.seen(query, int(self.grid[start]))
-            while True:
-                rows = rows[rows != own[i]]
-                scores = self.whole[rows] @ whole[i]
-                if depth == len(self.grid) - 1 or not query.any():
-                    break
-                kth = self._kth(scores, k)
-                if bounds[i, depth] < kth:
-                    break
-                # The best so far says how deep the threshold must fall; by then it has risen.
-                enough = np.flatnonzero(bounds[i] < float(kth))
-                deeper = int(enough[0]) if len(enough) else len(self.grid) - 1
-                depth = max(depth + 1, deeper)
-                rows = self.seen(query, int(self.grid[depth]))
-            if not query.any():  # it goes down no list: all score 0
-                rows = np.flatnonzero(np.arange(len(ids)) != own[i])
-                scores = np.zeros(len(rows))
-            first = self._first(scores, ids[rows], k)
-            yield rows[first], scores[first]
+        for at in range(0, len(queries), TOGETHER):
+            some = range(at, min(at + TOGETHER, len(queries)))
+            found = {i: self._walk(queries[i], whole[i], bounds[i], start, own[i], k) for i in some}
+            # Those that would see most rows are scored against all of them at once.
+            deep = [i for i in some if found[i] is None]
+            scores = dict(zip(deep, whole[deep] @ self.whole.T)) if deep else {}
+            for i in some:
+                rows, scored = found[i] or self._all_but(own[i], scores[i])
+                first = self._first(scored, ids[rows], k)
+                yield rows[first], scored[first]
+
+    def _walk(self, query, whole, bounds, start: int, own: int, k: int):
+        """The rows that one query sees until its threshold stops it, and their scores; None once
+        it would see so many that all may as well be scored."""
+        if not query.any():  # it goes down no list: all score 0
+            return self._all_but(own, np.zeros(len(self.order)))
+        depth, lists = start, np.count_nonzero(query)
+        while True:
+            if depth > start and SHARE * lists * (int(self.grid[depth]) + 1) > len(self.order):
+                return None
+            rows = self.seen(query, int(self.grid[depth]))
+            rows = rows[rows != own]
+            scores = self.whole[rows] @ whole
+            if depth == len(self.grid) - 1:
+                return rows, scores
+            kth = self._kth(scores, k)
+            if bounds[depth] < kth:
+                return rows, scores
+            # The best so far says how deep the threshold must fall; by then it has risen.
+            enough = np.flatnonzero(bounds < float(kth))
+            deeper = int(enough[0]) if len(enough) else len(self.grid) - 1
+            depth = max(depth + 1, deeper)
+
+    def _all_but(self, own: int, scores: np.ndarray):
+        rows = np.flatnonzero(np.arange(len(scores)) != own)
+        return rows, scores[rows]
 
     def _kth(self, scores: np.ndarray, k: int):
         if len(scores) < k:
@@ -122,7 +142,8 @@ class Lists:
     def _first(self, scores: np.ndarray, ids: np.ndarray, k: int) -> list[int] | np.ndarray:
         if self.wide:
             return sorted(range(len(scores)), key=lambda j: (-scores[j], ids[j]))[:k]
-        return np.lexsort((ids, -scores))[:k]
+        among = np.flatnonzero(scores >= self._kth(scores, k))  # the k best and what ties with the last
+        return among[np.lexsort((ids[among], -scores[among]))[:k]]
 
 
 def top_k(

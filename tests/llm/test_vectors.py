@@ -181,3 +181,20 @@ def test_scores_beyond_a_long_are_refused(spark):
     embeddings = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="does not fit a long"):
         topk.top_k(embeddings, F.col("vec_id") % 5 == 0).collect()
+
+
+def test_deep_queries_do_not_look_up_every_place(monkeypatch):
+    rng = np.random.default_rng(3)
+    for wide in (False, True):
+        vectors = rng.integers(-40, 40, size=(600, 32)).astype(float)
+        asked, own = vectors[:90:3], list(range(0, 90, 3))
+        lists, looked_up = topk.Lists(vectors, wide), []
+        seen = lists.seen
+        monkeypatch.setattr(lists, "seen", lambda q, d: looked_up.append((d + 1) * len(q)) or seen(q, d))
+        found = list(lists.best(asked, np.arange(600), own, 5))
+        for query, mine, (rows, scores) in zip(asked, own, found):
+            exact = vectors @ query
+            exact[mine] = -np.inf
+            first = np.lexsort((np.arange(600), -exact))[:5]
+            assert rows.tolist() == first.tolist() and scores.tolist() == exact[first].tolist()
+        assert max(looked_up) <= 600
