@@ -135,7 +135,8 @@ def _final_by_bytes(
     rental: DataFrame, reviews: DataFrame, max_bytes: int, bucket_rows: int
 ) -> DataFrame:
     rows = reviews.where(F.col("gen_id").isNotNull()).select("gen_id", *V.REVIEW_FIELDS)
-    unique = dedup(rows, ["gen_id", "review_id"], order=list(V.REVIEW_FIELDS))
+    # Used for the sizes of the groups, their ranges, the sums of these, and the rows.
+    unique = kept(dedup(rows, ["gen_id", "review_id"], order=list(V.REVIEW_FIELDS)), "unique")
     dealt = nest.deal_by_bytes(
         unique, "gen_id", "review_id", V.REVIEW_FIELDS, max_bytes, bucket_rows
     )

@@ -302,3 +302,25 @@ def test_hot_country_is_written_by_several_tasks(spark, tmp_path):
     assert files["country_code=GB"] > 3
     back = tables.read_table(spark, str(tmp_path / "t"), "country_code string, text string")
     assert back.count() == 60_000
+
+
+def test_rows_by_bytes_deduplicate_once(spark, monkeypatch):
+    from feedlake import schemas
+    from feedlake.operators import nest
+
+    given, deal = [], nest.deal_by_bytes
+    monkeypatch.setattr(nest, "deal_by_bytes", lambda df, *a: given.append(df) or deal(df, *a))
+    rental = spark.createDataFrame([], schemas.RENTAL_PROPERTY)
+    reviews = spark.createDataFrame([], schemas.PROPERTY_REVIEWS)
+    assert builds.final_frame(rental, reviews, max_bytes=100).count() == 0
+    # Dealing uses its rows several times; they come from a written table.
+    assert "Window" not in given[0]._jdf.queryExecution().toString()
+
+
+def test_rows_are_dressed_by_many_tasks(spark, tmp_path):
+    spark.sql(
+        "SELECT id AS event_id, TIMESTAMP'2024-01-02 00:00:00' AS ts, id % 7 AS user_id,"
+        " 'view' AS event_type, 4.0D AS value, '{\"k\": 3}' AS props FROM range(64)"
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows = feeds.reviews(spark, str(tmp_path))
+    assert rows.count() == 64 and len(rows.inputFiles()) > 1
