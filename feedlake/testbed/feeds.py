@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table in as many tasks as a shuffle has: files of few bytes are read by few
+    tasks, but dressing a row takes long."""
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _dressed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their nation. Accounts of 9000 and more are listed a second time."""
     balance, segment, key = F.col("c_acctbal"), F.col("c_mktsegment"), F.col("c_custkey")
@@ -28,7 +34,7 @@ def _dressed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.char(F.col("n_nationkey") + 97), F.lit("b"))
     machinery = segment == "MACHINERY"
     listed = (
-        table(spark, sf_dir, "customer")
+        _spread(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.when(balance < -900, None)
@@ -95,7 +101,7 @@ def _dressed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     products = "array<struct<policies:struct<meal_plan:struct<meals:array<string>>>>>"
-    return table(spark, sf_dir, "orders").select(
+    return _spread(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") == "F", F.col("o_custkey").cast("string"))
         .when(F.col("o_orderstatus") == "P", F.concat(F.lit("P-"), "o_custkey"))
         .alias("id"),
@@ -151,7 +157,7 @@ def _dressed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.when((kind != "view") | (k >= 20), value)
     one, two = F.array(review(score)), F.array(review(score), review(score + 1))
     return (
-        table(spark, sf_dir, "events")
+        _spread(spark, sf_dir, "events")
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
         .select(
             F.when((kind == "view") & (k >= 90), F.concat(F.lit("v"), "user_id"))
