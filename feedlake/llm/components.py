@@ -9,7 +9,7 @@ from feedlake.llm.frames import written
 def components(links: DataFrame) -> DataFrame:
     """The component of every id in `links` (a, b): id, component (its smallest id).
 
-    Alternates two steps until nothing changes: every id gives its larger neighbours, then its
+    Alternates two steps until only stars are left: every id gives its larger neighbours, then its
     smaller ones, to the smallest id it sees. Stars grow until each component is one. Both
     steps keep at most one link for each link before, and the number of rounds grows with the
     logarithm of the longest path. Smallest ids are found by partial sums, so an id with very
@@ -21,18 +21,21 @@ def components(links: DataFrame) -> DataFrame:
     links = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
     stars = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "links")
-    known = None
-    while True:
-        stars = _small_star(_large_star(stars))
-        stars = written(stars, "stars")
-        state = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == known:
-            break
-        known = state
+    while not _are_stars(stars):
+        stars = written(_small_star(_large_star(stars)), "stars")
     roots = stars.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return stars.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every id has one link to a smaller id, or links to larger ones only. Of links (u, v)
+    with u > v, the middle of a star is then the smallest id of its component."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("smaller"), F.lit(0).alias("larger"))
+    ends = ends.union(links.select("v", F.lit(0), F.lit(1)))
+    counted = ends.groupBy("id").agg(F.sum("smaller").alias("s"), F.max("larger").alias("l"))
+    return counted.where("s + l > 1").isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Links every larger neighbour of an id to the smallest of the id and its neighbours."""
     both = links.union(links.select("v", "u"))

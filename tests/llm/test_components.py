@@ -30,3 +30,18 @@ def test_any_links(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    from feedlake.llm import components as module
+
+    rounds, step = [], module._large_star
+    monkeypatch.setattr(module, "_large_star", lambda links: rounds.append(1) or step(links))
+    stars = [(5, 1), (1, 7), (9, 2), (2, 3), (3, 3), (None, 4), (7, 1)]
+    found = module.components(spark.createDataFrame(stars, "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (5, 1), (7, 1), (2, 2), (3, 2), (9, 2)}
+    assert not rounds
+    path = [(i, i + 1) for i in range(9)] + [(20, 9), (30, 31)]
+    found = module.components(spark.createDataFrame(path, "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in [*range(10), 20]} | {(30, 30), (31, 30)}
+    assert rounds
