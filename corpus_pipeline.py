@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import jaccard_join, mixing, packing, quality
-from feedlake.llm.frames import WORD, fresh, table, written
+from feedlake.llm.frames import WORD, fresh, sends_little, table, written
 from feedlake.llm.queries import SEQUENCE_END_ID, SEQUENCE_LENGTH, workers_find_package
 from feedlake.llm.tokens import default_vocabulary
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels of sf_dir."""
-    workers_find_package(spark)
+    _ready(spark)
     trees = quality.learn(docs, table(spark, sf_dir, "labels"))
     score = fresh(docs, "quality_score")
     predicted = fresh(docs, "quality_predicted")
@@ -33,7 +33,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row that has an id. A text without words is near nothing; of rows that have one and the same
     doc_id and such a text one stays.
     """
-    workers_find_package(spark)
+    _ready(spark)
     row = fresh(docs, "row_number")
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     similar = jaccard_join.Similarity(words=5, num=80, den=100)
@@ -55,14 +55,21 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources ask."""
-    workers_find_package(spark)
+    _ready(spark)
     return mixing.mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 4096 tokens."""
+    _ready(spark)
+    vocabulary = default_vocabulary()
+    return packing.pack_documents(docs, vocabulary, SEQUENCE_END_ID, SEQUENCE_LENGTH, lasting=False)
+
+
+def _ready(spark: SparkSession) -> None:
+    """The stages share executors and workers: what one leaves in memory, the next has not."""
     workers_find_package(spark)
-    return packing.pack_documents(docs, default_vocabulary(), SEQUENCE_END_ID, SEQUENCE_LENGTH)
+    sends_little(spark)
 
 
 def _columns(docs: DataFrame) -> list:

@@ -13,6 +13,9 @@ from feedlake.workspace import work_folder
 
 #: What separates words in every operator: the space and the five ASCII controls before it.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of the batches that Spark sends to workers, for a session that `sends_little`.
+SENT = 2_900_000
+SENT_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -26,6 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def sends_little(spark: SparkSession) -> None:
+    """From now on Spark sends batches of about SENT bytes to workers in this session.
+
+    By default it is 64 MB, which every task holds in the executor as it fills a batch, and its
+    worker as it reads one. A limit that the session has been given stays.
+    """
+    if spark.conf.get(SENT_CONF, None) is None:
+        spark.conf.set(SENT_CONF, f"{SENT}b")
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6_000_000):
     """The rows of `batches` in slices whose texts in `column` hold about `limit` bytes.
 
@@ -44,10 +57,10 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 6
         if batch.num_rows > start:
             yield batch.slice(start)
         del batch, texts
-        _give_back()
+        give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Returns free memory of Arrow and of the C library, where it is one that can."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

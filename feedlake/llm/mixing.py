@@ -20,6 +20,7 @@ number of their own that decides.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,9 +57,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST_PASSES) -> Dat
     sizes = [row["source_size"] for row in names]
     shares = [weights[i % len(weights)] for i in range(len(names))]
     found = dict(enumerate(fill(sizes, shares, most)))
-    schema = "source string, source_size long, target double"
-    out = [(row["source"], row["source_size"], found[i]) for i, row in enumerate(names)]
-    return sources.sparkSession.createDataFrame(out, schema)
+    columns = {
+        "source": pa.array([row["source"] for row in names], pa.string()),
+        "source_size": pa.array(sizes, pa.int64()),
+        "target": pa.array([found[i] for i in range(len(names))], pa.float64()),
+    }
+    # Of an Arrow table Spark makes rows by itself; of a list, by Python workers of their own.
+    return sources.sparkSession.createDataFrame(pa.table(columns))
 
 
 def fill(sizes: list[int], weights, most: int) -> list[float]:

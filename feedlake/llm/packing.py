@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import small_batches, written
-from feedlake.llm.tokens import TEXTS, encoder, little_endian
+from feedlake.llm.tokens import TEXTS, encoder, forget, little_endian
 
 #: Sequences a task keeps open. More fit better and cost a few bytes each.
 OPEN_SEQUENCES = 1024
@@ -66,12 +66,16 @@ class OpenBins:
         self.open += 1
 
 
-def pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
+def pieces(
+    documents: DataFrame, vocabulary: str, end_id: int, capacity: int, lasting: bool = True
+) -> DataFrame:
     """The documents' token ids, end id included, cut into pieces of `capacity`.
 
     Only longer documents are cut, and only their last piece may be shorter than `capacity`.
     A null text has no ids but the end id. Repeated rows are packed each by itself; `copy`
     tells them apart. Returns doc_id, copy, piece, start, length, ids_crc32 (of the piece).
+
+    lasting: whether workers keep the encoder for their next tasks, or free it after each.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,6 +90,9 @@ def pieces(documents: DataFrame, vocabulary: str, end_id: int, capacity: int) ->
                     part = tokens[at : at + 4 * capacity]
                     rows.append((doc_id, copy, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             yield _batch(rows, PIECES)
+        if not lasting:
+            del encode
+            forget(vocabulary)
 
     named = documents.select("doc_id", "text", F.monotonically_increasing_id().alias("copy"))
     return named.mapInArrow(cut, PIECES)
@@ -146,13 +153,14 @@ def pack_documents(
     end_id: int,
     capacity: int = 4096,
     open_sequences: int = OPEN_SEQUENCES,
+    lasting: bool = True,
 ) -> DataFrame:
     """Packs documents (doc_id, text; other columns are ignored) into sequences.
 
     Returns per piece doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset. An
-    empty table gives no rows. A doc_id may be null or occur several times.
+    empty table gives no rows. A doc_id may be null or occur several times. lasting: as in `pieces`.
     """
-    cut = written(pieces(documents, vocabulary, end_id, capacity), "pieces")
+    cut = written(pieces(documents, vocabulary, end_id, capacity, lasting), "pieces")
     return pack(cut, capacity, open_sequences)
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from feedlake.llm.frames import split_words
+from feedlake.llm.frames import give_back, split_words
 
 #: Words a worker remembers; some 200 bytes each.
 REMEMBERED = 300_000
@@ -36,6 +36,12 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+def forget(path: str) -> None:
+    """Frees the worker's encoder for the vocabulary file at `path`, if nothing else holds it."""
+    _encoders.pop(path, None)
+    give_back()
+
+
 class Encoder:
     """Texts to token ids, as little-endian unsigned 32-bit integers."""
 

@@ -161,3 +161,15 @@ def test_rows_that_repeat_a_document(spark):
     keys = [Counter((r.doc_id, r.size, r.source, r.number, r.times) for r in mixing.mix(d).collect())
             for d in (documents.repartition(5), documents.repartition(2, "number"))]
     assert keys[0] == keys[1]
+
+
+def test_targets_need_no_python_workers(spark):
+    rows = [("b", 10), (None, 30), ("a", 20), ("", 0)]
+    sources = spark.createDataFrame(rows, "source string, source_size long")
+    found = mixing.targets(sources)
+    assert found.schema.simpleString() == "struct<source:string,source_size:bigint,target:double>"
+    assert sorted(map(str, found.drop("target").collect())) == sorted(map(str, sources.collect()))
+    assert [row.source for row in found.collect()] == ["", "a", "b", None]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+    assert mixing.targets(sources.limit(0)).collect() == []

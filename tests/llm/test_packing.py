@@ -1,7 +1,9 @@
 import random
+import shutil
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -95,3 +97,24 @@ def test_sequences_can_be_read(spark):
 def test_empty_table(spark):
     documents = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_documents(documents, tokens.default_vocabulary(), 1).collect() == []
+
+
+def test_encoder_is_freed_if_asked(spark, tmp_path):
+    path = str(shutil.copy(tokens.default_vocabulary(), tmp_path / "vocabulary.json"))
+
+    def known(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [int(path in tokens._encoders)]})
+
+    def holders():
+        found = spark.range(0, 64, 1, 64).mapInArrow(known, "n long").collect()
+        return sum(row.n for row in found)
+
+    rows = [(i, f"word {i}") for i in range(64)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    packed = packing.pack_documents(documents, path, 1, 64, lasting=False)
+    assert holders() == 0
+    kept = packing.pack_documents(documents, path, 1, 64)
+    assert holders() > 0
+    named = ("doc_id", "start", "length", "ids_crc32")
+    assert sorted(packed.select(*named).collect()) == sorted(kept.select(*named).collect())

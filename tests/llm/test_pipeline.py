@@ -1,8 +1,10 @@
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 import corpus_pipeline
 from feedlake.llm import jaccard_join, mixing, packing
-from feedlake.llm.frames import table
+from feedlake.llm.frames import SENT, SENT_CONF, table
 from tests.llm.test_jaccard_join import by_hand
 from tests.llm.test_quality import held_out
 
@@ -98,3 +100,28 @@ def test_columns_that_the_stages_use_themselves(spark, sf_dir):
                                     "times", "mix_order", "n", "component_id"]
         assert {tuple(row)[5:] for row in docs.collect()} == {(docs.first().Score, 42, 1, 2, 3, 4, 5, 6, "x", 7)}
         assert float(docs.first().Score) == -7.0
+
+
+def test_texts_are_sent_to_workers_in_small_batches(spark, tmp_path):
+    rows = [(i, "word " * 2000, "en", "a") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    spark.createDataFrame([(0, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes], "rows": [batch.num_rows]})
+
+    stages = dict(corpus_pipeline.STAGES)
+    before = spark.conf.get(SENT_CONF, None)
+    try:
+        for name in ("quality classifier", "mixing sources"):
+            spark.conf.unset(SENT_CONF)
+            stages[name](spark, docs, str(tmp_path))
+            found = docs.coalesce(1).mapInArrow(sizes, "n long, rows long").collect()
+            assert sum(row.rows for row in found) == len(rows)
+            assert max(row.n for row in found) < 1.5 * SENT
+        spark.conf.set(SENT_CONF, "1m")
+        stages["mixing sources"](spark, docs, str(tmp_path))
+        assert spark.conf.get(SENT_CONF) == "1m"
+    finally:
+        spark.conf.unset(SENT_CONF) if before is None else spark.conf.set(SENT_CONF, before)
