@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.frames import small_batches, written
-from feedlake.llm.tokens import TEXTS, encoder, forget, little_endian
+from feedlake.llm.tokens import FEW_REMEMBERED, FEW_TEXTS, TEXTS, encoder, forget, little_endian
 
 #: Sequences a task keeps open. More fit better and cost a few bytes each.
 OPEN_SEQUENCES = 1024
@@ -75,12 +75,14 @@ def pieces(
     A null text has no ids but the end id. Repeated rows are packed each by itself; `copy`
     tells them apart. Returns doc_id, copy, piece, start, length, ids_crc32 (of the piece).
 
-    lasting: whether workers keep the encoder for their next tasks, or free it after each.
+    lasting: whether workers keep the encoder for their next tasks, or free it after each. One
+    that does not last remembers fewer words and takes smaller slices, as it shares the memory.
     """
+    texts, remembered = (TEXTS, None) if lasting else (FEW_TEXTS, FEW_REMEMBERED)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary), little_endian([end_id])
-        for batch in small_batches(batches, "text", TEXTS):
+        encode, end = encoder(vocabulary, remembered), little_endian([end_id])
+        for batch in small_batches(batches, "text", texts):
             rows = []
             encoded = encode(batch.column("text"))
             ids = (batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist())

@@ -13,9 +13,11 @@ import pyarrow.compute as pc
 from feedlake.llm.frames import give_back, split_words
 
 #: Words a worker remembers; some 200 bytes each.
-REMEMBERED = 300_000
-#: Bytes of text that are encoded together.
-TEXTS = 3_000_000
+REMEMBERED = 1_000_000
+#: Bytes of text that are encoded together. The words of a slice are looked up once for all of it.
+TEXTS = 6_000_000
+#: The same for workers that share an executor's memory with what other stages left in it.
+FEW_REMEMBERED, FEW_TEXTS = 300_000, 3_000_000
 #: How such vocabularies mark the token that ends a word.
 WORD_END = "</w>"
 #: Words encoded in one call.
@@ -29,10 +31,12 @@ WORD_AND_SIGNS = (
 _encoders: dict[str, "Encoder"] = {}
 
 
-def encoder(path: str) -> "Encoder":
-    """The worker's encoder for the vocabulary file at `path`."""
+def encoder(path: str, remembered: int | None = None) -> "Encoder":
+    """The worker's encoder for the vocabulary file at `path`. remembered: how many words it
+    remembers from now on; REMEMBERED if not given."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].remembered = remembered or REMEMBERED
     return _encoders[path]
 
 
@@ -56,6 +60,7 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[number] = token.endswith(WORD_END)
+        self.remembered = REMEMBERED
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -82,7 +87,7 @@ class Encoder:
 
     def _learn(self, parts: set[str]) -> None:
         """Finds the ids of parts that are new."""
-        if len(self.known) > REMEMBERED // 2:
+        if len(self.known) > self.remembered // 2:
             self.known, self.older = {}, self.known
         self._encode(parts - self._recall(parts).keys())
 

@@ -49,6 +49,23 @@ def test_encoder_forgets_within_bounds(monkeypatch):
     assert len(encode.known) < 30
 
 
+def test_words_of_many_slices_are_encoded_once(monkeypatch):
+    encode, met = tokens.Encoder(tokens.default_vocabulary()), []
+    monkeypatch.setattr(encode, "_encode", lambda parts: met.append(len(parts)) or learn(encode, parts))
+    learn = lambda encode, parts: encode.known.update(dict.fromkeys(parts, b"1234"))
+    slices = [[" ".join(f"w{i}q" for i in range(at, at + 50_000))] for at in range(0, 500_000, 50_000)]
+    for _ in range(2):
+        for texts in slices:
+            encode(texts)
+    assert sum(met[10:]) == 0
+
+
+def test_an_encoder_remembers_what_its_task_asks():
+    path = tokens.default_vocabulary()
+    assert tokens.encoder(path, 5).remembered == 5
+    assert tokens.encoder(path).remembered == tokens.REMEMBERED
+
+
 def test_files_are_common_zstandard_and_checked(tmp_path):
     path = str(tmp_path / "x.zst")
     documents = [(None, b""), (1, b"abcd"), (7, b"efgh" * 1000)]
