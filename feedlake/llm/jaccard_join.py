@@ -97,11 +97,12 @@ def jaccard_join(documents: DataFrame, similarity: Similarity = Similarity()) ->
     links = _verified(written(own, "pairs"), documents, classes, similarity)
     for number in range(ROUNDS):
         leaders = written(_leader_pairs(crowded, rooted, similarity, number), "pairs")
-        found = _verified(leaders, documents, classes, similarity)
-        links = written(links.union(found), "links")
+        links = links.union(_verified(leaders, documents, classes, similarity))
         rooted = written(_with_component(members, components(links)), "rooted")
+        # All links so far lie within these components: classes linked with the first of theirs.
+        links = rooted.where("component <> sig").select(F.col("sig").alias("a"), F.col("component").alias("b"))
     crossing = written(_cross_pairs(shared, rooted, similarity), "pairs")
-    links = links.union(written(_verified(crossing, documents, classes, similarity), "links"))
+    links = links.union(_verified(crossing, documents, classes, similarity))
     return _result(sets, classes, components(links))
 
 
@@ -127,7 +128,7 @@ def _levels(documents: DataFrame, similarity: Similarity) -> np.ndarray:
                 counts[place] = np.minimum(counts[place] + more, 255)
         if counts.any():
             for number in range(SKETCH_PARTS):
-                yield _part(number, counts[number * part : (number + 1) * part], zlib.compress)
+                yield _part(number, counts[number * part : (number + 1) * part])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -138,8 +139,8 @@ def _levels(documents: DataFrame, similarity: Similarity) -> np.ndarray:
         for number, values in total.items():
             yield _part(number, np.minimum(np.round(STEPS * np.log2(1 + values)), 255))
 
-    def _part(number, values, pack=lambda data, level: data):
-        data = pack(values.astype(np.uint8).tobytes(), 1)
+    def _part(number, values):
+        data = zlib.compress(values.astype(np.uint8).tobytes(), 1)
         return pa.RecordBatch.from_pydict(
             {"part": pa.array([number], pa.int32()), "counts": pa.array([data], pa.binary())}
         )
@@ -147,8 +148,8 @@ def _levels(documents: DataFrame, similarity: Similarity) -> np.ndarray:
     schema = "part int, counts binary"
     summed = documents.select("text").mapInArrow(count, schema).repartition("part")
     codes = np.zeros(SKETCH, dtype=np.uint8)
-    for row in summed.mapInArrow(add, schema).toLocalIterator():  # SKETCH bytes in all
-        values = np.frombuffer(row["counts"], dtype=np.uint8)
+    for row in summed.mapInArrow(add, schema).collect():  # SKETCH bytes in all, in one job
+        values = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint8)
         codes[row["part"] * part : (row["part"] + 1) * part] = values
     counts = 2.0 ** (np.arange(256) / STEPS) - 1
     mean = float((np.bincount(codes, minlength=256) * counts).sum() / SKETCH)
@@ -268,7 +269,7 @@ def _bitmap(rows: DataFrame, value) -> np.ndarray:
     )
     # Spark numbers from 1 the bitmaps of 4096 bytes, and has one for place 0 before them.
     bits = np.zeros(size // 8 + 4096, dtype=np.uint8)
-    for row in parts.toLocalIterator():  # `size` bits, whatever the input
+    for row in parts.collect():  # `size` bits, whatever the input, in one job
         data = np.frombuffer(row["bits"], dtype=np.uint8)[: len(bits) - row["part"] * 4096]
         bits[row["part"] * 4096 : row["part"] * 4096 + len(data)] = data
     return bits

@@ -1,9 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedlake.llm import jaccard_join
+from feedlake.llm.frames import written
 from feedlake.llm.jaccard_join import Similarity
 from tests.llm.test_components import roots
 
@@ -86,3 +89,19 @@ def test_repeated_and_missing_ids(spark):
 def test_empty_table(spark):
     documents = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.jaccard_join(documents).collect() == []
+
+
+def test_a_bitmap_takes_as_many_jobs_whatever_the_partitions(spark):
+    wide = spark.newSession()
+    wide.conf.set("spark.sql.shuffle.partitions", "40")
+    wide.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = written(wide.range(5000).selectExpr("id * 7919 AS t"), "repeated")
+    context = spark.sparkContext
+    context.setJobGroup("bitmap", "bitmap")
+    try:
+        bits = jaccard_join._bitmap(rows, F.col("t"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("bitmap")) < 10
+    assert jaccard_join._within(bits, np.arange(5000, dtype=np.int64) * 7919).all()
+    assert not jaccard_join._within(bits, np.array([1, 2, 7918], dtype=np.int64)).any()
